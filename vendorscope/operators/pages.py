@@ -38,7 +38,20 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
         "answer_only",
     )
     final = T.sanitize_answer(F.coalesce(F.nullif(F.col("answer_only"), F.lit("")), F.col("full_text")))
-    return out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer")))
+    out = out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer")))
+    return fence(out)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Optimizer fence: re-emit each row through a one-element generator.
+
+    Staged text columns reference earlier stages several times; a filter or
+    join condition on them would otherwise be pushed below the projections by
+    alias substitution, re-inlining (and re-evaluating) the whole HTML chain
+    once per reference. Predicates on generator output stay above it, so each
+    page is parsed exactly once.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def line_rows(df: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
