@@ -1 +1,114 @@
-"""q_tables queries."""
+"""Table queries on table pages (one HTML table per part): HTM-11..13, HTM-16/17, FLT-4, AGG-4."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vendorscope.operators import tables as TB
+from vendorscope.plans import sqlfrag as Q
+from vendorscope.plans.catalog import query
+from vendorscope.sources import tables as S
+
+_TB = """tb AS (
+  SELECT p_partkey AS page_id,
+    '<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>' || p_brand
+    || ' IBM +4</td></tr><tr><td> </td></tr><tr><td>type</td><td>' || p_type
+    || '</td><td>a  b</td></tr></table>' AS html
+  FROM part
+)"""
+
+
+def _plain(p: str) -> str:
+    """RE2 has no possessive quantifiers; the plain form matches the same text."""
+    return p.replace("*+", "*")
+
+
+def _cell_sql(c: str) -> str:
+    return Q.clean_cell(f"array_to_string({Q.lines(c)}, ' ')")
+
+
+_PARSED = f"""{_TB}, pt AS (
+  SELECT page_id, list_filter(list_transform(regexp_extract_all({Q.denoise('html')}, {Q.lit(_plain(TB.TABLE_RX))}, 1),
+      lambda t: list_filter(list_transform(regexp_extract_all(t, {Q.lit(_plain(TB.ROW_RX))}, 1),
+          lambda r: list_transform(regexp_extract_all(r, {Q.lit(_plain(TB.CELL_RX))}, 1), lambda c: {_cell_sql('c')})),
+        lambda row: len(list_filter(row, lambda x: x <> '')) > 0)),
+    lambda t: len(t) > 0) AS tabs
+  FROM tb
+), ph AS (
+  SELECT page_id, list_transform(tabs, lambda t: CASE WHEN starts_with(lower(t[1][1]), 'feature')
+      THEN list_concat([list_concat(['Feature'], list_slice(t[1], 2, len(t[1])))], list_slice(t, 2, len(t)))
+      ELSE t END) AS tabs
+  FROM pt
+), t1 AS (
+  SELECT page_id, unnest(tabs) AS t, unnest(range(len(tabs))) AS table_idx FROM ph
+)"""
+
+
+@query("html_tables", f"""WITH {_PARSED}, r1 AS (
+  SELECT page_id, table_idx, unnest(t) AS r, unnest(range(len(t))) AS row_idx FROM t1
+)
+SELECT page_id, CAST(table_idx AS BIGINT) AS table_idx, CAST(row_idx AS BIGINT) AS row_idx,
+       CAST(col_idx AS BIGINT) AS col_idx, cell
+FROM (SELECT page_id, table_idx, row_idx, unnest(r) AS cell, unnest(range(len(r))) AS col_idx FROM r1)""")
+def html_tables(spark, sf_dir):
+    """HTM-11 + FLT-4 + HTM-12: every table cell of every page (empty rows dropped, header rule)."""
+    return TB.table_cells(S.table_pages(spark, sf_dir))
+
+
+_MD = f"""{_PARSED}, w1 AS (
+  SELECT page_id, table_idx, t, list_max(list_transform(t, lambda r: len(r))) AS w FROM t1
+), md AS (
+  SELECT page_id, CAST(table_idx + 1 AS BIGINT) AS table_no, CAST(w AS BIGINT) AS n_cols,
+    array_to_string(list_concat(
+      ['| ' || array_to_string(list_concat(t[1], list_transform(range(w - len(t[1])), lambda i: '')), ' | ') || ' |',
+       '| ' || array_to_string(list_transform(range(w), lambda i: '---'), ' | ') || ' |'],
+      list_transform(list_slice(t, 2, len(t)),
+        lambda r: '| ' || array_to_string(list_concat(r, list_transform(range(w - len(r)), lambda i: '')), ' | ') || ' |')
+    ), chr(10)) AS markdown
+  FROM w1
+)"""
+
+
+@query("table_markdown", f"WITH {_MD} SELECT page_id, table_no, n_cols, markdown FROM md")
+def table_markdown(spark, sf_dir):
+    """HTM-13 + AGG-4 + HTM-17: each table padded to its widest row, rendered as Markdown, numbered from 1."""
+    return TB.tables_markdown(S.table_pages(spark, sf_dir))
+
+
+@query("table_header", f"""WITH {_PARSED}
+SELECT page_id, CAST(table_idx AS BIGINT) AS table_idx, array_to_string(t[1], '|') AS header FROM t1""")
+def table_header(spark, sf_dir):
+    """HTM-12: header row of every table after the Feature rule."""
+    t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(TB.parse_tables(F.col("html"))).alias("table_idx", "t"))
+    return t.select("page_id", F.col("table_idx").cast("bigint").alias("table_idx"),
+                    F.array_join(F.element_at("t", 1), "|").alias("header"))
+
+
+@query("table_index", f"""WITH {_PARSED}
+SELECT page_id, CAST(table_idx + 1 AS BIGINT) AS table_no, CAST(len(t) AS BIGINT) AS n_rows FROM t1""")
+def table_index(spark, sf_dir):
+    """HTM-17: tables numbered from 1 in document order, with their row counts."""
+    t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(TB.parse_tables(F.col("html"))).alias("i", "t"))
+    return t.select("page_id", (F.col("i") + 1).cast("bigint").alias("table_no"), F.size("t").cast("bigint").alias("n_rows"))
+
+
+def _cells_sql(line: str) -> str:
+    return f"list_transform(string_split({Q.rx(line, '^[|]+|[|]+$')}, '|'), lambda c: {Q.strip('c')})"
+
+
+@query("markdown_rows", f"""WITH {_MD}, ml AS (
+  SELECT page_id, table_no, list_filter(list_transform(string_split(markdown, chr(10)), lambda x: {Q.strip('x')}),
+                                        lambda x: x <> '') AS l FROM md
+), mh AS (
+  SELECT page_id, table_no, {_cells_sql('l[1]')} AS h, list_transform(list_slice(l, 3, len(l)), lambda x: {_cells_sql('x')}) AS rows
+  FROM ml WHERE len(l) >= 2
+), mr AS (
+  SELECT page_id, table_no, h, unnest(rows) AS r, unnest(range(len(rows))) AS row_idx FROM mh
+)
+SELECT page_id, table_no, CAST(row_idx AS BIGINT) AS row_idx, CAST(col_idx AS BIGINT) AS col_idx,
+       h[col_idx + 1] AS header, cell
+FROM (SELECT page_id, table_no, row_idx, h, unnest(r) AS cell, unnest(range(len(r))) AS col_idx FROM mr)""")
+def markdown_rows(spark, sf_dir):
+    """HTM-16: rendered Markdown tables parsed back into (row, column, header, cell) rows."""
+    md = TB.tables_markdown(S.table_pages(spark, sf_dir))
+    return TB.markdown_rows(md)
