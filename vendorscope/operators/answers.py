@@ -40,7 +40,7 @@ def failed_groups(df: DataFrame, key: str) -> DataFrame:
                                F.count("*").alias("n_groups"))
 
 
-def combine_text(df: DataFrame, key: str, order: str = "group_ord", group_name: str = "group_name",
+def combine_text(df: DataFrame, key: str | list[str], order: str = "group_ord", group_name: str = "group_name",
                  text: str = "answer_text") -> DataFrame:
     """AGG-1 + PRJ-12: per vendor, usable group blocks in group order, blank line between.
 
@@ -49,9 +49,10 @@ def combine_text(df: DataFrame, key: str, order: str = "group_ord", group_name:
     """
     block = F.when(F.col(text).isNotNull(),
                    F.struct(F.col(order).alias("o"), T.section_block(F.col(group_name), F.col(text)).alias("b")))
-    agg = df.groupBy(key).agg(F.array_sort(F.collect_list(block)).alias("_blocks"))
+    keys = [key] if isinstance(key, str) else list(key)
+    agg = df.groupBy(*keys).agg(F.array_sort(F.collect_list(block)).alias("_blocks"))
     joined = F.array_join(F.transform("_blocks", lambda s: s["b"]), "\n\n")
-    return agg.select(key, F.coalesce(joined, F.lit("")).alias("combined_text"))
+    return agg.select(*keys, F.coalesce(joined, F.lit("")).alias("combined_text"))
 
 
 def first_meaningful(snapshots: DataFrame, key: str = "question_id", ts: str = "ts",

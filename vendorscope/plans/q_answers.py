@@ -34,7 +34,7 @@ def attached(spark, sf_dir, with_question: bool = False):
     vg = QN.vendor_groups(S.vendors(spark, sf_dir))
     if with_question:
         vg = QN.build_questions(vg)
-    cols = ["id", "name", "city", "group_ord", "group_name"] + (["question"] if with_question else [])
+    cols = ["id", "name", "city", "state", "group_ord", "group_name"] + (["question"] if with_question else [])
     return A.attach_answers(vg.select(*cols), answers_table(spark, sf_dir), ["id", "group_ord"])
 
 
@@ -48,7 +48,7 @@ ans0 AS (
          {Q.sanitize("coalesce(nullif(answer_only, ''), array_to_string(lines, chr(10)))")} AS answer
   FROM s6
 ), ans AS (SELECT id, group_ord, answer, {Q.meaningful('answer')} AS success FROM ans0),
-qs AS (SELECT id, name, city, CAST(group_ord AS BIGINT) AS group_ord, group_name, description, fields, source_list
+qs AS (SELECT id, name, city, state, CAST(group_ord AS BIGINT) AS group_ord, group_name, description, fields, source_list
        FROM v, g),
 j AS (
   SELECT qs.*, nullif(CASE WHEN ans.success THEN ans.answer END, '') AS answer_text,

@@ -1 +1,183 @@
-"""q_enrich queries."""
+"""Enrichment queries: PRJ-13/14, JOIN-3/6, UDF-1, JSN-1..4, AGG-5.
+
+Prompts are built per vendor from the combined answer text. Completions
+are the orders-derived completion table (vendor_id = order key); a vendor
+without a completion keeps its row.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from vendorscope import fixed
+from vendorscope.operators import answers as A
+from vendorscope.operators import enrich as EN
+from vendorscope.plans import sqlfrag as Q
+from vendorscope.plans.catalog import query
+from vendorscope.plans.q_answers import _ANS_SQL, _BLOCK_SQL, attached
+from vendorscope.sources import catalogue as C
+from vendorscope.sources import tables as S
+
+_CP = """cp AS (
+  SELECT o_orderkey AS vendor_id,
+    CASE o_orderkey % 7 WHEN 0 THEN 'not json' WHEN 1 THEN '[1]'
+      WHEN 2 THEN '{"phone":"","sources":"x"}' WHEN 3 THEN NULL
+      ELSE '{"website":"http://o' || CAST(o_orderkey AS VARCHAR)
+        || '.example","sources":["Overview"," JustDial ","Official Website","https://www.justdial.com/x"],"zz":1}' END AS raw
+  FROM orders
+)"""
+
+
+def _prompt_sql() -> str:
+    values = {"vendor_name": "coalesce(name, 'None')", "city": "coalesce(city, 'None')",
+              "state": "coalesce(state, 'None')", "content": "coalesce(combined_text, 'None')",
+              "output_format": Q.lit(C.output_model_text())}
+    return " || ".join(values[p[0]] if isinstance(p, tuple) else Q.lit(p) for p in EN.template_pieces())
+
+
+_PROMPTS_SQL = f"""{_ANS_SQL}, ct AS (
+  SELECT id, name, city, state,
+         coalesce(string_agg({_BLOCK_SQL}, chr(10) || chr(10) ORDER BY group_ord)
+                  FILTER (WHERE answer_text IS NOT NULL), '') AS combined_text
+  FROM ja GROUP BY id, name, city, state
+), pr AS (SELECT id, city, {_prompt_sql()} AS prompt FROM ct), {_CP},
+pc AS (SELECT pr.*, sha256(prompt) AS prompt_sha, cp.raw FROM pr LEFT JOIN cp ON pr.id = cp.vendor_id)"""
+
+
+def prompts(spark, sf_dir):
+    ct = A.combine_text(attached(spark, sf_dir), ["id", "name", "city", "state"])
+    return EN.build_prompts(ct)
+
+
+def prompts_with_completions(spark, sf_dir):
+    cp = S.completions(spark, sf_dir).withColumnRenamed("vendor_id", "id")
+    return EN.attach_completions(prompts(spark, sf_dir), cp, "id")
+
+
+@query("build_prompt", f"""WITH {_PROMPTS_SQL}
+SELECT id, sha256(prompt) AS prompt_sha, CAST(length(prompt) AS BIGINT) AS prompt_chars FROM pr""")
+def build_prompt(spark, sf_dir):
+    """PRJ-13: single-pass filled extraction prompt per vendor (hash and length)."""
+    p = prompts(spark, sf_dir)
+    return p.select("id", "prompt_sha", F.length("prompt").cast("bigint").alias("prompt_chars"))
+
+
+@query("attach_completions", f"""WITH {_PROMPTS_SQL} SELECT id, prompt_sha, raw FROM pc""")
+def attach_completions(spark, sf_dir):
+    """JOIN-6: every vendor prompt with its completion (null when none)."""
+    return prompts_with_completions(spark, sf_dir).select("id", "prompt_sha", "raw")
+
+
+@query("text_lengths", f"""WITH {_PROMPTS_SQL}
+SELECT id, CAST(length(prompt) AS BIGINT) AS prompt_chars, CAST(coalesce(length(raw), 0) AS BIGINT) AS result_chars
+FROM pc""")
+def text_lengths(spark, sf_dir):
+    """PRJ-14: prompt and completion lengths per vendor."""
+    return EN.text_lengths(prompts_with_completions(spark, sf_dir)).select("id", "prompt_chars", "result_chars")
+
+
+@query("run_metrics", f"""WITH {_PROMPTS_SQL}
+SELECT city, count(*) AS n_vendors, count(raw) AS n_completed, CAST(sum(length(prompt)) AS BIGINT) AS prompt_chars,
+       CAST(sum(coalesce(length(raw), 0)) AS BIGINT) AS result_chars
+FROM pc GROUP BY city""")
+def run_metrics(spark, sf_dir):
+    """AGG-5: vendors, completions and character volumes per city."""
+    return EN.run_metrics(EN.text_lengths(prompts_with_completions(spark, sf_dir)), ["city"])
+
+
+@query("model_lookup", f"""WITH v AS (
+  SELECT c_custkey AS id, c_mktsegment AS category FROM customer
+)
+SELECT id, category, CAST(CASE {' '.join(f"WHEN category = {Q.lit(c)} THEN {len(m)}" for c, m in fixed.OUTPUT_MODELS.items())}
+  ELSE 0 END AS BIGINT) AS n_model_fields FROM v""")
+def model_lookup(spark, sf_dir):
+    """JOIN-3: output model of each vendor's category (0 fields = no model, prompt gets None)."""
+    sizes = F.create_map(*[x for c, m in fixed.OUTPUT_MODELS.items() for x in (F.lit(c), F.lit(len(m)))])
+    v = S.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("category"))
+    return v.select("id", "category", F.coalesce(F.element_at(sizes, F.col("category")), F.lit(0)).cast("bigint")
+                    .alias("n_model_fields"))
+
+
+def _status_sql(raw: str) -> str:
+    return (f"CASE WHEN {raw} IS NULL THEN 'missing' WHEN NOT json_valid({raw}) THEN 'invalid' "
+            f"WHEN json_type({raw}) <> 'OBJECT' THEN 'not_object' ELSE 'ok' END")
+
+
+@query("json_status", f"WITH {_CP} SELECT vendor_id, {_status_sql('raw')} AS parse_status FROM cp")
+def json_status(spark, sf_dir):
+    """JSN-1: completion parse status (ok / invalid / not_object / missing)."""
+    cp = S.completions(spark, sf_dir)
+    return cp.select("vendor_id", EN.json_status(F.col("raw")).alias("parse_status"))
+
+
+def _clean_sources_sql(raw: str) -> str:
+    arr = f"CAST(json_extract({raw}, '$.sources') AS VARCHAR[])"
+    bl = Q.lit_list(fixed.INVALID_SOURCES)
+    keep = f"list_filter({arr}, lambda x: NOT list_contains({bl}, lower({Q.strip("coalesce(x, 'None')")})))"
+    return f"CASE WHEN json_type(json_extract({raw}, '$.sources')) = 'ARRAY' THEN {keep} END"
+
+
+@query("clean_sources", f"""WITH {_CP}
+SELECT vendor_id, to_json({_clean_sources_sql('raw')}) AS sources_json
+FROM cp WHERE {_status_sql('raw')} = 'ok'""")
+def clean_sources(spark, sf_dir):
+    """JSN-2: blacklisted sources dropped from list-valued ``sources`` (others untouched -> null)."""
+    cp = S.completions(spark, sf_dir).where(EN.json_status(F.col("raw")) == "ok")
+    return cp.select("vendor_id", F.to_json(EN.clean_sources(F.col("raw"))).alias("sources_json"))
+
+
+def _record_sql() -> str:
+    cols = []
+    for f, kind in C.output_fields():
+        path = Q.lit(f"$.{f}")
+        if f == "sources":
+            cols.append(f"to_json(coalesce(CASE WHEN ok THEN {_clean_sources_sql('raw')} END, []::VARCHAR[])) AS {f}")
+        elif kind == "string":
+            cols.append(f"coalesce(CASE WHEN ok THEN json_extract_string(raw, {path}) END, '') AS {f}")
+        else:
+            cols.append(f"to_json(coalesce(CASE WHEN ok AND json_type(json_extract(raw, {path})) = 'ARRAY' "
+                        f"THEN CAST(json_extract(raw, {path}) AS VARCHAR[]) END, []::VARCHAR[])) AS {f}")
+    model = Q.lit_list([f for f, _ in C.output_fields()])
+    return (f"WITH {_CP}, st AS (SELECT vendor_id, raw, {_status_sql('raw')} AS parse_status, "
+            f"{_status_sql('raw')} = 'ok' AS ok FROM cp)\n"
+            f"SELECT vendor_id, {', '.join(cols)}, "
+            f"CASE WHEN ok THEN to_json(list_filter(json_keys(raw), lambda k: NOT list_contains({model}, k))) END "
+            f"AS extra_keys, parse_status FROM st")
+
+
+@query("profile_record", _record_sql())
+def profile_record(spark, sf_dir):
+    """JSN-4: 19-field typed record per completion ("" / [] defaults), extra keys, parse status."""
+    rec = EN.profile_record(S.completions(spark, sf_dir))
+    arrays = {f for f, k in C.output_fields() if k == "array"}
+    cols = [F.to_json(F.col(f)).alias(f) if f in arrays else F.col(f) for f, _ in C.output_fields()]
+    return rec.select("vendor_id", *cols, F.to_json("extra_keys").alias("extra_keys"), "parse_status")
+
+
+@query("profile_json", f"""WITH {_CP}, st AS (SELECT vendor_id, raw FROM cp WHERE {_status_sql('raw')} = 'ok')
+SELECT vendor_id, '{{' || {" || ',' || ".join(
+    (f"'\"{f}\":' || to_json(coalesce(json_extract_string(raw, {Q.lit('$.' + f)}), ''))" if k == "string" and f != "sources"
+     else (f"'\"{f}\":' || to_json(coalesce({_clean_sources_sql('raw')}, []::VARCHAR[]))" if f == "sources"
+           else f"'\"{f}\":' || to_json(coalesce(CASE WHEN json_type(json_extract(raw, {Q.lit('$.' + f)})) = 'ARRAY' "
+                f"THEN CAST(json_extract(raw, {Q.lit('$.' + f)}) AS VARCHAR[]) END, []::VARCHAR[]))"))
+    for f, k in C.output_fields())} || '}}' AS profile_json
+FROM st""")
+def profile_json(spark, sf_dir):
+    """JSN-3: cleaned record re-serialised as JSON in model key order."""
+    rec = EN.profile_record(S.completions(spark, sf_dir)).where(F.col("parse_status") == "ok")
+    return EN.profile_json(rec).select("vendor_id", "profile_json")
+
+
+def _stub_completion(prompts: pd.Series) -> pd.Series:
+    """Deterministic stand-in for a model: the first URL in the prompt as the website."""
+    urls = prompts.str.extract(r"(https?://[^\s\"<>]+)", expand=False)
+    return urls.map(lambda u: '{"website":"%s","sources":[]}' % u if isinstance(u, str) else '{"sources":[]}')
+
+
+@query("enrich_with")
+def enrich_with(spark, sf_dir):
+    """UDF-1: user completion function over the distinct prompts (Arrow batches), joined back."""
+    p = prompts(spark, sf_dir)
+    done = EN.enrich_with(p, _stub_completion)
+    return EN.attach_completions(p.select("id", "prompt_sha"), done, "prompt_sha")
