@@ -1 +1,179 @@
-"""q_facts queries."""
+"""Fact queries (EXT-1..10) on fact answers (one reply-format answer per line item,
+vendor = part) and contact routing on whole document texts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vendorscope import fixed
+from vendorscope.functions.text import WS
+from vendorscope.operators import facts as FX
+from vendorscope.plans import sqlfrag as Q
+from vendorscope.plans.catalog import query
+from vendorscope.sources import catalogue as C
+from vendorscope.sources import tables as S
+
+_FA = """fa AS (
+  SELECT l_partkey AS vendor_id, l_orderkey, l_linenumber,
+    'Parameter: website Value: http://s' || CAST(l_suppkey AS VARCHAR) || '.example.com Source URL: '
+    || CASE l_linenumber % 3 WHEN 0 THEN 'https://www.instagram.com/p'
+         WHEN 1 THEN 'https://www.facebook.com/p' ELSE 'https://site.example.com' END
+    || ' Parameter: rating Value: ' || CASE WHEN l_linenumber = 1 THEN 'Not Found'
+         WHEN l_partkey % 2 = 0 THEN CAST(l_partkey % 5 AS VARCHAR) ELSE CAST(l_linenumber AS VARCHAR) END
+    || ' Source URL: none' AS answer
+  FROM lineitem
+)"""
+
+_KEYS = ["vendor_id", "l_orderkey", "l_linenumber"]
+
+
+def _part(i: int) -> str:
+    return f"nullif({Q.strip(f'regexp_extract(b, {Q.lit(FX.FACT_FIELDS)}, {i})')}, '')"
+
+
+def _class_sql(url: str) -> str:
+    host = f"nullif(lower(regexp_extract({url}, {Q.lit(FX.HOST)}, 1)), '')"
+    whens = " ".join(f"WHEN regexp_matches({host}, {Q.lit(rx)}) THEN {Q.lit(name)}" for name, rx in FX.SOURCE_HOSTS)
+    return f"CASE WHEN {host} IS NULL THEN NULL {whens} ELSE 'Official Website' END"
+
+
+def _rank_sql(param: str, url: str) -> str:
+    group = ("CASE " + " ".join(f"WHEN {param} = {Q.lit(f)} THEN {Q.lit(g)}"
+                                for g, _, fields in C.groups_for() for f in fields) + " ELSE '*' END")
+    lists = ("CASE " + " ".join(f"WHEN grp = {Q.lit(g)} THEN {Q.lit_list(s)}"
+                                for g, s in fixed.SOURCE_PRIORITIES.items() if g != "*")
+             + f" ELSE {Q.lit_list(fixed.SOURCE_PRIORITIES['*'])} END")
+    return (f"(SELECT CAST(coalesce(list_position(lst, {_class_sql(url)}), {FX.UNRANKED}) AS BIGINT) "
+            f"FROM (SELECT {lists} AS lst FROM (SELECT {group} AS grp)))")
+
+
+_FACTS_SQL = f"""{_FA}, fb0 AS (
+  SELECT vendor_id, l_orderkey, l_linenumber, regexp_split_to_array(answer, {Q.lit(FX.FACT_SPLIT)}) AS pieces FROM fa
+), fb AS (
+  SELECT vendor_id, l_orderkey, l_linenumber, unnest(list_slice(pieces, 2, len(pieces))) AS b,
+         unnest(range(len(pieces) - 1)) AS pos
+  FROM fb0
+), fx AS (
+  SELECT vendor_id, l_orderkey, l_linenumber, CAST(pos AS BIGINT) AS pos,
+         lower({Q.rx(_part(1), WS + '+', "'_'")}) AS parameter,
+         CASE WHEN lower({_part(2)}) <> lower({Q.lit(fixed.NOT_FOUND)}) THEN {_part(2)} END AS value,
+         {_part(3)} AS source_url
+  FROM fb
+)"""
+
+
+def _facts(spark, sf_dir):
+    return FX.facts(S.fact_answers(spark, sf_dir), "answer", _KEYS)
+
+
+@query("facts", f"WITH {_FACTS_SQL} SELECT * FROM fx")
+def facts(spark, sf_dir):
+    """EXT-1 + EXT-2: reply-format answers parsed into (parameter, value, source URL) rows."""
+    return _facts(spark, sf_dir)
+
+
+@query("facts_known", f"""WITH {_FACTS_SQL}
+SELECT parameter, count(*) AS n_facts, count(value) AS n_known FROM fx GROUP BY parameter""")
+def facts_known(spark, sf_dir):
+    """EXT-2: facts per parameter and how many carry a value (Not Found -> null)."""
+    return _facts(spark, sf_dir).groupBy("parameter").agg(F.count("*").alias("n_facts"),
+                                                          F.count("value").alias("n_known"))
+
+
+_RANKED_SQL = f"""{_FACTS_SQL}, rk AS (
+  SELECT *, {_rank_sql('parameter', 'source_url')} AS source_rank FROM fx WHERE value IS NOT NULL
+)"""
+
+
+@query("facts_by_priority", f"""WITH {_RANKED_SQL}
+SELECT vendor_id, parameter, value, source_url, source_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY vendor_id, parameter
+                               ORDER BY source_rank, l_orderkey, l_linenumber, pos, value) AS rn
+  FROM rk) WHERE rn = 1""")
+def facts_by_priority(spark, sf_dir):
+    """EXT-3: per (vendor, parameter) the value from the highest-priority source."""
+    return FX.resolve(_facts(spark, sf_dir), "vendor_id", ["l_orderkey", "l_linenumber", "pos"], "priority")
+
+
+@query("facts_conflict_blank", f"""WITH {_FACTS_SQL}
+SELECT vendor_id, parameter, CASE WHEN count(DISTINCT value) > 1 THEN '' ELSE min(value) END AS value
+FROM fx WHERE value IS NOT NULL GROUP BY vendor_id, parameter""")
+def facts_conflict_blank(spark, sf_dir):
+    """EXT-4: per (vendor, parameter) the agreed value, "" when values conflict."""
+    return FX.resolve(_facts(spark, sf_dir), "vendor_id", [], "blank")
+
+
+def _wide_sql() -> str:
+    cols = []
+    for f, kind in C.output_fields():
+        v = f"max(CASE WHEN parameter = {Q.lit(f)} THEN value END)"
+        if kind == "string":
+            cols.append(f"coalesce({v}, '') AS {f}")
+        else:
+            items = f"list_filter(list_transform(string_split({v}, ','), lambda x: {Q.strip('x')}), lambda x: x <> '')"
+            ordered = f"list_filter({items}, lambda x, i: list_position({items}, x) = i)"
+            cols.append(f"to_json(coalesce({ordered}, []::VARCHAR[])) AS {f}")
+    return ", ".join(cols)
+
+
+@query("profile_wide", f"""WITH {_RANKED_SQL}, best AS (
+  SELECT vendor_id, parameter, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY vendor_id, parameter
+                                 ORDER BY source_rank, l_orderkey, l_linenumber, pos, value) AS rn
+    FROM rk) WHERE rn = 1
+)
+SELECT vendor_id, {_wide_sql()} FROM best
+WHERE parameter IN ({', '.join(Q.lit(f) for f, _ in C.output_fields())}) GROUP BY vendor_id""")
+def profile_wide(spark, sf_dir):
+    """EXT-5/8/10: one 19-field record per vendor from its resolved facts ("" / [] when absent)."""
+    best = FX.resolve(_facts(spark, sf_dir), "vendor_id", ["l_orderkey", "l_linenumber", "pos"], "priority")
+    wide = FX.profile_wide(best, "vendor_id")
+    arrays = {f for f, k in C.output_fields() if k == "array"}
+    return wide.select("vendor_id", *[F.to_json(F.col(f)).alias(f) if f in arrays else F.col(f)
+                                      for f, _ in C.output_fields()])
+
+
+@query("rating_reviews", f"""WITH {_FACTS_SQL}
+SELECT vendor_id, l_orderkey, l_linenumber,
+  CASE WHEN parameter = 'rating' AND regexp_matches({Q.strip("coalesce(value, '')")}, '^[0-9]+([.][0-9]+)?$')
+       THEN CAST({Q.strip('value')} AS DOUBLE) END AS rating_num,
+  CASE WHEN parameter = 'review_count' AND regexp_matches({Q.strip("coalesce(value, '')")}, '^[0-9]{{1,18}}$')
+       THEN CAST({Q.strip('value')} AS BIGINT) END AS review_count_num
+FROM fx WHERE parameter IN ('rating', 'review_count')""")
+def rating_reviews(spark, sf_dir):
+    """EXT-9: numeric rating only when the stated value is a number; review counts when stated."""
+    r = FX.rating_reviews(_facts(spark, sf_dir)).where(F.col("parameter").isin("rating", "review_count"))
+    return r.select(*_KEYS, "rating_num", "review_count_num")
+
+
+@query("extract_urls", f"""WITH {_FA}, u AS (
+  SELECT vendor_id, l_orderkey, l_linenumber,
+         regexp_extract_all(answer, {Q.lit(FX.LABELLED_URL)}, 1) AS labels,
+         regexp_extract_all(answer, {Q.lit(FX.LABELLED_URL)}, 2) AS urls
+  FROM fa
+)
+SELECT vendor_id, l_orderkey, l_linenumber, CAST(pos AS BIGINT) AS pos, nullif(label, '') AS label, url FROM (
+  SELECT vendor_id, l_orderkey, l_linenumber, unnest(labels) AS label, unnest(urls) AS url,
+         unnest(range(len(urls))) AS pos FROM u)""")
+def extract_urls(spark, sf_dir):
+    """EXT-6: every http/https URL in every fact answer, with position and label."""
+    return FX.extract_urls(S.fact_answers(spark, sf_dir), "answer", _KEYS)
+
+
+def _kind_sql(u: str) -> str:
+    c = _class_sql(u)
+    return f"CASE WHEN {c} = 'Instagram' THEN 'instagram' WHEN {c} = 'Facebook' THEN 'facebook' ELSE 'website' END"
+
+
+@query("route_contacts", f"""WITH c AS (
+  SELECT doc_id, list_concat(
+    list_transform(regexp_extract_all(text, {Q.lit(FX.URL)}, 0), lambda u: {{'kind': {_kind_sql('u')}, 'value': u}}),
+    list_transform(regexp_extract_all(text, {Q.lit(FX.EMAIL)}, 0), lambda v: {{'kind': 'email', 'value': v}}),
+    list_transform(regexp_extract_all(text, {Q.lit(FX.PHONE)}, 0), lambda v: {{'kind': 'phone', 'value': v}})) AS cs
+  FROM documents
+)
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, x.kind AS kind, x.value AS value FROM (
+  SELECT doc_id, unnest(cs) AS x, unnest(range(len(cs))) AS pos FROM c)""")
+def route_contacts(spark, sf_dir):
+    """EXT-7: contact points (website / instagram / facebook URLs, emails, phones) in every document."""
+    return FX.route_contacts(S.documents(spark, sf_dir), "text", ["doc_id"])
