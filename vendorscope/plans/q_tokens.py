@@ -1 +1,159 @@
-"""q_tokens queries."""
+"""Token and DOM-region queries (HTM-5/6/9/10/14/15, WIN-2/4, FLT-5/8) on raw pages and
+on the AI-answer pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vendorscope import fixed
+from vendorscope.operators import tokens as TK
+from vendorscope.plans import sqlfrag as Q
+from vendorscope.plans.catalog import query
+from vendorscope.plans.q_pages import _AP
+from vendorscope.sources import tables as S
+
+_PLAIN_TOKEN = TK.TOKEN_RX.replace("++", "+").replace("*+", "*")
+
+
+def _tokens_sql(src: str, key: str) -> str:
+    t = "token"
+    tag = f"lower(regexp_extract({t}, '^</?([A-Za-z][A-Za-z0-9:_-]*)', 1))"
+    kind = (f"CASE WHEN starts_with({t}, '<!--') THEN 'comment' "
+            f"WHEN regexp_matches({t}, '(?i)^<(script|style)\\b') THEN 'raw' "
+            f"WHEN starts_with({t}, '</') AND {tag} <> '' THEN 'close' "
+            f"WHEN regexp_matches({t}, '^<[!?]') THEN 'decl' "
+            f"WHEN regexp_matches({t}, '^<[A-Za-z]') AND (ends_with({t}, '/>') OR {tag} IN "
+            f"({', '.join(Q.lit(v) for v in TK.VOID)})) THEN 'self' "
+            f"WHEN regexp_matches({t}, '^<[A-Za-z]') THEN 'open' ELSE 'text' END")
+    return f"""t0 AS (
+  SELECT {key}, regexp_extract_all(coalesce(html, ''), {Q.lit(_PLAIN_TOKEN)}, 0) AS toks FROM {src}
+), t1 AS (
+  SELECT {key}, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM t0
+), tk AS (
+  SELECT {key}, CAST(pos AS BIGINT) AS pos, {kind} AS kind, token, CAST(length(token) AS BIGINT) AS char_len
+  FROM t1
+), tok AS (
+  SELECT {key}, pos, kind, CASE WHEN kind = 'text' THEN NULL ELSE {tag} END AS tag, token, char_len,
+         CAST(sum(char_len) OVER (PARTITION BY {key} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              - char_len AS BIGINT) AS char_start
+  FROM tk
+)"""
+
+
+def _extents_sql(key: str, tags: list[str]) -> str:
+    return f"""ev AS (
+  SELECT *, sum(CASE WHEN kind = 'open' THEN 1 ELSE -1 END)
+           OVER (PARTITION BY {key}, tag ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d
+  FROM tok WHERE tag IN ({', '.join(Q.lit(t) for t in tags)}) AND kind IN ('open', 'close')
+), ev2 AS (
+  SELECT *, CASE WHEN kind = 'open' THEN d ELSE d + 1 END AS level FROM ev
+), ev3 AS (
+  SELECT *, lead(kind) OVER w AS n_kind, lead(pos) OVER w AS n_pos, lead(char_start) OVER w AS n_cs
+  FROM ev2 WINDOW w AS (PARTITION BY {key}, tag, level ORDER BY pos)
+), ext AS (
+  SELECT {key}, tag, pos AS start_pos, CASE WHEN n_kind = 'close' THEN n_pos END AS end_pos,
+         CAST(level AS BIGINT) AS depth, char_start + char_len AS inner_start,
+         CASE WHEN n_kind = 'close' THEN n_cs END AS inner_end, token
+  FROM ev3 WHERE kind = 'open' AND level >= 1
+)"""
+
+
+@query("html_tokens", f"""WITH {_tokens_sql('pages', 'page_id')}
+SELECT page_id, kind, count(*) AS n_tokens, CAST(sum(char_len) AS BIGINT) AS chars,
+       CAST(max(char_start + char_len) AS BIGINT) AS page_chars
+FROM tok GROUP BY page_id, kind""")
+def html_tokens(spark, sf_dir):
+    """HTM-6 token rows: per page and token kind, token count and character coverage."""
+    tok = TK.tokens(S.pages(spark, sf_dir).repartition("page_id"))
+    return tok.groupBy("page_id", "kind").agg(
+        F.count("*").alias("n_tokens"), F.sum("char_len").cast("bigint").alias("chars"),
+        F.max(F.col("char_start") + F.col("char_len")).cast("bigint").alias("page_chars"))
+
+
+_EXT_TAGS = ["div", "p", "article", "ul", "li", "nav", "a", "b"]
+
+
+@query("element_extent", f"""WITH {_tokens_sql('pages', 'page_id')}, {_extents_sql('page_id', _EXT_TAGS)}
+SELECT page_id, tag, start_pos, end_pos, depth, inner_start, inner_end FROM ext""")
+def element_extent(spark, sf_dir):
+    """HTM-6: extents (token span, nesting depth, innerHTML offsets) of common elements on every page."""
+    tok = TK.tokens(S.pages(spark, sf_dir).repartition("page_id"))
+    return TK.extents(tok, _EXT_TAGS).drop("token")
+
+
+def _attr_sql(tok: str, name: str) -> str:
+    rx = rf"""(?i)[\s/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    vals = ", ".join(f"nullif(regexp_extract({tok}, {Q.lit(rx)}, {i}), '')" for i in (1, 2, 3))
+    return f"CASE WHEN regexp_matches({tok}, {Q.lit(rf'(?i)[\s/]{name}\s*=')}) THEN coalesce({vals}, '') END"
+
+
+def _region_sql(src: str, key: str) -> str:
+    whens = []
+    for rank, (kind, name, value, scope) in enumerate(fixed.RESPONSE_SELECTORS, start=1):
+        a = _attr_sql("d.token", name)
+        if scope is None:
+            cond = f"contains({a}, {Q.lit(value)})" if kind == "class" else f"{a} = {Q.lit(value)}"
+        else:
+            cond = (f"contains({a}, {Q.lit(value)}) AND EXISTS (SELECT 1 FROM ext o WHERE o.{key} = d.{key} "
+                    f"AND o.tag = 'div' AND {_attr_sql('o.token', 'id')} = {Q.lit(scope)} AND d.start_pos > o.start_pos "
+                    f"AND (o.end_pos IS NULL OR d.start_pos < o.end_pos))")
+        whens.append(f"WHEN coalesce({cond}, false) THEN {rank}")
+    body = Q.strip(f"regexp_extract(html, {Q.lit(r'(?is)<body\b[^>]*>(.*)</body')}, 1)")
+    return f"""WITH {_tokens_sql(src, key)}, {_extents_sql(key, ['div'])}, cand AS (
+  SELECT d.{key}, d.start_pos, CASE {' '.join(whens)} END AS rank,
+    {Q.strip(f"substring(p.html, CAST(d.inner_start + 1 AS INTEGER), CAST(coalesce(d.inner_end, length(p.html)) - d.inner_start AS INTEGER))")} AS region_html
+  FROM ext d JOIN {src} p ON p.{key} = d.{key}
+), best AS (
+  SELECT {key}, rank, region_html FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY rank, start_pos) AS rn
+    FROM cand WHERE rank IS NOT NULL AND length(region_html) > {fixed.REGION_MIN_CHARS}) WHERE rn = 1
+)
+SELECT p.{key}, CAST(CASE WHEN b.rank IS NOT NULL THEN b.rank WHEN length({body}) > {fixed.BODY_MIN_CHARS} THEN 0 END
+                     AS BIGINT) AS selector_rank,
+       CASE WHEN b.rank IS NOT NULL THEN b.region_html WHEN length({body}) > {fixed.BODY_MIN_CHARS} THEN {body} END
+         AS region_html
+FROM {src} p LEFT JOIN best b ON p.{key} = b.{key}"""
+
+
+@query("region_pick", _region_sql("pages", "page_id"))
+def region_pick(spark, sf_dir):
+    """HTM-5 + WIN-2 + FLT-2: response region of every page (selector rank; 0 = body fallback)."""
+    return TK.region_pick(S.pages(spark, sf_dir))
+
+
+_APK = """apk AS (SELECT conv_id * 100 + turn AS page_id, html FROM ap)"""
+
+
+@query("region_pick_answers", _region_sql("apk", "page_id").replace("WITH ", f"WITH {_AP}, {_APK}, ", 1))
+def region_pick_answers(spark, sf_dir):
+    """HTM-5 on the AI-answer pages (their ``div#main`` wins over the body)."""
+    ap = S.answer_pages(spark, sf_dir).select((F.col("conv_id") * 100 + F.col("turn")).alias("page_id"), "html")
+    return TK.region_pick(ap)
+
+
+@query("page_status", f"""WITH {_tokens_sql('pages', 'page_id')}, {_extents_sql('page_id', fixed.OVERVIEW_ANCHOR_TAGS)},
+hits AS (SELECT page_id, pos FROM tok WHERE kind = 'text' AND contains(token, {Q.lit(fixed.OVERVIEW_ANCHOR_TEXT)})),
+anchored AS (
+  SELECT DISTINCT e.page_id FROM ext e JOIN hits h ON e.page_id = h.page_id
+  WHERE h.pos > e.start_pos AND (e.end_pos IS NULL OR h.pos < e.end_pos)
+)
+SELECT p.page_id,
+  CASE WHEN regexp_matches(p.html, {Q.lit('<div\\b[^>]*\\bid\\s*=\\s*["' + "'" + ']?' + fixed.BLOCK_FORM_ID + '["' + "'" + '\\s>/]')})
+         OR contains(array_to_string({Q.lines('p.html')}, chr(10)), {Q.lit(fixed.BLOCK_TEXT)}) THEN 'blocked'
+       WHEN a.page_id IS NULL THEN 'no_overview' ELSE 'anchored' END AS status
+FROM pages p LEFT JOIN anchored a ON p.page_id = a.page_id""")
+def page_status(spark, sf_dir):
+    """FLT-8: outcome per page (blocked / no_overview / container_unparsed / empty_text / ok)."""
+    return TK.page_status(S.pages(spark, sf_dir))
+
+
+@query("overview_container")
+def overview_container(spark, sf_dir):
+    """HTM-9 + HTM-10: overview container per anchored page (climb from the anchor, class fallback)."""
+    return TK.overview_container(S.pages(spark, sf_dir))
+
+
+@query("overview_blocks")
+def overview_blocks(spark, sf_dir):
+    """HTM-14 + HTM-15 + FLT-6 + WIN-4: sanitised leaf text blocks of the overview container."""
+    return TK.overview_blocks(S.pages(spark, sf_dir))
