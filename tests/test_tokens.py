@@ -34,10 +34,11 @@ def test_token_offsets_cover_page(spark):
 
 
 def test_region_pick(spark):
-    got = {r.page_id: (r.selector_rank, r.region_html[:3]) for r in TK.region_pick(pages(spark)).collect()}
+    got = {r.page_id: (r.selector_rank, (r.region_html or "")[:3]) for r in TK.region_pick(pages(spark)).collect()}
     assert got[1] == (2, "AAA")          # data-attrid beats the lower-ranked id=search
     assert got[3] == (0, "<p>")          # body fallback
     assert got[4] == (8, "zzz")          # class "g" only counts inside div#rso
+    assert got[2] == (None, "")          # body under the 100-char floor: no region
 
 
 def test_overview_outermost_anchor_has_no_parent(spark):
