@@ -36,12 +36,14 @@ def _prompt_sql() -> str:
     return " || ".join(values[p[0]] if isinstance(p, tuple) else Q.lit(p) for p in EN.template_pieces())
 
 
-_PROMPTS_SQL = f"""{_ANS_SQL}, ct AS (
+_CT_SQL = f"""{_ANS_SQL}, ct AS (
   SELECT id, name, city, state,
          coalesce(string_agg({_BLOCK_SQL}, chr(10) || chr(10) ORDER BY group_ord)
                   FILTER (WHERE answer_text IS NOT NULL), '') AS combined_text
   FROM ja GROUP BY id, name, city, state
-), pr AS (SELECT id, city, {_prompt_sql()} AS prompt FROM ct), {_CP},
+)"""
+
+_PROMPTS_SQL = f"""{_CT_SQL}, pr AS (SELECT id, city, {_prompt_sql()} AS prompt FROM ct), {_CP},
 pc AS (SELECT pr.*, sha256(prompt) AS prompt_sha, cp.raw FROM pr LEFT JOIN cp ON pr.id = cp.vendor_id)"""
 
 
