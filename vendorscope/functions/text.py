@@ -20,9 +20,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same set as characters, built from Python's own rule (str.isspace).
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
+    """Python ``str.strip()``: remove Unicode whitespace at both ends (character-set trim, no regex)."""
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def single_line(c) -> Column:

@@ -41,20 +41,24 @@ def facts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """EXT-1 + EXT-2: one row per ``Parameter:`` block: keys, pos, parameter, value, source_url.
 
     ``value`` is null for the ``Not Found`` sentinel; ``parameter`` is lower-case
-    with inner whitespace as ``_``.
+    with inner whitespace as ``_``. Each regex group is extracted once, and the
+    parsed rows pass a fence so later filters do not re-run the extraction.
     """
     pieces = F.split(F.col(text), FACT_SPLIT)
     blocks = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
     ex = df.select(*keys, F.posexplode(blocks).alias("pos", "_b"))
+    parts = ex.select(*keys, "pos", *[F.nullif(strip_ws(F.regexp_extract("_b", FACT_FIELDS, i)), F.lit(""))
+                                      .alias(f"_p{i}") for i in (1, 2, 3)])
+    param = F.lower(F.regexp_replace("_p1", f"{WS}+", "_"))
+    known = F.when(F.lower("_p2") != F.lower(F.lit(fixed.NOT_FOUND)), F.col("_p2"))
+    out = parts.select(*keys, F.col("pos").cast("bigint").alias("pos"), param.alias("parameter"),
+                       known.alias("value"), F.col("_p3").alias("source_url"))
+    return fence(out)
 
-    def part(i: int) -> Column:
-        return F.nullif(strip_ws(F.regexp_extract("_b", FACT_FIELDS, i)), F.lit(""))
 
-    param = F.lower(F.regexp_replace(part(1), f"{WS}+", "_"))
-    value = part(2)
-    known = F.when(F.lower(value) != F.lower(F.lit(fixed.NOT_FOUND)), value)
-    return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), param.alias("parameter"),
-                     known.alias("value"), part(3).alias("source_url"))
+def fence(df: DataFrame) -> DataFrame:
+    """Optimizer fence (see ``operators.pages.fence``)."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def url_host(url: Column) -> Column:
@@ -71,15 +75,30 @@ def source_class(url: Column) -> Column:
 
 
 def source_rank(parameter: Column, url: Column, category: str = C.DEFAULT_CATEGORY) -> Column:
-    """EXT-3: 1-based priority of the URL's source within the parameter's search group."""
+    """EXT-3: 1-based priority of the URL's source within the parameter's search group (one expression)."""
+    pos = F.array_position(_source_list(parameter, category), source_class(url))
+    return F.coalesce(F.nullif(pos, F.lit(0)), F.lit(UNRANKED)).cast("bigint")
+
+
+def _source_list(parameter: Column, category: str) -> Column:
     group_of = F.create_map(*[x for g, _, fields in C.groups_for(category) for f in fields
                               for x in (F.lit(f), F.lit(g))])
     lists = F.create_map(*[x for g, srcs in fixed.SOURCE_PRIORITIES.items()
                            for x in (F.lit(g), F.array(*[F.lit(s) for s in srcs]))])
     group = F.coalesce(F.element_at(group_of, parameter), F.lit("*"))
-    srcs = F.coalesce(F.element_at(lists, group), F.element_at(lists, F.lit("*")))
-    pos = F.array_position(srcs, source_class(url))
-    return F.when(pos > 0, pos).otherwise(F.lit(UNRANKED)).cast("bigint")
+    return F.coalesce(F.element_at(lists, group), F.element_at(lists, F.lit("*")))
+
+
+def with_source_rank(fx: DataFrame, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
+    """EXT-3 staged: host, then source class, then rank, each computed once per fact."""
+    staged = fx.withColumn("_host", url_host(F.col("source_url")))
+    cls = F.when(F.col("_host").isNull(), F.lit(None).cast("string"))
+    for name, rx in SOURCE_HOSTS:
+        cls = cls.when(F.col("_host").rlike(rx), F.lit(name))
+    staged = staged.withColumn("_cls", cls.otherwise(F.lit("Official Website")))
+    pos = F.array_position(_source_list(F.col("parameter"), category), F.col("_cls"))
+    return fence(staged.withColumn("source_rank", F.coalesce(F.nullif(pos, F.lit(0)), F.lit(UNRANKED)).cast("bigint"))
+                 .drop("_host", "_cls"))
 
 
 def resolve(fx: DataFrame, key: str, order: list[str], policy: str = "priority") -> DataFrame:
@@ -94,7 +113,7 @@ def resolve(fx: DataFrame, key: str, order: list[str], policy: str = "priority")
         agg = known.groupBy(key, "parameter").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
         return agg.select(key, "parameter",
                           F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.lit("")).alias("value"))
-    ranked = known.withColumn("source_rank", source_rank(F.col("parameter"), F.col("source_url")))
+    ranked = with_source_rank(known)
     ordering = F.struct("source_rank", *order, "value")
     pick = F.struct("value", "source_url", "source_rank")
     agg = ranked.groupBy(key, "parameter").agg(F.min_by(pick, ordering).alias("_w"))

@@ -184,8 +184,17 @@ def stream_first_meaningful(spark, sf_dir):
     """STR-1: snapshots streamed from files (out of order across files); keyed state decides each question."""
     sn = S.snapshots(spark, sf_dir)
     src = IO.work_path(spark, "snapshot_stream")
-    # Arrival order differs from event order: files are cut by event_id, not time.
-    sn.repartitionByRange(4, "event_id").write.parquet(src)
+    # Four arrival batches, cut by event id and appended one after another; rows
+    # inside a batch are unordered, and a question's snapshots span batches.
+    cuts = sn.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.01)
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = sn
+        if lo is not None:
+            part = part.where(F.col("event_id") > lo)
+        if hi is not None:
+            part = part.where(F.col("event_id") <= hi)
+        part.write.mode("append").parquet(src)
     end = sn.agg(F.max("ts").alias("ts")).select(
         F.lit(-1).cast("long").alias("question_id"), F.lit(-1).cast("long").alias("event_id"),
         (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"),
