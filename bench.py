@@ -25,6 +25,7 @@ HEADLINE = [
     "profile_record",
     "extract_urls",
     "route_contacts",
+    "region_pick",
     "overview_blocks",
 ]
 

@@ -147,7 +147,16 @@ def overview_anchor(pages: DataFrame, key: str = "page_id", html: str = "html")
 
     Output: key, anchor_pos, anchor_tag. Pages without an anchor are absent.
     """
-    return _anchor(tokens(pages.select(key, html).repartition(key), key, html), key)
+    return _anchor(tokens(_anchored_pages(pages, key, html), key, html), key)
+
+
+def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Pages that can hold an anchor: the phrase must occur in the raw HTML.
+
+    A narrow ``contains`` filter before tokenising, so pages without an
+    overview never reach the token windows.
+    """
+    return pages.select(key, html).where(F.col(html).contains(fixed.OVERVIEW_ANCHOR_TEXT)).repartition(key)
 
 
 def _anchor(tok: DataFrame, key: str) -> DataFrame:
@@ -170,7 +179,7 @@ def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html
     then a div whose class matches ``AI_Overview|AIO``. Output: key,
     anchor_pos, container_pos (null = not found), how.
     """
-    return _container(tokens(pages.select(key, html).repartition(key), key, html), key)
+    return _container(tokens(_anchored_pages(pages, key, html), key, html), key)
 
 
 def _container(tok: DataFrame, key: str) -> DataFrame:
@@ -212,7 +221,7 @@ def overview_blocks(pages: DataFrame, key: str = "page_id", html: str = "html")
     is kept, blocks holding a stop phrase are dropped; blocks are joined by a
     blank line. Output: key, overview_text.
     """
-    return _blocks(tokens(pages.select(key, html).repartition(key), key, html), key)
+    return _blocks(tokens(_anchored_pages(pages, key, html), key, html), key)
 
 
 def _blocks(tok: DataFrame, key: str) -> DataFrame:
@@ -260,12 +269,12 @@ def _blocks(tok: DataFrame, key: str) -> DataFrame:
 
 def page_status(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """FLT-5 + FLT-8: outcome per page: blocked / no_overview / container_unparsed / empty_text / ok."""
-    pg = pages.select(key, html).repartition(key)
+    pg = pages.select(key, html)
     text = H.full_text(H.html_lines(F.col(html)))
     form = F.col(html).rlike(rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]""")
     blocked = form | text.contains(fixed.BLOCK_TEXT)
     base = pg.select(key, blocked.alias("_blocked"))
-    tok = tokens(pg, key, html)
+    tok = tokens(_anchored_pages(pg, key, html), key, html)
     anchors = _anchor(tok, key).select(key, F.lit(True).alias("_anchor"))
     cont = _container(tok, key).where(F.col("container_pos").isNotNull()).select(key, F.lit(True).alias("_cont"))
     blocks = _blocks(tok, key).where(strip_ws(F.col("overview_text")) != "").select(key, F.lit(True).alias("_text"))

@@ -16,8 +16,13 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Broadcast only the small literal dimensions; everything else decides by size.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast from plan-time size estimates (they can be far off after
+    # filters and aggregates); AQE converts a join to broadcast only from the
+    # measured size of a finished shuffle stage. Explicit broadcast() is used
+    # only for fixed-size dimensions (nations, regions, the source blacklist).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
