@@ -165,8 +165,7 @@ def ordered_distinct(spark, sf_dir):
                     F.array_join(F.array_distinct("l"), "\n").alias("distinct_text"))
 
 
-@F.pandas_udf("string")
-def _unescape(s: pd.Series) -> pd.Series:
+def _unescape_series(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else _html.unescape(x))
 
 
@@ -176,7 +175,8 @@ def unescape_full(spark, sf_dir):
     from vendorscope.functions.html import COMMENT, TAG, denoise
     pg = S.pages(spark, sf_dir)
     raw = F.regexp_replace(F.regexp_replace(denoise(F.col("html")), COMMENT, "\n"), TAG, "\n")
-    return pg.select("page_id", _unescape(raw).alias("text"))
+    unescape = F.pandas_udf(_unescape_series, "string")  # built per call: no session needed at import
+    return pg.select("page_id", unescape(raw).alias("text"))
 
 
 @query("stream_first_meaningful", _first_sql(70))
