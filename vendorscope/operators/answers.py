@@ -63,13 +63,12 @@ def first_meaningful(snapshots: DataFrame, key: str = "question_id", ts: str = "
     Output: key, status, ts, tiebreak, answer (null on failure).
     """
     limit = F.col(asked) + F.expr(f"INTERVAL {int(deadline_s)} SECONDS")
-    usable = snapshots.where(T.is_meaningful(F.col(answer)) & (F.col(ts) <= limit))
-    order = F.struct(F.col(ts), F.col(tiebreak))
-    first = usable.groupBy(key).agg(
-        F.min_by(F.struct(F.col(ts).alias("ts"), F.col(tiebreak).alias("tb"), F.col(answer).alias("answer")),
-                 order).alias("_w"))
-    asked_q = snapshots.groupBy(key).agg(F.min(asked).alias("_asked"))
-    out = asked_q.join(first, key, "left")
+    usable = T.is_meaningful(F.col(answer)) & (F.col(ts) <= limit)
+    # One partial-aggregated pass: rows that are not usable get a null ordering,
+    # which min_by skips; a question with no usable row keeps a null result.
+    order = F.when(usable, F.struct(F.col(ts), F.col(tiebreak)))
+    pick = F.struct(F.col(ts).alias("ts"), F.col(tiebreak).alias("tb"), F.col(answer).alias("answer"))
+    out = snapshots.groupBy(key).agg(F.min_by(pick, order).alias("_w"))
     status = F.when(F.col("_w").isNull(), F.lit("no_response")).otherwise(F.lit("success"))
     return out.select(key, status.alias("status"), F.col("_w.ts").alias(ts), F.col("_w.tb").alias(tiebreak),
                       F.col("_w.answer").alias(answer))

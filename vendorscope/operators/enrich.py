@@ -68,20 +68,20 @@ def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt
     return distinct.mapInPandas(run, "prompt_sha string, raw string")
 
 
-def json_status(raw: Column) -> Column:
-    """JSN-1: ``missing`` / ``invalid`` / ``not_object`` / ``ok``."""
-    parsed = F.try_parse_json(raw)
+def json_status(raw: Column, parsed: Column | None = None) -> Column:
+    """JSN-1: ``missing`` / ``invalid`` / ``not_object`` / ``ok`` (``parsed``: the raw text as a variant)."""
+    parsed = F.try_parse_json(raw) if parsed is None else parsed
     first = F.substring(T.strip_ws(raw), 1, 1)
     return (F.when(raw.isNull(), "missing").when(parsed.isNull(), "invalid")
             .when(first != "{", "not_object").otherwise("ok"))
 
 
-def clean_sources(raw: Column, blacklist: list[str] = fixed.INVALID_SOURCES) -> Column:
+def clean_sources(raw: Column, blacklist: list[str] = fixed.INVALID_SOURCES, parsed: Column | None = None) -> Column:
     """JSN-2: when ``sources`` is a list, drop items equal (stripped, lower-cased) to a blacklist entry.
 
     Returns the cleaned list, or null when ``sources`` is missing or not a list.
     """
-    v = F.try_parse_json(raw)
+    v = F.try_parse_json(raw) if parsed is None else parsed
     kind = F.schema_of_variant(F.try_variant_get(v, "$.sources", "variant"))
     arr = F.try_variant_get(v, "$.sources", "array<string>")
     bl = F.array(*[F.lit(b) for b in blacklist])
@@ -93,23 +93,30 @@ def profile_record(df: DataFrame, raw: str = "raw", category: str = C.DEFAULT_CA
     """JSN-4: the output model's fields with ``""`` / ``[]`` defaults, extra keys, parse status.
 
     ``sources`` is the JSN-2 cleaned list. Array fields hold ``array<string>``.
+    The completion is parsed once (status, typed struct, cleaned sources, keys)
+    into staged columns behind a fence; the fields are projections of those.
     """
+    from vendorscope.operators.pages import fence
     schema = C.output_schema(category)
-    status = json_status(F.col(raw))
-    ok = status == "ok"
-    parsed = F.when(ok, F.from_json(F.col(raw), schema))
+    staged = fence(df.select("*", F.try_parse_json(F.col(raw)).alias("_v")))
+    staged = staged.withColumn("parse_status", json_status(F.col(raw), F.col("_v")))
+    ok = F.col("parse_status") == "ok"
+    model = F.array(*[F.lit(f) for f, _ in C.output_fields(category)])
+    staged = fence(staged.select(
+        "*", F.when(ok, F.from_json(F.col(raw), schema)).alias("_rec"),
+        F.when(ok, clean_sources(F.col(raw), parsed=F.col("_v"))).alias("_src"),
+        F.when(ok, F.array_except(F.json_object_keys(F.col(raw)), model)).alias("extra_keys")))
     cols = []
     for f, kind in C.output_fields(category):
         if f == "sources":
-            val = F.coalesce(F.when(ok, clean_sources(F.col(raw))), F.array().cast("array<string>"))
+            val = F.coalesce(F.col("_src"), F.array().cast("array<string>"))
         elif kind == "string":
-            val = F.coalesce(parsed[f], F.lit(""))
+            val = F.coalesce(F.col("_rec")[f], F.lit(""))
         else:
-            val = F.coalesce(parsed[f], F.array().cast("array<string>"))
+            val = F.coalesce(F.col("_rec")[f], F.array().cast("array<string>"))
         cols.append(val.alias(f))
-    model = F.array(*[F.lit(f) for f, _ in C.output_fields(category)])
-    extra = F.when(ok, F.array_except(F.json_object_keys(F.col(raw)), model))
-    return df.select("*", *cols, extra.alias("extra_keys"), status.alias("parse_status"))
+    base = [c for c in df.columns]
+    return staged.select(*base, *cols, "extra_keys", "parse_status")
 
 
 def profile_json(df: DataFrame, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
