@@ -142,12 +142,16 @@ def profile_wide(resolved: DataFrame, key: str, category: str = C.DEFAULT_CATEGO
 
 
 def extract_urls(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """EXT-6: every http/https URL in the text with its position and label (when labelled)."""
-    labels = F.regexp_extract_all(F.col(text), F.lit(LABELLED_URL), 1)
-    urls = F.regexp_extract_all(F.col(text), F.lit(LABELLED_URL), 2)
-    ex = df.select(*keys, F.posexplode(F.arrays_zip(labels.alias("label"), urls.alias("url"))).alias("pos", "_u"))
-    return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"),
-                     F.nullif(F.col("_u.label"), F.lit("")).alias("label"), F.col("_u.url").alias("url"))
+    """EXT-6: every http/https URL in the text with its position and label (when labelled).
+
+    One scan of the text for whole matches; label and URL are then split out
+    of each (short) match.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(LABELLED_URL), 0)
+    ex = df.select(*keys, F.posexplode(found).alias("pos", "_m"))
+    label = F.nullif(F.regexp_extract("_m", r"^(Website Value|Official Website|Website|Source URL):", 1), F.lit(""))
+    url = F.regexp_extract("_m", URL, 0)
+    return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), label.alias("label"), url.alias("url"))
 
 
 def route_contacts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
