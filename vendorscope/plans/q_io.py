@@ -5,6 +5,7 @@ WIN-4, UDF-2, STR-1/2)."""
 from __future__ import annotations
 
 import html as _html
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -202,13 +203,27 @@ def stream_first_meaningful(spark, sf_dir):
     end.write.mode("append").parquet(src)  # end-of-input marker advances the watermark
     stream = spark.readStream.schema(sn.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out, ckpt = IO.work_path(spark, "first_out"), IO.work_path(spark, "first_ckpt")
-    q = (_stream_first(stream, deadline_s=70).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    with _state_partitions(spark):
+        q = (_stream_first(stream, deadline_s=70).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.schema("question_id long, status string, ts timestamp_ntz, event_id long, answer string") \
         .parquet(out).where(F.col("question_id") >= 0)
 
 
+@contextmanager
+def _state_partitions(spark):
+    """State-store partitions are fixed when a stream first starts (from the shuffle
+    partition setting); size them to the cluster's parallelism for this new checkpoint."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, 1)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _vendor_pipeline(spark, sf_dir):
     answers = answers_table(spark, sf_dir)
 
