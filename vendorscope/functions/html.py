@@ -78,14 +78,14 @@ def _lit_array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def answer_start(lines, question) -> Column:
+def answer_start(lines, question, lower_lines=None) -> Column:
     """1-based index of the first line after the answer anchor, null without an anchor.
 
     ``you said:`` (whole line) wins over the first line containing the question;
     the line following the anchor's own line is skipped. ``question`` should be a
     plain column (it is read inside a lambda).
     """
-    ll = F.transform(_c(lines), lambda x: F.lower(x))
+    ll = F.transform(_c(lines), lambda x: F.lower(x)) if lower_lines is None else lower_lines
     q = F.coalesce(F.lower(strip_ws(question)), F.lit(""))
     a1 = F.array_position(ll, "you said:")
     a2 = F.when(q != "", F.array_position(F.transform(ll, lambda x: x.contains(q)), True))
@@ -105,21 +105,20 @@ def slice_answer(lines, question) -> Column:
     Prefer :func:`with_answer_slice` on DataFrames: it computes each index once.
     """
     lines = _c(lines)
-    first = answer_start(lines, question)
-    k = _first_kept(lines, first)
-    end = _footer_end(lines, k)
+    ll = F.transform(lines, lambda x: F.lower(x))
+    first = answer_start(lines, question, ll)
+    k = _first_kept(ll, first)
+    end = _footer_end(lines, ll, k)
     return _answer_between(lines, k, end)
 
 
-def _first_kept(lines, first) -> Column:
-    ll = F.transform(lines, lambda x: F.lower(x))
+def _first_kept(ll, first) -> Column:
     skip = _lit_array(fixed.SKIP_EXACT)
     kk = F.array_position(F.transform(_tail(ll, first), lambda x: ~F.array_contains(skip, x)), True)
     return F.when(kk > 0, first + kk - 1)
 
 
-def _footer_end(lines, k) -> Column:
-    ll = F.transform(lines, lambda x: F.lower(x))
+def _footer_end(lines, ll, k) -> Column:
     markers = _lit_array(fixed.FOOTER_MARKERS)
     ff = F.array_position(
         F.transform(_tail(ll, k), lambda x: F.exists(markers, lambda m: x.contains(m))), True)
@@ -135,14 +134,15 @@ def _answer_between(lines, k, end) -> Column:
 
 
 def with_answer_slice(df, lines: str, question: str, out: str = "answer_only"):
-    """HTM-7 staged: anchor, first kept line, footer cut, then the paragraph.
+    """HTM-7 staged: lower-cased lines, anchor, first kept line, footer cut, then the paragraph.
 
     Each index is its own column, so no index expression is re-evaluated
     inside another; every line is visited a constant number of times.
     """
     lc = F.col(lines)
-    df = df.withColumn("_first", answer_start(lc, F.col(question)))
-    df = df.withColumn("_k", _first_kept(lc, F.col("_first")))
-    df = df.withColumn("_end", _footer_end(lc, F.col("_k")))
+    df = df.withColumn("_ll", F.transform(lc, lambda x: F.lower(x)))
+    df = df.withColumn("_first", answer_start(lc, F.col(question), F.col("_ll")))
+    df = df.withColumn("_k", _first_kept(F.col("_ll"), F.col("_first")))
+    df = df.withColumn("_end", _footer_end(lc, F.col("_ll"), F.col("_k")))
     return df.withColumn(out, _answer_between(lc, F.col("_k"), F.col("_end"))) \
-        .drop("_first", "_k", "_end")
+        .drop("_ll", "_first", "_k", "_end")

@@ -62,10 +62,17 @@ def param_bullets(arr) -> Column:
 
 
 def sanitize_answer(c) -> Column:
-    """Drop brand names, ``+N`` runs and ``Transcribing...``; collapse whitespace."""
-    s = F.regexp_replace(_c(c), rf"(?i)\b{fixed.ANSWER_BRAND_PATTERN}\b", "")
-    s = F.regexp_replace(s, rf"{WS}*\+[0-9]+\b", "")
-    s = F.regexp_replace(s, r"(?i)\bTranscribing\.\.\.", "")
+    """Drop brand names, ``+N`` runs and ``Transcribing...``; collapse whitespace.
+
+    Each regex runs only on rows where a plain ``contains`` says it can match.
+    """
+    s = _c(c)
+    low = F.lower(s)
+    brands = low.contains("justdial") | low.contains("weddingwire")
+    s = F.when(brands, F.regexp_replace(s, rf"(?i)\b{fixed.ANSWER_BRAND_PATTERN}\b", "")).otherwise(s)
+    s = F.when(s.contains("+"), F.regexp_replace(s, rf"{WS}*\+[0-9]+\b", "")).otherwise(s)
+    s = F.when(F.lower(s).contains("transcribing..."),
+               F.regexp_replace(s, r"(?i)\bTranscribing\.\.\.", "")).otherwise(s)
     return single_line(s)
 
 
@@ -75,9 +82,12 @@ def clean_cell(c) -> Column:
     return F.regexp_replace(single_line(c), rf"(?i){WS}+(?:{junk}){WS}*\+[0-9]+$", "")
 
 
-def is_meaningful(c) -> Column:
-    """Usable answer: >= 80 normalised chars, no UI phrase in the first 300."""
-    n = F.lower(single_line(_c(c)))
+def is_meaningful(c, collapsed: bool = False) -> Column:
+    """Usable answer: >= 80 normalised chars, no UI phrase in the first 300.
+
+    ``collapsed``: the input is already single-line (e.g. a sanitised answer).
+    """
+    n = F.lower(_c(c) if collapsed else single_line(_c(c)))
     head = F.substring(n, 1, fixed.UI_PHRASE_WINDOW)
     hit = F.lit(False)
     for p in fixed.UI_PHRASES:

@@ -38,7 +38,7 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
         "answer_only",
     )
     final = T.sanitize_answer(F.coalesce(F.nullif(F.col("answer_only"), F.lit("")), F.col("full_text")))
-    out = out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer")))
+    out = out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer"), collapsed=True))
     return fence(out)
 
 
