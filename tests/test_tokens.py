@@ -51,3 +51,10 @@ def test_overview_outermost_anchor_has_no_parent(spark):
 def test_overview_blocks(spark):
     got = TK.overview_blocks(pages(spark).where("page_id = 5")).first()["overview_text"]
     assert got == "First block\n\nBold one\n\nSecond\n\nkept"
+
+
+def test_overview_sanitize_drops_subtrees(spark):
+    kept = [r.token for r in TK.overview_sanitize(pages(spark).where("page_id = 5")).orderBy("pos").collect()
+            if r.kind == "text"]
+    assert "link" not in kept and "hidden" not in kept and "drop" not in kept and "x" not in kept
+    assert "Bold one" in kept and "Second" in kept

@@ -224,7 +224,14 @@ def overview_blocks(pages: DataFrame, key: str = "page_id", html: str = "html")
     return _blocks(tokens(_anchored_pages(pages, key, html), key, html), key)
 
 
-def _blocks(tok: DataFrame, key: str) -> DataFrame:
+def overview_sanitize(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """HTM-14: tokens of the overview container left after dropping style, links,
+    aria-hidden subtrees and badge classes. Output: key, pos, kind, tag, token."""
+    return _kept(tokens(_anchored_pages(pages, key, html), key, html), key) \
+        .select(key, "pos", "kind", "tag", "token")
+
+
+def _kept(tok: DataFrame, key: str) -> DataFrame:
     cont = _container(tok, key).where(F.col("container_pos").isNotNull())
     divs = extents(tok, "div", key)
     box = cont.join(divs.select(key, F.col("start_pos").alias("container_pos"), F.col("end_pos").alias("_ce")),
@@ -240,7 +247,11 @@ def _blocks(tok: DataFrame, key: str) -> DataFrame:
     gone = inside.join(dropped, key).where((F.col("pos") >= F.col("_ds"))
                                           & (F.col("_de").isNull() | (F.col("pos") <= F.col("_de")))) \
         .select(key, "pos").distinct()
-    kept = inside.join(gone, [key, "pos"], "left_anti").where(F.col("kind").isin("open", "close", "text", "self"))
+    return inside.join(gone, [key, "pos"], "left_anti").where(F.col("kind").isin("open", "close", "text", "self"))
+
+
+def _blocks(tok: DataFrame, key: str) -> DataFrame:
+    kept = _kept(tok, key)
     # A block is a text token whose k nearest kept neighbours are k opens before and
     # k closes after (a single-string chain); it counts when one of those k
     # elements is a leaf tag. Whitespace text between tags breaks the chain.

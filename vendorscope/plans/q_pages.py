@@ -173,3 +173,11 @@ def blocked_page(spark, sf_dir):
     """FLT-5: captcha form or block sentence."""
     pg = S.pages(spark, sf_dir).withColumn("text", H.full_text(H.html_lines(F.col("html"))))
     return pg.select("page_id", P.is_blocked("html", "text").alias("blocked"))
+
+
+@query("html_lines", f"""
+SELECT page_id, CAST(len({Q.lines('html')}) AS BIGINT) AS n_lines, to_json({Q.lines('html')}) AS lines_json FROM pages""")
+def html_lines(spark, sf_dir):
+    """HTM-2 + FLT-3: each page's clean line array (stripped, empty lines dropped)."""
+    pg = S.pages(spark, sf_dir).select("page_id", H.html_lines(F.col("html")).alias("l"))
+    return pg.select("page_id", F.size("l").cast("bigint").alias("n_lines"), F.to_json("l").alias("lines_json"))

@@ -112,3 +112,16 @@ def markdown_rows(spark, sf_dir):
     """HTM-16: rendered Markdown tables parsed back into (row, column, header, cell) rows."""
     md = TB.tables_markdown(S.table_pages(spark, sf_dir))
     return TB.markdown_rows(md)
+
+
+@query("clean_cell", f"""WITH {_TB}, c AS (
+  SELECT page_id, unnest(regexp_extract_all(html, {Q.lit(_plain(TB.CELL_RX))}, 1)) AS raw,
+         unnest(range(len(regexp_extract_all(html, {Q.lit(_plain(TB.CELL_RX))}, 1)))) AS pos FROM tb
+)
+SELECT page_id, CAST(pos AS BIGINT) AS pos, {Q.clean_cell('raw')} AS cell FROM c""")
+def clean_cell(spark, sf_dir):
+    """PRJ-16: every raw cell text collapsed, with trailing "IBM/Quora/TechTarget +N" junk dropped."""
+    from vendorscope.functions.text import clean_cell as cc
+    t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(
+        F.regexp_extract_all(F.col("html"), F.lit(TB.CELL_RX), 1)).alias("pos", "raw"))
+    return t.select("page_id", F.col("pos").cast("bigint").alias("pos"), cc(F.col("raw")).alias("cell"))

@@ -157,3 +157,9 @@ def overview_container(spark, sf_dir):
 def overview_blocks(spark, sf_dir):
     """HTM-14 + HTM-15 + FLT-6 + WIN-4: sanitised leaf text blocks of the overview container."""
     return TK.overview_blocks(S.pages(spark, sf_dir))
+
+
+@query("overview_sanitize")
+def overview_sanitize(spark, sf_dir):
+    """HTM-14: container tokens kept after removing style, links, hidden subtrees and badges."""
+    return TK.overview_sanitize(S.pages(spark, sf_dir))
