@@ -93,6 +93,45 @@ def inner_html(html: Column, inner_start: Column, inner_end: Column) -> Column:
     return F.substring(html, (inner_start + 1).cast("int"), length.cast("int"))
 
 
+_PAGE_END = 2 ** 62
+
+
+def running_count(tok: DataFrame, flag: Column, out: str, key: str = "page_id") -> DataFrame:
+    """Number of flagged tokens at or before each token (per page, in document order)."""
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return tok.withColumn(out, F.sum(F.when(flag, 1).otherwise(0)).over(w))
+
+
+def count_inside(ext: DataFrame, counts: DataFrame, cnt: str, out: str, key: str = "page_id") -> DataFrame:
+    """Flagged tokens strictly inside each extent (an open extent runs to the page end).
+
+    The running count is looked up at the extent's start and end tokens with
+    equi-joins on (page, pos), each matching one row: no extent x token pairs.
+    """
+    c = counts.select(key, "pos", cnt)
+    total = counts.groupBy(key).agg(F.max(cnt).alias("_tot"))
+    j = (ext.join(c.select(key, F.col("pos").alias("start_pos"), F.col(cnt).alias("_c0")), [key, "start_pos"], "left")
+         .join(c.select(key, F.col("pos").alias("end_pos"), F.col(cnt).alias("_c1")), [key, "end_pos"], "left")
+         .join(total, key, "left"))
+    return j.withColumn(out, F.coalesce(F.col("_c1"), F.col("_tot")) - F.col("_c0")).drop("_c0", "_c1", "_tot")
+
+
+def covered(tok: DataFrame, spans: DataFrame, out: str, key: str = "page_id") -> DataFrame:
+    """Mark tokens lying inside any of ``spans`` (start_pos..end_pos inclusive, open = page end).
+
+    Span starts add one and span ends subtract one after their position; a
+    token is covered when the running balance is positive. Equi-joins on
+    (page, pos) only.
+    """
+    st = spans.select(key, F.col("start_pos").alias("pos"), F.lit(1).alias("_st"))
+    en = spans.where(F.col("end_pos").isNotNull()).select(key, F.col("end_pos").alias("pos"), F.lit(1).alias("_en"))
+    t = tok.join(st, [key, "pos"], "left").join(en, [key, "pos"], "left")
+    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    bal = F.sum(F.coalesce("_st", F.lit(0))).over(upto) - F.coalesce(F.sum(F.coalesce("_en", F.lit(0))).over(before), F.lit(0))
+    return t.withColumn(out, bal > 0).drop("_st", "_en")
+
+
 def selector_rank(tok: Column) -> Column:
     """Lowest-rank response selector a div start tag satisfies on its own attributes (null: none).
 
@@ -122,15 +161,14 @@ def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
     divs = extents(tokens(pg, key, html), "div", key)
     scoped = [(r + 1, s) for r, s in enumerate(fixed.RESPONSE_SELECTORS) if s[3] is not None]
     cand = divs.withColumn("rank", selector_rank(F.col("token")))
+    # A div is inside a scope div when some scope div that starts before it is
+    # still open at its start: a running max of scope ends (divs nest properly).
+    before = Window.partitionBy(key).orderBy("start_pos").rowsBetween(Window.unboundedPreceding, -1)
     for rank, (kind, name, value, scope) in scoped:
-        outer = divs.where(attr(F.col("token"), "id") == scope).select(
-            key, F.col("start_pos").alias("_os"), F.col("end_pos").alias("_oe"))
-        inner = (cand.join(outer, key)
-                 .where((F.col("start_pos") > F.col("_os")) & (F.col("_oe").isNull() | (F.col("start_pos") < F.col("_oe")))
-                        & attr(F.col("token"), name).contains(value))
-                 .select(key, "start_pos").distinct().withColumn("_scoped", F.lit(rank)))
-        cand = cand.join(inner, [key, "start_pos"], "left") \
-            .withColumn("rank", F.least("rank", "_scoped")).drop("_scoped")
+        is_scope = attr(F.col("token"), "id") == scope
+        reach = F.max(F.when(is_scope, F.coalesce(F.col("end_pos"), F.lit(_PAGE_END)))).over(before)
+        hit = (reach > F.col("start_pos")) & F.coalesce(attr(F.col("token"), name).contains(value), F.lit(False))
+        cand = cand.withColumn("rank", F.least(F.col("rank"), F.when(hit, F.lit(rank))))
     cand = cand.where(F.col("rank").isNotNull()).join(pg, key)
     cand = cand.withColumn("region_html", strip_ws(inner_html(F.col(html), F.col("inner_start"), F.col("inner_end"))))
     best = (cand.where(F.length("region_html") > min_chars).groupBy(key)
@@ -160,11 +198,10 @@ def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def _anchor(tok: DataFrame, key: str) -> DataFrame:
-    hits = tok.where((F.col("kind") == "text") & F.col("token").contains(fixed.OVERVIEW_ANCHOR_TEXT)) \
-        .select(key, F.col("pos").alias("_hit"))
+    hit = (F.col("kind") == "text") & F.col("token").contains(fixed.OVERVIEW_ANCHOR_TEXT)
+    counts = running_count(tok, hit, "_hits", key)
     ext = extents(tok, fixed.OVERVIEW_ANCHOR_TAGS, key).withColumnRenamed("tag", "anchor_tag")
-    inside = ext.join(hits, key).where((F.col("_hit") > F.col("start_pos"))
-                                       & (F.col("end_pos").isNull() | (F.col("_hit") < F.col("end_pos"))))
+    inside = count_inside(ext, counts, "_hits", "_n", key).where(F.col("_n") > 0)
     return inside.groupBy(key).agg(F.min_by(F.struct(F.col("start_pos").alias("anchor_pos"), "anchor_tag"),
                                             F.col("start_pos")).alias("_a")) \
         .select(key, "_a.anchor_pos", "_a.anchor_tag")
@@ -185,13 +222,12 @@ def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html
 def _container(tok: DataFrame, key: str) -> DataFrame:
     anchor = _anchor(tok, key)
     divs = extents(tok, "div", key)
-    svgs = tok.where((F.col("tag") == "svg") & F.col("kind").isin("open", "self")).select(key, F.col("pos").alias("_s"))
+    # Enclosing divs of the anchor (one anchor per page: at most depth-many rows).
     enc = divs.join(anchor, key).where((F.col("start_pos") < F.col("anchor_pos"))
                                        & (F.col("end_pos").isNull() | (F.col("end_pos") > F.col("anchor_pos"))))
-    has_svg = enc.join(svgs, key).where((F.col("_s") > F.col("start_pos"))
-                                        & (F.col("end_pos").isNull() | (F.col("_s") < F.col("end_pos")))) \
-        .select(key, "start_pos").distinct().withColumn("_svg", F.lit(True))
-    enc = enc.join(has_svg, [key, "start_pos"], "left")
+    svg = (F.col("tag") == "svg") & F.col("kind").isin("open", "self")
+    enc = count_inside(enc, running_count(tok, svg, "_svgs", key), "_svgs", "_n", key) \
+        .withColumn("_svg", F.col("_n") > 0)
     # Nearest enclosing div first.
     w = Window.partitionBy(key).orderBy(F.col("start_pos").desc())
     enc = enc.withColumn("_up", F.row_number().over(w))
@@ -243,11 +279,9 @@ def _kept(tok: DataFrame, key: str) -> DataFrame:
     bad = F.col("tag").isin("style", "a") | (attr(tk, "aria-hidden") == "true") | \
         F.coalesce(attr(tk, "class").rlike(fixed.OVERVIEW_DROP_CLASS_PATTERN), F.lit(False))
     dropped = extents(tok, ["style", "a", "p", "li", "div", "span", "b", "i", "em", "strong", "section", "ul", "ol"],
-                      key).where(bad).select(key, F.col("start_pos").alias("_ds"), F.col("end_pos").alias("_de"))
-    gone = inside.join(dropped, key).where((F.col("pos") >= F.col("_ds"))
-                                          & (F.col("_de").isNull() | (F.col("pos") <= F.col("_de")))) \
-        .select(key, "pos").distinct()
-    return inside.join(gone, [key, "pos"], "left_anti").where(F.col("kind").isin("open", "close", "text", "self"))
+                      key).where(bad).select(key, "start_pos", "end_pos")
+    marked = covered(inside, dropped, "_gone", key)
+    return marked.where(~F.col("_gone") & F.col("kind").isin("open", "close", "text", "self")).drop("_gone")
 
 
 def _blocks(tok: DataFrame, key: str) -> DataFrame:

@@ -53,34 +53,40 @@ def _combined(spark, sf_dir):
 
 
 def _write_texts(spark, sf_dir):
+    """One saved text per output path: the later vendor (by input order) wins, as files overwrite."""
+    from vendorscope.operators.vendors import last_write_wins
     path = IO.work_path(spark, "extracted_text")
-    IO.write_partitioned(_combined(spark, sf_dir).select("category", "city", "slug", "id", "combined_text"),
-                         path, ["category", "city"])
+    texts = _combined(spark, sf_dir).select("category", "city", "slug", "id", "combined_text")
+    IO.write_partitioned(last_write_wins(texts, ["category", "city", "slug"], "id"), path, ["category", "city"])
     return path
 
 
-@query("snk_text", f"""WITH {_CT_SQL}
-SELECT id, city, {Q.slug('name')} AS slug, combined_text FROM ct""")
+_SAVED_SQL = f"""{_CT_SQL}, sv AS (
+  SELECT city, slug, arg_max(id, id) AS id, arg_max(combined_text, id) AS combined_text
+  FROM (SELECT id, city, {Q.slug('name')} AS slug, combined_text FROM ct) GROUP BY city, slug
+)"""
+
+
+@query("snk_text", f"""WITH {_SAVED_SQL}
+SELECT id, city, slug, combined_text FROM sv""")
 def snk_text(spark, sf_dir):
-    """SNK-2: combined text per vendor written partitioned by category/city and read back."""
+    """SNK-2: combined text per output path (last write wins) written partitioned by category/city, read back."""
     return IO.read_partitioned(spark, _write_texts(spark, sf_dir)).select("id", "city", "slug", "combined_text")
 
 
-@query("src_saved_text", f"""WITH {_CT_SQL}
-SELECT id, city, {Q.slug('name')} AS slug, combined_text FROM ct""")
+@query("src_saved_text", f"""WITH {_SAVED_SQL}
+SELECT id, city, slug, combined_text FROM sv""")
 def src_saved_text(spark, sf_dir):
     """SRC-3: saved texts of the run's category read back (the category filter prunes folders)."""
     df = IO.read_partitioned(spark, _write_texts(spark, sf_dir))
     return df.where(F.col("category") == RUN_CATEGORY).select("id", "city", "slug", "combined_text")
 
 
-@query("attach_saved_text", f"""WITH {_CT_SQL}, sv AS (
-  SELECT city, {Q.slug('name')} AS slug, combined_text, id AS saved_id FROM ct
-), vv AS (SELECT DISTINCT id, name, city FROM ja)
-SELECT vv.id, sv.saved_id, sv.combined_text FROM vv
+@query("attach_saved_text", f"""WITH {_SAVED_SQL}, vv AS (SELECT DISTINCT id, name, city FROM ja)
+SELECT vv.id, sv.id AS saved_id, sv.combined_text FROM vv
 JOIN sv ON sv.city = vv.city AND sv.slug IS NOT DISTINCT FROM {Q.slug('vv.name')}""")
 def attach_saved_text(spark, sf_dir):
-    """JOIN-5: vendors joined to saved texts on (category, city, slug); slug collisions fan out."""
+    """JOIN-5: vendors joined to saved texts on (category, city, slug); one text per path, so N:1."""
     saved = IO.read_partitioned(spark, _write_texts(spark, sf_dir)).withColumnRenamed("id", "saved_id")
     v = S.vendors(spark, sf_dir).select("id", "name", "city").withColumn("category", F.lit(RUN_CATEGORY)) \
         .withColumn("slug", T.slug(F.col("name")))
@@ -88,7 +94,7 @@ def attach_saved_text(spark, sf_dir):
     return j.select(v.id, "saved_id", "combined_text")
 
 
-@query("missing_text", f"""WITH {_CT_SQL}, {RV_SQL}, sv AS (SELECT DISTINCT city, {Q.slug('name')} AS slug FROM ct)
+@query("missing_text", f"""WITH {_SAVED_SQL}, {RV_SQL}
 SELECT c_custkey AS input_ord, city_name AS city, {Q.slug('name')} AS slug FROM rv
 WHERE NOT EXISTS (SELECT 1 FROM sv WHERE sv.city = rv.city_name AND sv.slug = {Q.slug('rv.name')})""")
 def missing_text(spark, sf_dir):
