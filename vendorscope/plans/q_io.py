@@ -231,7 +231,10 @@ def _state_partitions(spark):
 
 
 def _vendor_pipeline(spark, sf_dir):
-    answers = answers_table(spark, sf_dir)
+    from vendorscope.session import cut_lineage
+    # The static side is joined by every micro-batch: parse the answer pages once
+    # and keep them as a reliable checkpoint in the shared folder.
+    answers = cut_lineage(answers_table(spark, sf_dir))
 
     def run(batch):
         vg = QN.vendor_groups(batch).select("id", "name", "city", "state", "group_ord", "group_name")

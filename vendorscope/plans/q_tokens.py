@@ -163,3 +163,47 @@ def overview_blocks(spark, sf_dir):
 def overview_sanitize(spark, sf_dir):
     """HTM-14: container tokens kept after removing style, links, hidden subtrees and badges."""
     return TK.overview_sanitize(S.pages(spark, sf_dir))
+
+
+_QA = """qa AS (
+  SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer
+  FROM conversations q LEFT JOIN conversations a
+    ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant'
+  WHERE q.role = 'user'
+)"""
+
+
+def _stop_sql(x: str) -> str:
+    return " OR ".join(f"contains(lower({x}), {Q.lit(p)})" for p in fixed.OVERVIEW_STOP_PHRASES)
+
+
+# Expected blocks of an overview page, stated from its construction: the question,
+# then the answer (stripped, non-empty, no stop phrase, first of equal texts).
+_OV_SQL = f"""{_QA}, ob AS (
+  SELECT conv_id * 100 + turn AS page_id,
+         list_filter([{Q.strip('question')}, {Q.strip("coalesce(answer, '')")}],
+                     lambda x: x <> '' AND NOT ({_stop_sql('x')})) AS l0
+  FROM qa
+), ob2 AS (SELECT page_id, list_filter(l0, lambda x, i: list_position(l0, x) = i) AS l FROM ob)"""
+
+
+@query("overview_blocks_answers", f"""WITH {_OV_SQL}
+SELECT page_id, array_to_string(l, chr(10) || chr(10)) AS overview_text FROM ob2 WHERE len(l) > 0""")
+def overview_blocks_answers(spark, sf_dir):
+    """HTM-14/15 + FLT-6 + WIN-4 on overview pages: question and answer blocks, link/hidden/stop lines dropped."""
+    return TK.overview_blocks(S.overview_pages(spark, sf_dir))
+
+
+@query("overview_container_answers", f"""WITH {_QA}
+SELECT conv_id * 100 + turn AS page_id, CAST(2 AS BIGINT) AS anchor_pos, CAST(3 AS BIGINT) AS container_pos,
+       'fallback' AS how FROM qa""")
+def overview_container_answers(spark, sf_dir):
+    """HTM-9/10 on overview pages: the outermost div is the anchor, so the Kevs9 fallback gives the container."""
+    return TK.overview_container(S.overview_pages(spark, sf_dir))
+
+
+@query("page_status_answers", f"""WITH {_OV_SQL}
+SELECT page_id, CASE WHEN len(l) > 0 THEN 'ok' ELSE 'empty_text' END AS status FROM ob2""")
+def page_status_answers(spark, sf_dir):
+    """FLT-8 on overview pages: ok when blocks remain, else empty_text."""
+    return TK.page_status(S.overview_pages(spark, sf_dir))

@@ -83,6 +83,21 @@ def answer_pages(spark, sf_dir) -> DataFrame:
     return qa.select("conv_id", "turn", html.alias("html"), "question")
 
 
+def overview_pages(spark, sf_dir) -> DataFrame:
+    """AI-overview pages built around each question/answer turn: page_id, html.
+
+    The overview container (class ``Kevs9``) holds the question and the answer
+    as leaf blocks, plus a link, a hidden span and a "Show more" line.
+    """
+    qa = question_answers(spark, sf_dir)
+    html = F.concat(
+        F.lit('<html><body><div id="main"><div class="Kevs9"><h2>AI Overview</h2><p>'), _esc(F.col("question")),
+        F.lit("</p><ul><li>"), _esc(F.coalesce(F.col("answer"), F.lit(""))),
+        F.lit('</li></ul><a href="#">source</a><span aria-hidden="true">hidden</span><p>Show more</p>'
+              "</div></div></body></html>"))
+    return qa.select((F.col("conv_id") * 100 + F.col("turn")).alias("page_id"), html.alias("html"))
+
+
 def snapshots(spark, sf_dir) -> DataFrame:
     """Page snapshots per question: question_id, event_id, ts, asked_ts, answer.
 
@@ -143,5 +158,5 @@ def documents(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-__all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages",
+__all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
            "snapshots", "table_pages", "fact_answers", "completions", "documents", "WS"]
