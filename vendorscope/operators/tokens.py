@@ -23,6 +23,7 @@ from vendorscope.functions.text import WS, strip_ws
 TOKEN_RX = (r"(?is)<script\b[^>]*+>.*?</script\s*>|<style\b[^>]*+>.*?</style\s*>|<!--.*?-->|"
             r"""</?[A-Za-z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|<[!?][^<>]*+>|[^<]++|<""")
 LEAF_CHAIN = 6
+DROP_TAGS = ["style", "a", "p", "li", "div", "span", "b", "i", "em", "strong", "section", "ul", "ol"]
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
 
@@ -61,13 +62,15 @@ def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFr
             .withColumn("char_start", F.sum("char_len").over(w) - F.col("char_len")))
 
 
-def extents(tok: DataFrame, tag: str | list[str], key: str = "page_id") -> DataFrame:
+def extents(tok: DataFrame, tag: str | list[str], key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """HTM-6: element extents of one or more tag names (depth counted per tag name).
 
     Output: key, tag, start_pos, end_pos (null = open to page end), depth
     (1 = outermost), inner_start (char offset after the start tag), inner_end
-    (char offset of the end tag, null when open), token (the start tag).
-    Windows partition on (key, tag): the key partitioning already satisfies them.
+    (char offset of the end tag, null when open), token (the start tag), and
+    for each ``carry`` column its value at the start token (``start_<c>``) and
+    at the end token (``end_<c>``). Windows partition on (key, tag): the key
+    partitioning already satisfies them.
     """
     tags = [tag] if isinstance(tag, str) else list(tag)
     ev = tok.where(F.col("tag").isin(tags) & F.col("kind").isin("open", "close"))
@@ -76,7 +79,7 @@ def extents(tok: DataFrame, tag: str | list[str], key: str = "page_id") -> DataF
     ev = ev.withColumn("_d", F.sum(delta).over(w))
     ev = ev.withColumn("level", F.when(F.col("kind") == "open", F.col("_d")).otherwise(F.col("_d") + 1))
     wl = Window.partitionBy(key, "tag", "level").orderBy("pos")
-    nxt = F.lead(F.struct("kind", "pos", "char_start"), 1).over(wl)
+    nxt = F.lead(F.struct("kind", "pos", "char_start", *carry), 1).over(wl)
     ev = ev.withColumn("_n", nxt)
     closed = F.col("_n.kind") == "close"
     return (ev.where((F.col("kind") == "open") & (F.col("level") >= 1))
@@ -84,7 +87,9 @@ def extents(tok: DataFrame, tag: str | list[str], key: str = "page_id") -> DataF
                     F.when(closed, F.col("_n.pos")).alias("end_pos"),
                     F.col("level").cast("bigint").alias("depth"),
                     (F.col("char_start") + F.col("char_len")).alias("inner_start"),
-                    F.when(closed, F.col("_n.char_start")).alias("inner_end"), "token"))
+                    F.when(closed, F.col("_n.char_start")).alias("inner_end"), "token",
+                    *[F.col(c).alias(f"start_{c}") for c in carry],
+                    *[F.when(closed, F.col(f"_n.{c}")).alias(f"end_{c}") for c in carry]))
 
 
 def inner_html(html: Column, inner_start: Column, inner_end: Column) -> Column:
@@ -97,39 +102,34 @@ _PAGE_END = 2 ** 62
 
 
 def running_count(tok: DataFrame, flag: Column, out: str, key: str = "page_id") -> DataFrame:
-    """Number of flagged tokens at or before each token (per page, in document order)."""
+    """Flagged tokens at or before each token (``out``) and on the whole page (``out``_total)."""
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return tok.withColumn(out, F.sum(F.when(flag, 1).otherwise(0)).over(w))
+    one = F.when(flag, 1).otherwise(0)
+    return tok.withColumn(out, F.sum(one).over(w)).withColumn(f"{out}_total", F.sum(one).over(Window.partitionBy(key)))
 
 
-def count_inside(ext: DataFrame, counts: DataFrame, cnt: str, out: str, key: str = "page_id") -> DataFrame:
-    """Flagged tokens strictly inside each extent (an open extent runs to the page end).
+def covered(tok: DataFrame, tags: list[str], bad: Column, out: str, key: str = "page_id") -> DataFrame:
+    """Mark tokens inside any element of ``tags`` whose start tag satisfies ``bad`` (inclusive).
 
-    The running count is looked up at the extent's start and end tokens with
-    equi-joins on (page, pos), each matching one row: no extent x token pairs.
+    No joins: per-tag levels pair each close with its open (``lag`` within the
+    level), bad opens add one and their closes subtract one after their
+    position; a token is covered while the running balance is positive.
+    All windows partition on the page key.
     """
-    c = counts.select(key, "pos", cnt)
-    total = counts.groupBy(key).agg(F.max(cnt).alias("_tot"))
-    j = (ext.join(c.select(key, F.col("pos").alias("start_pos"), F.col(cnt).alias("_c0")), [key, "start_pos"], "left")
-         .join(c.select(key, F.col("pos").alias("end_pos"), F.col(cnt).alias("_c1")), [key, "end_pos"], "left")
-         .join(total, key, "left"))
-    return j.withColumn(out, F.coalesce(F.col("_c1"), F.col("_tot")) - F.col("_c0")).drop("_c0", "_c1", "_tot")
-
-
-def covered(tok: DataFrame, spans: DataFrame, out: str, key: str = "page_id") -> DataFrame:
-    """Mark tokens lying inside any of ``spans`` (start_pos..end_pos inclusive, open = page end).
-
-    Span starts add one and span ends subtract one after their position; a
-    token is covered when the running balance is positive. Equi-joins on
-    (page, pos) only.
-    """
-    st = spans.select(key, F.col("start_pos").alias("pos"), F.lit(1).alias("_st"))
-    en = spans.where(F.col("end_pos").isNotNull()).select(key, F.col("end_pos").alias("pos"), F.lit(1).alias("_en"))
-    t = tok.join(st, [key, "pos"], "left").join(en, [key, "pos"], "left")
+    ev = F.col("tag").isin(tags) & F.col("kind").isin("open", "close")
+    delta = F.when(ev & (F.col("kind") == "open"), 1).when(ev, -1).otherwise(0)
+    wt = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = tok.withColumn("_d", F.sum(delta).over(wt))
+    t = t.withColumn("_lv", F.when(F.col("kind") == "open", F.col("_d")).otherwise(F.col("_d") + 1))
+    t = t.withColumn("_bad", ev & (F.col("kind") == "open") & F.coalesce(bad, F.lit(False)))
+    wl = Window.partitionBy(key, "tag", "_lv").orderBy("pos")
+    prev = F.lag(F.struct("kind", "_bad"), 1).over(wl)
+    t = t.withColumn("_end", ev & (F.col("kind") == "close") & (prev["kind"] == "open") & prev["_bad"])
     upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    bal = F.sum(F.coalesce("_st", F.lit(0))).over(upto) - F.coalesce(F.sum(F.coalesce("_en", F.lit(0))).over(before), F.lit(0))
-    return t.withColumn(out, bal > 0).drop("_st", "_en")
+    opened = F.sum(F.when(F.col("_bad"), 1).otherwise(0)).over(upto)
+    closed = F.coalesce(F.sum(F.when(F.coalesce(F.col("_end"), F.lit(False)), 1).otherwise(0)).over(before), F.lit(0))
+    return t.withColumn(out, (opened - closed) > 0).drop("_d", "_lv", "_bad", "_end")
 
 
 def selector_rank(tok: Column) -> Column:
@@ -180,14 +180,6 @@ def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
     return out.select(key, rank.cast("bigint").alias("selector_rank"), region.alias("region_html"))
 
 
-def overview_anchor(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-9 anchor: the first h1/h2/h3/div (document order) whose text holds the anchor phrase.
-
-    Output: key, anchor_pos, anchor_tag. Pages without an anchor are absent.
-    """
-    return _anchor(tokens(_anchored_pages(pages, key, html), key, html), key)
-
-
 def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Pages that can hold an anchor: the phrase must occur in the raw HTML.
 
@@ -197,14 +189,89 @@ def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).where(F.col(html).contains(fixed.OVERVIEW_ANCHOR_TEXT)).repartition(key)
 
 
-def _anchor(tok: DataFrame, key: str) -> DataFrame:
+def _extent_cols(t: DataFrame, tags: list[str], p: str, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Extent columns on the start-tag rows of ``tags`` (null on other rows), computed in place.
+
+    ``{p}_start`` (row opens an element), ``{p}_end`` (pos of its end tag, null
+    when open), ``{p}_end_<c>`` (carry columns at the end tag). Every token row
+    stays, so the overview pipeline never joins: it is windows over one
+    DataFrame partitioned by page.
+    """
+    ev = F.col("tag").isin(tags) & F.col("kind").isin("open", "close")
+    is_open = ev & (F.col("kind") == "open")
+    delta = F.when(is_open, 1).when(ev, -1).otherwise(0)
+    wt = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumn(f"{p}_d", F.sum(delta).over(wt))
+    t = t.withColumn(f"{p}_lv", F.when(is_open, F.col(f"{p}_d")).when(ev, F.col(f"{p}_d") + 1))
+    wl = Window.partitionBy(key, "tag", f"{p}_lv").orderBy("pos")
+    t = t.withColumn(f"{p}_n", F.when(ev, F.lead(F.struct("kind", "pos", *carry), 1).over(wl)))
+    start = is_open & (F.col(f"{p}_lv") >= 1)
+    closed = start & (F.col(f"{p}_n.kind") == "close")
+    t = t.withColumn(f"{p}_start", F.coalesce(start, F.lit(False)))
+    t = t.withColumn(f"{p}_end", F.when(closed, F.col(f"{p}_n.pos")))
+    for c in carry:
+        t = t.withColumn(f"{p}_end_{c}", F.when(closed, F.col(f"{p}_n.{c}")))
+    return t.drop(f"{p}_d", f"{p}_n")
+
+
+def _overview(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Token rows of anchored pages with the overview decisions as columns.
+
+    Adds: anchor_pos, anchor_tag (HTM-9 anchor), container_pos, container_end,
+    how (HTM-9/10), inside (token inside the container), gone (inside a
+    dropped subtree, HTM-14).
+    """
+    t = tokens(_anchored_pages(pages, key, html), key, html)
+    page = Window.partitionBy(key)
+    # Anchor: first h1/h2/h3/div (document order) whose extent holds a text token with the phrase.
     hit = (F.col("kind") == "text") & F.col("token").contains(fixed.OVERVIEW_ANCHOR_TEXT)
-    counts = running_count(tok, hit, "_hits", key)
-    ext = extents(tok, fixed.OVERVIEW_ANCHOR_TAGS, key).withColumnRenamed("tag", "anchor_tag")
-    inside = count_inside(ext, counts, "_hits", "_n", key).where(F.col("_n") > 0)
-    return inside.groupBy(key).agg(F.min_by(F.struct(F.col("start_pos").alias("anchor_pos"), "anchor_tag"),
-                                            F.col("start_pos")).alias("_a")) \
-        .select(key, "_a.anchor_pos", "_a.anchor_tag")
+    t = running_count(t, hit, "_hits", key)
+    t = _extent_cols(t, fixed.OVERVIEW_ANCHOR_TAGS, "ax", key, carry=("_hits",))
+    holds = F.col("ax_start") & ((F.coalesce(F.col("ax_end__hits"), F.col("_hits_total")) - F.col("_hits")) > 0)
+    t = t.withColumn("_anc", F.min(F.when(holds, F.struct(F.col("pos").alias("p"), F.col("tag").alias("g")))).over(page))
+    t = t.withColumn("anchor_pos", F.col("_anc.p")).withColumn("anchor_tag", F.col("_anc.g"))
+    # Enclosing divs of the anchor, nearest first; a div is flagged by data-attrid or an svg inside.
+    svg = (F.col("tag") == "svg") & F.col("kind").isin("open", "self")
+    t = running_count(t, svg, "_svgs", key)
+    t = _extent_cols(t, ["div"], "dv", key, carry=("_svgs",))
+    enc = F.col("dv_start") & (F.col("pos") < F.col("anchor_pos")) & \
+        (F.col("dv_end").isNull() | (F.col("dv_end") > F.col("anchor_pos")))
+    t = t.withColumn("_enc", F.coalesce(enc, F.lit(False)))
+    t = t.withColumn("_up", F.when(F.col("_enc"), F.row_number().over(
+        Window.partitionBy(key, "_enc").orderBy(F.col("pos").desc()))))
+    has_svg = (F.coalesce(F.col("dv_end__svgs"), F.col("_svgs_total")) - F.col("_svgs")) > 0
+    flagged = has_svg | has_attr(F.col("token"), "data-attrid")
+    steps = fixed.OVERVIEW_CLIMB_STEPS
+    pick = F.col("_enc") & (((F.col("_up") <= steps) & flagged) | (F.col("_up") == steps + 1))
+    t = t.withColumn("_climb", F.min(F.when(pick, F.struct(F.col("_up").alias("u"), F.col("pos").alias("p")))).over(page))
+    cls = attr(F.col("token"), "class")
+    parts = F.split(cls, WS + "+")
+    fb_rank = F.when(F.col("dv_start") & F.array_contains(parts, fixed.OVERVIEW_FALLBACK_CLASS), 1) \
+        .when(F.col("dv_start") & F.exists(parts, lambda c: c.rlike(fixed.OVERVIEW_FALLBACK_CLASS_PATTERN)), 2)
+    t = t.withColumn("_fb", F.min(F.when(fb_rank.isNotNull(),
+                                         F.struct(fb_rank.alias("r"), F.col("pos").alias("p")))).over(page))
+    cpos = F.when(F.col("anchor_pos").isNotNull(), F.coalesce(F.col("_climb.p"), F.col("_fb.p")))
+    t = t.withColumn("container_pos", cpos)
+    t = t.withColumn("how", F.when(F.col("_climb").isNotNull(), "climb").when(F.col("container_pos").isNotNull(),
+                                                                               "fallback"))
+    t = t.withColumn("container_end", F.max(F.when(F.col("pos") == F.col("container_pos"), F.col("dv_end"))).over(page))
+    t = t.withColumn("inside", F.coalesce((F.col("pos") > F.col("container_pos")) & (
+        F.col("container_end").isNull() | (F.col("pos") < F.col("container_end"))), F.lit(False)))
+    # Dropped subtrees inside the container: style, links, aria-hidden, badge classes.
+    tk = F.col("token")
+    bad = F.col("inside") & (F.col("tag").isin("style", "a") | (attr(tk, "aria-hidden") == "true") |
+                             F.coalesce(attr(tk, "class").rlike(fixed.OVERVIEW_DROP_CLASS_PATTERN), F.lit(False)))
+    t = covered(t, DROP_TAGS, bad, "gone", key)
+    return t
+
+
+def overview_anchor(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """HTM-9 anchor: the first h1/h2/h3/div (document order) whose text holds the anchor phrase.
+
+    Output: key, anchor_pos, anchor_tag. Pages without an anchor are absent.
+    """
+    t = _overview(pages, key, html)
+    return t.where(F.col("pos") == F.col("anchor_pos")).select(key, "anchor_pos", "anchor_tag")
 
 
 def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -216,76 +283,22 @@ def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html
     then a div whose class matches ``AI_Overview|AIO``. Output: key,
     anchor_pos, container_pos (null = not found), how.
     """
-    return _container(tokens(_anchored_pages(pages, key, html), key, html), key)
-
-
-def _container(tok: DataFrame, key: str) -> DataFrame:
-    anchor = _anchor(tok, key)
-    divs = extents(tok, "div", key)
-    # Enclosing divs of the anchor (one anchor per page: at most depth-many rows).
-    enc = divs.join(anchor, key).where((F.col("start_pos") < F.col("anchor_pos"))
-                                       & (F.col("end_pos").isNull() | (F.col("end_pos") > F.col("anchor_pos"))))
-    svg = (F.col("tag") == "svg") & F.col("kind").isin("open", "self")
-    enc = count_inside(enc, running_count(tok, svg, "_svgs", key), "_svgs", "_n", key) \
-        .withColumn("_svg", F.col("_n") > 0)
-    # Nearest enclosing div first.
-    w = Window.partitionBy(key).orderBy(F.col("start_pos").desc())
-    enc = enc.withColumn("_up", F.row_number().over(w))
-    flagged = F.coalesce(F.col("_svg"), F.lit(False)) | has_attr(F.col("token"), "data-attrid")
-    steps = fixed.OVERVIEW_CLIMB_STEPS
-    pick = (enc.where((F.col("_up") <= steps) & flagged).select(key, "_up", "start_pos")
-            .unionByName(enc.where(F.col("_up") == steps + 1).select(key, "_up", "start_pos")))
-    chosen = pick.groupBy(key).agg(F.min_by("start_pos", "_up").alias("container_pos"))
-    fb_cls = attr(F.col("token"), "class")
-    fb = divs.where(fb_cls.isNotNull()).select(
-        key, "start_pos",
-        F.when(F.array_contains(F.split(fb_cls, WS + "+"), fixed.OVERVIEW_FALLBACK_CLASS), 1)
-        .when(F.exists(F.split(fb_cls, WS + "+"), lambda c: c.rlike(fixed.OVERVIEW_FALLBACK_CLASS_PATTERN)), 2)
-        .alias("_fr")).where(F.col("_fr").isNotNull())
-    fallback = fb.groupBy(key).agg(F.min_by("start_pos", F.struct("_fr", "start_pos")).alias("_fb"))
-    out = anchor.join(chosen, key, "left").join(fallback, key, "left")
-    how = F.when(F.col("container_pos").isNotNull(), "climb").when(F.col("_fb").isNotNull(), "fallback")
-    return out.select(key, "anchor_pos", F.coalesce("container_pos", "_fb").alias("container_pos"), how.alias("how"))
-
-
-def overview_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-14 + HTM-15 + FLT-6 + WIN-4: clean text blocks of the overview container.
-
-    Inside the container, subtrees of ``style``, ``a``, ``aria-hidden="true"``
-    and badge classes are dropped; leaf ``p/li/div/span`` elements whose only
-    child is one text node give a block (stripped); the first of equal blocks
-    is kept, blocks holding a stop phrase are dropped; blocks are joined by a
-    blank line. Output: key, overview_text.
-    """
-    return _blocks(tokens(_anchored_pages(pages, key, html), key, html), key)
+    t = _overview(pages, key, html)
+    return t.where(F.col("pos") == F.col("anchor_pos")).select(key, "anchor_pos", "container_pos", "how")
 
 
 def overview_sanitize(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """HTM-14: tokens of the overview container left after dropping style, links,
     aria-hidden subtrees and badge classes. Output: key, pos, kind, tag, token."""
-    return _kept(tokens(_anchored_pages(pages, key, html), key, html), key) \
-        .select(key, "pos", "kind", "tag", "token")
-
-
-def _kept(tok: DataFrame, key: str) -> DataFrame:
-    cont = _container(tok, key).where(F.col("container_pos").isNotNull())
-    divs = extents(tok, "div", key)
-    box = cont.join(divs.select(key, F.col("start_pos").alias("container_pos"), F.col("end_pos").alias("_ce")),
-                    [key, "container_pos"])
-    inside = tok.join(box.select(key, "container_pos", "_ce"), key).where(
-        (F.col("pos") > F.col("container_pos")) & (F.col("_ce").isNull() | (F.col("pos") < F.col("_ce"))))
-    # Dropped subtrees: every extent of a dropped element covers its tokens.
-    tk = F.col("token")
-    bad = F.col("tag").isin("style", "a") | (attr(tk, "aria-hidden") == "true") | \
-        F.coalesce(attr(tk, "class").rlike(fixed.OVERVIEW_DROP_CLASS_PATTERN), F.lit(False))
-    dropped = extents(tok, ["style", "a", "p", "li", "div", "span", "b", "i", "em", "strong", "section", "ul", "ol"],
-                      key).where(bad).select(key, "start_pos", "end_pos")
-    marked = covered(inside, dropped, "_gone", key)
-    return marked.where(~F.col("_gone") & F.col("kind").isin("open", "close", "text", "self")).drop("_gone")
+    return _kept(_overview(pages, key, html)).select(key, "pos", "kind", "tag", "token")
 
 
-def _blocks(tok: DataFrame, key: str) -> DataFrame:
-    kept = _kept(tok, key)
+def _kept(t: DataFrame) -> DataFrame:
+    return t.where(F.col("inside") & ~F.col("gone") & F.col("kind").isin("open", "close", "text", "self"))
+
+
+def _blocks(t: DataFrame, key: str) -> DataFrame:
+    kept = _kept(t).select(key, "pos", "kind", "tag", "token")
     # A block is a text token whose k nearest kept neighbours are k opens before and
     # k closes after (a single-string chain); it counts when one of those k
     # elements is a leaf tag. Whitespace text between tags breaks the chain.
@@ -307,24 +320,36 @@ def _blocks(tok: DataFrame, key: str) -> DataFrame:
     stop = F.lit(False)
     for p in fixed.OVERVIEW_STOP_PHRASES:
         stop = stop | lower.contains(p)
-    first = blocks.groupBy(key, "block").agg(F.min("pos").alias("pos")).where(~stop)
-    agg = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("_b"))
+    # First of equal blocks (a window on (page, block): no new partitioning needed).
+    first = blocks.where(~stop).withColumn("_r", F.row_number().over(Window.partitionBy(key, "block").orderBy("pos")))
+    agg = first.where(F.col("_r") == 1).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("_b"))
     return agg.select(key, F.array_join(F.transform("_b", lambda s: s["block"]), "\n\n").alias("overview_text"))
 
 
+def overview_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """HTM-14 + HTM-15 + FLT-6 + WIN-4: clean text blocks of the overview container.
+
+    Inside the container, subtrees of ``style``, ``a``, ``aria-hidden="true"``
+    and badge classes are dropped; leaf ``p/li/div/span`` elements whose only
+    child is one text node give a block (stripped); the first of equal blocks
+    is kept, blocks holding a stop phrase are dropped; blocks are joined by a
+    blank line. Output: key, overview_text.
+    """
+    return _blocks(_overview(pages, key, html), key)
+
+
 def page_status(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """FLT-5 + FLT-8: outcome per page: blocked / no_overview / container_unparsed / empty_text / ok."""
     pg = pages.select(key, html)
     text = H.full_text(H.html_lines(F.col(html)))
     form = F.col(html).rlike(rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]""")
-    blocked = form | text.contains(fixed.BLOCK_TEXT)
-    base = pg.select(key, blocked.alias("_blocked"))
-    tok = tokens(_anchored_pages(pg, key, html), key, html)
-    anchors = _anchor(tok, key).select(key, F.lit(True).alias("_anchor"))
-    cont = _container(tok, key).where(F.col("container_pos").isNotNull()).select(key, F.lit(True).alias("_cont"))
-    blocks = _blocks(tok, key).where(strip_ws(F.col("overview_text")) != "").select(key, F.lit(True).alias("_text"))
-    j = base.join(anchors, key, "left").join(cont, key, "left").join(blocks, key, "left")
-    status = (F.when(F.col("_blocked"), "blocked").when(F.col("_anchor").isNull(), "no_overview")
-              .when(F.col("_cont").isNull(), "container_unparsed").when(F.col("_text").isNull(), "empty_text")
+    base = pg.select(key, (form | text.contains(fixed.BLOCK_TEXT)).alias("_blocked"))
+    t = _overview(pg, key, html)
+    has_text = _blocks(t, key).where(strip_ws(F.col("overview_text")) != "").select(key, F.lit(True).alias("_text"))
+    found = t.where(F.col("pos") == F.col("anchor_pos")).select(key, F.col("container_pos").isNotNull().alias("_cont"))
+    per_page = found.join(has_text, key, "left")
+    j = base.join(per_page, key, "left")
+    status = (F.when(F.col("_blocked"), "blocked").when(F.col("_cont").isNull(), "no_overview")
+              .when(~F.col("_cont"), "container_unparsed").when(F.col("_text").isNull(), "empty_text")
               .otherwise("ok"))
     return j.select(key, status.alias("status"))
