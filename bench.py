@@ -26,7 +26,7 @@ HEADLINE = [
     "extract_urls",
     "route_contacts",
     "region_pick",
-    "overview_blocks",
+    "overview_blocks_answers",
 ]
 
 
