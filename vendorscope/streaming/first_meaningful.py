@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +45,12 @@ def _decide(deadline_us: int):
             ts_us = pdf["ts"].astype("datetime64[us]").astype("int64")
             asked_us = pdf["asked_ts"].astype("datetime64[us]").astype("int64")
             asked = int(asked_us.min()) if asked is None else min(asked, int(asked_us.min()))
-            ok = pdf["usable"].astype(bool) & (ts_us <= asked_us + deadline_us)
-            for t, ev, ans in zip(ts_us[ok], pdf["event_id"][ok], pdf["answer"][ok]):
-                if best_us is None or (int(t), int(ev)) < (int(best_us), int(best_ev)):
-                    best_us, best_ev, best_ans = int(t), int(ev), ans
+            ok = (pdf["usable"].astype(bool) & (ts_us <= asked_us + deadline_us)).to_numpy()
+            if ok.any():
+                t, ev = ts_us.to_numpy()[ok], pdf["event_id"].to_numpy()[ok]
+                i = np.lexsort((ev, t))[0]  # earliest (ts, event_id) of this batch, vectorised
+                if best_us is None or (int(t[i]), int(ev[i])) < (int(best_us), int(best_ev)):
+                    best_us, best_ev, best_ans = int(t[i]), int(ev[i]), pdf["answer"].to_numpy()[ok][i]
         state.update((asked, best_us, best_ev, best_ans))
         wm = state.getCurrentWatermarkMs()
         state.setTimeoutTimestamp(max((asked + deadline_us) // 1000 + 1, (wm or 0) + 1))
