@@ -83,3 +83,28 @@ def test_late_snapshot_within_watermark(spark, tmp_path):
     batch = {r.question_id: (r.status, r.event_id) for r in first_meaningful(allrows).collect()}
     assert batch == {1: ("success", 2), 2: ("no_response", None)}
     assert got == batch
+
+
+@pytest.mark.parametrize("name,fn", [("facts_by_priority", "partial_min_by"), ("first_meaningful", "partial_min_by"),
+                                     ("last_write_wins", "partial_max_by"), ("facts_conflict_blank", "partial_min")])
+def test_hot_keys_aggregate_map_side(spark, name, fn):
+    """A key holding a large share of rows is combined before the shuffle (partial aggregation)."""
+    plan = _plan(all_queries()[name].build(spark, SF_SMALL))
+    assert fn in plan, name
+
+
+def test_overview_pipeline_has_no_joins(spark):
+    from pyspark.sql import functions as F
+    from vendorscope.operators import tokens as TK
+    from vendorscope.sources import tables as S
+    # Pages straight from the scan (the overview fixture itself joins question and answer turns).
+    pg = S.pages(spark, SF_SMALL).select("page_id", F.concat(F.lit("AI Overview "), "html").alias("html"))
+    plan = _plan(TK.overview_blocks(pg))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_partitioned_write_rebalances(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(10).withColumn("reason", F.lit("a"))
+    plan = df.hint("rebalance", "reason")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
