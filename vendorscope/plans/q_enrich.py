@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vendorscope import fixed
 from vendorscope.operators import answers as A
 from vendorscope.operators import enrich as EN
+from vendorscope.operators import questions as QN
 from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
 from vendorscope.plans.q_answers import _ANS_SQL, _BLOCK_SQL, attached
@@ -183,3 +184,64 @@ def enrich_with(spark, sf_dir):
     p = prompts(spark, sf_dir)
     done = EN.enrich_with(p, _stub_completion)
     return EN.attach_completions(p.select("id", "prompt_sha"), done, "prompt_sha")
+
+
+def _model_rows_sql() -> str:
+    rows = ", ".join(f"({i}, {Q.lit(f)}, {Q.lit(k)})" for i, (f, k) in enumerate(C.output_fields()))
+    return f"m AS (SELECT * FROM (VALUES {rows}) t(pos, field, kind))"
+
+
+def _catalogue_rows_sql() -> str:
+    rows = ", ".join(f"({g}, {Q.lit(name)}, {j}, {Q.lit(f)})" for g, (name, _, fields) in enumerate(C.groups_for())
+                     for j, f in enumerate(fields))
+    return f"sf AS (SELECT * FROM (VALUES {rows}) t(group_ord, group_name, field_ord, field))"
+
+
+@query("dim_search_fields", f"""WITH {_catalogue_rows_sql()}, n AS (SELECT count(*) AS n FROM customer)
+SELECT CAST(group_ord AS BIGINT) AS group_ord, group_name, CAST(field_ord AS BIGINT) AS field_ord, field,
+       n.n AS n_questions FROM sf, n""")
+def dim_search_fields(spark, sf_dir):
+    """SRC-4: the catalogue's (group, field) rows with the number of vendor questions asking for each."""
+    vg = QN.vendor_groups(S.vendors(spark, sf_dir))
+    ex = vg.select("group_ord", "group_name", F.posexplode("fields").alias("field_ord", "field"))
+    return ex.groupBy("group_ord", "group_name", F.col("field_ord").cast("bigint").alias("field_ord"), "field") \
+        .agg(F.count("*").alias("n_questions"))
+
+
+def _key_counts(spark, sf_dir):
+    cp = S.completions(spark, sf_dir).where(EN.json_status(F.col("raw")) == "ok")
+    return cp.select(F.explode(F.array_distinct(F.json_object_keys("raw"))).alias("field")) \
+        .groupBy("field").agg(F.count("*").alias("n_completions"))
+
+
+@query("dim_output_model", f"""WITH {_CP}, {_model_rows_sql()}, ok AS (
+  SELECT raw FROM cp WHERE {_status_sql('raw')} = 'ok'
+), k AS (SELECT unnest(list_distinct(json_keys(raw))) AS field FROM ok)
+SELECT CAST(m.pos AS BIGINT) AS pos, m.field, m.kind, count(k.field) AS n_present
+FROM m LEFT JOIN k ON k.field = m.field GROUP BY m.pos, m.field, m.kind""")
+def dim_output_model(spark, sf_dir):
+    """SRC-5: the output model (position, field, string/array) with how many valid completions carry each field."""
+    rows = [(i, f, k) for i, (f, k) in enumerate(C.output_fields())]
+    model = spark.createDataFrame(rows, "pos long, field string, kind string")
+    # The model is a fixed 19-row literal: broadcasting it is bounded.
+    return _key_counts(spark, sf_dir).join(F.broadcast(model), "field", "right") \
+        .select("pos", "field", "kind", F.coalesce("n_completions", F.lit(0)).alias("n_present"))
+
+
+@query("field_drift", f"""WITH {_CP}, {_model_rows_sql()}, {_catalogue_rows_sql()}, ok AS (
+  SELECT raw FROM cp WHERE {_status_sql('raw')} = 'ok'
+), k AS (SELECT field, count(*) AS n FROM (SELECT unnest(list_distinct(json_keys(raw))) AS field FROM ok) GROUP BY field),
+f AS (SELECT field FROM m UNION SELECT field FROM sf UNION SELECT field FROM k)
+SELECT f.field, f.field IN (SELECT field FROM sf) AS searched, f.field IN (SELECT field FROM m) AS in_model,
+       coalesce(k.n, 0) AS n_completions
+FROM f LEFT JOIN k ON k.field = f.field""")
+def field_drift(spark, sf_dir):
+    """JOIN-8: searched fields vs output model vs keys the completions actually return (both ways)."""
+    model = [f for f, _ in C.output_fields()]
+    searched = [f for _, _, fields in C.groups_for() for f in fields]
+    fixed_rows = spark.createDataFrame([(f,) for f in dict.fromkeys(model + searched)], "field string")
+    keys = _key_counts(spark, sf_dir)
+    allf = fixed_rows.join(keys, "field", "full")
+    return allf.select("field", F.col("field").isin(searched).alias("searched"),
+                       F.col("field").isin(model).alias("in_model"),
+                       F.coalesce("n_completions", F.lit(0)).alias("n_completions"))
