@@ -53,11 +53,11 @@ def test_profile_record_defaults_and_extras(spark):
 
 
 def test_last_write_wins(spark):
-    df = spark.createDataFrame([(1, "Footprint Events", "Alwar"), (2, "Footprint  Events", "Alwar"),
-                                (3, "Other", "Alwar")], "ord long, name string, city string")
+    df = spark.createDataFrame([(1, "Lotus Events", "Jaipur"), (2, "Lotus  Events", "Jaipur"),
+                                (3, "Other", "Jaipur")], "ord long, name string, city string")
     out = V.last_write_wins(V.with_slug(df), ["city", "slug"], "ord")
     got = {r.slug: r.ord for r in out.collect()}
-    assert got == {"footprint_events": 2, "other": 3}
+    assert got == {"lotus_events": 2, "other": 3}
 
 
 def test_fact_resolution_policies(spark):

@@ -242,6 +242,9 @@ Source URL:
 Repeat for every parameter.
 """
 
+# Default platform name written into the extraction prompt.
+PROMPT_PLATFORM = "the vendor directory"
+
 # Short search query (unused by the main flow, kept as an operator).
 SHORT_QUERY_SUFFIX = "wedding planner"
 
@@ -249,10 +252,11 @@ SHORT_QUERY_SUFFIX = "wedding planner"
 NOT_FOUND = "Not Found"
 
 # Extraction prompt; slots are $vendor_name $city $state $content $output_format,
-# filled in a single pass.
+# filled in a single pass. <<platform>> is the publishing platform's name, set
+# once per run (PROMPT_PLATFORM by default) before the slots are filled.
 PROMPT_TEMPLATE = """
 /no_think
-You are a Vendor Enrichment AI Agent for the vendor directory.
+You are a Vendor Enrichment AI Agent for <<platform>>.
 
 Your job is to extract structured information about Wedding Planner vendors from unstructured or semi-structured content including websites, Google Business Profiles, Instagram pages, Facebook pages, directories, and notes.
 

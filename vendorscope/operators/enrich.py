@@ -21,8 +21,14 @@ from vendorscope.functions import text as T
 from vendorscope.sources import catalogue as C
 
 
-def template_pieces(template: str = fixed.PROMPT_TEMPLATE) -> list:
+def prompt_template(platform: str = fixed.PROMPT_PLATFORM) -> str:
+    """The extraction prompt text with the platform name set."""
+    return fixed.PROMPT_TEMPLATE.replace("<<platform>>", platform)
+
+
+def template_pieces(template: str | None = None) -> list:
     """Literal text and ``("slot",)`` markers of a ``$name`` template, in order."""
+    template = prompt_template() if template is None else template
     out, pos = [], 0
     for m in re.finditer(r"\$(\w+)", template):
         out.append(template[pos:m.start()])
@@ -32,18 +38,19 @@ def template_pieces(template: str = fixed.PROMPT_TEMPLATE) -> list:
     return out
 
 
-def fill_template(slots: dict[str, Column], template: str = fixed.PROMPT_TEMPLATE) -> Column:
+def fill_template(slots: dict[str, Column], template: str | None = None) -> Column:
     """PRJ-13: single-pass substitution; a null slot renders as ``None``."""
     parts = [T.py_str(slots[p[0]]) if isinstance(p, tuple) else F.lit(p) for p in template_pieces(template)]
     return F.concat(*parts)
 
 
 def build_prompts(df: DataFrame, content: str = "combined_text", category: str = C.DEFAULT_CATEGORY,
-                  name: str = "name", city: str = "city", state: str = "state") -> DataFrame:
+                  name: str = "name", city: str = "city", state: str = "state",
+                  platform: str = fixed.PROMPT_PLATFORM) -> DataFrame:
     """PRJ-13 + JOIN-3: prompt per vendor with its SHA-256 key; output model by category."""
     model = F.lit(C.output_model_text(category)) if category in fixed.OUTPUT_MODELS else F.lit(None).cast("string")
     prompt = fill_template({"vendor_name": F.col(name), "city": F.col(city), "state": F.col(state),
-                            "content": F.col(content), "output_format": model})
+                            "content": F.col(content), "output_format": model}, prompt_template(platform))
     return df.withColumn("prompt", prompt).withColumn("prompt_sha", F.sha2(F.col("prompt"), 256))
 
 
