@@ -23,6 +23,9 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    # Shuffle partitions are coalesced at runtime towards this size; start high on
+    # a cluster (spark.sql.adaptive.coalescePartitions.initialPartitionNum).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Keyed streaming state (first usable snapshot per question) in RocksDB:
     # state larger than memory spills to local disk and is checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
