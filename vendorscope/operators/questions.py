@@ -19,7 +19,8 @@ def vendor_groups(vendors: DataFrame, category: str = C.DEFAULT_CATEGORY) -> Dat
     g = vendors.select("*", F.posexplode(C.group_array(category)).alias("group_ord", "_g"))
     return g.select(*vendors.columns, F.col("group_ord").cast("bigint").alias("group_ord"),
                     F.col("_g.group_name").alias("group_name"), F.col("_g.description").alias("description"),
-                    F.col("_g.fields").alias("fields"), F.col("_g.sources").alias("sources"))
+                    F.col("_g.fields").alias("fields"), F.col("_g.sources").alias("sources"),
+                    F.col("_g.source_list").alias("source_list"))
 
 
 def build_questions(vg: DataFrame, category: str = C.DEFAULT_CATEGORY,

@@ -133,9 +133,8 @@ SELECT id, group_ord, reason, {Q.slug(_question_sql('name', 'city'), 80, 'ai_mod
 FROM ja WHERE failed""")
 def quarantine_pages(spark, sf_dir):
     """SNK-5: failed questions written partitioned by reason with their capped slug; read back."""
-    from vendorscope.functions.text import slug
     bad = attached(spark, sf_dir, with_question=True).where(F.col("failed"))
-    out = bad.select("id", "group_ord", "reason", slug(F.col("question"), cap=80, fallback="ai_mode").alias("slug"))
+    out = IO.quarantine(bad.select("id", "group_ord", "reason", "question")).drop("question")
     path = IO.work_path(spark, "quarantine")
     IO.write_partitioned(out, path, ["reason"])
     return IO.read_partitioned(spark, path).select("id", "group_ord", "reason", "slug")

@@ -163,9 +163,8 @@ FROM (SELECT id, group_ord, unnest(source_list) AS source, unnest(range(1, len(s
 def source_priority(spark, sf_dir):
     """PRJ-8: ranked search sources for every (vendor, group)."""
     vg = QN.vendor_groups(S.vendors(spark, sf_dir))
-    ex = vg.select("id", "group_ord", F.posexplode(F.split("sources", "\n")).alias("pos", "line"))
-    return ex.select("id", "group_ord", (F.col("pos") + 1).cast("bigint").alias("rank"),
-                     F.regexp_replace("line", r"^[0-9]+\. ", "").alias("source"))
+    ex = vg.select("id", "group_ord", F.posexplode("source_list").alias("pos", "source"))
+    return ex.select("id", "group_ord", (F.col("pos") + 1).cast("bigint").alias("rank"), "source")
 
 
 @query("build_question", f"""WITH {V_SQL}, {_groups_sql()}

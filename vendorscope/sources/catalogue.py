@@ -33,6 +33,7 @@ GROUP_TYPE = Ty.StructType([
     Ty.StructField("description", Ty.StringType()),
     Ty.StructField("fields", Ty.ArrayType(Ty.StringType())),
     Ty.StructField("sources", Ty.StringType()),
+    Ty.StructField("source_list", Ty.ArrayType(Ty.StringType())),
 ])
 
 
@@ -41,7 +42,8 @@ def group_array(category: str = DEFAULT_CATEGORY) -> Column:
     return F.array(*[
         F.struct(F.lit(name).alias("group_name"), F.lit(desc).alias("description"),
                  F.array(*[F.lit(f) for f in fields]).alias("fields"),
-                 F.lit(sources_text(name)).alias("sources"))
+                 F.lit(sources_text(name)).alias("sources"),
+                 F.array(*[F.lit(x) for x in sources_for(name)]).alias("source_list"))
         for name, desc, fields in groups_for(category)])
 
 
