@@ -40,10 +40,12 @@ def denoise(c) -> Column:
 
 
 def decode_entities(c) -> Column:
+    """Decode the named entities of ``ENTITIES`` (text without ``&`` is returned as is)."""
     c = _c(c)
+    out = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(c.contains("&"), out).otherwise(c)
 
 
 def strip_tags(c) -> Column:

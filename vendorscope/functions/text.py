@@ -61,6 +61,13 @@ def param_bullets(arr) -> Column:
     return F.array_join(F.transform(kept, lambda x: F.concat(F.lit("- "), strip_ws(x))), "\n")
 
 
+def sanitize_may_change(c) -> Column:
+    """False when ``sanitize_answer`` leaves an already single-line text unchanged."""
+    s = _c(c)
+    low = F.lower(s)
+    return low.contains("justdial") | low.contains("weddingwire") | s.contains("+") | low.contains("transcribing...")
+
+
 def sanitize_answer(c) -> Column:
     """Drop brand names, ``+N`` runs and ``Transcribing...``; collapse whitespace.
 

@@ -37,7 +37,10 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
         H.full_text(F.col("_lines")).alias("full_text"),
         "answer_only",
     )
-    final = T.sanitize_answer(F.coalesce(F.nullif(F.col("answer_only"), F.lit("")), F.col("full_text")))
+    # answer_only is already single-line: when no removal applies, sanitising it is the identity.
+    ao = F.col("answer_only")
+    final = F.when((ao != "") & ~T.sanitize_may_change(ao), ao).otherwise(
+        T.sanitize_answer(F.coalesce(F.nullif(ao, F.lit("")), F.col("full_text"))))
     out = out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer"), collapsed=True))
     return fence(out)
 
