@@ -159,14 +159,20 @@ def route_contacts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
 
     Phones are taken from the raw text (before answer sanitising, which eats ``+N``).
     """
-    def found(kind: str, rx: str):
-        return F.transform(F.regexp_extract_all(F.col(text), F.lit(rx), 0),
-                           lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+    empty = F.array().cast("array<string>")
 
-    urls = F.transform(F.regexp_extract_all(F.col(text), F.lit(URL), 0), lambda u: F.struct(
+    def scan(rx: str, needle: str | None = None):
+        # A pattern that needs a literal (``@``, ``http``) only runs on texts holding it.
+        hits = F.regexp_extract_all(F.col(text), F.lit(rx), 0)
+        return hits if needle is None else F.when(F.col(text).contains(needle), hits).otherwise(empty)
+
+    def found(kind: str, rx: str, needle: str | None = None):
+        return F.transform(scan(rx, needle), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    urls = F.transform(scan(URL, "http"), lambda u: F.struct(
         F.when(source_class(u) == "Instagram", "instagram").when(source_class(u) == "Facebook", "facebook")
         .otherwise("website").alias("kind"), u.alias("value")))
-    allc = F.concat(urls, found("email", EMAIL), found("phone", PHONE))
+    allc = F.concat(urls, found("email", EMAIL, "@"), found("phone", PHONE))
     ex = df.select(*keys, F.posexplode(allc).alias("pos", "_c"))
     return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), F.col("_c.kind").alias("kind"),
                      F.col("_c.value").alias("value"))
