@@ -108,3 +108,34 @@ def test_partitioned_write_rebalances(spark):
     df = spark.range(10).withColumn("reason", F.lit("a"))
     plan = df.hint("rebalance", "reason")._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_stream_emit_first_in_order(spark, tmp_path):
+    """Early answers equal the batch result when snapshots arrive in event order."""
+    import datetime as dt
+    import time
+    from vendorscope.operators.answers import first_meaningful
+    from vendorscope.streaming.first_meaningful import stream_first_meaningful
+    t0 = dt.datetime(2024, 1, 1)
+    good = "b" * 90
+    schema = "question_id long, event_id long, ts timestamp_ntz, asked_ts timestamp_ntz, answer string"
+    arrivals = [
+        [(1, 1, t0, t0, "loading"), (2, 5, t0, t0, "loading")],
+        [(1, 2, t0 + dt.timedelta(seconds=20), t0, good)],
+        [(1, 3, t0 + dt.timedelta(seconds=30), t0, good), (2, 6, t0 + dt.timedelta(seconds=80), t0, good)],
+        [(-1, -1, t0 + dt.timedelta(days=30), t0 + dt.timedelta(days=30), "")],
+    ]
+    src = str(tmp_path / "src")
+    for rows in arrivals:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    q = (stream_first_meaningful(stream, emit="first").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.question_id, r.status, r.event_id) for r in spark.read.parquet(out).collect() if r.question_id >= 0)
+    allrows = spark.createDataFrame([r for a in arrivals[:3] for r in a], schema)
+    batch = sorted((r.question_id, r.status, r.event_id) for r in first_meaningful(allrows).collect())
+    assert batch == [(1, "success", 2), (2, "no_response", None)]
+    assert got == batch

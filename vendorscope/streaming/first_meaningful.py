@@ -23,24 +23,35 @@ from vendorscope import fixed
 from vendorscope.functions.text import is_meaningful
 
 OUT_SCHEMA = "question_id long, status string, ts timestamp_ntz, event_id long, answer string"
-STATE_SCHEMA = "asked_us long, best_us long, best_event long, best_answer string"
+STATE_SCHEMA = "asked_us long, best_us long, best_event long, best_answer string, done boolean"
 
 
-def _decide(deadline_us: int):
+def _row(qid, status, ts_us=None, ev=None, ans=None) -> pd.DataFrame:
+    ts = pd.NaT if ts_us is None else pd.Timestamp(int(ts_us), unit="us")
+    return pd.DataFrame({"question_id": [qid], "status": [status], "ts": [ts],
+                         "event_id": [None if ev is None else int(ev)], "answer": [ans]})
+
+
+def _decide(deadline_us: int, emit_first: bool):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (qid,) = key
         if state.hasTimedOut:
-            asked, best_us, best_ev, best_ans = state.get
+            asked, best_us, best_ev, best_ans, done = state.get
             state.remove()
+            if done:
+                return
             if best_us is None or pd.isna(best_us):
-                yield pd.DataFrame({"question_id": [qid], "status": ["no_response"], "ts": [pd.NaT],
-                                    "event_id": [None], "answer": [None]})
+                yield _row(qid, "no_response")
             else:
-                yield pd.DataFrame({"question_id": [qid], "status": ["success"],
-                                    "ts": [pd.Timestamp(int(best_us), unit="us")],
-                                    "event_id": [int(best_ev)], "answer": [best_ans]})
+                yield _row(qid, "success", best_us, best_ev, best_ans)
+            return
+        asked, best_us, best_ev, best_ans, done = state.get if state.exists else (None, None, None, None, False)
+        if done:  # answered early: later snapshots change nothing; keep the tombstone until the deadline
+            for _ in batches:
+                pass
+            wm = state.getCurrentWatermarkMs()
+            state.setTimeoutTimestamp(max((asked + deadline_us) // 1000 + 1, (wm or 0) + 1))
             return
-        asked, best_us, best_ev, best_ans = state.get if state.exists else (None, None, None, None)
         for pdf in batches:
             ts_us = pdf["ts"].astype("datetime64[us]").astype("int64")
             asked_us = pdf["asked_ts"].astype("datetime64[us]").astype("int64")
@@ -51,27 +62,34 @@ def _decide(deadline_us: int):
                 i = np.lexsort((ev, t))[0]  # earliest (ts, event_id) of this batch, vectorised
                 if best_us is None or (int(t[i]), int(ev[i])) < (int(best_us), int(best_ev)):
                     best_us, best_ev, best_ans = int(t[i]), int(ev[i]), pdf["answer"].to_numpy()[ok][i]
-        state.update((asked, best_us, best_ev, best_ans))
+        if emit_first and best_us is not None:
+            done = True
+            yield _row(qid, "success", best_us, best_ev, best_ans)
+        state.update((asked, best_us, best_ev, best_ans, done))
         wm = state.getCurrentWatermarkMs()
         state.setTimeoutTimestamp(max((asked + deadline_us) // 1000 + 1, (wm or 0) + 1))
-        return
-        yield  # pragma: no cover - generator shape
 
     return fn
 
 
 def stream_first_meaningful(snapshots: DataFrame, deadline_s: int = fixed.ANSWER_DEADLINE_S,
-                            watermark: str = "1 hour", key: str = "question_id") -> DataFrame:
-    """Streaming (or batch) snapshots -> one decided row per question.
+                            watermark: str = "1 hour", key: str = "question_id",
+                            emit: str = "deadline") -> DataFrame:
+    """Streaming snapshots -> one decided row per question.
 
     ``snapshots``: key, event_id, ts (timestamp_ntz), asked_ts, answer. The
     usable test runs JVM-side before the Python state function.
+
+    ``emit="deadline"`` decides when the watermark passes the deadline (exact
+    under bounded disorder). ``emit="first"`` answers as soon as a usable
+    snapshot arrives, like polling a live page: equal to the batch result
+    when snapshots arrive in event order, with lower latency.
     """
     src = (snapshots.withColumn("ts", F.col("ts").cast("timestamp"))
            .withColumn("asked_ts", F.col("asked_ts").cast("timestamp"))
            .withColumn("usable", is_meaningful(F.col("answer")))
            .withWatermark("ts", watermark))
     out = src.groupBy(key).applyInPandasWithState(
-        _decide(int(deadline_s) * 1_000_000), OUT_SCHEMA, STATE_SCHEMA, "append",
+        _decide(int(deadline_s) * 1_000_000, emit == "first"), OUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
     return out
