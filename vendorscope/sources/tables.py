@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendorscope.functions.text import WS
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -159,4 +157,4 @@ def documents(spark, sf_dir) -> DataFrame:
 
 
 __all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
-           "snapshots", "table_pages", "fact_answers", "completions", "documents", "WS"]
+           "snapshots", "table_pages", "fact_answers", "completions", "documents"]
