@@ -41,20 +41,28 @@ def main() -> None:
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     qs = all_queries()
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in HEADLINE:
         if name not in qs:
             continue
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            qs[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms the JVM and the file cache
-                samples.append(time.perf_counter() - t0)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                qs[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # first run warms the JVM and the file cache
+                    samples.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report and keep benchmarking the rest
+            failed[name] = str(e).splitlines()[0][:200]
+            continue
         times[name] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": int(cpus), "runs": runs}))
+    out = {"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+           "cpus": int(cpus), "runs": runs}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out), flush=True)
     spark.stop()
 
 
