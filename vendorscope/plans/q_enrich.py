@@ -174,11 +174,19 @@ def profile_json(spark, sf_dir):
 
 def _stub_completion(prompts: pd.Series) -> pd.Series:
     """Deterministic stand-in for a model: the first URL in the prompt as the website."""
-    urls = prompts.str.extract(r"(https?://[^\s\"<>]+)", expand=False)
+    urls = prompts.str.extract(f"({_STUB_URL})", expand=False)
     return urls.map(lambda u: '{"website":"%s","sources":[]}' % u if isinstance(u, str) else '{"sources":[]}')
 
 
-@query("enrich_with")
+_STUB_URL = r"""https?://[^\s"<>]+"""
+
+
+@query("enrich_with", f"""WITH {_PROMPTS_SQL}, d AS (
+  SELECT DISTINCT sha256(prompt) AS prompt_sha, nullif(regexp_extract(prompt, {Q.lit(_STUB_URL)}, 0), '') AS url FROM pr
+)
+SELECT pr.id, sha256(pr.prompt) AS prompt_sha,
+       CASE WHEN d.url IS NULL THEN '{{"sources":[]}}' ELSE '{{"website":"' || d.url || '","sources":[]}}' END AS raw
+FROM pr JOIN d ON d.prompt_sha = sha256(pr.prompt)""")
 def enrich_with(spark, sf_dir):
     """UDF-1: user completion function over the distinct prompts (Arrow batches), joined back."""
     p = prompts(spark, sf_dir)

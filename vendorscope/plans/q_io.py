@@ -176,7 +176,8 @@ def _unescape_series(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else _html.unescape(x))
 
 
-@query("unescape_full")
+@query("unescape_full", f"""
+SELECT page_id, {Q.decode(Q.rx(Q.rx(Q.denoise('html'), r'(?s)<!--.*?-->', 'chr(10)'), Q.TAG, 'chr(10)'))} AS text FROM pages""")
 def unescape_full(spark, sf_dir):
     """UDF-2: full HTML5 entity decoding (named and numeric) of page text, Arrow-batched."""
     from vendorscope.functions.html import COMMENT, TAG, denoise
