@@ -11,13 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Parquet scan of a driver table.
+
+    ``spread``: for tables feeding CPU-heavy text work, round-robin the rows
+    over all cores when the scan yields fewer splits than there are cores
+    (a small file with few row groups). On large inputs, which have many
+    splits, this is a no-op. Column pruning and filters still reach the scan.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df._jdf.rdd().getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def pages(spark, sf_dir) -> DataFrame:
     """Raw web pages: page_id, url, html."""
-    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return read_table(spark, sf_dir, "pages", spread=True).select("page_id", "url", "html")
 
 
 def _geo(spark, sf_dir) -> DataFrame:
@@ -57,7 +69,7 @@ def raw_vendors(spark, sf_dir) -> DataFrame:
 
 def question_answers(spark, sf_dir) -> DataFrame:
     """User turns with the following assistant turn: conv_id, turn, question, answer."""
-    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = read_table(spark, sf_dir, "conversations", spread=True).select("conv_id", "turn", "role", "text")
     q = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     a = conv.where(F.col("role") == "assistant").select(
         F.col("conv_id").alias("a_conv"), (F.col("turn") - 1).alias("a_turn"), F.col("text").alias("answer"))
@@ -112,7 +124,7 @@ def snapshots(spark, sf_dir) -> DataFrame:
 
 def table_pages(spark, sf_dir) -> DataFrame:
     """One HTML table per part (header rule, ragged rows, an empty row, source junk)."""
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    p = read_table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_brand", "p_type")
     html = F.concat(
         F.lit("<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>"),
         F.col("p_brand"), F.lit(" IBM +4</td></tr><tr><td> </td></tr><tr><td>type</td><td>"),
@@ -122,7 +134,8 @@ def table_pages(spark, sf_dir) -> DataFrame:
 
 def fact_answers(spark, sf_dir) -> DataFrame:
     """Answer texts in the Parameter/Value/Source URL reply format, one per line item."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    li = read_table(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey",
+                                                                     "l_linenumber")
     ln = F.col("l_linenumber")
     src = (F.when(ln % 3 == 0, F.lit("https://www.instagram.com/p"))
            .when(ln % 3 == 1, F.lit("https://www.facebook.com/p"))
@@ -139,7 +152,7 @@ def fact_answers(spark, sf_dir) -> DataFrame:
 
 def completions(spark, sf_dir) -> DataFrame:
     """Model completions per order: vendor_id, raw (valid, invalid, non-object, missing)."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    o = read_table(spark, sf_dir, "orders", spread=True).select("o_orderkey")
     k = F.col("o_orderkey")
     raw = (F.when(k % 7 == 0, F.lit("not json"))
            .when(k % 7 == 1, F.lit("[1]"))
@@ -153,7 +166,7 @@ def completions(spark, sf_dir) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
 
 
 __all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
