@@ -39,6 +39,17 @@ def has_attr(tok: Column, name: str) -> Column:
     return tok.rlike(rf"(?i)[\s/]{name}(\s*=|[\s/>])")
 
 
+def by_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Hash-partition pages by key into the session's shuffle partition count.
+
+    The explicit count keeps AQE from coalescing a small (in bytes) but
+    CPU-heavy page set into one task; page keys are unique, so no partition
+    is skewed.
+    """
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(n, key)
+
+
 def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """HTM-6 token rows: key, pos, kind, tag, token, char_start, char_len.
 
@@ -157,7 +168,7 @@ def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
     stripped innerHTML is longer than ``body_min``. Output: key,
     selector_rank (0 = body, null = nothing), region_html.
     """
-    pg = pages.select(key, html).repartition(key)
+    pg = by_page(pages.select(key, html), key)
     divs = extents(tokens(pg, key, html), "div", key)
     scoped = [(r + 1, s) for r, s in enumerate(fixed.RESPONSE_SELECTORS) if s[3] is not None]
     cand = divs.withColumn("rank", selector_rank(F.col("token")))
@@ -186,7 +197,7 @@ def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
     A narrow ``contains`` filter before tokenising, so pages without an
     overview never reach the token windows.
     """
-    return pages.select(key, html).where(F.col(html).contains(fixed.OVERVIEW_ANCHOR_TEXT)).repartition(key)
+    return by_page(pages.select(key, html).where(F.col(html).contains(fixed.OVERVIEW_ANCHOR_TEXT)), key)
 
 
 def _extent_cols(t: DataFrame, tags: list[str], p: str, key: str, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -64,7 +64,7 @@ SELECT page_id, kind, count(*) AS n_tokens, CAST(sum(char_len) AS BIGINT) AS cha
 FROM tok GROUP BY page_id, kind""")
 def html_tokens(spark, sf_dir):
     """HTM-6 token rows: per page and token kind, token count and character coverage."""
-    tok = TK.tokens(S.pages(spark, sf_dir).repartition("page_id"))
+    tok = TK.tokens(TK.by_page(S.pages(spark, sf_dir)))
     return tok.groupBy("page_id", "kind").agg(
         F.count("*").alias("n_tokens"), F.sum("char_len").cast("bigint").alias("chars"),
         F.max(F.col("char_start") + F.col("char_len")).cast("bigint").alias("page_chars"))
@@ -77,7 +77,7 @@ _EXT_TAGS = ["div", "p", "article", "ul", "li", "nav", "a", "b"]
 SELECT page_id, tag, start_pos, end_pos, depth, inner_start, inner_end FROM ext""")
 def element_extent(spark, sf_dir):
     """HTM-6: extents (token span, nesting depth, innerHTML offsets) of common elements on every page."""
-    tok = TK.tokens(S.pages(spark, sf_dir).repartition("page_id"))
+    tok = TK.tokens(TK.by_page(S.pages(spark, sf_dir)))
     return TK.extents(tok, _EXT_TAGS).drop("token")
 
 
