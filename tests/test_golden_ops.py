@@ -74,3 +74,15 @@ def test_fact_resolution_policies(spark):
     assert blank == {"website": "", "rating": "4.5"}                # conflicting websites -> ""
     rr = FX.rating_reviews(fx).where("parameter = 'rating' AND value IS NOT NULL").first()
     assert rr.rating_num == 4.5
+
+
+def test_page_to_answer_keeps_tables_and_their_text(spark):
+    from vendorscope.operators.pages import page_to_answer
+    html = ("<div>You said:</div><p>q</p><p>Answer before the table.</p>"
+            "<table><tr><th>Feature x</th><th>B</th></tr><tr><td>1</td><td>2 Quora +3</td></tr></table>"
+            "<div>AI can make mistakes</div>")
+    df = spark.createDataFrame([(1, html, "q")], "page_id long, html string, question string")
+    r = page_to_answer(df, question="question").first()
+    assert r.tables == ["| Feature | B |\n| --- | --- |\n| 1 | 2 |"]
+    assert r.answer_only == "Answer before the table. Feature x B 1 2 Quora +3"   # table text stays in the lines
+    assert r.answer == "Answer before the table. Feature x B 1 2 Quora"            # +N removed by the sanitiser

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0
-    assert df.columns == ["page_id", "n_lines", "full_text", "answer_only", "answer", "meaningful"]
+    assert df.columns == ["page_id", "n_lines", "full_text", "answer_only", "tables_json", "answer", "meaningful"]
 
 
 def test_every_query_has_docs():

@@ -26,16 +26,20 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
 
     ``question`` names the column holding the question text; without one the
     page title is used. Output: keep..., n_lines, full_text, answer_only,
-    answer (sanitised, falling back to the full text), meaningful.
+    tables (Markdown per table, HTM-11..13), answer (sanitised, falling back
+    to the full text), meaningful.
     """
+    from vendorscope.operators.tables import markdown, parse_tables
     q = F.col(question) if question else H.title_text(F.col(html))
-    staged = df.select(*keep, H.html_lines(F.col(html)).alias("_lines"), q.alias("_q"))
+    tables = F.transform(parse_tables(F.col(html)), markdown)
+    staged = df.select(*keep, H.html_lines(F.col(html)).alias("_lines"), q.alias("_q"), tables.alias("tables"))
     staged = H.with_answer_slice(staged, "_lines", "_q")
     out = staged.select(
         *keep,
         F.size("_lines").cast("bigint").alias("n_lines"),
         H.full_text(F.col("_lines")).alias("full_text"),
         "answer_only",
+        "tables",
     )
     # answer_only is already single-line: when no removal applies, sanitising it is the identity.
     ao = F.col("answer_only")

@@ -12,23 +12,32 @@ from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
 from vendorscope.sources import tables as S
 
-_PAGE_ANSWER_SQL = f"""
+def _page_answer_sql() -> str:
+    from vendorscope.plans.q_tables import header_rule_sql, markdown_sql, tables_sql
+    return f"""
 WITH p AS (
-  SELECT page_id, {Q.lines('html')} AS lines0, {Q.title('html')} AS q FROM pages
+  SELECT page_id, {Q.lines('html')} AS lines0, {Q.title('html')} AS q,
+         list_transform({header_rule_sql(tables_sql('html'))}, lambda t: {markdown_sql('t')}) AS tables
+  FROM pages
 ), {Q.answer_ctes('p', 'page_id', 'lines0', 'q')}, f AS (
-  SELECT page_id, CAST(len(lines) AS BIGINT) AS n_lines, array_to_string(lines, chr(10)) AS full_text,
-         answer_only,
+  SELECT s6.page_id, CAST(len(lines) AS BIGINT) AS n_lines, array_to_string(lines, chr(10)) AS full_text,
+         answer_only, to_json(p.tables) AS tables_json,
          {Q.sanitize("coalesce(nullif(answer_only, ''), array_to_string(lines, chr(10)))")} AS answer
-  FROM s6
+  FROM s6 JOIN p ON p.page_id = s6.page_id
 )
-SELECT page_id, n_lines, full_text, answer_only, answer, {Q.meaningful('answer')} AS meaningful FROM f
+SELECT page_id, n_lines, full_text, answer_only, tables_json, answer, {Q.meaningful('answer')} AS meaningful FROM f
 """
 
 
+_PAGE_ANSWER_SQL = _page_answer_sql()
+
+
 @query("page_to_answer", _PAGE_ANSWER_SQL)
 def page_to_answer(spark, sf_dir):
-    """HTM-8: every page -> full text, sliced answer (question = page title), usable flag."""
-    return P.page_to_answer(S.pages(spark, sf_dir))
+    """HTM-8: every page -> full text, sliced answer (question = page title), tables, usable flag."""
+    a = P.page_to_answer(S.pages(spark, sf_dir))
+    return a.select("page_id", "n_lines", "full_text", "answer_only", F.to_json("tables").alias("tables_json"),
+                    "answer", "meaningful")
 
 
 @query("page_answer_status", f"""

@@ -27,18 +27,37 @@ def _cell_sql(c: str) -> str:
     return Q.clean_cell(f"array_to_string({Q.lines(c)}, ' ')")
 
 
+def tables_sql(html: str) -> str:
+    """Tables of an HTML column as a list of non-empty row lists (empty rows and tables dropped)."""
+    return (f"list_filter(list_transform(regexp_extract_all({Q.denoise(html)}, {Q.lit(_plain(TB.TABLE_RX))}, 1), "
+            f"lambda t: list_filter(list_transform(regexp_extract_all(t, {Q.lit(_plain(TB.ROW_RX))}, 1), "
+            f"lambda r: list_transform(regexp_extract_all(r, {Q.lit(_plain(TB.CELL_RX))}, 1), "
+            f"lambda c: {_cell_sql('c')})), lambda row: len(list_filter(row, lambda x: x <> '')) > 0)), "
+            f"lambda t: len(t) > 0)")
+
+
+def header_rule_sql(tabs: str) -> str:
+    """First header cell starting with "feature" (any case) becomes "Feature"."""
+    return (f"list_transform({tabs}, lambda t: CASE WHEN starts_with(lower(t[1][1]), 'feature') "
+            f"THEN list_concat([list_concat(['Feature'], list_slice(t[1], 2, len(t[1])))], list_slice(t, 2, len(t))) "
+            f"ELSE t END)")
+
+
+def markdown_sql(t: str) -> str:
+    """Markdown text of one parsed table (rows padded to the widest)."""
+    w = f"list_max(list_transform({t}, lambda r: len(r)))"
+    line = (lambda r: f"'| ' || array_to_string(list_concat({r}, list_transform(range({w} - len({r})), "
+                      f"lambda i: '')), ' | ') || ' |'")
+    sep = f"'| ' || array_to_string(list_transform(range({w}), lambda i: '---'), ' | ') || ' |'"
+    return (f"array_to_string(list_concat([{line(f'{t}[1]')}, {sep}], "
+            f"list_transform(list_slice({t}, 2, len({t})), lambda r: {line('r')})), chr(10))")
+
+
 _PARSED = f"""{_TB}, pt AS (
-  SELECT page_id, list_filter(list_transform(regexp_extract_all({Q.denoise('html')}, {Q.lit(_plain(TB.TABLE_RX))}, 1),
-      lambda t: list_filter(list_transform(regexp_extract_all(t, {Q.lit(_plain(TB.ROW_RX))}, 1),
-          lambda r: list_transform(regexp_extract_all(r, {Q.lit(_plain(TB.CELL_RX))}, 1), lambda c: {_cell_sql('c')})),
-        lambda row: len(list_filter(row, lambda x: x <> '')) > 0)),
-    lambda t: len(t) > 0) AS tabs
+  SELECT page_id, {tables_sql('html')} AS tabs
   FROM tb
 ), ph AS (
-  SELECT page_id, list_transform(tabs, lambda t: CASE WHEN starts_with(lower(t[1][1]), 'feature')
-      THEN list_concat([list_concat(['Feature'], list_slice(t[1], 2, len(t[1])))], list_slice(t, 2, len(t)))
-      ELSE t END) AS tabs
-  FROM pt
+  SELECT page_id, {header_rule_sql('tabs')} AS tabs FROM pt
 ), t1 AS (
   SELECT page_id, unnest(tabs) AS t, unnest(range(len(tabs))) AS table_idx FROM ph
 )"""
