@@ -86,3 +86,14 @@ def test_page_to_answer_keeps_tables_and_their_text(spark):
     assert r.tables == ["| Feature | B |\n| --- | --- |\n| 1 | 2 |"]
     assert r.answer_only == "Answer before the table. Feature x B 1 2 Quora +3"   # table text stays in the lines
     assert r.answer == "Answer before the table. Feature x B 1 2 Quora"            # +N removed by the sanitiser
+
+
+def test_partitioned_overwrite_replaces_only_touched_folders(spark, tmp_path):
+    from vendorscope.sources import io as IO
+    path = str(tmp_path / "out")
+    first = spark.createDataFrame([("C", "a", "x1"), ("C", "b", "y1")], "category string, city string, text string")
+    IO.write_partitioned(first, path, ["category", "city"])
+    rerun = spark.createDataFrame([("C", "a", "x2")], "category string, city string, text string")
+    IO.write_partitioned(rerun, path, ["category", "city"])
+    got = sorted((r.city, r.text) for r in IO.read_partitioned(spark, path).collect())
+    assert got == [("a", "x2"), ("b", "y1")]
