@@ -97,3 +97,27 @@ def test_partitioned_overwrite_replaces_only_touched_folders(spark, tmp_path):
     IO.write_partitioned(rerun, path, ["category", "city"])
     got = sorted((r.city, r.text) for r in IO.read_partitioned(spark, path).collect())
     assert got == [("a", "x2"), ("b", "y1")]
+
+
+def test_markdown_round_trip(spark):
+    """Markdown -> rows -> Markdown body lines give back the same text (pipe-free cells)."""
+    from tests.conftest import SF_SMALL
+    from vendorscope.sources import tables as S
+    md = TB.tables_markdown(S.table_pages(spark, SF_SMALL))
+    rows = TB.markdown_rows(md)
+    lines = rows.groupBy("page_id", "table_no", "row_idx").agg(
+        F.array_sort(F.collect_list(F.struct("col_idx", "cell"))).getField("cell").alias("cells"))
+    got = {}
+    for r in lines.collect():
+        got.setdefault((r.page_id, r.table_no), {})[r.row_idx] = "| " + " | ".join(r.cells) + " |"
+    want = {(r.page_id, r.table_no): r.markdown.split("\n")[2:] for r in md.collect()}
+    assert want and {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
+
+
+def test_every_vendor_once_in_fan_in(spark):
+    from tests.conftest import SF_SMALL
+    from vendorscope.plans.catalog import all_queries
+    from vendorscope.sources import tables as S
+    ct = all_queries()["combine_text"].build(spark, SF_SMALL)
+    n_vendors = S.vendors(spark, SF_SMALL).count()
+    assert ct.count() == ct.select("id").distinct().count() == n_vendors
