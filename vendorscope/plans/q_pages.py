@@ -98,7 +98,7 @@ WITH {_AP}, p AS (SELECT conv_id, turn, {Q.lines('html')} AS lines0, question FR
 SELECT conv_id, turn, answer_only FROM s6
 """)
 def answer_slice(spark, sf_dir):
-    """HTM-7: answer paragraph on AI-answer pages (anchor, skip, footer cut, collapse)."""
+    """HTM-7 + LIM-2: answer paragraph on AI-answer pages (first anchor, skip, first footer cut, collapse)."""
     ap = S.answer_pages(spark, sf_dir).select("conv_id", "turn", H.html_lines(F.col("html")).alias("lines"),
                                               "question")
     return H.with_answer_slice(ap, "lines", "question").select("conv_id", "turn", "answer_only")
@@ -149,7 +149,7 @@ def sanitize_answer(spark, sf_dir):
 SELECT conv_id, turn, {Q.meaningful('text')} AS meaningful FROM conversations
 """)
 def meaningful_answer(spark, sf_dir):
-    """FLT-1 on every conversation turn."""
+    """FLT-1 + LIM-1: usable-answer test (300-char UI window) on every conversation turn."""
     c = S.read_table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", T.is_meaningful(F.col("text")).alias("meaningful"))
 

@@ -117,7 +117,7 @@ FROM {src} p LEFT JOIN best b ON p.{key} = b.{key}"""
 
 @query("region_pick", _region_sql("pages", "page_id"))
 def region_pick(spark, sf_dir):
-    """HTM-5 + WIN-2 + FLT-2: response region of every page (selector rank; 0 = body fallback)."""
+    """HTM-5 + WIN-2 + FLT-2 + LIM-2: response region of every page (selector rank; 0 = body fallback)."""
     return TK.region_pick(S.pages(spark, sf_dir))
 
 

@@ -129,7 +129,7 @@ def slug(spark, sf_dir):
 @query("slug_capped", f"""
 SELECT conv_id, turn, {Q.slug('text', 80, 'ai_mode')} AS slug FROM conversations WHERE role = 'user'""")
 def slug_capped(spark, sf_dir):
-    """PRJ-5: capped slug of every question (artifact names), 'ai_mode' when empty."""
+    """PRJ-5 + LIM-1: capped slug of every question (artifact names), 'ai_mode' when empty."""
     c = S.read_table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     return c.select("conv_id", "turn", T.slug(F.col("text"), cap=80, fallback="ai_mode").alias("slug"))
 
