@@ -24,3 +24,14 @@ def test_every_query_has_docs():
 def test_query_matches_oracle(spark, name):
     res = check(spark, SF_SMALL, [name], verbose=False)[name]
     assert res[0] == "ok", res
+
+
+def test_every_survey_operator_has_a_query():
+    import re
+    from tools.coverage_report import claimed, survey_ids
+    from vendorscope.plans.catalog import all_queries
+    ids = set()
+    for q in all_queries().values():
+        ids |= claimed(q.doc)
+    missing = [sid for sid, _ in survey_ids() if sid not in ids and re.sub(r"[a-z]$", "", sid) not in ids]
+    assert not missing, missing
