@@ -72,9 +72,13 @@ def region_min_len(df: DataFrame, html: str = "html", min_chars: int = fixed.REG
     return df.where(F.length(T.strip_ws(F.col(html))) > min_chars)
 
 
+# A div whose id is the block form's id (quoted or not).
+BLOCK_FORM_RX = rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]"""
+
+
 def is_blocked(html, text) -> "F.Column":
     """FLT-5: captcha form present or the block sentence in the page text."""
-    form = F.col(html).rlike(rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]""")
+    form = F.col(html).rlike(BLOCK_FORM_RX)
     return form | F.coalesce(F.col(text), F.lit("")).contains(fixed.BLOCK_TEXT)
 
 

@@ -353,7 +353,8 @@ def page_status(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     """FLT-5 + FLT-8: outcome per page: blocked / no_overview / container_unparsed / empty_text / ok."""
     pg = pages.select(key, html)
     text = H.full_text(H.html_lines(F.col(html)))
-    form = F.col(html).rlike(rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]""")
+    from vendorscope.operators.pages import BLOCK_FORM_RX
+    form = F.col(html).rlike(BLOCK_FORM_RX)
     base = pg.select(key, (form | text.contains(fixed.BLOCK_TEXT)).alias("_blocked"))
     t = _overview(pg, key, html)
     has_text = _blocks(t, key).where(strip_ws(F.col("overview_text")) != "").select(key, F.lit(True).alias("_text"))

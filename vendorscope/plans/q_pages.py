@@ -174,7 +174,7 @@ def region_min_len(spark, sf_dir):
 
 @query("blocked_page", f"""
 SELECT page_id,
-  regexp_matches(html, {Q.lit('<div\\b[^>]*\\bid\\s*=\\s*["' + "'" + ']?' + fixed.BLOCK_FORM_ID + '["' + "'" + '\\s>/]')})
+  regexp_matches(html, {Q.lit(P.BLOCK_FORM_RX)})
   OR contains(array_to_string({Q.lines('html')}, chr(10)), {Q.lit(fixed.BLOCK_TEXT)}) AS blocked
 FROM pages
 """)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
+from vendorscope.operators import pages as P
 from vendorscope.operators import tokens as TK
 from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
@@ -138,7 +139,7 @@ anchored AS (
   WHERE h.pos > e.start_pos AND (e.end_pos IS NULL OR h.pos < e.end_pos)
 )
 SELECT p.page_id,
-  CASE WHEN regexp_matches(p.html, {Q.lit('<div\\b[^>]*\\bid\\s*=\\s*["' + "'" + ']?' + fixed.BLOCK_FORM_ID + '["' + "'" + '\\s>/]')})
+  CASE WHEN regexp_matches(p.html, {Q.lit(P.BLOCK_FORM_RX)})
          OR contains(array_to_string({Q.lines('p.html')}, chr(10)), {Q.lit(fixed.BLOCK_TEXT)}) THEN 'blocked'
        WHEN a.page_id IS NULL THEN 'no_overview' ELSE 'anchored' END AS status
 FROM pages p LEFT JOIN anchored a ON p.page_id = a.page_id""")
