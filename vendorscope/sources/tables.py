@@ -21,8 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() < cores:
+        try:  # classic sessions only (split count of the plain scan; planning, no job)
+            cores = spark.sparkContext.defaultParallelism
+            splits = df._jdf.rdd().getNumPartitions()
+        except Exception:  # noqa: BLE001 - e.g. Spark Connect: keep the scan as is
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df
 
