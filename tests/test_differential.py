@@ -66,7 +66,7 @@ def brute_lines(doc: str) -> list[str]:
     return [ln.strip() for ln in text.splitlines() if ln.strip()]
 
 
-@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
 def test_lines_match_stdlib_walk(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html")
     got = {r.page_id: (r.html, r.lines) for r in
