@@ -102,3 +102,9 @@ def test_tag_pattern_hostile_input(spark):
 def test_param_bullets(spark):
     df = spark.createDataFrame([([" website ", "", "  ", "phone"],)], "f array<string>")
     assert df.select(T.param_bullets(F.col("f"))).first()[0] == "- website\n- phone"
+
+
+def test_entities_without_semicolon(spark):
+    # A known entity cut before its ";" still decodes before a non-alphanumeric; unknown ones stay.
+    html = "<title>and&amp</title><p>do&amp;&amp;&am</p><p>a&ampx b</p>"
+    assert one(spark, H.html_lines(F.col("x")), html) == ["and&", "do&&&am", "a&ampx b"]

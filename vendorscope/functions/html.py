@@ -10,6 +10,8 @@ noscript and svg subtrees carry no text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,12 +41,19 @@ def denoise(c) -> Column:
     return c
 
 
+def entity_pattern(ent: str) -> str:
+    """A named entity with its ``;``, or without it before a non-alphanumeric (as html.parser reads it)."""
+    if ent.startswith("&#"):
+        return re.escape(ent)
+    return rf"&{ent[1:-1]}(?:;|(?![A-Za-z0-9]))"
+
+
 def decode_entities(c) -> Column:
     """Decode the named entities of ``ENTITIES`` (text without ``&`` is returned as is)."""
     c = _c(c)
     out = c
     for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+        out = F.regexp_replace(out, entity_pattern(ent), ch)
     return F.when(c.contains("&"), out).otherwise(c)
 
 

@@ -36,8 +36,12 @@ def single_line(x: str) -> str:
 
 
 def decode(x: str) -> str:
+    """Named entities with ``;``, or without it before a non-alphanumeric (kept via the group)."""
     for ent, ch in ENTITIES:
-        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
+        if ent.startswith("&#"):
+            x = f"replace({x}, {lit(ent)}, {lit(ch)})"
+        else:
+            x = f"regexp_replace({x}, {lit('&' + ent[1:-1] + '(;|([^A-Za-z0-9])|$)')}, {lit(ch + chr(92) + '2')}, 'g')"
     return x
 
 
