@@ -48,13 +48,22 @@ def entity_pattern(ent: str) -> str:
     return rf"&{ent[1:-1]}(?:;|(?![A-Za-z0-9]))"
 
 
+_BARE_ENTITY = "&(?:" + "|".join(e[1:-1] for e, _ in ENTITIES if not e.startswith("&#")) + ")(?![A-Za-z0-9;])"
+
+
 def decode_entities(c) -> Column:
-    """Decode the named entities of ``ENTITIES`` (text without ``&`` is returned as is)."""
+    """Decode the named entities of ``ENTITIES`` (text without ``&`` is returned as is).
+
+    Text whose entities all end in ``;`` takes the literal-replace chain; only
+    text with a bare known entity (``&amp`` before a non-alphanumeric) takes the
+    regex chain. Both decode ``&amp`` last, so they agree.
+    """
     c = _c(c)
-    out = c
+    literal, bare = c, c
     for ent, ch in ENTITIES:
-        out = F.regexp_replace(out, entity_pattern(ent), ch)
-    return F.when(c.contains("&"), out).otherwise(c)
+        literal = F.replace(literal, F.lit(ent), F.lit(ch))
+        bare = F.regexp_replace(bare, entity_pattern(ent), ch)
+    return F.when(~c.contains("&"), c).when(c.rlike(_BARE_ENTITY), bare).otherwise(literal)
 
 
 def strip_tags(c) -> Column:
