@@ -25,7 +25,10 @@ _REGISTRY: dict[str, Query] = {}
 def query(name: str, sql: str | None = None):
     """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def wrap(fn: Builder) -> Builder:
-        if name in _REGISTRY:
+        old = _REGISTRY.get(name)
+        # The same function registering again (its module imported twice) is fine;
+        # two different functions claiming one key is a mistake.
+        if old is not None and old.build.__qualname__ != fn.__qualname__:
             raise ValueError(f"duplicate query {name}")
         _REGISTRY[name] = Query(name, fn, sql, (fn.__doc__ or "").strip())
         return fn
