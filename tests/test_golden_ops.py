@@ -121,3 +121,12 @@ def test_every_vendor_once_in_fan_in(spark):
     ct = all_queries()["combine_text"].build(spark, SF_SMALL)
     n_vendors = S.vendors(spark, SF_SMALL).count()
     assert ct.count() == ct.select("id").distinct().count() == n_vendors
+
+
+def test_unknown_category_aborts_the_run(spark):
+    import pytest
+    ok = spark.createDataFrame([(1, "WEDDING_PLANNERS")], "id long, category string")
+    assert V.require_known_category(ok).count() == 1
+    bad = spark.createDataFrame([(1, "WEDDING_PLANNERS"), (2, "CATERERS")], "id long, category string")
+    with pytest.raises(ValueError, match="Unknown category: CATERERS"):
+        V.require_known_category(bad)
