@@ -42,3 +42,125 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vendorscope.llm.tokens import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
+@register
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed along a Hilbert curve into sequences of 2048 ids; one row per piece."""
+    from vendorscope.llm.packing import digests, pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=2048, end=1)
+    return digests(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@register
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 1, 2, 3 (repeating), at most 3 times each."""
+    from vendorscope.llm.mixing import with_copies
+
+    mixed = with_copies(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), most=3.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by trigram mixtures, learned from the documents that aren't held out."""
+    from vendorscope.llm.langid import held_out, identified, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    found = identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that repeated 35-word windows cover, removed; digest of what is kept."""
+    from vendorscope.llm.substrings import removed_counts
+
+    return removed_counts(table(spark, sf_dir, "documents"), window=35)
+
+
+from vendorscope.llm.mixing import ORACLE as _MIXING  # noqa: E402
+
+ORACLES["op5_mixing"] = _MIXING
+ORACLES["op10_substrings"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT r, p, array_to_string(w[p:p + 34], ' ') AS t
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+m AS (SELECT t FROM s GROUP BY t HAVING count(*) > 1),
+c AS (SELECT DISTINCT r, p + k AS p FROM (SELECT r, p FROM s SEMI JOIN m USING (t)), range(0, 35) AS o(k)),
+g AS (SELECT r, list(p) AS gone FROM c GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+                   ELSE array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(gone, i)], ' ') END)
+         AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@register
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records (equal payloads once) and read back from the archives."""
+    from vendorscope.llm.archives import page_records, page_summary, write_archive
+    from vendorscope.sources.io import work_path
+
+    pages = table(spark, sf_dir, "pages")
+    return page_summary(spark, write_archive(page_records(pages), work_path(spark, "warc")))
+
+
+ORACLES["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM g
+"""
+
+
+@register
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found by cosine of every embedding whose id is divisible by 50, on an NN-descent graph of all."""
+    from vendorscope.llm.ann import neighbours
+
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@register
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows by integer inner product of every embedding whose id is divisible by 50, exact."""
+    from vendorscope.llm.topk import top_k
+
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+ORACLES["op7_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256.0::DOUBLE * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@register
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of all documents: family, calibrated probability and cover of the nearest template."""
+    from vendorscope.llm.licenses import license_lines, train
+
+    docs = table(spark, sf_dir, "documents")
+    found = license_lines(docs, train(docs))
+    return found.select("doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"),
+                        F.round("cover", 6).alias("cover"))
