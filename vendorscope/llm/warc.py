@@ -228,7 +228,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: FilePart | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark's stand-in for a folder without archives
+            return
         fs, _ = filesystem(self.options["path"])
         wanted = str(self.options.get("payload", "true")).lower() != "false"
         schema = pa.schema([(c, pa.int64() if c in NUMBERS else pa.binary() if c == "payload" else pa.string())
