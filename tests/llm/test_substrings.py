@@ -1,5 +1,6 @@
 """Substring dedup against brute force over all windows."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -53,6 +54,27 @@ def test_rolling_hash_depends_on_the_window_only():
     assert S.rolling(h, 35, S.ODD[0])[0] != S.rolling(swapped, 35, S.ODD[0])[0]
 
 
+@pytest.mark.parametrize("run", [2, 16])
+def test_copies_with_edits(spark, monkeypatch, run):
+    """Copies of long texts, cut, joined and edited: settled runs, their edges, and windows that only meet settled runs."""
+    monkeypatch.setattr(S, "RUN", run)
+    rng = random.Random(run)
+    base = [[f"v{rng.randrange(4000)}" for _ in range(rng.randrange(100, 700))] for _ in range(15)]
+    texts = [" ".join(b) for b in base]
+    for _ in range(60):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = "edit"
+        lo = rng.randrange(len(w) - 40)
+        other = rng.choice(base)
+        texts.append(" ".join(w[lo:lo + rng.randrange(20, 400)] + other[:rng.randrange(60)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_words, r.n_removed, bytes(r.kept)) for r in S.marked_words(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == plain(texts, 35)
+    digests = {r.doc_id: r.kept_sha256 for r in S.removed_counts(docs).collect()}
+    assert digests == {i: hashlib.sha256(k).hexdigest() for i, (_, _, k) in got.items()}
+
+
 def test_empty_and_stage(no_docs, odd_docs):
     assert S.marked_words(no_docs).collect() == []
     out = S.without_repeats(odd_docs)

@@ -1,6 +1,6 @@
 """Substring dedup: windows of words that start more than once, found behind a count-min prefilter.
 
-A window is ``window`` consecutive words of one document. Three passes:
+A window is ``window`` consecutive words of one document.
 
 1. Every partition adds the *anchors* of its windows to a count-min sketch. The
    anchor of a window is its ``gram``-word run with the least hash (the leftmost
@@ -9,9 +9,11 @@ A window is ``window`` consecutive words of one document. Three passes:
    underestimates how often a window occurs; far fewer anchors than windows
    are counted. Partition sketches travel as sorted cell numbers (a cell at most
    twice) and are added up cell range by cell range.
-2. Only windows whose anchor is estimated to occur twice are grouped, by a 128-bit hash of
-   their words, and counted exactly. A window that does repeat is
-   never left out, whatever the sketch's load; a fuller sketch only lets more windows in.
+2. Only windows whose anchor is estimated to occur twice are grouped exactly, by 128-bit hashes of their
+   words. A window that does repeat is never left out, whatever the sketch's load; a fuller sketch only lets more in.
+   Windows in copied stretches are grouped in runs first: window starts are cut where a hash of the following words
+   says so, and a run of windows whose whole stretch of words occurs twice is settled by one row. The
+   other windows are then grouped one by one, together with those of one copy of every settled run.
 3. Documents with a repeated window are joined to their positions, and the covered words go.
 """
 
@@ -31,8 +33,9 @@ from vendorscope.llm.common import rows, saved
 
 SLICE_BITS = 16                       # cells of one slice of the sketch
 MAX_CELL_BITS = 28                    # a sketch row has at most 2**28 cells: 32 MB as a bitmap
-DEPTH = 2                             # rows of the sketch
-CHARS_PER_CELL = 16                   # anchors are rarer than one in 64 characters of prose
+DEPTH = 3                             # rows of the sketch
+CHARS_PER_CELL = 8                    # anchors are rarer than one in 50 characters of prose
+RUN = 16                              # windows of a run, on average
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 U = np.uint64
 
@@ -135,9 +138,22 @@ def sketch(docs: DataFrame, bits: int, window: int, gram: int, text_col: str) ->
     return maps
 
 
-def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: str = "text") -> DataFrame:
+def runs(g: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 window of each run: cuts depend on the words that follow, and long runs are cut evenly."""
+    cut = np.flatnonzero((g[:windows] >> U(40)) % U(RUN) == 0)
+    cut = np.unique(np.concatenate([[0], cut]))
+    gap = np.diff(np.concatenate([cut, [windows]]))
+    if gap.max() > 8 * RUN:
+        cut = np.concatenate([np.arange(a, a + n, 8 * RUN) for a, n in zip(cut, gap)])
+    return cut, np.concatenate([cut[1:], [windows]])
+
+
+def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: str = "text",
+                 digest: bool = False) -> DataFrame:
     """``docs`` with three more columns: ``n_words``, ``n_removed`` and ``kept`` (binary, the kept words joined by one space).
 
+    With ``digest``, ``kept`` is the SHA-256 of these bytes (binary) and ``text_col`` isn't returned.
+
     A word goes if a window covers it whose word sequence also starts anywhere
     else, in the same document or another; windows are judged on the input. Null,
     empty and wordless texts have no words and keep the empty string. Texts
@@ -151,75 +167,118 @@ def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: st
     bits = min(MAX_CELL_BITS, max(10, (chars // CHARS_PER_CELL).bit_length()))
     shared = spark.sparkContext.broadcast(sketch(docs, bits, window, gram, text_col))
 
+    def estimated(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes of words, hashes of grams, which windows are estimated to occur twice)."""
+        h = word_hashes(words)
+        g, at = anchors(h, window, gram)
+        seen = np.ones(len(g), bool)
+        for bitmap, c in zip(shared.value, cells(g, bits)):
+            seen &= (bitmap[c >> 3] >> (c & 7).astype(np.uint8) & 1).astype(bool)
+        return h, g, seen[at]
+
+    def finished(words: list[bytes]) -> bytes:
+        joined = b" ".join(words)
+        return hashlib.sha256(joined).digest() if digest else joined
+
+    own = docs.drop("n_words", "n_removed", "kept")
+    names = [c for c in own.columns if not (digest and c == text_col)]
+    form = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in names)
+
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps, row, part = shared.value, 0, TaskContext.get().partitionId()
+        row, part = 0, TaskContext.get().partitionId()
         for b in rows(batches):
-            at_col, one, two = [], [], []
             ids = range((part << 33) + row, (part << 33) + row + b.num_rows)
             row += b.num_rows
+            total, kept, left, cols = [], [], [], ([], [], [])
             for text in b.column(text_col).cast(pa.binary()).to_pylist():
                 words = (text or b"").split()
-                found = None
+                total.append(len(words))
                 if len(words) >= window:
-                    h = word_hashes(words)
-                    g, at = anchors(h, window, gram)
-                    seen = np.ones(len(g), bool)
-                    for bitmap, c in zip(maps, cells(g, bits)):
-                        seen &= (bitmap[c >> 3] >> (c & 7).astype(np.uint8) & 1).astype(bool)
-                    found = np.flatnonzero(seen[at])
-                if found is None or not len(found):
-                    for col in (at_col, one, two):
-                        col.append(None)
+                    h, g, ok = estimated(words)
+                if len(words) < window or not ok.any():
+                    kept.append(finished(words))
+                    left.append(None)
+                    for c in cols:
+                        c.append(None)
                     continue
-                at_col.append(found.astype(np.int32))
-                one.append(rolling(h, window, ODD[0])[found].view(np.int64))
-                two.append(rolling(h, window, ODD[1])[found].view(np.int64))
+                kept.append(None)
+                left.append(text)
+                lo, hi = runs(g, len(ok))
+                full = np.logical_and.reduceat(ok, lo) & (hi - lo > RUN // 4)
+                lo, hi = lo[full], hi[full]
+                cols[0].append(lo.astype(np.int32))
+                cols[1].append(hi.astype(np.int32))
+                cols[2].append([xxhash.xxh3_128_digest(h[x:y + window - 1].tobytes()) for x, y in zip(lo, hi)])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ids, pa.int64()), pa.array(at_col, pa.list_(pa.int32())),
-                 pa.array(one, pa.list_(pa.int64())), pa.array(two, pa.list_(pa.int64()))],
-                names=[*b.schema.names, "__row", "__at", "__one", "__two"])
+                [*(b.column(n) for n in names), pa.array(total, pa.int64()), pa.array(kept, pa.binary()),
+                 pa.array(ids, pa.int64()), pa.array(left, pa.binary()), pa.array(cols[0], pa.list_(pa.int32())),
+                 pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pa.list_(pa.binary()))],
+                names=[*names, "n_words", "kept", "__row", "__text", "__lo", "__hi", "__run"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Hashes of the windows to be grouped one by one, and of those of the first copy of each settled run."""
+        for b in rows(batches):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for text, settled in zip(b.column("__text").to_pylist(), b.column("__settled").to_pylist()):
+                h, _, ok = estimated(text.split())
+                first = np.zeros(len(ok), bool)
+                for r in settled or []:
+                    ok[r["__lo"]:r["__hi"]] = False
+                    first[r["__lo"]:r["__hi"]] = r["first"]
+                one, two = rolling(h, window, ODD[0]).view(np.int64), rolling(h, window, ODD[1]).view(np.int64)
+                for c, v in zip(out, (np.flatnonzero(ok).astype(np.int32), one[ok], two[ok], one[first], two[first])):
+                    c.append(v)
+            kinds = [pa.int32(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([b.column("__row"), *(pa.array(c, pa.list_(k)) for c, k in zip(out, kinds))],
+                                             names=["__row", "at", "one", "two", "one1", "two1"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches):
-            total, gone, kept = [], [], []
-            for text, at in zip(b.column(text_col).cast(pa.binary()).to_pylist(), b.column("__starts").to_pylist()):
-                words = (text or b"").split()
-                if at:
-                    edge = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, np.asarray(at) + window, -1)
-                    covered = np.cumsum(edge[:-1]) > 0
-                    keep = [w for w, c in zip(words, covered.tolist()) if not c]
-                else:
-                    keep = words
-                total.append(len(words))
+            gone, kept = [], []
+            for text, at, settled in zip(*(b.column(c).to_pylist() for c in ("__text", "__starts", "__settled"))):
+                words = text.split()
+                edge = np.zeros(len(words) + 1, np.int32)
+                np.add.at(edge, np.asarray(at or [], int), 1)
+                np.add.at(edge, np.asarray(at or [], int) + window, -1)
+                for r in settled or []:
+                    edge[r["__lo"]] += 1
+                    edge[r["__hi"] + window - 1] -= 1
+                covered = np.cumsum(edge[:-1]) > 0
+                keep = [w for w, c in zip(words, covered.tolist()) if not c]
                 gone.append(len(words) - len(keep))
-                kept.append(b" ".join(keep))
-            names = [n for n in b.schema.names if n != "__starts"]
+                kept.append(finished(keep))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(n) for n in names), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary())], names=[*names, "n_words", "n_removed", "kept"])
-
-    own = docs.drop("n_words", "n_removed", "kept")
-    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
-    found = saved(own.mapInArrow(searched, f"{form}, __row long, __at array<int>, __one array<long>, __two array<long>"),
-                  "windows")
-    spots = found.where("__at is not null").select(
-        "__row", F.explode(F.arrays_zip("__at", "__one", "__two")).alias("s")).select("__row", "s.*")
-    repeated = spots.groupBy("__one", "__two").count().where("count > 1").select("__one", "__two")
-    starts = (spots.join(repeated, ["__one", "__two"]).groupBy("__row")
-              .agg(F.collect_list("__at").alias("__starts")))
-    # Only documents that have a window worth grouping take part in the join with their texts.
-    some = (found.where("__at is not null").select(*own.columns, "__row").join(starts, "__row", "left")
-            .select(*own.columns, "__starts"))
-    none = found.where("__at is null").select(*own.columns, F.lit(None).cast("array<int>").alias("__starts"))
-    return none.unionByName(some).mapInArrow(cut, f"{form}, n_words long, n_removed long, kept binary")
+                [*(b.column(n) for n in names), b.column("n_words"), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())],
+                names=[*names, "n_words", "n_removed", "kept"])
+
+    found = saved(own.mapInArrow(searched, f"{form}, n_words long, kept binary, __row long, __text binary, "
+                                           "__lo array<int>, __hi array<int>, __run array<binary>"), "windows")
+    some = found.where("__text is not null")
+    stretches = some.select("__row", F.explode(F.arrays_zip("__lo", "__hi", "__run")).alias("r")).select("__row", "r.*")
+    twice = (stretches.groupBy("__run").agg(F.count("*").alias("n"), F.min(F.struct("__row", "__lo")).alias("f"))
+             .where("n > 1").select("__run", "f"))
+    settled = saved(stretches.join(twice, "__run").select(
+        "__row", F.struct("__lo", "__hi", (F.struct("__row", "__lo") == F.col("f")).alias("first")).alias("r"))
+        .groupBy("__row").agg(F.collect_list("r").alias("__settled")), "settled")
+    each = saved(some.select("__row", "__text").join(settled, "__row", "left").mapInArrow(
+        spread, "__row long, at array<int>, one array<long>, two array<long>, one1 array<long>, two1 array<long>"), "spots")
+    spots = each.select("__row", F.explode(F.arrays_zip("at", "one", "two")).alias("s")).select("__row", "s.*")
+    others = each.select(F.explode(F.arrays_zip("one1", "two1")).alias("s")).select(
+        F.col("s.one1").alias("one"), F.col("s.two1").alias("two"), F.lit(0).alias("w"))
+    # A window repeats if it is there twice, or once beside a settled run.
+    repeated = (spots.select("one", "two", F.lit(1).alias("w")).unionByName(others).groupBy("one", "two")
+                .agg(F.count("*").alias("n"), F.max("w").alias("w")).where("n > 1 and w = 1").select("one", "two"))
+    starts = spots.join(repeated, ["one", "two"]).groupBy("__row").agg(F.collect_list("at").alias("__starts"))
+    done = (some.select(*names, "n_words", "__row", "__text").join(settled, "__row", "left").join(starts, "__row", "left")
+            .mapInArrow(cut, f"{form}, n_words long, n_removed long, kept binary"))
+    rest = found.where("__text is null").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")
+    return rest.unionByName(done)
 
 
 def removed_counts(docs: DataFrame, window: int = 35) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and the SHA-256 of the kept words."""
-    out = marked_words(docs.select("doc_id", "text"), window)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    out = marked_words(docs.select("doc_id", "text"), window, digest=True)
+    return out.select("doc_id", "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256"))
 
 
 def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
