@@ -108,3 +108,28 @@ def test_entities_without_semicolon(spark):
     # A known entity cut before its ";" still decodes before a non-alphanumeric; unknown ones stay.
     html = "<title>and&amp</title><p>do&amp;&amp;&am</p><p>a&ampx b</p>"
     assert one(spark, H.html_lines(F.col("x")), html) == ["and&", "do&&&am", "a&ampx b"]
+
+
+def test_rare_references(spark):
+    from vendorscope.functions import html as H
+    cases = [("it&#8217;s &#x27;x&#X27; &eacute;t&eacute &bull; &bogus; &bogus &#128512;", "it\u2019s 'x' \u00e9t\u00e9 \u2022 &bogus; &bogus \U0001f600"),
+             ("&#0; &#xD800; &#1114112; &#99999999999; &#150;", "\ufffd \ufffd \ufffd \ufffd \u2013"),
+             ("&amp;eacute; &amp;#39; &hearts;", "&eacute; &#39; \u2665"), ("&NotEqualTilde;", "\u2242\u0338"), ("a & b &", "a & b &")]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "i int, x string")
+    got = {r.i: r.y for r in df.select("i", H.decode_entities("x").alias("y")).collect()}
+    assert [got[i] for i in range(len(cases))] == [y for _, y in cases]
+
+
+def test_markup_that_is_never_closed_is_read_once(spark):
+    import time
+    from pyspark.sql import functions as F
+    from vendorscope.functions import html as H
+    from vendorscope.operators.tables import parse_tables
+    from vendorscope.operators.tokens import TOKEN_RX
+    start = time.time()
+    for tag in ("<script>", "<!--", "<table>", "<svg>", "<noscript>", "<style>", "<script ", "<td>"):
+        df = spark.createDataFrame([("<p>a</p>" + tag * (1000000 // len(tag)),)], "h string")
+        r = df.select(H.html_lines("h").alias("l"), F.size(parse_tables(F.col("h"))).alias("t"),
+                      F.size(F.regexp_extract_all("h", F.lit(TOKEN_RX), 0)).alias("n")).first()
+        assert r.l[0] == "a"
+    assert time.time() - start < 60

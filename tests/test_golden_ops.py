@@ -38,8 +38,7 @@ def test_json_status_and_sources(spark):
             (4, '{"sources":["Overview"," JustDial ","https://www.justdial.com/x",null]}'),
             (5, '{"sources":"x"}'), (6, '{"website":"w"}')]
     df = spark.createDataFrame(rows, "id int, raw string")
-    got = {r.id: (r.s, r.c) for r in df.select(
-        "id", EN.json_status(F.col("raw")).alias("s"), EN.clean_sources(F.col("raw")).alias("c")).collect()}
+    got = {r.id: (r.parse_status, r.sources) for r in EN.with_sources(df).collect()}
     assert got[1][0] == "invalid" and got[2][0] == "not_object" and got[3][0] == "missing"
     assert got[4] == ("ok", ["https://www.justdial.com/x", None])
     assert got[5] == ("ok", None) and got[6] == ("ok", None)
@@ -82,7 +81,7 @@ def test_page_to_answer_keeps_tables_and_their_text(spark):
             "<table><tr><th>Feature x</th><th>B</th></tr><tr><td>1</td><td>2 Quora +3</td></tr></table>"
             "<div>AI can make mistakes</div>")
     df = spark.createDataFrame([(1, html, "q")], "page_id long, html string, question string")
-    r = page_to_answer(df, question="question").first()
+    r = page_to_answer(df, question="question", tables=True).first()
     assert r.tables == ["| Feature | B |\n| --- | --- |\n| 1 | 2 |"]
     assert r.answer_only == "Answer before the table. Feature x B 1 2 Quora +3"   # table text stays in the lines
     assert r.answer == "Answer before the table. Feature x B 1 2 Quora"            # +N removed by the sanitiser

@@ -56,6 +56,9 @@ FOOTER_MARKERS = [
     "see more",
 ]
 
+# What an envelope without an answer says.
+FAILURE_TEXT = "No usable AI response found."
+
 # An answer whose first 300 normalised characters hold one of these is not usable.
 UI_PHRASES = [
     "quick settings sign in",
@@ -130,12 +133,6 @@ OVERVIEW_DROP_CLASS_PATTERN = "wJwe6c|WTfRgd|citation|source"
 OVERVIEW_LEAF_TAGS = ["p", "li", "div", "span"]
 OVERVIEW_STOP_PHRASES = ["show more", "show less", "feedback", "ai overview"]
 
-# Page status outcomes, in the order they are decided.
-PAGE_STATUSES = ["blocked", "no_overview", "container_unparsed", "empty_text", "error", "ok"]
-
-# Quarantine reasons.
-QUARANTINE_REASONS = ["no_input", "no_response", "error"]
-
 # Search catalogue: category -> ordered search groups (name, description, fields).
 SEARCH_MODELS = {
     "WEDDING_PLANNERS": [
@@ -287,7 +284,7 @@ If a field is not explicitly present, return "" (empty string).
 
 ---
 
-## \U0001f525 STRICT EXTRACTION OVERRIDE RULE (IMPORTANT FIX)
+## 🔥 STRICT EXTRACTION OVERRIDE RULE (IMPORTANT FIX)
 
 Treat the following patterns as VALID explicit data sources:
 
@@ -298,7 +295,7 @@ Treat the following patterns as VALID explicit data sources:
 - Any standalone URL (http/https)
 - Any URL inside descriptive text or research blocks
 
-\U0001f449 If a URL is present anywhere in the input, it MUST be extracted into the correct field unless explicitly marked as "Not Found".
+👉 If a URL is present anywhere in the input, it MUST be extracted into the correct field unless explicitly marked as "Not Found".
 
 ---
 

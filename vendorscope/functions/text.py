@@ -50,9 +50,9 @@ def category_label(c) -> Column:
 
 
 def id_cast(c) -> Column:
-    """Integer id only when the raw text is all ASCII digits; otherwise null (raw kept apart)."""
+    """Integer id when the raw text is all ASCII digits and fits a BIGINT; otherwise null (raw kept apart)."""
     c = _c(c)
-    return F.when(c.rlike("^[0-9]{1,18}$"), c.cast("bigint"))
+    return F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint"))
 
 
 def param_bullets(arr) -> Column:

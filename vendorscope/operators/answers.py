@@ -78,13 +78,13 @@ def envelope(df: DataFrame, question: str = "question", answer: str = "answer_te
              failed: str = "failed") -> DataFrame:
     """PRJ-18: uniform result struct columns (question, answer, success, error, format).
 
-    Built as the bag union of the success shape and the failure shape (SET-1).
+    Success and failure shapes in one projection: what the other shape lacks is null. ``SET-1`` unions
+    envelopes of different runs.
     """
-    ok = df.where(~F.col(failed)).withColumn("success", F.lit(True)) \
-        .withColumn("format", F.lit("text")).withColumnRenamed(answer, "answer")
-    bad = df.where(F.col(failed)).drop(answer).withColumn("success", F.lit(False)) \
-        .withColumn("error", F.lit("No usable AI response found."))
-    return union_results([ok, bad])
+    bad = F.col(failed)
+    kept = [c for c in df.columns if c not in (answer, "answer", "success", "error", "format")]
+    return df.select(*kept, F.when(~bad, F.col(answer)).alias("answer"), (~bad).alias("success"),
+                     F.when(~bad, F.lit("text")).alias("format"), F.when(bad, F.lit(fixed.FAILURE_TEXT)).alias("error"))
 
 
 def union_results(dfs: list[DataFrame]) -> DataFrame:

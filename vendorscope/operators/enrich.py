@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vendorscope import fixed
 from vendorscope.functions import text as T
+from vendorscope.operators.pages import fence
 from vendorscope.sources import catalogue as C
 
 
@@ -75,43 +76,103 @@ def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt
     return distinct.mapInPandas(run, "prompt_sha string, raw string")
 
 
-def json_status(raw: Column, parsed: Column | None = None) -> Column:
-    """JSN-1: ``missing`` / ``invalid`` / ``not_object`` / ``ok`` (``parsed``: the raw text as a variant)."""
-    parsed = F.try_parse_json(raw) if parsed is None else parsed
+# One JSON token: a string, a sign, white space, or a number or word.
+JSON_TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[{}\[\]:,]|\s++|[^"{}\[\]:,\s]++|"'
+# The words that the reference's parser takes for numbers; read as null where only validity matters.
+JSON_WORDS = r"(?<=[:,\[\s])-?(?:NaN|Infinity)(?=\s*[,}\]])"
+
+
+def is_json(raw: Column) -> Column:
+    """Whether the whole text is one JSON value; repeated keys and NaN are allowed, text after the value isn't.
+
+    SQL's JSON functions stop at the end of the first value. Inside ``[...]`` and inside ``{"v":...}`` anything behind
+    it breaks the syntax of one of the two or makes a second element.
+    """
+    text = F.when(raw.contains("NaN") | raw.contains("Infinity"), F.regexp_replace(raw, JSON_WORDS, "null")).otherwise(raw)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("\n]"))) == 1
+    value = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("\n}"))).isNotNull()
+    return F.coalesce(alone & value, F.lit(False))
+
+
+def json_status(raw: Column) -> Column:
+    """JSN-1: ``missing`` / ``invalid`` / ``not_object`` / ``ok``."""
     first = F.substring(T.strip_ws(raw), 1, 1)
-    return (F.when(raw.isNull(), "missing").when(parsed.isNull(), "invalid")
+    return (F.when(raw.isNull(), "missing").when(~is_json(raw), "invalid")
             .when(first != "{", "not_object").otherwise("ok"))
 
 
-def clean_sources(raw: Column, blacklist: list[str] = fixed.INVALID_SOURCES, parsed: Column | None = None) -> Column:
-    """JSN-2: when ``sources`` is a list, drop items equal (stripped, lower-cased) to a blacklist entry.
+def sources_span(tokens: Column) -> Column:
+    """Struct (s, f): 0-based places of the brackets of the list under the top-level key ``sources``, -1 if it isn't a list.
 
-    Returns the cleaned list, or null when ``sources`` is missing or not a list.
+    One pass over the tokens with a state of fixed size: nesting depth, whether a key is expected, and how much
+    of ``"sources" : [`` was just read. Of repeated keys the last counts.
     """
-    v = F.try_parse_json(raw) if parsed is None else parsed
-    kind = F.schema_of_variant(F.try_variant_get(v, "$.sources", "variant"))
-    arr = F.try_variant_get(v, "$.sources", "array<string>")
+    def pick(**cols: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in cols.items()])
+
+    def step(st: Column, t: Column) -> Column:
+        blank, top = t.rlike(r"^\s"), st["d"] == 1
+        key = top & st["e"] & (t == '"sources"')
+        begins = top & (st["k"] == 2) & (t == "[")
+        ends = (st["d"] == 2) & st["o"] & (t == "]")
+        return pick(
+            i=st["i"] + 1,
+            d=st["d"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0),
+            k=F.when(blank, st["k"]).when(key, 1).when(top & (st["k"] == 1) & (t == ":"), 2).otherwise(0),
+            e=F.when(blank, st["e"]).otherwise(((t == "{") & (st["d"] == 0)) | ((t == ",") & top)),
+            o=F.when(begins, True).when(ends, False).otherwise(st["o"]),
+            s=F.when(key, -1).when(begins, st["i"]).otherwise(st["s"]),
+            f=F.when(key, -1).when(ends, st["i"]).otherwise(st["f"]))
+
+    zero = pick(i=F.lit(0), d=F.lit(0), k=F.lit(0), e=F.lit(False), o=F.lit(False), s=F.lit(-1), f=F.lit(-1))
+    return F.aggregate(tokens, zero, step, lambda st: pick(s=st["s"], f=st["f"]))
+
+
+def with_sources(df: DataFrame, raw: str = "raw", blacklist: list[str] = fixed.INVALID_SOURCES) -> DataFrame:
+    """JSN-2: ``df`` with ``parse_status``, ``sources`` (kept items as text; null when not a list) and ``cleaned``.
+
+    ``cleaned`` is the completion with the blacklisted items (stripped, lower-cased) cut from the top-level ``sources``
+    list and everything else as it was: order, extra keys, spelling of values. Text that is no JSON object, or has no such
+    list, passes through unchanged. Each step is computed once, behind a fence.
+    """
+    staged = fence(df.select("*", json_status(F.col(raw)).alias("parse_status")))
+    may = (F.col("parse_status") == "ok") & F.col(raw).contains('"sources"')
+    staged = fence(staged.select("*", F.when(may, F.regexp_extract_all(F.col(raw), F.lit(JSON_TOKEN), 0)).alias("_t")))
+    staged = fence(staged.select("*", sources_span(F.col("_t")).alias("_p")))
+    s, f, n = F.col("_p.s"), F.col("_p.f"), F.size("_t")
+    inside = F.when((s >= 0) & (f > s), F.array_join(F.slice("_t", s + 1, f - s + 1), ""))
+    staged = fence(staged.select("*", inside.alias("_l")))
     bl = F.array(*[F.lit(b) for b in blacklist])
-    kept = F.filter(arr, lambda x: ~F.array_contains(bl, F.lower(T.strip_ws(F.coalesce(x, F.lit("None"))))))
-    return F.when(kind.startswith("ARRAY"), kept)
+
+    def listed(x: Column) -> Column:
+        return F.array_contains(bl, F.lower(T.strip_ws(F.coalesce(x, F.lit("None")))))
+
+    items = F.from_json("_l", "array<string>")
+    # Items keep their JSON type: the variants are cut by the places of the kept texts.
+    parts = F.try_variant_get(F.try_parse_json("_l"), "$", "array<variant>")
+    kept = F.filter(parts, lambda x, i: ~listed(F.get(items, i)))
+    text = F.when(F.exists(items, listed), F.coalesce(F.to_json(kept), F.col("_l"))).otherwise(F.col("_l"))
+    joined = F.concat(F.array_join(F.slice("_t", F.lit(1), s), ""), text,
+                      F.array_join(F.slice("_t", f + 2, F.greatest(n - f - 1, F.lit(0))), ""))
+    return staged.select(*[c for c in df.columns if c not in ("parse_status", "sources", "cleaned")], "parse_status",
+                         F.filter(items, lambda x: ~listed(x)).alias("sources"),
+                         F.when(F.col("_l").isNotNull(), joined).otherwise(F.col(raw)).alias("cleaned"))
 
 
 def profile_record(df: DataFrame, raw: str = "raw", category: str = C.DEFAULT_CATEGORY) -> DataFrame:
-    """JSN-4: the output model's fields with ``""`` / ``[]`` defaults, extra keys, parse status.
+    """JSN-3/4: the output model's fields beside the cleaned completion.
 
-    ``sources`` is the JSN-2 cleaned list. Array fields hold ``array<string>``.
-    The completion is parsed once (status, typed struct, cleaned sources, keys)
-    into staged columns behind a fence; the fields are projections of those.
+    Fields have ``""`` / ``[]`` defaults, and these too where the value's type isn't the field's; ``sources`` is the JSN-2
+    list. ``profile_json`` is the cleaned completion text, so extra keys, their order and values of other types are kept;
+    text that is no JSON object passes through. ``extra_keys`` names the keys outside the model.
     """
-    from vendorscope.operators.pages import fence
     schema = C.output_schema(category)
-    staged = fence(df.select("*", F.try_parse_json(F.col(raw)).alias("_v")))
-    staged = staged.withColumn("parse_status", json_status(F.col(raw), F.col("_v")))
+    base = [c for c in df.columns if c not in ("sources", "cleaned")]
+    staged = with_sources(df, raw)
     ok = F.col("parse_status") == "ok"
     model = F.array(*[F.lit(f) for f, _ in C.output_fields(category)])
     staged = fence(staged.select(
-        "*", F.when(ok, F.from_json(F.col(raw), schema)).alias("_rec"),
-        F.when(ok, clean_sources(F.col(raw), parsed=F.col("_v"))).alias("_src"),
+        *base, "parse_status", "cleaned", F.col("sources").alias("_src"), F.when(ok, F.from_json(F.col(raw), schema)).alias("_rec"),
         F.when(ok, F.array_except(F.json_object_keys(F.col(raw)), model)).alias("extra_keys")))
     cols = []
     for f, kind in C.output_fields(category):
@@ -122,14 +183,7 @@ def profile_record(df: DataFrame, raw: str = "raw", category: str = C.DEFAULT_CA
         else:
             val = F.coalesce(F.col("_rec")[f], F.array().cast("array<string>"))
         cols.append(val.alias(f))
-    base = [c for c in df.columns]
-    return staged.select(*base, *cols, "extra_keys", "parse_status")
-
-
-def profile_json(df: DataFrame, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
-    """JSN-3: re-serialise the typed record (model key order, non-ASCII kept)."""
-    fields = [f for f, _ in C.output_fields(category)]
-    return df.withColumn("profile_json", F.to_json(F.struct(*[F.col(f) for f in fields])))
+    return staged.select(*base, *cols, "extra_keys", "parse_status", F.col("cleaned").alias("profile_json"))
 
 
 def text_lengths(df: DataFrame, prompt: str = "prompt", result: str = "raw") -> DataFrame:

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from vendorscope import fixed
 from vendorscope.functions.text import WS, strip_ws
+from vendorscope.operators.pages import fence
 from vendorscope.sources import catalogue as C
 
 FACT_SPLIT = rf"Parameter:{WS}*"
-FACT_FIELDS = r"(?s)^(.*?)Value:(.*?)Source URL:(.*)$"
+FACT_FIELDS = r"(?s)^(.*?)Value:(.*?)(?:Source URL:(.*))?$"
 URL = r"""https?://[^\s"<>]+"""
 LABELLED_URL = r"""(?:(Website Value|Official Website|Website|Source URL):[ ]*)?(https?://[^\s"<>]+)"""
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -26,15 +27,36 @@ PHONE = r"\+?[0-9][0-9 ()-]{7,}[0-9]"
 HOST = r"^https?://([^/:?#\s]+)"
 UNRANKED = 99
 
-# Source classes by host, checked in order; anything else with a host is the official website.
+# Classes of a URL by host, checked in order; any other host is the official website.
 SOURCE_HOSTS = [
-    ("Instagram", r"(^|\.)instagram\.com$"),
-    ("Facebook", r"(^|\.)(facebook\.com|fb\.com)$"),
-    ("Google Business Profile", r"(^|\.)(business\.google\.com|g\.page|maps\.google\.[a-z.]+)$"),
-    ("Business Directories", r"(^|\.)(justdial\.com|weddingwire\.(in|com)|sulekha\.com|yelp\.com|wedmegood\.com)$"),
-    ("News Articles", r"news"),
-    ("Blogs", r"blog"),
+    ("instagram", r"(^|\.)instagram\.com$"),
+    ("facebook", r"(^|\.)(facebook\.com|fb\.com)$"),
+    ("google", r"(^|\.)(business\.google\.com|g\.page|maps\.google\.[a-z.]+)$"),
+    ("directory", r"(^|\.)(justdial\.com|weddingwire\.(in|com)|sulekha\.com|yelp\.com|wedmegood\.com)$"),
+    ("news", r"news"),
+    ("blog", r"blog"),
 ]
+# Classes of a page of the official website by its path, checked in order.
+SOURCE_PATHS = [
+    ("pricing page", r"(?i)/[^?#]*(pric|package|rates)"),
+    ("portfolio page", r"(?i)/[^?#]*portfolio"),
+    ("gallery page", r"(?i)/[^?#]*(galler|event)"),
+    ("review page", r"(?i)/[^?#]*(review|testimonial)"),
+]
+# The names that a class goes by in the groups' source lists.
+CLASS_NAMES = {
+    "instagram": ["Instagram", "Instagram Posts"],
+    "facebook": ["Facebook", "Facebook Posts"],
+    "google": ["Google Business Profile"],
+    "directory": ["Business Directories", "any other listing website"],
+    "news": ["News Articles"],
+    "blog": ["Blogs", "Wedding Blogs"],
+    "pricing page": ["Pricing Pages"],
+    "portfolio page": ["Portfolio Pages"],
+    "gallery page": ["Event Galleries"],
+    "review page": ["Customer Reviews"],
+    "website": ["Official Website"],
+}
 
 
 def facts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -56,49 +78,55 @@ def facts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return fence(out)
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """Optimizer fence (see ``operators.pages.fence``)."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
 def url_host(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
 
 
-def source_class(url: Column) -> Column:
-    """Source name of a URL (null when it is not an http/https URL)."""
-    host = url_host(url)
+def source_class(host: Column) -> Column:
+    """Class of a URL by its host (null when it is not an http/https URL)."""
     out = F.when(host.isNull(), F.lit(None).cast("string"))
     for name, rx in SOURCE_HOSTS:
         out = out.when(host.rlike(rx), F.lit(name))
-    return out.otherwise(F.lit("Official Website"))
+    return out.otherwise(F.lit("website"))
 
 
-def source_rank(parameter: Column, url: Column, category: str = C.DEFAULT_CATEGORY) -> Column:
-    """EXT-3: 1-based priority of the URL's source within the parameter's search group (one expression)."""
-    pos = F.array_position(_source_list(parameter, category), source_class(url))
-    return F.coalesce(F.nullif(pos, F.lit(0)), F.lit(UNRANKED)).cast("bigint")
+def page_class(url: Column) -> Column:
+    """Class of a website's page by its path (null: none)."""
+    path = F.regexp_extract(url, r"^https?://[^/?#]*(/.*)$", 1)
+    out = F.when(path == "", F.lit(None).cast("string"))
+    for name, rx in SOURCE_PATHS:
+        out = out.when(path.rlike(rx), F.lit(name))
+    return out
 
 
-def _source_list(parameter: Column, category: str) -> Column:
+def _ranks(category: str) -> tuple[Column, Column]:
+    """Maps parameter -> search group and "group/class" -> priority, both from the fixed catalogue."""
     group_of = F.create_map(*[x for g, _, fields in C.groups_for(category) for f in fields
                               for x in (F.lit(f), F.lit(g))])
-    lists = F.create_map(*[x for g, srcs in fixed.SOURCE_PRIORITIES.items()
-                           for x in (F.lit(g), F.array(*[F.lit(s) for s in srcs]))])
-    group = F.coalesce(F.element_at(group_of, parameter), F.lit("*"))
-    return F.coalesce(F.element_at(lists, group), F.element_at(lists, F.lit("*")))
+    rank = {f"{g}/{c}": 1 + min(srcs.index(n) for n in names if n in srcs)
+            for g, srcs in fixed.SOURCE_PRIORITIES.items() for c, names in CLASS_NAMES.items() if set(names) & set(srcs)}
+    return group_of, F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
 
 
 def with_source_rank(fx: DataFrame, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
-    """EXT-3 staged: host, then source class, then rank, each computed once per fact."""
+    """EXT-3: 1-based priority of the URL's source in the list of the parameter's search group.
+
+    A host or a page of the website is the source that the group's list names for its class; a
+    page whose class the list doesn't name counts as the website. Host, class and rank are each computed once per fact.
+    """
+    group_of, ranks = _ranks(category)
+    listed = F.array(*[F.lit(g) for g in fixed.SOURCE_PRIORITIES])
     staged = fx.withColumn("_host", url_host(F.col("source_url")))
-    cls = F.when(F.col("_host").isNull(), F.lit(None).cast("string"))
-    for name, rx in SOURCE_HOSTS:
-        cls = cls.when(F.col("_host").rlike(rx), F.lit(name))
-    staged = staged.withColumn("_cls", cls.otherwise(F.lit("Official Website")))
-    pos = F.array_position(_source_list(F.col("parameter"), category), F.col("_cls"))
-    return fence(staged.withColumn("source_rank", F.coalesce(F.nullif(pos, F.lit(0)), F.lit(UNRANKED)).cast("bigint"))
-                 .drop("_host", "_cls"))
+    staged = staged.withColumn("_cls", source_class(F.col("_host")))
+    staged = staged.withColumn("_page", F.when(F.col("_cls") == "website", page_class(F.col("source_url"))))
+    group = F.coalesce(F.element_at(group_of, F.col("parameter")), F.lit("*"))
+    staged = staged.withColumn("_grp", F.when(F.array_contains(listed, group), group).otherwise(F.lit("*")))
+
+    def rank(cls: str) -> Column:
+        return F.element_at(ranks, F.concat(F.col("_grp"), F.lit("/"), F.col(cls)))
+
+    return fence(staged.withColumn("source_rank", F.coalesce(rank("_page"), rank("_cls"), F.lit(UNRANKED)).cast("bigint"))
+                 .drop("_host", "_cls", "_page", "_grp"))
 
 
 def resolve(fx: DataFrame, key: str, order: list[str], policy: str = "priority") -> DataFrame:
@@ -120,25 +148,30 @@ def resolve(fx: DataFrame, key: str, order: list[str], policy: str = "priority")
     return agg.select(key, "parameter", "_w.value", "_w.source_url", "_w.source_rank")
 
 
-def profile_wide(resolved: DataFrame, key: str, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
-    """EXT-5/8/10: one output-model record per vendor from resolved facts.
+def profile_wide(resolved: DataFrame, key: str, known: DataFrame, order: list[str],
+                 category: str = C.DEFAULT_CATEGORY) -> DataFrame:
+    """EXT-5/8/10: one output-model record per vendor.
 
-    String fields take the resolved value (``""`` when absent); array fields
-    split the value on commas (stripped, distinct, order kept).
+    String fields take the resolved value (``""`` when absent). List fields are the
+    union of all sources' items: comma-separated, stripped, distinct, in order of source priority, then of
+    ``order``, then of their place in the value. ``known`` holds the facts (see ``facts``). Items are reduced to their first
+    place per vendor and field before lists are collected, so a list holds distinct items only.
     """
     fields = C.output_fields(category)
     names = [f for f, _ in fields]
-    wide = resolved.where(F.col("parameter").isin(names)).groupBy(key).pivot("parameter", names) \
-        .agg(F.max("value"))
-    cols = []
-    for f, kind in fields:
-        v = F.col(f)
-        if kind == "string":
-            cols.append(F.coalesce(v, F.lit("")).alias(f))
-        else:
-            items = F.filter(F.transform(F.split(v, ","), lambda x: strip_ws(x)), lambda x: x != "")
-            cols.append(F.coalesce(F.array_distinct(items), F.array().cast("array<string>")).alias(f))
-    return wide.select(key, *cols)
+    lists = [f for f, kind in fields if kind != "string"]
+    wide = resolved.where(F.col("parameter").isin([f for f in names if f not in lists])) \
+        .groupBy(key).pivot("parameter", [f for f in names if f not in lists]).agg(F.max("value"))
+    ranked = with_source_rank(known.where(F.col("value").isNotNull() & F.col("parameter").isin(lists)), category)
+    items = (ranked.select(key, "parameter", "source_rank", *order, F.posexplode(F.split("value", ",")).alias("_at", "_i"))
+             .withColumn("_i", strip_ws("_i")).where(F.col("_i") != "")
+             .groupBy(key, "parameter", "_i").agg(F.min(F.struct("source_rank", *order, "_at")).alias("_o")))
+    unions = items.groupBy(key, "parameter").agg(F.array_sort(F.collect_list(F.struct("_o", "_i"))).alias("_l")) \
+        .select(key, "parameter", F.col("_l._i").alias("_l")).groupBy(key).pivot("parameter", lists).agg(F.first("_l"))
+    every = resolved.where(F.col("parameter").isin(names)).select(key).distinct()
+    out = every.join(wide, key, "left").join(unions, key, "left")
+    return out.select(key, *[F.coalesce(F.col(f), F.array().cast("array<string>") if f in lists else F.lit("")).alias(f)
+                             for f in names])
 
 
 def extract_urls(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -170,7 +203,8 @@ def route_contacts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
         return F.transform(scan(rx, needle), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
     urls = F.transform(scan(URL, "http"), lambda u: F.struct(
-        F.when(source_class(u) == "Instagram", "instagram").when(source_class(u) == "Facebook", "facebook")
+        F.when(source_class(url_host(u)) == "instagram", "instagram")
+        .when(source_class(url_host(u)) == "facebook", "facebook")
         .otherwise("website").alias("kind"), u.alias("value")))
     allc = F.concat(urls, found("email", EMAIL, "@"), found("phone", PHONE))
     ex = df.select(*keys, F.posexplode(allc).alias("pos", "_c"))
@@ -183,5 +217,5 @@ def rating_reviews(fx: DataFrame) -> DataFrame:
     num = r"^[0-9]+(\.[0-9]+)?$"
     v = strip_ws(F.coalesce(F.col("value"), F.lit("")))
     rating = F.when((F.col("parameter") == "rating") & v.rlike(num), v.cast("double"))
-    reviews = F.when((F.col("parameter") == "review_count") & v.rlike(r"^[0-9]{1,18}$"), v.cast("bigint"))
+    reviews = F.when((F.col("parameter") == "review_count") & v.rlike(r"^[0-9]+$"), v.try_cast("bigint"))
     return fx.withColumn("rating_num", rating).withColumn("review_count_num", reviews)

@@ -15,31 +15,26 @@ from vendorscope.functions import html as H
 from vendorscope.functions import text as T
 
 
-def with_lines(df: DataFrame, html: str = "html", out: str = "lines") -> DataFrame:
-    """HTM-1/2/3 (FLT-3): add the clean line array."""
-    return df.withColumn(out, H.html_lines(F.col(html)))
-
-
 def page_to_answer(df: DataFrame, html: str = "html", question: str | None = None,
-                   keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+                   keep: tuple[str, ...] = ("page_id",), tables: bool = False) -> DataFrame:
     """HTM-8 + PRJ-15/17 + FLT-1 for every page.
 
     ``question`` names the column holding the question text; without one the
     page title is used. Output: keep..., n_lines, full_text, answer_only,
-    tables (Markdown per table, HTM-11..13), answer (sanitised, falling back
-    to the full text), meaningful.
+    tables (Markdown per table, HTM-11..13; only if asked for, as they are a parse of
+    their own), answer (sanitised, falling back to the full text), meaningful.
     """
     from vendorscope.operators.tables import markdown, parse_tables
     q = F.col(question) if question else H.title_text(F.col(html))
-    tables = F.transform(parse_tables(F.col(html)), markdown)
-    staged = df.select(*keep, H.html_lines(F.col(html)).alias("_lines"), q.alias("_q"), tables.alias("tables"))
+    extra = [F.transform(parse_tables(F.col(html)), markdown).alias("tables")] if tables else []
+    staged = df.select(*keep, H.html_lines(F.col(html)).alias("_lines"), q.alias("_q"), *extra)
     staged = H.with_answer_slice(staged, "_lines", "_q")
     out = staged.select(
         *keep,
         F.size("_lines").cast("bigint").alias("n_lines"),
         H.full_text(F.col("_lines")).alias("full_text"),
         "answer_only",
-        "tables",
+        *(["tables"] if tables else []),
     )
     # answer_only is already single-line: when no removal applies, sanitising it is the identity.
     ao = F.col("answer_only")
@@ -80,8 +75,3 @@ def is_blocked(html, text) -> "F.Column":
     """FLT-5: captcha form present or the block sentence in the page text."""
     form = F.col(html).rlike(BLOCK_FORM_RX)
     return form | F.coalesce(F.col(text), F.lit("")).contains(fixed.BLOCK_TEXT)
-
-
-def answer_usable(df: DataFrame, answer: str = "answer") -> DataFrame:
-    """FLT-1 as a filter."""
-    return df.where(T.is_meaningful(F.col(answer)))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from vendorscope.functions import html as H
 from vendorscope.functions import text as T
 
-TABLE_RX = r"(?is)<table\b[^>]*+>(.*?)</table\s*>"
-ROW_RX = r"(?is)<tr\b[^>]*+>(.*?)</tr\s*>"
-CELL_RX = r"(?is)<t[hd]\b[^>]*+>(.*?)</t[hd]\s*>"
+# A row or cell that is never closed ends where the next one starts, a table at the end of the page: no rescans.
+TABLE_RX = rf"(?is)<table\b{H.ATTRS}>(.*?)(?:</table\s*>|\z)"
+ROW_RX = rf"(?is)<tr\b{H.ATTRS}>(.*?)(?:</tr\s*>|(?=<tr\b)|\z)"
+CELL_RX = rf"(?is)<t[hd]\b{H.ATTRS}>(.*?)(?:</t[hd]\s*>|(?=<t[hd]\b)|\z)"
 
 
 def cell_text(c: Column) -> Column:
@@ -61,10 +62,6 @@ def markdown(t: Column) -> Column:
     return F.array_join(F.concat(F.array(line(F.element_at(t, 1)), sep), body), "\n")
 
 
-def with_tables(df: DataFrame, html: str = "html", out: str = "tables") -> DataFrame:
-    return df.withColumn(out, parse_tables(F.col(html)))
-
-
 def table_cells(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Long form D8: key, table_idx, row_idx, col_idx, cell (0-based positions)."""
     t = df.select(key, F.posexplode(parse_tables(F.col(html))).alias("table_idx", "_t"))

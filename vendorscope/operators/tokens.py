@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from vendorscope import fixed
 from vendorscope.functions import html as H
 from vendorscope.functions.text import WS, strip_ws
+from vendorscope.operators.pages import fence
 
 # Raw-text elements are one token; then comments, tags, declarations, text runs, a stray "<".
-TOKEN_RX = (r"(?is)<script\b[^>]*+>.*?</script\s*>|<style\b[^>]*+>.*?</style\s*>|<!--.*?-->|"
-            r"""</?[A-Za-z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|<[!?][^<>]*+>|[^<]++|<""")
-LEAF_CHAIN = 6
-DROP_TAGS = ["style", "a", "p", "li", "div", "span", "b", "i", "em", "strong", "section", "ul", "ol"]
+# What is never closed (a raw-text element, a comment) runs to the end of the page, so no text is scanned twice.
+_ATTRS = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+TOKEN_RX = (rf"(?is)<script\b{_ATTRS}>.*?(?:</script\s*>|\z)|<style\b{_ATTRS}>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|"
+            rf"</?[A-Za-z]{_ATTRS}>|<[!?][^<>]*+>|[^<]++|<")
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
 
@@ -40,22 +41,16 @@ def has_attr(tok: Column, name: str) -> Column:
 
 
 def by_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Hash-partition pages by key into the session's shuffle partition count.
-
-    The explicit count keeps AQE from coalescing a small (in bytes) but
-    CPU-heavy page set into one task; page keys are unique, so no partition
-    is skewed.
-    """
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pages.repartition(n, key)
+    """Hash-partition pages by key before their tokens are exploded; the number of partitions is left to AQE."""
+    return pages.repartition(key)
 
 
-def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-6 token rows: key, pos, kind, tag, token, char_start, char_len.
+def tokens(pages: DataFrame, key: str = "page_id", html: str = "html", carry: tuple[str, ...] = ()) -> DataFrame:
+    """HTM-6 token rows: key, pos, kind, tag, token, char_start, char_len and the ``carry`` columns of the page.
 
     kind: open / close / self / raw (script, style) / comment / decl / text.
     """
-    parts = pages.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")),
+    parts = pages.select(key, *carry, F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")),
                                                                 F.lit(TOKEN_RX), 0)).alias("pos", "token"))
     t = F.col("token")
     tag = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][A-Za-z0-9:_-]*)", 1))
@@ -67,7 +62,7 @@ def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFr
             .when(t.rlike("^<[A-Za-z]"), "open")
             .otherwise("text"))
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (parts.select(key, F.col("pos").cast("bigint").alias("pos"), kind.alias("kind"),
+    return (parts.select(key, *carry, F.col("pos").cast("bigint").alias("pos"), kind.alias("kind"),
                          F.when(kind == "text", F.lit(None).cast("string")).otherwise(tag).alias("tag"), "token",
                          F.length(t).cast("bigint").alias("char_len"))
             .withColumn("char_start", F.sum("char_len").over(w) - F.col("char_len")))
@@ -119,16 +114,16 @@ def running_count(tok: DataFrame, flag: Column, out: str, key: str = "page_id")
     return tok.withColumn(out, F.sum(one).over(w)).withColumn(f"{out}_total", F.sum(one).over(Window.partitionBy(key)))
 
 
-def covered(tok: DataFrame, tags: list[str], bad: Column, out: str, key: str = "page_id") -> DataFrame:
-    """Mark tokens inside any element of ``tags`` whose start tag satisfies ``bad`` (inclusive).
+def covered(tok: DataFrame, bad: Column, out: str, key: str = "page_id") -> DataFrame:
+    """Mark tokens inside any element whose start tag satisfies ``bad`` (inclusive).
 
     No joins: per-tag levels pair each close with its open (``lag`` within the
     level), bad opens add one and their closes subtract one after their
     position; a token is covered while the running balance is positive.
     All windows partition on the page key.
     """
-    ev = F.col("tag").isin(tags) & F.col("kind").isin("open", "close")
-    delta = F.when(ev & (F.col("kind") == "open"), 1).when(ev, -1).otherwise(0)
+    ev = F.col("kind").isin("open", "close")
+    delta = F.when(F.col("kind") == "open", 1).when(ev, -1).otherwise(0)
     wt = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = tok.withColumn("_d", F.sum(delta).over(wt))
     t = t.withColumn("_lv", F.when(F.col("kind") == "open", F.col("_d")).otherwise(F.col("_d") + 1))
@@ -191,13 +186,22 @@ def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
     return out.select(key, rank.cast("bigint").alias("selector_rank"), region.alias("region_html"))
 
 
-def _anchored_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Pages that can hold an anchor: the phrase must occur in the raw HTML.
+def _phrase_places(html: Column, phrase: str) -> Column:
+    """Character offsets at which ``phrase`` starts in the concatenated text of a page's text tokens.
 
-    A narrow ``contains`` filter before tokenising, so pages without an
-    overview never reach the token windows.
+    The phrase may be split over tags and written with character references.
     """
-    return by_page(pages.select(key, html).where(F.col(html).contains(fixed.OVERVIEW_ANCHOR_TEXT)), key)
+    text = F.array_join(F.transform(
+        F.filter(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(TOKEN_RX), 0), _is_text), H.decode_entities), "")
+    pieces = F.split(text, r"\Q" + phrase + r"\E", -1)
+    n = len(phrase)
+    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda _, i: F.aggregate(
+        F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + i * n)
+
+
+def _is_text(token: Column) -> Column:
+    """Whether a token of ``TOKEN_RX`` is text (a lone ``<`` is)."""
+    return ~token.rlike(r"^<[A-Za-z!?/]") | (token == "<")
 
 
 def _extent_cols(t: DataFrame, tags: list[str], p: str, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -232,15 +236,21 @@ def _overview(pages: DataFrame, key: str, html: str) -> DataFrame:
     how (HTM-9/10), inside (token inside the container), gone (inside a
     dropped subtree, HTM-14).
     """
-    t = tokens(_anchored_pages(pages, key, html), key, html)
+    phrase = fixed.OVERVIEW_ANCHOR_TEXT
+    pg = by_page(pages.select(key, F.coalesce(F.col(html), F.lit("")).alias(html)), key)
+    # Places of the phrase in the page's text are found once per page and ride along (they are few).
+    pg = fence(pg.select(key, html, _phrase_places(F.col(html), phrase).alias("_places")))
+    t = tokens(pg, key, html, carry=("_places",))
     page = Window.partitionBy(key)
-    # Anchor: first h1/h2/h3/div (document order) whose extent holds a text token with the phrase.
-    hit = (F.col("kind") == "text") & F.col("token").contains(fixed.OVERVIEW_ANCHOR_TEXT)
-    t = running_count(t, hit, "_hits", key)
-    t = _extent_cols(t, fixed.OVERVIEW_ANCHOR_TAGS, "ax", key, carry=("_hits",))
-    holds = F.col("ax_start") & ((F.coalesce(F.col("ax_end__hits"), F.col("_hits_total")) - F.col("_hits")) > 0)
+    # Anchor: first h1/h2/h3/div (document order) whose text holds the phrase.
+    length = F.when(F.col("kind") == "text", F.length(H.decode_entities(F.col("token")))).otherwise(0)
+    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumn("_chars", F.sum(length).over(upto)).withColumn("_chars_total", F.sum(length).over(page))
+    t = _extent_cols(t, fixed.OVERVIEW_ANCHOR_TAGS, "ax", key, carry=("_chars",))
+    last = F.coalesce(F.col("ax_end__chars"), F.col("_chars_total"))
+    holds = F.col("ax_start") & F.exists("_places", lambda p: (p >= F.col("_chars")) & (p + len(phrase) <= last))
     t = t.withColumn("_anc", F.min(F.when(holds, F.struct(F.col("pos").alias("p"), F.col("tag").alias("g")))).over(page))
-    t = t.withColumn("anchor_pos", F.col("_anc.p")).withColumn("anchor_tag", F.col("_anc.g"))
+    t = t.withColumn("anchor_pos", F.col("_anc.p")).withColumn("anchor_tag", F.col("_anc.g")).drop("_places")
     # Enclosing divs of the anchor, nearest first; a div is flagged by data-attrid or an svg inside.
     svg = (F.col("tag") == "svg") & F.col("kind").isin("open", "self")
     t = running_count(t, svg, "_svgs", key)
@@ -272,19 +282,10 @@ def _overview(pages: DataFrame, key: str, html: str) -> DataFrame:
     tk = F.col("token")
     bad = F.col("inside") & (F.col("tag").isin("style", "a") | (attr(tk, "aria-hidden") == "true") |
                              F.coalesce(attr(tk, "class").rlike(fixed.OVERVIEW_DROP_CLASS_PATTERN), F.lit(False)))
-    t = covered(t, DROP_TAGS, bad, "gone", key)
+    t = covered(t, bad, "gone", key)
     return t
 
 
-def overview_anchor(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-9 anchor: the first h1/h2/h3/div (document order) whose text holds the anchor phrase.
-
-    Output: key, anchor_pos, anchor_tag. Pages without an anchor are absent.
-    """
-    t = _overview(pages, key, html)
-    return t.where(F.col("pos") == F.col("anchor_pos")).select(key, "anchor_pos", "anchor_tag")
-
-
 def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """HTM-9 + HTM-10: container of the overview block.
 
@@ -309,24 +310,31 @@ def _kept(t: DataFrame) -> DataFrame:
 
 
 def _blocks(t: DataFrame, key: str) -> DataFrame:
-    kept = _kept(t).select(key, "pos", "kind", "tag", "token")
-    # A block is a text token whose k nearest kept neighbours are k opens before and
-    # k closes after (a single-string chain); it counts when one of those k
-    # elements is a leaf tag. Whitespace text between tags breaks the chain.
-    w = Window.partitionBy(key).orderBy("pos")
-    seq = kept
-    for i in range(1, LEAF_CHAIN + 1):
-        seq = seq.withColumn(f"_b{i}", F.lag(F.struct("kind", "tag"), i).over(w)) \
-            .withColumn(f"_a{i}", F.lead(F.struct("kind", "tag"), i).over(w))
-    leaf = F.lit(False)
-    chain = F.lit(True)
-    for i in range(1, LEAF_CHAIN + 1):
-        chain = chain & (F.col(f"_b{i}.kind") == "open") & (F.col(f"_a{i}.kind") == "close") \
-            & (F.col(f"_a{i}.tag") == F.col(f"_b{i}.tag"))
-        leaf = leaf | (chain & F.col(f"_b{i}.tag").isin(fixed.OVERVIEW_LEAF_TAGS))
-    block = strip_ws(H.decode_entities(F.col("token")))
-    blocks = seq.where((F.col("kind") == "text") & F.coalesce(leaf, F.lit(False))) \
-        .select(key, "pos", block.alias("block")).where(F.col("block") != "")
+    # Comments are children too: an element with a comment and a text has no single string.
+    kept = t.where(F.col("inside") & ~F.col("gone") & F.col("kind").isin("open", "close", "text", "self", "comment"))
+    kept = kept.select(key, "pos", "kind", "tag", "token")
+    # A block is a leaf-tag element whose content is m start tags, one text and their m end tags, at
+    # any depth m: within it one text, no other childless node, and the text right after the start tags.
+    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    text, other = F.col("kind") == "text", F.col("kind").isin("self", "comment")
+    k = kept.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("pos")))
+    k = k.select("*", F.sum(F.when(F.col("kind") == "open", 1).otherwise(0)).over(upto).alias("_opens"),
+                 F.sum(F.when(text, 1).otherwise(0)).over(upto).alias("_texts"),
+                 F.sum(F.when(other, 1).otherwise(0)).over(upto).alias("_others"),
+                 F.sum(F.when(text, F.col("_n")).otherwise(0)).over(upto).alias("_at"))
+    carry = ("_n", "_opens", "_texts", "_others", "_at")
+    k = _extent_cols(k, fixed.OVERVIEW_LEAF_TAGS, "lf", key, carry=carry)
+    inner = F.col("lf_end__opens") - F.col("_opens")
+    at = F.col("lf_end__at") - F.col("_at")
+    single = (F.col("lf_start") & (F.col("lf_end__texts") - F.col("_texts") == 1)
+              & (F.col("lf_end__others") == F.col("_others")) & (at == F.col("_n") + inner + 1)
+              & (F.col("lf_end__n") == F.col("_n") + 2 * inner + 2))
+    k = k.withColumn("_s", F.coalesce(single, F.lit(False)))
+    # Such an element's text is the next text token: nested ones share it, and it is one block.
+    nxt = F.first(F.when(text, F.col("token")), ignorenulls=True).over(
+        Window.partitionBy(key).orderBy("pos").rowsBetween(1, Window.unboundedFollowing))
+    block = strip_ws(H.decode_entities(F.col("_x")))
+    blocks = k.withColumn("_x", nxt).where("_s").select(key, "pos", block.alias("block")).where(F.col("block") != "")
     lower = F.lower(F.col("block"))
     stop = F.lit(False)
     for p in fixed.OVERVIEW_STOP_PHRASES:

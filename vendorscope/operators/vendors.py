@@ -14,13 +14,13 @@ from vendorscope import fixed
 from vendorscope.functions import text as T
 
 
-def normalize_vendors(raw: DataFrame, ordinal: str | None = None) -> DataFrame:
+def normalize_vendors(raw: DataFrame, ordinal: str) -> DataFrame:
     """PRJ-1/2: rename city_name/state_name, conditional integer id, surrogate key.
 
-    ``ordinal`` names a column giving input order; without one the order of
-    the scan is used (``monotonically_increasing_id``, stable per input file).
+    ``ordinal`` names the column giving input order: it is part of the key, so it must not
+    depend on how the input is split.
     """
-    ord_col = F.col(ordinal).cast("bigint") if ordinal else F.monotonically_increasing_id()
+    ord_col = F.col(ordinal).cast("bigint")
     out = raw.select(
         ord_col.alias("input_ord"),
         F.col("id").cast("string").alias("id_raw"),
@@ -38,13 +38,14 @@ def with_slug(df: DataFrame, name: str = "name", out: str = "slug") -> DataFrame
 def last_write_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """WIN-3: one row per output path, the latest by ``order``.
 
-    ``max_by`` aggregates partially on the map side, so a path shared by a
-    third of all rows still moves one row per partition through the shuffle.
+    Rows equal in ``order`` are told apart by their other columns, and a null order comes
+    first, so the result is one and the same in every run. The maximum aggregates partially on the map side: a path
+    shared by a third of all rows still moves one row per partition through the shuffle.
     """
     cols = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in cols])
-    winner = df.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_w"))
-    return winner.select(*keys, *[F.col("_w")[c].alias(c) for c in cols])
+    winner = df.groupBy(*keys).agg(F.max(F.struct(F.col(order).alias("o"), packed.alias("r"))).alias("_w"))
+    return winner.select(*keys, *[F.col("_w.r")[c].alias(c) for c in cols])
 
 
 def collisions(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -22,7 +22,8 @@ from vendorscope.sources import tables as S
 
 _CP = """cp AS (
   SELECT o_orderkey AS vendor_id,
-    CASE o_orderkey % 7 WHEN 0 THEN 'not json' WHEN 1 THEN '[1]'
+    CASE o_orderkey % 7 WHEN 0 THEN CASE o_orderkey % 14 WHEN 0 THEN 'not json'
+        ELSE '{"phone":"9","sources":["Overview"]}' || chr(10) || chr(10) || 'Note: done' END WHEN 1 THEN '[1]'
       WHEN 2 THEN '{"phone":"","sources":"x"}' WHEN 3 THEN NULL
       ELSE '{"website":"http://o' || CAST(o_orderkey AS VARCHAR)
         || '.example","sources":["Overview"," JustDial ","Official Website","https://www.justdial.com/x"],"zz":1}' END AS raw
@@ -126,8 +127,8 @@ SELECT vendor_id, to_json({_clean_sources_sql('raw')}) AS sources_json
 FROM cp WHERE {_status_sql('raw')} = 'ok'""")
 def clean_sources(spark, sf_dir):
     """JSN-2: blacklisted sources dropped from list-valued ``sources`` (others untouched -> null)."""
-    cp = S.completions(spark, sf_dir).where(EN.json_status(F.col("raw")) == "ok")
-    return cp.select("vendor_id", F.to_json(EN.clean_sources(F.col("raw"))).alias("sources_json"))
+    cp = EN.with_sources(S.completions(spark, sf_dir)).where(F.col("parse_status") == "ok")
+    return cp.select("vendor_id", F.to_json("sources").alias("sources_json"))
 
 
 def _record_sql() -> str:
@@ -158,18 +159,15 @@ def profile_record(spark, sf_dir):
     return rec.select("vendor_id", *cols, F.to_json("extra_keys").alias("extra_keys"), "parse_status")
 
 
-@query("profile_json", f"""WITH {_CP}, st AS (SELECT vendor_id, raw FROM cp WHERE {_status_sql('raw')} = 'ok')
-SELECT vendor_id, '{{' || {" || ',' || ".join(
-    (f"'\"{f}\":' || to_json(coalesce(json_extract_string(raw, {Q.lit('$.' + f)}), ''))" if k == "string" and f != "sources"
-     else (f"'\"{f}\":' || to_json(coalesce({_clean_sources_sql('raw')}, []::VARCHAR[]))" if f == "sources"
-           else f"'\"{f}\":' || to_json(coalesce(CASE WHEN json_type(json_extract(raw, {Q.lit('$.' + f)})) = 'ARRAY' "
-                f"THEN CAST(json_extract(raw, {Q.lit('$.' + f)}) AS VARCHAR[]) END, []::VARCHAR[]))"))
-    for f, k in C.output_fields())} || '}}' AS profile_json
-FROM st""")
+@query("profile_json", f"""WITH {_CP}
+SELECT vendor_id, replace(raw, '["Overview"," JustDial ","Official Website",',
+                          CASE WHEN {_status_sql('raw')} = 'ok' THEN '["Official Website",'
+                               ELSE '["Overview"," JustDial ","Official Website",' END) AS profile_json
+FROM cp WHERE raw IS NOT NULL""")
 def profile_json(spark, sf_dir):
-    """JSN-3: cleaned record re-serialised as JSON in model key order."""
-    rec = EN.profile_record(S.completions(spark, sf_dir)).where(F.col("parse_status") == "ok")
-    return EN.profile_json(rec).select("vendor_id", "profile_json")
+    """JSN-3: every completion as saved: blacklisted sources cut, all else and all other text as it came."""
+    rec = EN.profile_record(S.completions(spark, sf_dir)).where(F.col("raw").isNotNull())
+    return rec.select("vendor_id", "profile_json")
 
 
 def _stub_completion(prompts: pd.Series) -> pd.Series:

@@ -15,40 +15,48 @@ from vendorscope.sources import tables as S
 
 _FA = """fa AS (
   SELECT l_partkey AS vendor_id, l_orderkey, l_linenumber,
-    'Parameter: website Value: http://s' || CAST(l_suppkey AS VARCHAR) || '.example.com Source URL: '
-    || CASE l_linenumber % 3 WHEN 0 THEN 'https://www.instagram.com/p'
-         WHEN 1 THEN 'https://www.facebook.com/p' ELSE 'https://site.example.com' END
+    'Parameter: website Value: http://s' || CAST(l_suppkey AS VARCHAR) || '.example.com Source URL: ' || src
     || ' Parameter: rating Value: ' || CASE WHEN l_linenumber = 1 THEN 'Not Found'
          WHEN l_partkey % 2 = 0 THEN CAST(l_partkey % 5 AS VARCHAR) ELSE CAST(l_linenumber AS VARCHAR) END
-    || ' Source URL: none' AS answer
-  FROM lineitem
+    || CASE WHEN l_linenumber % 4 <> 0 THEN ' Source URL: none'
+         ELSE ' Parameter: price_range Value: ' || CAST(l_suppkey AS VARCHAR) || ' Source URL: ' || src
+           || ' Parameter: services_offered Value: s' || CAST(l_suppkey % 3 AS VARCHAR) || ', common ,t'
+           || CAST(l_suppkey % 4 AS VARCHAR) || ' Source URL: ' || src END AS answer
+  FROM (SELECT *, CASE l_linenumber % 3 WHEN 0 THEN 'https://www.instagram.com/p'
+          WHEN 1 THEN 'https://www.facebook.com/p'
+          ELSE CASE WHEN l_suppkey % 2 = 0 THEN 'https://site.example.com/pricing' ELSE 'https://site.example.com' END
+          END AS src FROM lineitem)
 )"""
 
 _KEYS = ["vendor_id", "l_orderkey", "l_linenumber"]
 
 
-def _part(i: int) -> str:
-    return f"nullif({Q.strip(f'regexp_extract(b, {Q.lit(FX.FACT_FIELDS)}, {i})')}, '')"
+# The reply format and the source priorities, stated here for the oracle alone.
+_REPLY = r"(?s)^(.*?)Value:(.*?)(?:Source URL:(.*))?$"
+_WEBSITE, _RATING, _PRICE = ("website", "instagram", "facebook", "google_business", "phone", "email", "address"), \
+    ("rating", "review_count", "trust_rating"), ("price_range",)
+_PRIORITY = {  # parameters -> [(host or path condition on url, rank)]
+    _WEBSITE: [("instagram", 3), ("facebook", 4), ("", 1)],
+    _PRICE: [("instagram", 3), ("facebook", 4), ("/pricing", 2), ("", 1)],
+    _RATING: [("instagram", 99), ("facebook", 3), ("", 2)],
+    (): [("instagram", 3), ("facebook", 4), ("", 1)],
+}
 
 
-def _class_sql(url: str) -> str:
-    host = f"nullif(lower(regexp_extract({url}, {Q.lit(FX.HOST)}, 1)), '')"
-    whens = " ".join(f"WHEN regexp_matches({host}, {Q.lit(rx)}) THEN {Q.lit(name)}" for name, rx in FX.SOURCE_HOSTS)
-    return f"CASE WHEN {host} IS NULL THEN NULL {whens} ELSE 'Official Website' END"
+def _part(i: int) -> str:
+    return f"nullif({Q.strip(f'regexp_extract(b, {Q.lit(_REPLY)}, {i})')}, '')"
 
 
 def _rank_sql(param: str, url: str) -> str:
-    group = ("CASE " + " ".join(f"WHEN {param} = {Q.lit(f)} THEN {Q.lit(g)}"
-                                for g, _, fields in C.groups_for() for f in fields) + " ELSE '*' END")
-    lists = ("CASE " + " ".join(f"WHEN grp = {Q.lit(g)} THEN {Q.lit_list(s)}"
-                                for g, s in fixed.SOURCE_PRIORITIES.items() if g != "*")
-             + f" ELSE {Q.lit_list(fixed.SOURCE_PRIORITIES['*'])} END")
-    return (f"(SELECT CAST(coalesce(list_position(lst, {_class_sql(url)}), {FX.UNRANKED}) AS BIGINT) "
-            f"FROM (SELECT {lists} AS lst FROM (SELECT {group} AS grp)))")
+    def of(rules) -> str:
+        whens = " ".join(f"WHEN contains({url}, {Q.lit(part)}) THEN {rank}" for part, rank in rules)
+        return f"CASE WHEN {url} IS NULL OR NOT starts_with({url}, 'http') THEN 99 {whens} END"
+    groups = " ".join(f"WHEN {param} IN ({', '.join(Q.lit(n) for n in names)}) THEN {of(rules)}" for names, rules in _PRIORITY.items() if names)
+    return f"CAST(CASE {groups} ELSE {of(_PRIORITY[()])} END AS BIGINT)"
 
 
 _FACTS_SQL = f"""{_FA}, fb0 AS (
-  SELECT vendor_id, l_orderkey, l_linenumber, regexp_split_to_array(answer, {Q.lit(FX.FACT_SPLIT)}) AS pieces FROM fa
+  SELECT vendor_id, l_orderkey, l_linenumber, regexp_split_to_array(answer, 'Parameter:\\s*') AS pieces FROM fa
 ), fb AS (
   SELECT vendor_id, l_orderkey, l_linenumber, unnest(list_slice(pieces, 2, len(pieces))) AS b,
          unnest(range(len(pieces) - 1)) AS pos
@@ -103,16 +111,18 @@ def facts_conflict_blank(spark, sf_dir):
     return FX.resolve(_facts(spark, sf_dir), "vendor_id", [], "blank")
 
 
+_STRINGS = [f for f, k in C.output_fields() if k == "string"]
+_LISTS = [f for f, k in C.output_fields() if k != "string"]
+
+
 def _wide_sql() -> str:
     cols = []
     for f, kind in C.output_fields():
-        v = f"max(CASE WHEN parameter = {Q.lit(f)} THEN value END)"
         if kind == "string":
-            cols.append(f"coalesce({v}, '') AS {f}")
+            cols.append(f"coalesce(max(CASE WHEN parameter = {Q.lit(f)} THEN value END), '') AS {f}")
         else:
-            items = f"list_filter(list_transform(string_split({v}, ','), lambda x: {Q.strip('x')}), lambda x: x <> '')"
-            ordered = f"list_filter({items}, lambda x, i: list_position({items}, x) = i)"
-            cols.append(f"to_json(coalesce({ordered}, []::VARCHAR[])) AS {f}")
+            cols.append(f"to_json(coalesce((SELECT list(item ORDER BY o) FROM un WHERE un.vendor_id = best.vendor_id "
+                        f"AND un.parameter = {Q.lit(f)}), []::VARCHAR[])) AS {f}")
     return ", ".join(cols)
 
 
@@ -121,15 +131,22 @@ def _wide_sql() -> str:
     SELECT *, row_number() OVER (PARTITION BY vendor_id, parameter
                                  ORDER BY source_rank, l_orderkey, l_linenumber, pos, value) AS rn
     FROM rk) WHERE rn = 1
+), it AS (
+  SELECT vendor_id, parameter, trim(unnest(string_split(value, ','))) AS item, source_rank, l_orderkey, l_linenumber, pos,
+         unnest(range(len(string_split(value, ',')))) AS place
+  FROM rk WHERE parameter IN ({', '.join(Q.lit(f) for f in _LISTS)})
+), un AS (
+  SELECT vendor_id, parameter, item, min(row(source_rank, l_orderkey, l_linenumber, pos, place)) AS o
+  FROM it WHERE item <> '' GROUP BY vendor_id, parameter, item
 )
 SELECT vendor_id, {_wide_sql()} FROM best
 WHERE parameter IN ({', '.join(Q.lit(f) for f, _ in C.output_fields())}) GROUP BY vendor_id""")
 def profile_wide(spark, sf_dir):
-    """EXT-5/8/10: one 19-field record per vendor from its resolved facts ("" / [] when absent)."""
-    best = FX.resolve(_facts(spark, sf_dir), "vendor_id", ["l_orderkey", "l_linenumber", "pos"], "priority")
-    wide = FX.profile_wide(best, "vendor_id")
-    arrays = {f for f, k in C.output_fields() if k == "array"}
-    return wide.select("vendor_id", *[F.to_json(F.col(f)).alias(f) if f in arrays else F.col(f)
+    """EXT-5/8/10: one 19-field record per vendor; list fields unite the items of all sources ("" / [] when absent)."""
+    order = ["l_orderkey", "l_linenumber", "pos"]
+    fx = _facts(spark, sf_dir)
+    wide = FX.profile_wide(FX.resolve(fx, "vendor_id", order, "priority"), "vendor_id", fx, order)
+    return wide.select("vendor_id", *[F.to_json(F.col(f)).alias(f) if f in _LISTS else F.col(f)
                                       for f, _ in C.output_fields()])
 
 
@@ -137,8 +154,8 @@ def profile_wide(spark, sf_dir):
 SELECT vendor_id, l_orderkey, l_linenumber,
   CASE WHEN parameter = 'rating' AND regexp_matches({Q.strip("coalesce(value, '')")}, '^[0-9]+([.][0-9]+)?$')
        THEN CAST({Q.strip('value')} AS DOUBLE) END AS rating_num,
-  CASE WHEN parameter = 'review_count' AND regexp_matches({Q.strip("coalesce(value, '')")}, '^[0-9]{{1,18}}$')
-       THEN CAST({Q.strip('value')} AS BIGINT) END AS review_count_num
+  CASE WHEN parameter = 'review_count' AND regexp_matches({Q.strip("coalesce(value, '')")}, '^[0-9]+$')
+       THEN TRY_CAST({Q.strip('value')} AS BIGINT) END AS review_count_num
 FROM fx WHERE parameter IN ('rating', 'review_count')""")
 def rating_reviews(spark, sf_dir):
     """EXT-9: numeric rating only when the stated value is a number; review counts when stated."""
@@ -161,8 +178,10 @@ def extract_urls(spark, sf_dir):
 
 
 def _kind_sql(u: str) -> str:
-    c = _class_sql(u)
-    return f"CASE WHEN {c} = 'Instagram' THEN 'instagram' WHEN {c} = 'Facebook' THEN 'facebook' ELSE 'website' END"
+    host = f"lower(regexp_extract({u}, '^https?://([^/:?#[:space:]]+)', 1))"
+    return (f"CASE WHEN {host} = 'instagram.com' OR ends_with({host}, '.instagram.com') THEN 'instagram' "
+            f"WHEN {host} IN ('facebook.com', 'fb.com') OR ends_with({host}, '.facebook.com') "
+            f"OR ends_with({host}, '.fb.com') THEN 'facebook' ELSE 'website' END")
 
 
 @query("route_contacts", f"""WITH c AS (

@@ -4,10 +4,6 @@ WIN-4, UDF-2, STR-1/2)."""
 
 from __future__ import annotations
 
-import html as _html
-from contextlib import contextmanager
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
@@ -35,7 +31,7 @@ def src_pages(spark, sf_dir):
 
 
 @query("snk_vendor_json", f"""WITH {RV_SQL}
-SELECT c_custkey AS input_ord, id AS id_raw, CASE WHEN regexp_matches(id, '^[0-9]{{1,18}}$') THEN CAST(id AS BIGINT) END AS id,
+SELECT c_custkey AS input_ord, id AS id_raw, CASE WHEN regexp_matches(id, '^[0-9]+$') THEN TRY_CAST(id AS BIGINT) END AS id,
        name, city_name AS city, state_name AS state FROM rv""")
 def snk_vendor_json(spark, sf_dir):
     """SNK-1: normalised vendors written as UTF-8 JSON lines (non-ASCII kept) and read back."""
@@ -172,19 +168,14 @@ def ordered_distinct(spark, sf_dir):
                     F.array_join(F.array_distinct("l"), "\n").alias("distinct_text"))
 
 
-def _unescape_series(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else _html.unescape(x))
-
-
 @query("unescape_full", f"""
 SELECT page_id, {Q.decode(Q.rx(Q.rx(Q.denoise('html'), r'(?s)<!--.*?-->', 'chr(10)'), Q.TAG, 'chr(10)'))} AS text FROM pages""")
 def unescape_full(spark, sf_dir):
-    """UDF-2: full HTML5 entity decoding (named and numeric) of page text, Arrow-batched."""
-    from vendorscope.functions.html import COMMENT, TAG, denoise
+    """UDF-2: all HTML5 character references (by name and number) of page text decoded."""
+    from vendorscope.functions.html import COMMENT, TAG, decode_every_entity, denoise
     pg = S.pages(spark, sf_dir)
     raw = F.regexp_replace(F.regexp_replace(denoise(F.col("html")), COMMENT, "\n"), TAG, "\n")
-    unescape = F.pandas_udf(_unescape_series, "string")  # built per call: no session needed at import
-    return pg.select("page_id", unescape(raw).alias("text"))
+    return pg.select("page_id", decode_every_entity(raw).alias("text"))
 
 
 @query("stream_first_meaningful", _first_sql(70))
@@ -210,27 +201,14 @@ def stream_first_meaningful(spark, sf_dir):
     end.write.mode("append").parquet(src)  # end-of-input marker advances the watermark
     stream = spark.readStream.schema(sn.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out, ckpt = IO.work_path(spark, "first_out"), IO.work_path(spark, "first_ckpt")
-    with _state_partitions(spark):
-        q = (_stream_first(stream, deadline_s=70).writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination()
+    # The state's partitions are the session's shuffle partitions, fixed when the checkpoint is first used.
+    q = (_stream_first(stream, deadline_s=70).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
     return spark.read.schema("question_id long, status string, ts timestamp_ntz, event_id long, answer string") \
         .parquet(out).where(F.col("question_id") >= 0)
 
 
-@contextmanager
-def _state_partitions(spark):
-    """State-store partitions are fixed when a stream first starts (from the shuffle
-    partition setting); size them to the cluster's parallelism for this new checkpoint."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, 1)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _vendor_pipeline(spark, sf_dir):
     from vendorscope.session import cut_lineage
     # The static side is joined by every micro-batch: parse the answer pages once

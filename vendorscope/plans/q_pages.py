@@ -35,7 +35,7 @@ _PAGE_ANSWER_SQL = _page_answer_sql()
 @query("page_to_answer", _PAGE_ANSWER_SQL)
 def page_to_answer(spark, sf_dir):
     """HTM-8: every page -> full text, sliced answer (question = page title), tables, usable flag."""
-    a = P.page_to_answer(S.pages(spark, sf_dir))
+    a = P.page_to_answer(S.pages(spark, sf_dir), tables=True)
     return a.select("page_id", "n_lines", "full_text", "answer_only", F.to_json("tables").alias("tables_json"),
                     "answer", "meaningful")
 

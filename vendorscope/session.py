@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,15 +56,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    A folder of our own is set only when the session names none (local tests).
+    A folder of our own is set only when the session names none and driver and
+    executors are one process (local tests); on a cluster that is an error.
     """
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if not current.isDefined():
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="vendorscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -28,15 +28,6 @@ def sources_text(group_name: str) -> str:
     return "\n".join(f"{i}. {s}" for i, s in enumerate(sources_for(group_name), start=1))
 
 
-GROUP_TYPE = Ty.StructType([
-    Ty.StructField("group_name", Ty.StringType()),
-    Ty.StructField("description", Ty.StringType()),
-    Ty.StructField("fields", Ty.ArrayType(Ty.StringType())),
-    Ty.StructField("sources", Ty.StringType()),
-    Ty.StructField("source_list", Ty.ArrayType(Ty.StringType())),
-])
-
-
 def group_array(category: str = DEFAULT_CATEGORY) -> Column:
     """The category's search groups as an array literal of structs (catalogue order)."""
     return F.array(*[
@@ -47,26 +38,6 @@ def group_array(category: str = DEFAULT_CATEGORY) -> Column:
         for name, desc, fields in groups_for(category)])
 
 
-def search_groups(spark: SparkSession) -> DataFrame:
-    """SRC-4: category, group_ord, group_name, description (all categories)."""
-    rows = [(cat, i, name, desc) for cat, groups in fixed.SEARCH_MODELS.items()
-            for i, (name, desc, _) in enumerate(groups)]
-    return spark.createDataFrame(rows, "category string, group_ord int, group_name string, description string")
-
-
-def search_fields(spark: SparkSession) -> DataFrame:
-    """SRC-4: category, group_ord, field_ord, field."""
-    rows = [(cat, i, j, f) for cat, groups in fixed.SEARCH_MODELS.items()
-            for i, (_, _, fields) in enumerate(groups) for j, f in enumerate(fields)]
-    return spark.createDataFrame(rows, "category string, group_ord int, field_ord int, field string")
-
-
-def source_priorities(spark: SparkSession) -> DataFrame:
-    """PRJ-8 dim: group_name ('*' = any other group), rank (1 = highest), source."""
-    rows = [(g, r, s) for g, srcs in fixed.SOURCE_PRIORITIES.items() for r, s in enumerate(srcs, start=1)]
-    return spark.createDataFrame(rows, "group_name string, rank int, source string")
-
-
 def output_fields(category: str = DEFAULT_CATEGORY) -> list[tuple[str, str]]:
     return fixed.OUTPUT_MODELS[category]
 
@@ -84,12 +55,6 @@ def output_model_text(category: str = DEFAULT_CATEGORY) -> str:
     return "\n{\n" + body + "\n}"
 
 
-def output_model_df(spark: SparkSession) -> DataFrame:
-    """SRC-5 listing: category, pos, field, kind."""
-    rows = [(cat, i, f, k) for cat, fields in fixed.OUTPUT_MODELS.items() for i, (f, k) in enumerate(fields)]
-    return spark.createDataFrame(rows, "category string, pos int, field string, kind string")
-
-
 def blacklist() -> Column:
     return F.array(*[F.lit(s) for s in fixed.INVALID_SOURCES])
 

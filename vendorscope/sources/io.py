@@ -23,13 +23,6 @@ RAW_VENDOR_SCHEMA = Ty.StructType([
     Ty.StructField("state_name", Ty.StringType()),
 ])
 
-VENDOR_SCHEMA = Ty.StructType([
-    Ty.StructField("id", Ty.StringType()),
-    Ty.StructField("name", Ty.StringType()),
-    Ty.StructField("city", Ty.StringType()),
-    Ty.StructField("state", Ty.StringType()),
-])
-
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (never machine-local on a cluster)."""
@@ -41,11 +34,6 @@ def read_raw_vendors(spark: SparkSession, path: str, multiline: bool = False) ->
     return spark.read.schema(RAW_VENDOR_SCHEMA).option("multiLine", multiline).json(path)
 
 
-def read_vendors(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """SRC-2: normalised vendor list (id, name, city, state)."""
-    return spark.read.schema(VENDOR_SCHEMA).option("multiLine", multiline).json(path)
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """SNK-1/SNK-4: JSON lines, UTF-8, non-ASCII kept."""
     df.write.mode(mode).option("encoding", "UTF-8").option("ignoreNullFields", "false").json(path)

@@ -11,29 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Parquet scan of a driver table.
+# Tasks that text-heavy tables are dealt into; unset (the default), the scan's own splits are kept.
+TEXT_TASKS = "spark.vendorscope.textTasks"
 
-    ``spread``: for tables feeding CPU-heavy text work, round-robin the rows
-    over all cores when the scan yields fewer splits than there are cores
-    (a small file with few row groups). On large inputs, which have many
-    splits, this is a no-op. Column pruning and filters still reach the scan.
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of a driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def read_text(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Scan of the named columns of a table feeding CPU-heavy text work.
+
+    The session setting ``spark.vendorscope.textTasks`` deals the rows into that many tasks; it is
+    meant for single files with few row groups. Without it nothing is shuffled, whatever the input's size.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:  # classic sessions only (split count of the plain scan; planning, no job)
-            cores = spark.sparkContext.defaultParallelism
-            splits = df._jdf.rdd().getNumPartitions()
-        except Exception:  # noqa: BLE001 - e.g. Spark Connect: keep the scan as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+    df = read_table(spark, sf_dir, name).select(*columns)
+    tasks = spark.conf.get(TEXT_TASKS, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def pages(spark, sf_dir) -> DataFrame:
     """Raw web pages: page_id, url, html."""
-    return read_table(spark, sf_dir, "pages", spread=True).select("page_id", "url", "html")
+    return read_text(spark, sf_dir, "pages", "page_id", "url", "html")
 
 
 def _geo(spark, sf_dir) -> DataFrame:
@@ -128,7 +128,7 @@ def snapshots(spark, sf_dir) -> DataFrame:
 
 def table_pages(spark, sf_dir) -> DataFrame:
     """One HTML table per part (header rule, ragged rows, an empty row, source junk)."""
-    p = read_table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_brand", "p_type")
+    p = read_text(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
     html = F.concat(
         F.lit("<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>"),
         F.col("p_brand"), F.lit(" IBM +4</td></tr><tr><td> </td></tr><tr><td>type</td><td>"),
@@ -138,11 +138,11 @@ def table_pages(spark, sf_dir) -> DataFrame:
 
 def fact_answers(spark, sf_dir) -> DataFrame:
     """Answer texts in the Parameter/Value/Source URL reply format, one per line item."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey",
-                                                                     "l_linenumber")
+    li = read_text(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     ln = F.col("l_linenumber")
     src = (F.when(ln % 3 == 0, F.lit("https://www.instagram.com/p"))
            .when(ln % 3 == 1, F.lit("https://www.facebook.com/p"))
+           .when(F.col("l_suppkey") % 2 == 0, F.lit("https://site.example.com/pricing"))
            .otherwise(F.lit("https://site.example.com")))
     rating = (F.when(ln == 1, F.lit("Not Found"))
               .when(F.col("l_partkey") % 2 == 0, (F.col("l_partkey") % 5).cast("string"))
@@ -150,15 +150,19 @@ def fact_answers(spark, sf_dir) -> DataFrame:
     answer = F.concat(
         F.lit("Parameter: website Value: http://s"), F.col("l_suppkey").cast("string"),
         F.lit(".example.com Source URL: "), src, F.lit(" Parameter: rating Value: "), rating,
-        F.lit(" Source URL: none"))
+        F.when(ln % 4 != 0, F.lit(" Source URL: none")).otherwise(F.concat(
+            F.lit(" Parameter: price_range Value: "), F.col("l_suppkey").cast("string"), F.lit(" Source URL: "), src,
+            F.lit(" Parameter: services_offered Value: s"), (F.col("l_suppkey") % 3).cast("string"),
+            F.lit(", common ,t"), (F.col("l_suppkey") % 4).cast("string"), F.lit(" Source URL: "), src)))
     return li.select(F.col("l_partkey").alias("vendor_id"), "l_orderkey", "l_linenumber", answer.alias("answer"))
 
 
 def completions(spark, sf_dir) -> DataFrame:
     """Model completions per order: vendor_id, raw (valid, invalid, non-object, missing)."""
-    o = read_table(spark, sf_dir, "orders", spread=True).select("o_orderkey")
+    o = read_text(spark, sf_dir, "orders", "o_orderkey")
     k = F.col("o_orderkey")
-    raw = (F.when(k % 7 == 0, F.lit("not json"))
+    raw = (F.when(k % 14 == 0, F.lit("not json"))
+           .when(k % 14 == 7, F.lit('{"phone":"9","sources":["Overview"]}\n\nNote: done'))
            .when(k % 7 == 1, F.lit("[1]"))
            .when(k % 7 == 2, F.lit('{"phone":"","sources":"x"}'))
            .when(k % 7 == 3, F.lit(None).cast("string"))
@@ -170,7 +174,7 @@ def completions(spark, sf_dir) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    return read_text(spark, sf_dir, "documents", "doc_id", "text")
 
 
 __all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
