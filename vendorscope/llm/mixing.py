@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendorscope.llm.common import n_words
+from vendorscope.llm.common import n_words, saved
 
 BLOCK = 4096       # documents of one source and size that are numbered together
 SEED = "mix-1"
@@ -52,7 +52,7 @@ def targets(sizes: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, total:
 
 
 def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, total: float = 1.0,
-                seed: str = SEED) -> DataFrame:
+                seed: str = SEED, columns: list[str] | None = None) -> DataFrame:
     """``docs`` with ``size`` (words), ``source_size``, ``target`` and ``copies``; columns of these names are replaced.
 
     Null and wordless texts have size 0, null sources are one source (the last), null
@@ -63,14 +63,16 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
 
     A source may hold any share of the rows: documents are counted per (source, size,
     block of the hash) before anything is ordered, blocks hold about ``BLOCK`` rows,
-    and only within a block are rows numbered.
+    and only within a block are rows numbered. Sizes are counted once, and the rows written with them;
+    ``columns`` names the columns of ``docs`` to return (default: all), so that texts needn't be.
     """
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    own = [c for c in columns or docs.columns if c not in ("size", "source_size", "target", "copies")]
     # Null-safe text keys; a null source can't be mistaken for a text.
     key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source")))
-    base = (docs.select(*own).withColumn("size", n_words(F.col("text"))).withColumn("__key", key)
-            .withColumn("__hash", _unit(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))))
-    light = base.select("__key", "source", "size", "__hash")
+    number = _unit(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    base = saved(docs.select(*own, n_words(F.col("text")).alias("size"), key.alias("__key"), number.alias("__hash"),
+                             F.col("source").alias("__source"), F.col("doc_id").alias("__id")), "sized")
+    light = base.select("__key", F.col("__source").alias("source"), "size", "__hash")
     groups = light.groupBy("__key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source"))
     sizes = groups.groupBy("__key").agg(F.first("source").alias("source"),
                                         F.sum(F.col("n") * F.col("size")).alias("source_size"))
@@ -87,7 +89,7 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
              .join(known, ["__key", "size"]).join(aim, "__key"))
     numbered = (base.join(known, ["__key", "size"]).withColumn("__block", block).drop("__blocks")
                 .join(first.drop("__blocks"), ["__key", "size", "__block"]))
-    rank = F.row_number().over(Window.partitionBy("__key", "size", "__block").orderBy("__hash", "doc_id")).cast("long")
+    rank = F.row_number().over(Window.partitionBy("__key", "size", "__block").orderBy("__hash", "__id")).cast("long")
     place = F.col("__first") + rank
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _unit(F.concat(F.lit(seed + "/"), F.col("__key"))) / F.lit(float(2 ** 32))

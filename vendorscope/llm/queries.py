@@ -58,7 +58,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3 (repeating), at most 3 times each."""
     from vendorscope.llm.mixing import with_copies
 
-    mixed = with_copies(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), most=3.0)
+    mixed = with_copies(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), most=3.0,
+                        columns=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
