@@ -86,7 +86,7 @@ def test_late_snapshot_within_watermark(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name,fn", [("facts_by_priority", "partial_min_by"), ("first_meaningful", "partial_min_by"),
-                                     ("last_write_wins", "partial_max_by"), ("facts_conflict_blank", "partial_min")])
+                                     ("last_write_wins", "partial_max("), ("facts_conflict_blank", "partial_min")])
 def test_hot_keys_aggregate_map_side(spark, name, fn):
     """A key holding a large share of rows is combined before the shuffle (partial aggregation)."""
     plan = _plan(all_queries()[name].build(spark, SF_SMALL))
