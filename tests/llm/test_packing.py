@@ -4,6 +4,7 @@ import zlib
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -48,8 +49,10 @@ def test_words_tokenise_as_whole_texts(odd_docs):
     w, tok = P.word_ids(PATH), Tokenizer.from_file(PATH)
     texts = ["It's Ünïcode text <|endoftext|>x", "á ́b é", "ΑΣ Σ ΟΔΟΣ.", "x\x1cy\x85z", "don't\r\n'S 12 日本語!!",
              " ​  k", "İI ı ſ ﬁ", "..." * 50, "\t", "é" * 300]
-    for t, ids in zip(texts, w.ids([t.encode() for t in texts], 1)):
-        assert ids.tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1], t
+    texts += ["", "<|ENDOFTEXT|> A", "MiXed CASE I\u0307"]
+    ids, starts = w.ids(pa.array(texts), 1)
+    for t, lo, hi in zip(texts, starts[:-1], starts[1:]):
+        assert ids[lo:hi].tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1], t
 
 
 def test_hilbert_visits_every_cell_step_by_step():

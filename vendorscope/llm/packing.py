@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import math
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -26,7 +28,8 @@ from vendorscope.llm.common import rows, saved
 
 DIMS, BITS, TIE_BITS = 3, 8, 28       # 24 bits of curve and 28 bits against ties: exact as a double
 VECTOR = 256                          # length of the hashed vector
-CACHE_WORDS = 300_000                 # words whose ids a worker keeps
+GROUP_BYTES = 6 << 20                 # bytes of text that are encoded together
+CACHE_WORDS = 1_500_000                 # words whose ids a worker keeps
 
 
 class WordIds:
@@ -34,7 +37,7 @@ class WordIds:
 
     The tokenizer drops white space and never joins what white space separates, so the
     ids of a text are those of its words (split at ASCII white space) end to end.
-    Words seen before are looked up; the others go through the tokenizer in one batch.
+    Words seen before are looked up; the others go through the tokenizer in batches.
     """
 
     def __init__(self, path: str):
@@ -44,33 +47,64 @@ class WordIds:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
+        self.kind, self.code = (np.uint16, "H") if self.tok.get_vocab_size() <= 1 << 16 else (np.uint32, "I")
         self.known: dict[bytes, bytes] = {}
         rng = np.random.default_rng(7)
         size = self.tok.get_vocab_size()
         self.slot, self.sign = rng.integers(0, VECTOR, size), rng.choice([-1.0, 1.0], size)
         self.project = rng.standard_normal((VECTOR, DIMS))
 
-    def ids(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
-        """Ids of each text, ``end`` last."""
-        split = [(t or b"").split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list({w for ws in split for w in ws} - self.known.keys())
+    def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, ``end`` behind each; where each text starts, and the total).
+
+        Words are split and numbered by Arrow; only distinct words are looked up, and the ids of all
+        places are gathered at once.
+        """
+        # Lower case is what the tokenizer makes of words anyway, but a special token in a text must stay as it is.
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        count = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        words = split.flatten().dictionary_encode()
+        here = self.looked_up(words.dictionary.cast(pa.binary()).to_pylist())
+        size = np.fromiter(map(len, here), np.int64, len(here)) // np.dtype(self.kind).itemsize
+        pool, first = np.frombuffer(b"".join(here), self.kind), np.cumsum(size) - size
+        word = words.indices.to_numpy(zero_copy_only=False)
+        long = size[word]
+        ends = np.cumsum(long)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(first[word] - (ends - long), long) + np.arange(total)]
+        # Tokens before each text, and one more place for every closing id.
+        before = np.concatenate([[0], ends])[np.cumsum(count)]
+        starts = np.concatenate([[0], before + np.arange(1, len(count) + 1)])
+        out = np.full(total + len(count), end, self.kind)
+        own = np.ones(len(out), bool)
+        own[starts[1:] - 1] = False
+        out[own] = ids
+        return out, starts
+
+    def looked_up(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of some distinct words."""
+        if len(self.known) > CACHE_WORDS:  # the words of these texts stay
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        known = self.known
+        new = [w for w in words if w not in known]
         for lo in range(0, len(new), 20_000):
             part = new[lo:lo + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, self.kind).tobytes()
-        last = np.array([end], self.kind).tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)) + last, self.kind) for ws in split]
-
-    def place(self, ids: np.ndarray) -> np.ndarray:
-        """Cell coordinates (0 .. 2**BITS - 1) of one document."""
-        v = np.bincount(self.slot[ids], weights=self.sign[ids], minlength=VECTOR)
+                known[w] = array(self.code, e.ids).tobytes()
+        return [known[w] for w in words]
+
+    def places(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Cell coordinates (0 .. 2**BITS - 1) of each text."""
+        n = len(starts) - 1
+        row = np.repeat(np.arange(n), np.diff(starts))
+        v = np.bincount(row * VECTOR + self.slot[ids], weights=self.sign[ids], minlength=n * VECTOR).reshape(n, VECTOR)
         v = np.sign(v) * np.sqrt(np.abs(v))
-        v /= max(np.linalg.norm(v), 1e-12)
-        unit = [0.5 * (1 + math.erf(x / math.sqrt(2))) for x in v @ self.project]
-        return np.minimum((np.array(unit) * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
+        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        flat = (v @ self.project).ravel().tolist()
+        unit = np.array([0.5 * (1 + math.erf(x / math.sqrt(2))) for x in flat]).reshape(n, DIMS)
+        return np.minimum((unit * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
 @lru_cache(maxsize=2)
@@ -106,20 +140,34 @@ def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+def sized(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, one row at least."""
+    for b in batches:
+        ends = np.cumsum(np.nan_to_num(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False).astype(float)))
+        lo = 0
+        while lo < b.num_rows:
+            before = ends[lo - 1] if lo else 0.0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 def encoded(docs: DataFrame, path: str, end: int, id_col: str, text_col: str) -> DataFrame:
     """Rows (id, n, key, ids): length with the closing id, sort key, ids as little-endian numbers."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, part, row = word_ids(path), TaskContext.get().partitionId(), 0
-        for b in rows(batches, 256):
-            ids = w.ids(b.column(1).cast(pa.binary()).to_pylist(), end)
-            curve = hilbert(np.array([w.place(x) for x in ids]))
+        for b in sized(batches, GROUP_BYTES):
+            ids, starts = w.ids(b.column(1), end)
+            curve = hilbert(w.places(ids, starts))
             # Rows in one cell are dealt by a hash of their place in the table, so a crowded cell can be cut.
-            tie = (np.arange(row, row + len(ids), dtype=np.uint64) + np.uint64(part << 33)) * np.uint64(0x9E3779B97F4A7C15)
-            row += len(ids)
+            tie = (np.arange(row, row + b.num_rows, dtype=np.uint64) + np.uint64(part << 33)) * np.uint64(0x9E3779B97F4A7C15)
+            row += b.num_rows
             key = (curve << TIE_BITS) | ((tie ^ (tie >> np.uint64(29))) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
+            data = ids.tobytes()
+            at = (starts * ids.itemsize).tolist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(key),
-                 pa.array([x.tobytes() for x in ids], pa.binary())], names=[id_col, "n", "key", "ids"])
+                [b.column(0), pa.array(np.diff(starts)), pa.array(key),
+                 pa.array([data[x:y] for x, y in zip(at[:-1], at[1:])], pa.binary())], names=[id_col, "n", "key", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(made, f"`{id_col}` {kind}, n long, key long, ids binary")
