@@ -5,7 +5,8 @@ node. The first neighbours come from blocks of vectors with equal random sign
 patterns. Each round joins neighbours of neighbours: every edge carries its vector both ways (a node's
 incoming edges are sampled), each node compares the vectors it received with one another
 and tells their nodes about pairs that are nearer than what they have. Queries start
-from the best of a fixed set of entry nodes and repeatedly expand their best unexpanded nodes.
+from the best of a fixed set of entry nodes, and from their own node if their vector is indexed, and
+repeatedly expand their best unexpanded nodes.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from vendorscope.llm.common import dropped, rows, saved
 from vendorscope.llm.vectors import matrix, usable
 
 ENTRIES = 1024     # entry nodes, a fixed number, broadcast
-CELL = 128         # vectors that are compared as one block at the start
+CELL = 2048        # vectors that are compared as one block at the start
 HALF = np.float16  # vectors in messages; scores of results are made from the original vectors
 
 
@@ -96,13 +97,11 @@ def nearest(left: np.ndarray, right: np.ndarray, sim: np.ndarray, k: int, least:
 
 def kept(edges: DataFrame, k: int) -> DataFrame:
     """(node, near: array of ids, sims): each node's ``k`` most similar of what it was told, in order."""
-    # A node is told of at most a few times k neighbours per round: the lists are bounded.
-    told = edges.groupBy("node").agg(F.collect_set(F.struct((-F.col("sim")).alias("s"), F.col("near").alias("v"))).alias("l"))
-    # The same neighbour is told with the same similarity up to rounding; one of them stays.
-    best = F.slice(F.array_sort("l"), 1, 3 * k)
-    once = F.filter(best, lambda x, i: ~F.exists(F.slice(best, 1, i), lambda y: y["v"] == x["v"]))
-    return told.select("node", F.slice(once, 1, k).alias("l")).select(
-        "node", F.col("l.v").alias("near"), F.transform("l", lambda x: -x["s"]).alias("sims"))
+    # A neighbour told twice is one, combined before the shuffle; a node is told of a few times k per round, so lists are bounded.
+    once = edges.groupBy("node", "near").agg(F.max("sim").alias("sim"))
+    told = once.groupBy("node").agg(F.collect_list(F.struct((-F.col("sim")).alias("s"), F.col("near").alias("v"))).alias("l"))
+    best = told.select("node", F.slice(F.array_sort("l"), 1, k).alias("l"))
+    return best.select("node", F.col("l.v").alias("near"), F.transform("l", lambda x: -x["s"]).alias("sims"))
 
 
 def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
@@ -136,31 +135,32 @@ def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
     new = groups.mapInArrow(joined, "node long, near long, sim float")
     old = graph.select("node", F.explode(F.arrays_zip("near", "sims")).alias("e")).select(
         "node", F.col("e.near").alias("near"), F.col("e.sims").cast("float").alias("sim"))
-    # Many nodes may tell a node the same pair; the distinct pairs are combined before the shuffle.
-    return kept(old.unionByName(new.groupBy("node", "near").agg(F.max("sim").alias("sim"))), k)
+    return kept(old.unionByName(new), k)
 
 
-def build(nodes: DataFrame, k: int = 16, trees: int = 4, rounds: int = 3, seed: int = 11) -> DataFrame:
+def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int = 4, seed: int = 11) -> DataFrame:
     """(node, near, units): the neighbour graph with the neighbours' vectors beside their ids."""
     graph = saved(kept(start(nodes, k, trees, seed), k), "graph")
     for r in range(rounds):
         old, graph = graph, saved(descend(nodes, graph, k, seed + r), "graph")
         dropped(old)
-    # Search follows edges in both directions; a node's incoming edges beyond 2k are left to the others' lists.
+    # Search follows edges in both directions; a node's incoming edges beyond k / 2 are left to the others' lists.
     out = graph.select("node", F.explode("near").alias("near"))
     back = out.select(F.col("near").alias("node"), F.col("node").alias("near"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "near")))
-    back = back.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
+    back = back.withColumn("rank", rank).where(F.col("rank") <= k // 2).drop("rank")
     named = nodes.select(F.col("node").alias("near"), "unit")
     return saved(out.unionByName(back).distinct().join(named, "near").groupBy("node")
                  .agg(F.collect_list(F.struct("near", "unit")).alias("l"))
                  .select("node", F.col("l.near").alias("near"), F.col("l.unit").alias("units")), "graph")
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 32, expand: int = 8,
-           hops: int = 10) -> DataFrame:
-    """(query_id, q, found): greedy search of each query (query_id, unit); ``found`` has up to ``beam`` nodes, best first.
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 96, expand: int = 32,
+           hops: int = 4) -> DataFrame:
+    """(query_id, unit, found): greedy search of each query (query_id, unit, own); ``found`` has up to ``beam`` nodes, best first.
 
+    Searches start from the best of ``ENTRIES`` fixed nodes and, where the query's vector is indexed itself, from its
+    node ``own`` (null: it isn't).
     A query's state is its best ``beam`` nodes and which of them it has expanded. A hop joins the best unexpanded
     nodes of all queries with the graph; it ends when no query has one left, or after ``hops``.
     """
@@ -174,7 +174,9 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 3
         for b in rows(batches, 512):
             sim = units(b.column("unit")) @ x.T
             top = np.argsort(-sim, axis=1, kind="stable")[:, :beam]
-            found = [[{"node": int(ids[i]), "sim": float(s[i]), "done": False} for i in t] for t, s in zip(top, sim)]
+            found = [[{"node": own, "sim": 1.0, "done": False}] * (own is not None)
+                     + [{"node": int(ids[i]), "sim": float(s[i]), "done": False} for i in t if int(ids[i]) != own]
+                     for t, s, own in zip(top, sim, b.column("own").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("unit"), pa.array(found, item)],
                                              names=["query_id", "unit", "found"])
 
@@ -216,7 +218,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 3
     return state
 
 
-def neighbours(df: DataFrame, queries: DataFrame, k: int = 5, degree: int = 16, rounds: int = 3, beam: int = 32,
+def neighbours(df: DataFrame, queries: DataFrame, k: int = 5, degree: int = 32, rounds: int = 4, beam: int = 96,
                id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the nearest found of ``df`` for each row of ``queries``, by cosine.
 
@@ -233,7 +235,8 @@ def neighbours(df: DataFrame, queries: DataFrame, k: int = 5, degree: int = 16,
     rows_of = usable(queries, id_col, vec_col).select(F.col("id").alias("query_id"), "vec")
     # Queries with equal vectors are searched once, under the hash of the vector.
     asked = asked.withColumn("key", F.xxhash64("vec"))
-    found = search(asked.select(F.col("key").alias("query_id"), "unit"), nodes, graph, beam)
+    indexed = nodes.select(F.col("node").alias("own"), "vec")
+    found = search(asked.join(indexed, "vec", "left").select(F.col("key").alias("query_id"), "unit", "own"), nodes, graph, beam)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches, 2048):
