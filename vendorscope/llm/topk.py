@@ -53,11 +53,14 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a ** 2).sum(axis=1)[:, None] + (b ** 2).sum(axis=1)[None, :] - 2 * a @ b.T, 0))
 
 
-def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[tuple[list[int], list[int]]]:
-    """Per row of ``scores`` the k best (ids, scores), ties to the smaller id; ``ids`` ascend; a row's own id is out."""
+def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, least: list) -> list[tuple[list[int], list[int]]]:
+    """Per row of ``scores`` the k best (ids, scores) that reach its ``least``, ties to the smaller id.
+
+    ``ids`` ascend; a row's own id is out; a ``least`` of None is no bound.
+    """
     out = []
-    for row, me in zip(scores, own):
-        keep = ids != me
+    for row, me, bar in zip(scores, own, least):
+        keep = ids != me if bar is None else (ids != me) & (row >= bar)
         s, i = row[keep], ids[keep]
         if len(s) > k:
             least = np.partition(s, len(s) - k)[len(s) - k]
@@ -136,17 +139,18 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 32, first
             i, j = np.nonzero(chosen)
             packed = pa.array([r.tobytes() for r in q], pa.binary())
             for at in range(0, len(i), 8192):
+                one = pa.array(i[at:at + 8192])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ring[j[at:at + 8192]].astype(np.int32)), b.column("id").take(pa.array(i[at:at + 8192])),
-                     packed.take(pa.array(i[at:at + 8192]))], names=["ring", "query_id", "q"])
+                    [pa.array(ring[j[at:at + 8192]].astype(np.int32)), b.column("id").take(one), packed.take(one),
+                     b.column("kth").take(one)], names=["ring", "query_id", "q", "kth"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches, 8):
             qid, vid, score = [], [], []
-            for own, qs, ids, xs in zip(*(b.column(c).to_pylist() for c in ("query_ids", "qs", "id", "x"))):
+            for own, qs, least, ids, xs in zip(*(b.column(c).to_pylist() for c in ("query_ids", "qs", "kths", "id", "x"))):
                 q = np.frombuffer(b"".join(qs)).reshape(len(qs), -1)
                 x = np.frombuffer(b"".join(xs)).reshape(len(xs), -1)
-                for me, (i, s) in zip(own, best(exact_products(q, x), np.array(ids), np.array(own), k)):
+                for me, (i, s) in zip(own, best(exact_products(q, x), np.array(ids), np.array(own), k, least)):
                     qid += [me] * len(i)
                     vid += i
                     score += s
@@ -154,12 +158,12 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 32, first
                                              names=["query_id", "vec_id", "score"])
 
     def found(asked: DataFrame, again: bool) -> DataFrame:
-        pairs = asked.mapInArrow(lambda it: visits(it, again), "ring int, query_id long, q binary")
+        pairs = asked.mapInArrow(lambda it: visits(it, again), "ring int, query_id long, q binary, kth long")
         # Queries of a ring are dealt into groups of about BLOCK as well, by their share of all queries.
         packs = (pairs.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
-                 .groupBy("ring", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("qs"))
-                 .select("ring", F.col("qs.query_id").alias("query_ids"), F.col("qs.q").alias("qs")))
-        met = packs.join(blocks.select("ring", "id", "x"), "ring").select("query_ids", "qs", "id", "x")
+                 .groupBy("ring", "part").agg(F.collect_list(F.struct("query_id", "q", "kth")).alias("qs"))
+                 .select("ring", F.col("qs.query_id").alias("query_ids"), F.col("qs.q").alias("qs"), F.col("qs.kth").alias("kths")))
+        met = packs.join(blocks.select("ring", "id", "x"), "ring").select("query_ids", "qs", "kths", "id", "x")
         return met.mapInArrow(compared, "query_id long, vec_id long, score long")
 
     def merged(parts: DataFrame) -> DataFrame:
@@ -168,7 +172,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 32, first
 
     asked = saved(usable(queries, id_col, vec_col), "queries")
     groups = max(1, -(-asked.count() // (BLOCK // 2)))
-    one = saved(merged(found(asked, False)), "first")
+    one = saved(merged(found(asked.withColumn("kth", F.lit(None).cast("long")), False)), "first")
     kth = one.select(F.col("query_id").alias("id"), F.when(F.size("best") == k, -F.col("best")[k - 1]["s"]).alias("kth"))
     two = found(asked.join(kth, "id", "left"), True)
     held = one.select("query_id", F.explode("best").alias("b")).select(
