@@ -71,8 +71,9 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
     key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source")))
     number = _unit(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     base = saved(docs.select(*own, n_words(F.col("text")).alias("size"), key.alias("__key"), number.alias("__hash"),
-                             F.col("source").alias("__source"), F.col("doc_id").alias("__id")), "sized")
-    light = base.select("__key", F.col("__source").alias("source"), "size", "__hash")
+                             F.col("source").alias("__source"), F.col("doc_id").alias("__id"),
+                             F.monotonically_increasing_id().alias("__row")), "sized")
+    light = base.select("__key", F.col("__source").alias("source"), "size", "__hash", "__id", "__row")
     groups = light.groupBy("__key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source"))
     sizes = groups.groupBy("__key").agg(F.first("source").alias("source"),
                                         F.sum(F.col("n") * F.col("size")).alias("source_size"))
@@ -87,15 +88,15 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
     before = Window.partitionBy("__key").orderBy("size", "__block").rowsBetween(Window.unboundedPreceding, -1)
     first = (counts.withColumn("__first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
              .join(known, ["__key", "size"]).join(aim, "__key"))
-    numbered = (base.join(known, ["__key", "size"]).withColumn("__block", block).drop("__blocks")
-                .join(first.drop("__blocks"), ["__key", "size", "__block"]))
+    numbered = dealt.drop("__blocks").join(first.drop("__blocks"), ["__key", "size", "__block"])
     rank = F.row_number().over(Window.partitionBy("__key", "size", "__block").orderBy("__hash", "__id")).cast("long")
     place = F.col("__first") + rank
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _unit(F.concat(F.lit(seed + "/"), F.col("__key"))) / F.lit(float(2 ** 32))
     crossed = F.floor(place * rate + offset) - F.floor((place - 1) * rate + offset)
-    return (numbered.withColumn("copies", crossed.cast("long"))
-            .select(*own, "size", "source_size", "target", "copies"))
+    taken = numbered.select("__row", "source_size", "target", crossed.cast("long").alias("copies"))
+    # Rows are numbered without their texts, which are shuffled once, for this join.
+    return base.join(taken, "__row").select(*own, "size", "source_size", "target", "copies")
 
 
 def repeated_rows(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, total: float = 1.0) -> DataFrame:
