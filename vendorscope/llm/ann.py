@@ -4,14 +4,16 @@ Equal vectors are one node that remembers its smallest ids, so a hot vector is o
 node. The first neighbours come from blocks of vectors with equal random sign
 patterns. Each round joins neighbours of neighbours: every edge carries its vector both ways (a node's
 incoming edges are sampled), each node compares the vectors it received with one another
-and tells their nodes about pairs that are nearer than what they have. Queries start
+and tells their nodes about pairs that are nearer than what they have. Rounds end when they
+change hardly any list entry. Queries start
 from the best of a fixed set of entry nodes, and from their own node if their vector is indexed, and
-repeatedly expand their best unexpanded nodes.
+repeatedly expand their best unexpanded nodes until none is left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from vendorscope.llm.vectors import matrix, usable
 
 ENTRIES = 1024     # entry nodes, a fixed number, broadcast
 CELL = 2048        # vectors that are compared as one block at the start
+SETTLED = 0.001    # share of all list entries; a round that changes no more of them is the last
 HALF = np.float16  # vectors in messages; scores of results are made from the original vectors
 
 
@@ -96,12 +99,17 @@ def nearest(left: np.ndarray, right: np.ndarray, sim: np.ndarray, k: int, least:
 
 
 def kept(edges: DataFrame, k: int) -> DataFrame:
-    """(node, near: array of ids, sims): each node's ``k`` most similar of what it was told, in order."""
+    """(node, near: array of ids, sims, changed): each node's ``k`` most similar of what it was told, in order.
+
+    ``changed`` is how many of them come only from edges marked ``fresh``.
+    """
     # A neighbour told twice is one, combined before the shuffle; a node is told of a few times k per round, so lists are bounded.
-    once = edges.groupBy("node", "near").agg(F.max("sim").alias("sim"))
-    told = once.groupBy("node").agg(F.collect_list(F.struct((-F.col("sim")).alias("s"), F.col("near").alias("v"))).alias("l"))
+    once = edges.groupBy("node", "near").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    told = once.groupBy("node").agg(F.collect_list(
+        F.struct((-F.col("sim")).alias("s"), F.col("near").alias("v"), F.col("fresh").alias("f"))).alias("l"))
     best = told.select("node", F.slice(F.array_sort("l"), 1, k).alias("l"))
-    return best.select("node", F.col("l.v").alias("near"), F.transform("l", lambda x: -x["s"]).alias("sims"))
+    return best.select("node", F.col("l.v").alias("near"), F.transform("l", lambda x: -x["s"]).alias("sims"),
+                       F.size(F.filter("l", lambda x: x["f"])).alias("changed"))
 
 
 def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
@@ -128,22 +136,29 @@ def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
             for lo, hi in zip(ends[:-1], ends[1:]):
                 if hi - lo > 1:
                     v = x[lo:hi]
-                    got.append(nearest(ids[lo:hi], ids[lo:hi], v @ v.T, k // 2, least[lo:hi]))
+                    got.append(nearest(ids[lo:hi], ids[lo:hi], v @ v.T, k, least[lo:hi]))
             if got:
                 yield pa.Table.from_batches(got).combine_chunks().to_batches()[0]
 
     new = groups.mapInArrow(joined, "node long, near long, sim float")
     old = graph.select("node", F.explode(F.arrays_zip("near", "sims")).alias("e")).select(
         "node", F.col("e.near").alias("near"), F.col("e.sims").cast("float").alias("sim"))
-    return kept(old.unionByName(new), k)
+    return kept(old.withColumn("fresh", F.lit(False)).unionByName(new.withColumn("fresh", F.lit(True))), k)
+
 
+def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int | None = None, seed: int = 11) -> DataFrame:
+    """(node, near, units): the neighbour graph with the neighbours' vectors beside their ids.
 
-def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int = 4, seed: int = 11) -> DataFrame:
-    """(node, near, units): the neighbour graph with the neighbours' vectors beside their ids."""
-    graph = saved(kept(start(nodes, k, trees, seed), k), "graph")
-    for r in range(rounds):
+    Rounds are repeated until one changes at most ``SETTLED`` of all list entries, or ``rounds`` times if given.
+    Lists only get nearer, so this ends.
+    """
+    graph = saved(kept(start(nodes, k, trees, seed).withColumn("fresh", F.lit(True)), k), "graph")
+    for r in count() if rounds is None else range(rounds):
         old, graph = graph, saved(descend(nodes, graph, k, seed + r), "graph")
         dropped(old)
+        changed, entries = graph.agg(F.sum("changed"), F.sum(F.size("near"))).first()
+        if (changed or 0) <= SETTLED * (entries or 0):
+            break
     # Search follows edges in both directions; a node's incoming edges beyond k / 2 are left to the others' lists.
     out = graph.select("node", F.explode("near").alias("near"))
     back = out.select(F.col("near").alias("node"), F.col("node").alias("near"))
@@ -156,13 +171,13 @@ def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int = 4, seed:
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 96, expand: int = 32,
-           hops: int = 4) -> DataFrame:
+           hops: int | None = None) -> DataFrame:
     """(query_id, unit, found): greedy search of each query (query_id, unit, own); ``found`` has up to ``beam`` nodes, best first.
 
     Searches start from the best of ``ENTRIES`` fixed nodes and, where the query's vector is indexed itself, from its
     node ``own`` (null: it isn't).
     A query's state is its best ``beam`` nodes and which of them it has expanded. A hop joins the best unexpanded
-    nodes of all queries with the graph; it ends when no query has one left, or after ``hops``.
+    nodes of all queries with the graph; it ends when no query has one left, or after ``hops`` if given.
     """
     spark = nodes.sparkSession
     entry = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", "unit").toArrow()  # a fixed number of rows
@@ -205,7 +220,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 9
                                              names=["query_id", "unit", "found"])
 
     state = saved(queries.mapInArrow(entered, form), "search")
-    for _ in range(hops):
+    for _ in count() if hops is None else range(hops):
         todo = F.slice(F.filter("found", lambda f: ~f["done"]), 1, expand)
         ask = state.select("query_id", "unit", F.explode(todo["node"]).alias("node"))
         if ask.isEmpty():
@@ -218,7 +233,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 9
     return state
 
 
-def neighbours(df: DataFrame, queries: DataFrame, k: int = 5, degree: int = 32, rounds: int = 4, beam: int = 96,
+def neighbours(df: DataFrame, queries: DataFrame, k: int = 5, degree: int = 32, rounds: int | None = None, beam: int = 96,
                id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the nearest found of ``df`` for each row of ``queries``, by cosine.
 
