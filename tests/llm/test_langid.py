@@ -42,3 +42,16 @@ def test_odd_rows(odd_docs, no_docs):
 def test_trigrams():
     assert len(L.trigrams("12 34 .")) == 0 and len(L.trigrams(None)) == 0
     assert len(L.trigrams("a")) == 1 and (L.trigrams("Ab 1 c") == L.trigrams("ab--C")).all()
+
+
+def test_unlearned_languages_are_rejected(spark):
+    docs = table(spark, SF_CHECK, "documents").select("doc_id", "text", "lang")
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+               "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. ") * 3
+    georgian = "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. " * 4
+    odd = [(10 ** 9, finnish, None), (10 ** 9 + 1, georgian, None), (10 ** 9 + 2, "zqxj kvwq xxzj qqvk wzjx " * 20, None)]
+    kept = L.accepted(docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string")))
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not ids & {r[0] for r in odd}
+    lettered = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    assert kept.where(F.col("doc_id") < 10 ** 9).count() >= 0.99 * lettered

@@ -24,6 +24,7 @@ BUCKETS = 1 << 16
 SMOOTH = 0.05          # added to every trigram's count
 PENALTY = 0.02         # of one more language: so much of the trigrams, and the BIC term
 UNKNOWN = "und"
+SPREAD = 5.0           # standard deviations that a known text's likelihood per trigram may lie below its language's mean
 
 
 @lru_cache(maxsize=1)
@@ -53,6 +54,20 @@ class Model:
 
     names: tuple[str, ...]
     p: np.ndarray          # buckets x languages
+    total: np.ndarray | None = None   # smoothed count of all trigrams per language
+
+    def known(self, text: str | None, proportions: dict[str, float], levels: dict[str, tuple[float, float, float]]) -> bool:
+        """Whether the text's mean log-likelihood under ``proportions`` is one that texts of these languages have.
+
+        ``levels``: see ``levels``. A language without a level accepts what it wins.
+        """
+        if not proportions or any(k not in levels for k in proportions):
+            return bool(proportions)
+        x = trigrams(text)
+        share = np.array(list(proportions.values()))
+        p = self.p[:, [self.names.index(k) for k in proportions]][x] @ share
+        mean, between, within = share @ np.array([levels[k] for k in proportions])
+        return bool(np.log(p).mean() >= mean - SPREAD * np.hypot(between, within / np.sqrt(len(x))))
 
     def predict(self, text: str | None, rounds: int = 60) -> tuple[str, float, dict[str, float]]:
         """Main language, its proportion, and the proportions of the selected set."""
@@ -132,7 +147,40 @@ def train(docs: DataFrame, per_language: int = 4000, text_col: str = "text", lan
     table = np.full((BUCKETS, len(names)), SMOOTH)
     column = {k: i for i, k in enumerate(names)}
     np.add.at(table, (sums["bucket"].to_numpy(), [column[x] for x in sums["lang"].to_pylist()]), sums["n"].to_numpy())
-    return Model(names, table / table.sum(axis=0))
+    return Model(names, table / table.sum(axis=0), table.sum(axis=0))
+
+
+def levels(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[float, float, float]]:
+    """Per language: mean over its texts of the mean log-likelihood of a text's trigrams, the deviation between texts
+    and the deviation within a text.
+
+    A text is scored by its language without the text's own counts, so that a learned text is like a new one; texts that
+    training's sample left out are scored so too, which lowers them a little. All texts of ``docs`` are read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        column = {k: i for i, k in enumerate(m.names)}
+        sums: dict[str, np.ndarray] = {}
+        for b in rows(batches):
+            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x, n = np.unique(trigrams(text), return_counts=True)
+                if not len(x) or lang not in column:
+                    continue
+                i, size = column[lang], n.sum()
+                left = np.maximum(m.p[x, i] * m.total[i] - n, SMOOTH) / max(m.total[i] - size, SMOOTH * BUCKETS)
+                like = np.log(left)
+                mean = n @ like / size
+                sums[lang] = sums.get(lang, np.zeros(4)) + [1, mean, mean * mean, n @ (like - mean) ** 2 / size]
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), *[pa.array([v[j] for v in sums.values()]) for j in range(4)]],
+                                             names=["lang", "n", "s", "ss", "v"])
+
+    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
+    found = (labelled.mapInArrow(measured, "lang string, n double, s double, ss double, v double").groupBy("lang")
+             .agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss", "v")]).collect())  # one row per language
+    return {r.lang: (r.s / r.n, max(0.0, r.ss / r.n - (r.s / r.n) ** 2) ** 0.5, (r.v / r.n) ** 0.5) for r in found}
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -162,10 +210,24 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents with a known language that makes up at least ``least`` of them.
 
-    Learns from the texts and languages of ``docs`` that are not held out. If
+    Learns from the texts and languages of ``docs`` that are not held out. A text that its languages fit far worse
+    than their own texts (see ``Model.known``) is in a language that was not learned. If
     nothing can be learned, only texts without a letter are rejected.
     """
-    model = train(docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    learned = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+    model = train(learned)
     if not model.names:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return identified(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast((model, levels(learned, model)))
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, usual = shared.value
+        for b in rows(batches):
+            keep = []
+            for text in b.column("text").to_pylist():
+                name, score, parts = m.predict(text)
+                keep.append(name != UNKNOWN and score >= least and m.known(text, parts, usual))
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(fitting, form)
