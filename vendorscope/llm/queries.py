@@ -165,3 +165,94 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_lines(docs, train(docs))
     return found.select("doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"),
                         F.round("cover", 6).alias("cover"))
+
+
+@register
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by four rules on hosts and paths."""
+    from vendorscope.llm.urls import judged
+
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+                                   ("org", "/fr/", "allow")], "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judged(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op11_urls"] = r"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+                      ('org', '/fr/', 'allow'))
+SELECT page_id, host, path,
+       (SELECT max_by(h || p, length(h || p)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+       coalesce((SELECT max_by(v, length(h || p)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+                'allow') AS verdict
+FROM u
+"""
+
+
+@register
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged by rule, and the cheapest edits that restore the order of roles."""
+    from vendorscope.llm.common import saved
+    from vendorscope.llm.repair import damaged, digests, summaries
+
+    given = table(spark, sf_dir, "conversations")
+    rows = damaged(given)
+    found = digests(rows, saved(summaries(rows), "edits")).withColumnRenamed("conv_id", "_id")
+    every = given.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@register
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling groups of all words of six letters or more that stand five times in the documents."""
+    from vendorscope.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
+# crc32 by its rule: a table of 256 remainders, then one step per UTF-8 byte (letters beyond ASCII are C3 and their code less 64).
+ORACLES["op13_spelling"] = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END, i::BIGINT)
+              ORDER BY i) AS t FROM range(256) AS x(i)),
+runs AS (
+  SELECT id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS r
+        FROM documents) GROUP BY ALL),
+coded AS (
+  SELECT w, n, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END
+                        FOR c IN string_split(id || ':' || w, '')]) AS bytes FROM runs),
+hashed AS (
+  SELECT w, n, xor(list_reduce(bytes, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM coded, remainders),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM v)),
+shorter AS (SELECT DISTINCT c.word AS a, v.word AS b FROM cuts c JOIN v ON c.rest = v.word),
+near AS (
+  SELECT DISTINCT x.word AS a, y.word AS b FROM cuts x JOIN cuts y ON x.p = y.p AND x.rest = y.rest AND x.word <> y.word
+  UNION ALL SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter),
+best AS (
+  SELECT a, count(*) AS n_near, arg_min(b, (-v.n, b)) AS b, max(v.n) AS n FROM near JOIN v ON v.word = near.b GROUP BY a),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best.n >= 5 * v.n THEN b END AS form,
+         CASE WHEN best.n >= 5 * v.n THEN best.n END AS form_n
+  FROM v LEFT JOIN best ON best.a = v.word),
+chain AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN formed f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
