@@ -1,12 +1,16 @@
 """Scale guards on the physical plans, and stream = batch."""
 
+import re
+
 import pytest
 
 from tests.conftest import SF_SMALL
 from vendorscope.plans.catalog import all_queries
 
-PYTHON_ALLOWED = {"enrich_with", "unescape_full"}
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+PYTHON_ALLOWED = {"enrich_with"}
+PYTHON_NODES = ("BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+# The one Python step of page queries: the Arrow pass that reads a page's markup (functions/dom.py).
+PAGE_PASSES = {"dom", "text", "tokens", "clean", "decode"}
 
 
 def _plan(df) -> str:
@@ -19,6 +23,7 @@ def test_no_cartesian_no_python(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     if name not in PYTHON_ALLOWED:
         assert not any(n in plan for n in PYTHON_NODES), name
+        assert set(re.findall(r"ArrowEvalPython \[(\w+)\(", plan)) <= PAGE_PASSES, name
 
 
 def test_scan_is_pruned(spark):

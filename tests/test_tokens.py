@@ -20,8 +20,7 @@ def pages(spark):
 
 
 def test_extents_nesting(spark):
-    tok = TK.tokens(pages(spark).where("page_id = 1"))
-    ext = {r.start_pos: (r.end_pos, r.depth) for r in TK.extents(tok, "div").collect()}
+    ext = {r.start_pos: (r.end_pos, r.depth) for r in TK.extents(pages(spark).where("page_id = 1"), "div").collect()}
     assert ext == {2: (9, 1), 3: (5, 2), 6: (8, 2), 10: (12, 1)}
 
 

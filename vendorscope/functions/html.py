@@ -1,7 +1,7 @@
 """HTML -> text as column expressions.
 
-One page is one row; every step here is a narrow projection (regexp and
-higher-order array functions), so a page never leaves its partition.
+One page is one row and never leaves its partition. The page is read once by the walk in ``dom.py``; lines, anchors and the answer slice
+are higher-order functions on what it returns.
 
 Text model: a tag, comment or declaration separates text nodes; text nodes
 are split into lines, stripped, and empty lines dropped. Script, style,
@@ -10,13 +10,11 @@ noscript and svg subtrees carry no text.
 
 from __future__ import annotations
 
-import re
-from html.entities import html5
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
+from vendorscope.functions import dom
 from vendorscope.functions.text import LINE_BREAK, WS, _c, single_line, strip_ws
 
 # Tag pattern with possessive quantifiers: linear on hostile input (many
@@ -26,101 +24,15 @@ TAG = rf"</?[A-Za-z!?]{ATTRS}>"
 # A comment that is never closed runs to the end, so nothing is scanned twice.
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 
-# Noise elements whose content is markup, so that they can stand within one another.
-NESTING_NOISE = ("noscript", "svg")
-
-# Named entities decoded natively; "&amp;" is decoded last so "&amp;lt;" stays "&lt;".
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&rsquo;", "’"),
-    ("&lsquo;", "‘"), ("&rdquo;", "”"), ("&ldquo;", "“"), ("&amp;", "&"),
-]
-
 
 def denoise(c) -> Column:
-    """Remove script/style/noscript/svg subtrees (each replaced by a line break); an open one runs to the end.
-
-    One scan per name. Of subtrees nested in their like (an svg within an svg) each is cut at its own end: the
-    inner ones first, then the outer one around what is left.
-    """
-    c = _c(c)
-    for t in fixed.NOISE_TAGS:
-        start, end = rf"<{t}\b{ATTRS}>", rf"</{t}{WS}*>"
-        if t in NESTING_NOISE:
-            inner = rf"(?is){start}(?:[^<]++|<(?!/?{t}\b))*+{end}"
-            c = F.when(c.rlike(rf"(?is){start}(?:[^<]++|<(?!/?{t}\b))*+{start}"),
-                       F.regexp_replace(c, inner, "\n")).otherwise(c)
-        c = F.regexp_replace(c, rf"(?is){start}.*?(?:{end}|\z)", "\n")
-    return c
-
-
-def entity_pattern(ent: str) -> str:
-    """A named entity with its ``;``, or without it before a non-alphanumeric (as html.parser reads it)."""
-    if ent.startswith("&#"):
-        return re.escape(ent)
-    return rf"&{ent[1:-1]}(?:;|(?![A-Za-z0-9]))"
-
-
-_COMMON = "|".join(e[1:-1] for e, _ in ENTITIES)
-_BARE_ENTITY = "&(?:" + "|".join(e[1:-1] for e, _ in ENTITIES if not e.startswith("&#")) + ")(?![A-Za-z0-9;])"
-# A reference that is none of the common ones.
-_RARE_ENTITY = rf"&(?!(?:{_COMMON})(?![A-Za-z0-9]))(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
-# A character reference: decimal, hexadecimal, or a name as long as its letters and digits go; the ";" may be missing.
-_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*+;?)"
-
-
-def _reference(ref: Column) -> Column:
-    """The text of one character reference, by number or by its whole name; the reference itself if it names nothing."""
-    digits = F.regexp_extract(ref, r"^&#([0-9]+);?$", 1)
-    hexed = F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
-    # Seven digits hold every code point; longer numbers are none.
-    short = lambda d: F.regexp_replace(d, "^0+(?=.)", "")
-    number = F.when(digits != "", F.when(F.length(short(digits)) <= 7, short(digits).cast("long")).otherwise(F.lit(1 << 40)))
-    number = F.when(hexed != "", F.when(F.length(short(hexed)) <= 6, F.conv(short(hexed), 16, 10).cast("long"))
-                    .otherwise(F.lit(1 << 40))).otherwise(number)
-    # The 27 numbers 0x80 - 0x9F that the standard reads as Windows-1252.
-    windows = F.create_map(*[F.lit(x) for n in range(0x80, 0xA0) for c in [bytes([n]).decode("cp1252", "ignore")] if c
-                             for x in (n, c)])
-    none = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    by_number = F.when(none, "\ufffd").otherwise(F.coalesce(F.try_element_at(windows, number.cast("int")), char))
-    names = F.create_map(*[F.lit(x) for k, v in sorted(html5.items()) if k.endswith(";") for x in (k[:-1], v)])
-    by_name = F.coalesce(F.try_element_at(names, F.regexp_extract(ref, "^&([A-Za-z0-9]+)", 1)), ref)
-    return F.when(number.isNotNull(), by_number).otherwise(by_name)
-
-
-def decode_every_entity(c) -> Column:
-    """Decode all character references of HTML 5, by name and by number, in one pass over the text."""
-    c = _c(c)
-    pieces = F.split(c, _REFERENCE, -1)
-    found = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), 0), _reference)
-    pairs = F.arrays_zip(pieces.alias("a"), found.alias("b"))
-    return F.array_join(F.flatten(F.transform(pairs, lambda x: F.array(x["a"], F.coalesce(x["b"], F.lit(""))))), "")
+    """Remove script/style/noscript/svg elements at any depth (each outermost one replaced by a line break); an open one runs to the end."""
+    return dom.denoised(_c(c))
 
 
 def decode_entities(c) -> Column:
-    """Decode character references (text without ``&`` is returned as is).
-
-    Text that holds only the common names takes a chain of replacements: literal
-    where all end in ``;``, else regexes; both decode ``&amp`` last, so they agree. Any other
-    reference takes the full pass.
-    """
-    c = _c(c)
-    literal, bare = c, c
-    for ent, ch in ENTITIES:
-        literal = F.replace(literal, F.lit(ent), F.lit(ch))
-        bare = F.regexp_replace(bare, entity_pattern(ent), ch)
-    return (F.when(~c.contains("&"), c).when(c.rlike(_RARE_ENTITY), decode_every_entity(c))
-            .when(c.rlike(_BARE_ENTITY), bare).otherwise(literal))
-
-
-def strip_tags(c) -> Column:
-    """Comments and tags -> line breaks, then entity decoding."""
-    c = F.regexp_replace(_c(c), COMMENT, "\n")
-    c = F.regexp_replace(c, TAG, "\n")
-    return decode_entities(c)
+    """Decode all character references of HTML 5, by name and by number, in one pass; what names nothing stays."""
+    return dom.decoded(_c(c))
 
 
 def text_lines(text) -> Column:
@@ -131,7 +43,7 @@ def text_lines(text) -> Column:
 
 def html_lines(html) -> Column:
     """HTML -> array of clean text lines (noise removed, tags split text nodes)."""
-    return text_lines(strip_tags(denoise(F.coalesce(_c(html), F.lit("")))))
+    return text_lines(dom.page_text(_c(html))["text"])
 
 
 def full_text(lines) -> Column:
@@ -140,8 +52,7 @@ def full_text(lines) -> Column:
 
 def title_text(html) -> Column:
     """Decoded, stripped text of the page ``<title>``."""
-    raw = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*+>(.*?)</title", 1)
-    return single_line(decode_entities(F.regexp_replace(raw, TAG, " ")))
+    return single_line(dom.page_text(_c(html))["title"])
 
 
 def _lit_array(values) -> Column:

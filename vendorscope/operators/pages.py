@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
+from vendorscope.functions import dom as D
 from vendorscope.functions import html as H
 from vendorscope.functions import text as T
 
@@ -25,9 +26,18 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
     their own), answer (sanitised, falling back to the full text), meaningful.
     """
     from vendorscope.operators.tables import markdown, parse_tables
-    q = F.col(question) if question else H.title_text(F.col(html))
-    extra = [F.transform(parse_tables(F.col(html)), markdown).alias("tables")] if tables else []
-    staged = df.select(*keep, H.html_lines(F.col(html)).alias("_lines"), q.alias("_q"), *extra)
+    asked = [F.col(question).alias("_question")] if question else []
+    if tables:  # the tree gives the tables, and the lines with them
+        read = fence(df.select(*keep, *asked, D.page_dom(F.col(html)).alias("_dom")))
+        text = F.array_join(F.transform(F.filter("_dom.texts", lambda t: ~t["noise"]), lambda t: t["text"]), "\n")
+        named = F.get(F.filter("_dom.nodes", lambda n: n["tag"] == "title"), 0)
+        title = F.array_join(F.transform(D.texts_of(F.col("_dom.texts"), named), lambda t: t["text"]), " ")
+        extra = [F.transform(parse_tables(F.col("_dom")), markdown).alias("tables")]
+    else:
+        read = fence(df.select(*keep, *asked, D.page_text(F.col(html)).alias("_page")))
+        text, title, extra = F.col("_page.text"), F.col("_page.title"), []
+    q = F.col("_question") if question else T.single_line(F.coalesce(title, F.lit("")))
+    staged = read.select(*keep, H.text_lines(text).alias("_lines"), q.alias("_q"), *extra)
     staged = H.with_answer_slice(staged, "_lines", "_q")
     out = staged.select(
         *keep,

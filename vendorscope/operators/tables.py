@@ -1,9 +1,12 @@
 """HTML tables -> cell rows and Markdown (HTM-11..13, HTM-16/17, FLT-4, AGG-4).
 
-A page's tables are parsed inside its row as ``array<array<array<string>>>``
-(table -> row -> cell) with higher-order functions: filtering, padding to the
-widest row and Markdown rendering never shuffle. The long cell form is an
+A page's tables are read from its element tree, inside its row, as
+``array<array<array<string>>>`` (table -> row -> cell): the rows of a table are the ``tr`` elements
+in its slice of the numbered elements, the cells of a row the ``th`` and ``td`` in the row's slice, a cell's text
+its slice of the texts. Filtering, padding to the widest row and Markdown rendering never shuffle. The long cell form is an
 explode of that array when a consumer wants rows.
+
+A row or cell of a table inside a table counts in both, as a search among descendants finds it.
 """
 
 from __future__ import annotations
@@ -11,34 +14,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendorscope.functions import html as H
+from vendorscope.functions import dom as D
 from vendorscope.functions import text as T
 
-# A row or cell that is never closed ends where the next one starts, a table at the end of the page: no rescans.
-TABLE_RX = rf"(?is)<table\b{H.ATTRS}>(.*?)(?:</table\s*>|\z)"
-ROW_RX = rf"(?is)<tr\b{H.ATTRS}>(.*?)(?:</tr\s*>|(?=<tr\b)|\z)"
-CELL_RX = rf"(?is)<t[hd]\b{H.ATTRS}>(.*?)(?:</t[hd]\s*>|(?=<t[hd]\b)|\z)"
-
-
-def cell_text(c: Column) -> Column:
+def cell_text(texts: Column) -> Column:
     """Text nodes of a cell, stripped, joined by one space, then PRJ-16 cleaning."""
-    return T.clean_cell(F.array_join(H.text_lines(H.strip_tags(c)), " "))
+    parts = F.transform(F.filter(texts, lambda t: ~t["noise"]), lambda t: T.strip_ws(t["text"]))
+    return T.clean_cell(F.array_join(F.filter(parts, lambda x: x != ""), " "))
 
 
-def parse_tables(html: Column) -> Column:
-    """HTM-11 + FLT-4 + HTM-12: tables as arrays of non-empty rows of cell texts.
+def parse_tables(dom: Column) -> Column:
+    """HTM-11 + FLT-4 + HTM-12 on a page's tree: tables as arrays of non-empty rows of cell texts.
 
     Tables left without rows are dropped; the first cell of the header row
     becomes ``Feature`` when it starts with "feature" (any case).
     """
-    raw = F.transform(
-        F.regexp_extract_all(H.denoise(html), F.lit(TABLE_RX), 1),
-        lambda t: F.filter(
-            F.transform(F.regexp_extract_all(t, F.lit(ROW_RX), 1),
-                        lambda r: F.transform(F.regexp_extract_all(r, F.lit(CELL_RX), 1), cell_text)),
-            lambda row: F.exists(row, lambda c: c != "")))
-    kept = F.filter(raw, lambda t: F.size(t) > 0)
-    return F.transform(kept, _header_rule)
+    texts = dom["texts"]
+    of = lambda *tags: F.filter(dom["nodes"], lambda n: n["tag"].isin(*tags) & ~n["noise"])
+    every_row, every_cell = of("tr"), of("td", "th")
+    # Numbered among all rows and cells of the page, those within an element are a slice: nothing is searched per table.
+    cells = lambda r: F.transform(F.slice(every_cell, r["d0"] + 1, r["d1"] - r["d0"]), lambda c: cell_text(D.texts_of(texts, c)))
+    rows = lambda t: F.filter(F.transform(F.slice(every_row, t["r0"] + 1, t["r1"] - t["r0"]), cells),
+                              lambda row: F.exists(row, lambda c: c != ""))
+    found = F.transform(F.filter(of("table"), lambda t: t["r1"] > t["r0"]), rows)
+    return F.transform(F.filter(found, lambda t: F.size(t) > 0), _header_rule)
 
 
 def _header_rule(t: Column) -> Column:
@@ -62,20 +61,25 @@ def markdown(t: Column) -> Column:
     return F.array_join(F.concat(F.array(line(F.element_at(t, 1)), sep), body), "\n")
 
 
+def page_tables(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """key, table_idx (0-based), table (rows of cells): one row per table of every page."""
+    d = D.with_dom(df.select(key, html), html)
+    return d.select(key, F.posexplode(parse_tables(F.col("dom"))).alias("table_idx", "table"))
+
+
 def table_cells(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Long form D8: key, table_idx, row_idx, col_idx, cell (0-based positions)."""
-    t = df.select(key, F.posexplode(parse_tables(F.col(html))).alias("table_idx", "_t"))
-    r = t.select(key, "table_idx", F.posexplode("_t").alias("row_idx", "_r"))
+    r = page_tables(df, key, html).select(key, "table_idx", F.posexplode("table").alias("row_idx", "_r"))
     c = r.select(key, "table_idx", "row_idx", F.posexplode("_r").alias("col_idx", "cell"))
     return c.select(key, *[F.col(x).cast("bigint").alias(x) for x in ("table_idx", "row_idx", "col_idx")], "cell")
 
 
 def tables_markdown(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One Markdown string per table: key, table_no (1-based, HTM-17), n_cols, markdown."""
-    t = df.select(key, F.posexplode(parse_tables(F.col(html))).alias("_i", "_t"))
-    return t.select(key, (F.col("_i") + 1).cast("bigint").alias("table_no"),
-                    F.array_max(F.transform("_t", lambda r: F.size(r))).cast("bigint").alias("n_cols"),
-                    markdown(F.col("_t")).alias("markdown"))
+    t = page_tables(df, key, html)
+    return t.select(key, (F.col("table_idx") + 1).cast("bigint").alias("table_no"),
+                    F.array_max(F.transform("table", lambda r: F.size(r))).cast("bigint").alias("n_cols"),
+                    markdown(F.col("table")).alias("markdown"))
 
 
 def markdown_rows(df: DataFrame, key: str = "page_id", table_no: str = "table_no",

@@ -1,375 +1,216 @@
 """Token rows, element extents and DOM-region operators (HTM-5/6/9/10/14/15, WIN-2/4).
 
-Pages are hash-partitioned on ``page_id`` once; tokens are exploded from
-each page inside its partition, and every window below partitions on
-``page_id`` (or ``page_id`` plus more keys), which that partitioning already
-satisfies: one exchange in total, sorts are local. A page holds a bounded
-number of tokens (its own HTML), so no window partition outgrows a page.
-
-Depth is counted over one tag name at a time; an element left open runs to
-the end of the page.
+All of them are expressions on the page's numbered element tree (``functions/dom.py``): one row per page in, no join, no window and
+no shuffle of HTML. "Inside" is a slice of the numbered elements, an ancestor an interval that holds a number, a region an
+offset pair cut out of the page once.
+
+Each step is a column of its own behind a fence, so nothing is computed twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
-from vendorscope.functions import html as H
+from vendorscope.functions import dom as D
 from vendorscope.functions.text import WS, strip_ws
-from vendorscope.operators.pages import fence
+from vendorscope.operators.pages import BLOCK_FORM_RX, fence
 
-# Raw-text elements are one token; then comments, tags, declarations, text runs, a stray "<".
-# What is never closed (a raw-text element, a comment) runs to the end of the page, so no text is scanned twice.
-_ATTRS = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
-TOKEN_RX = (rf"(?is)<script\b{_ATTRS}>.*?(?:</script\s*>|\z)|<style\b{_ATTRS}>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|"
-            rf"</?[A-Za-z]{_ATTRS}>|<[!?][^<>]*+>|[^<]++|<")
-VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
+def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """HTM-6 token rows: key, pos, kind, tag, token, char_start, char_len.
 
-def attr(tok: Column, name: str) -> Column:
-    """Value of attribute ``name`` in a start-tag token (null when absent)."""
-    rx = rf"""(?i)[\s/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    vals = [F.nullif(F.regexp_extract(tok, rx, i), F.lit("")) for i in (1, 2, 3)]
-    has = tok.rlike(rf"(?i)[\s/]{name}\s*=")
-    return F.when(has, F.coalesce(*vals, F.lit("")))
+    kind: open / close / self / raw (script, style) / comment / decl / text.
+    """
+    rows = fence(pages.select(key, D.tokens_of(F.col(html)).alias("_tokens")))
+    return rows.select(key, F.inline("_tokens"))
 
 
-def has_attr(tok: Column, name: str) -> Column:
-    return tok.rlike(rf"(?i)[\s/]{name}(\s*=|[\s/>])")
+def extents(pages: DataFrame, tag: str | list[str], key: str = "page_id", html: str = "html") -> DataFrame:
+    """HTM-6: extents of the elements of one or more tag names that have a content.
 
+    Output: key, tag, start_pos, end_pos (null = open to page end; an element that an outer end tag closes ends there), depth (1 =
+    outermost of its name), inner_start (char offset after the start tag), inner_end (char offset of the tag that ends it, null when
+    open), token (the start tag).
+    """
+    tags = [tag] if isinstance(tag, str) else list(tag)
+    d = D.with_dom(pages.select(key, html), html)
+    of = F.filter("dom.nodes", lambda n: n["tag"].isin(tags) & (n["end_pos"].isNull() | (n["end_pos"] > n["pos"])))
+    e = d.select(key, F.explode(of).alias("n"))
+    return e.select(key, "n.tag", F.col("n.pos").alias("start_pos"), "n.end_pos", "n.depth", F.col("n.inner").alias("inner_start"),
+                    "n.inner_end", "n.token")
 
-def by_page(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Hash-partition pages by key before their tokens are exploded; the number of partitions is left to AQE."""
-    return pages.repartition(key)
 
+def inner_html(html: Column, n: Column) -> Column:
+    """innerHTML of an element (to the end of the page when it is open)."""
+    length = F.coalesce(n["inner_end"], F.length(html).cast("bigint")) - n["inner"]
+    return F.substring(html, (n["inner"] + 1).cast("int"), length.cast("int"))
 
-def tokens(pages: DataFrame, key: str = "page_id", html: str = "html", carry: tuple[str, ...] = ()) -> DataFrame:
-    """HTM-6 token rows: key, pos, kind, tag, token, char_start, char_len and the ``carry`` columns of the page.
 
-    kind: open / close / self / raw (script, style) / comment / decl / text.
-    """
-    parts = pages.select(key, *carry, F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")),
-                                                                F.lit(TOKEN_RX), 0)).alias("pos", "token"))
-    t = F.col("token")
-    tag = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][A-Za-z0-9:_-]*)", 1))
-    kind = (F.when(t.startswith("<!--"), "comment")
-            .when(t.rlike(r"(?i)^<(script|style)\b"), "raw")
-            .when(t.startswith("</") & (tag != ""), "close")
-            .when(t.rlike(r"^<[!?]"), "decl")
-            .when(t.rlike("^<[A-Za-z]") & (t.endswith("/>") | tag.isin(VOID)), "self")
-            .when(t.rlike("^<[A-Za-z]"), "open")
-            .otherwise("text"))
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (parts.select(key, *carry, F.col("pos").cast("bigint").alias("pos"), kind.alias("kind"),
-                         F.when(kind == "text", F.lit(None).cast("string")).otherwise(tag).alias("tag"), "token",
-                         F.length(t).cast("bigint").alias("char_len"))
-            .withColumn("char_start", F.sum("char_len").over(w) - F.col("char_len")))
-
-
-def extents(tok: DataFrame, tag: str | list[str], key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """HTM-6: element extents of one or more tag names (depth counted per tag name).
-
-    Output: key, tag, start_pos, end_pos (null = open to page end), depth
-    (1 = outermost), inner_start (char offset after the start tag), inner_end
-    (char offset of the end tag, null when open), token (the start tag), and
-    for each ``carry`` column its value at the start token (``start_<c>``) and
-    at the end token (``end_<c>``). Windows partition on (key, tag): the key
-    partitioning already satisfies them.
-    """
-    tags = [tag] if isinstance(tag, str) else list(tag)
-    ev = tok.where(F.col("tag").isin(tags) & F.col("kind").isin("open", "close"))
-    delta = F.when(F.col("kind") == "open", 1).otherwise(-1)
-    w = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ev = ev.withColumn("_d", F.sum(delta).over(w))
-    ev = ev.withColumn("level", F.when(F.col("kind") == "open", F.col("_d")).otherwise(F.col("_d") + 1))
-    wl = Window.partitionBy(key, "tag", "level").orderBy("pos")
-    nxt = F.lead(F.struct("kind", "pos", "char_start", *carry), 1).over(wl)
-    ev = ev.withColumn("_n", nxt)
-    closed = F.col("_n.kind") == "close"
-    return (ev.where((F.col("kind") == "open") & (F.col("level") >= 1))
-            .select(key, "tag", F.col("pos").alias("start_pos"),
-                    F.when(closed, F.col("_n.pos")).alias("end_pos"),
-                    F.col("level").cast("bigint").alias("depth"),
-                    (F.col("char_start") + F.col("char_len")).alias("inner_start"),
-                    F.when(closed, F.col("_n.char_start")).alias("inner_end"), "token",
-                    *[F.col(c).alias(f"start_{c}") for c in carry],
-                    *[F.when(closed, F.col(f"_n.{c}")).alias(f"end_{c}") for c in carry]))
-
-
-def inner_html(html: Column, inner_start: Column, inner_end: Column) -> Column:
-    """innerHTML of an extent (to the end of the page when the element is open)."""
-    length = F.coalesce(inner_end, F.length(html)) - inner_start
-    return F.substring(html, (inner_start + 1).cast("int"), length.cast("int"))
-
-
-_PAGE_END = 2 ** 62
-
-
-def running_count(tok: DataFrame, flag: Column, out: str, key: str = "page_id") -> DataFrame:
-    """Flagged tokens at or before each token (``out``) and on the whole page (``out``_total)."""
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    one = F.when(flag, 1).otherwise(0)
-    return tok.withColumn(out, F.sum(one).over(w)).withColumn(f"{out}_total", F.sum(one).over(Window.partitionBy(key)))
-
-
-def covered(tok: DataFrame, bad: Column, out: str, key: str = "page_id") -> DataFrame:
-    """Mark tokens inside any element whose start tag satisfies ``bad`` (inclusive).
-
-    No joins: per-tag levels pair each close with its open (``lag`` within the
-    level), bad opens add one and their closes subtract one after their
-    position; a token is covered while the running balance is positive.
-    All windows partition on the page key.
-    """
-    ev = F.col("kind").isin("open", "close")
-    delta = F.when(F.col("kind") == "open", 1).when(ev, -1).otherwise(0)
-    wt = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = tok.withColumn("_d", F.sum(delta).over(wt))
-    t = t.withColumn("_lv", F.when(F.col("kind") == "open", F.col("_d")).otherwise(F.col("_d") + 1))
-    t = t.withColumn("_bad", ev & (F.col("kind") == "open") & F.coalesce(bad, F.lit(False)))
-    wl = Window.partitionBy(key, "tag", "_lv").orderBy("pos")
-    prev = F.lag(F.struct("kind", "_bad"), 1).over(wl)
-    t = t.withColumn("_end", ev & (F.col("kind") == "close") & (prev["kind"] == "open") & prev["_bad"])
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.sum(F.when(F.col("_bad"), 1).otherwise(0)).over(upto)
-    closed = F.coalesce(F.sum(F.when(F.coalesce(F.col("_end"), F.lit(False)), 1).otherwise(0)).over(before), F.lit(0))
-    return t.withColumn(out, (opened - closed) > 0).drop("_d", "_lv", "_bad", "_end")
-
-
-def selector_rank(tok: Column) -> Column:
-    """Lowest-rank response selector a div start tag satisfies on its own attributes (null: none).
-
-    The scoped selector (class inside a div with a given id) is decided by the caller.
-    """
-    out = F.lit(None).cast("bigint")
+def selector_rank(n: Column, scopes: dict[str, Column]) -> Column:
+    """Lowest-rank response selector that a div satisfies (null: none); ``scopes``: the divs of each id that a selector asks for around it."""
+    out = F.lit(None).cast("int")
     for rank in reversed(range(1, len(fixed.RESPONSE_SELECTORS) + 1)):
         kind, name, value, scope = fixed.RESPONSE_SELECTORS[rank - 1]
-        if scope is not None:
-            continue
-        a = attr(tok, name)
+        a = n[{"class": "cls", "data-attrid": "attrid", "id": "id"}[name]]
         hit = a.contains(value) if kind == "class" else (a == value)
+        if scope is not None:
+            hit = hit & F.exists(scopes[scope], lambda s: D.contains(s, n))
         out = F.when(F.coalesce(hit, F.lit(False)), F.lit(rank)).otherwise(out)
     return out
 
 
-def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
-                min_chars: int = fixed.REGION_MIN_CHARS, body_min: int = fixed.BODY_MIN_CHARS) -> DataFrame:
-    """HTM-5 + FLT-2 + WIN-2: the response region of each page.
+def with_region(pages: DataFrame, html: str = "html", min_chars: int = fixed.REGION_MIN_CHARS,
+                body_min: int = fixed.BODY_MIN_CHARS) -> DataFrame:
+    """HTM-5 + FLT-2 + WIN-2: ``pages`` with ``selector_rank`` and ``region_html``, the response region of each page.
 
     First selector in rank order, first element in document order whose
     stripped innerHTML is longer than ``min_chars``; else the body when its
-    stripped innerHTML is longer than ``body_min``. Output: key,
-    selector_rank (0 = body, null = nothing), region_html.
-    """
-    pg = by_page(pages.select(key, html), key)
-    divs = extents(tokens(pg, key, html), "div", key)
-    scoped = [(r + 1, s) for r, s in enumerate(fixed.RESPONSE_SELECTORS) if s[3] is not None]
-    cand = divs.withColumn("rank", selector_rank(F.col("token")))
-    # A div is inside a scope div when some scope div that starts before it is
-    # still open at its start: a running max of scope ends (divs nest properly).
-    before = Window.partitionBy(key).orderBy("start_pos").rowsBetween(Window.unboundedPreceding, -1)
-    for rank, (kind, name, value, scope) in scoped:
-        is_scope = attr(F.col("token"), "id") == scope
-        reach = F.max(F.when(is_scope, F.coalesce(F.col("end_pos"), F.lit(_PAGE_END)))).over(before)
-        hit = (reach > F.col("start_pos")) & F.coalesce(attr(F.col("token"), name).contains(value), F.lit(False))
-        cand = cand.withColumn("rank", F.least(F.col("rank"), F.when(hit, F.lit(rank))))
-    cand = cand.where(F.col("rank").isNotNull()).join(pg, key)
-    cand = cand.withColumn("region_html", strip_ws(inner_html(F.col(html), F.col("inner_start"), F.col("inner_end"))))
-    best = (cand.where(F.length("region_html") > min_chars).groupBy(key)
-            .agg(F.min_by(F.struct("rank", "region_html"), F.struct("rank", "start_pos")).alias("_b")))
-    body = strip_ws(F.regexp_extract(F.col(html), r"(?is)<body\b[^>]*>(.*)</body", 1))
-    out = pg.join(best, key, "left")
-    rank = F.when(F.col("_b").isNotNull(), F.col("_b.rank")).when(F.length(body) > body_min, F.lit(0))
-    region = F.when(F.col("_b").isNotNull(), F.col("_b.region_html")).when(F.length(body) > body_min, body)
-    return out.select(key, rank.cast("bigint").alias("selector_rank"), region.alias("region_html"))
-
-
-def _phrase_places(html: Column, phrase: str) -> Column:
-    """Character offsets at which ``phrase`` starts in the concatenated text of a page's text tokens.
-
-    The phrase may be split over tags and written with character references.
+    stripped innerHTML is longer than ``body_min`` (rank 0). Both are null where there is none. Candidates are
+    ordered inside the row; only those that may be long enough are cut out of the page.
     """
-    text = F.array_join(F.transform(
-        F.filter(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(TOKEN_RX), 0), _is_text), H.decode_entities), "")
+    cols = pages.columns
+    page = F.col(html)
+    d = D.with_dom(pages, html)
+    divs = fence(d.select(*cols, F.filter("dom.nodes", lambda n: n["tag"] == "div").alias("_divs")))
+
+    def of_id(scope: str) -> Column:
+        return F.filter("_divs", lambda n: F.coalesce(n["id"] == scope, F.lit(False)))
+
+    scopes = {s[3]: of_id(s[3]) for s in fixed.RESPONSE_SELECTORS if s[3] is not None}
+    names = {s: f"_in_{k}" for k, s in enumerate(scopes)}
+    divs = fence(divs.select("*", *[c.alias(names[s]) for s, c in scopes.items()]))
+    ranked = F.transform("_divs", lambda n: F.struct(
+        selector_rank(n, {s: F.col(c) for s, c in names.items()}).alias("rank"), n["i"].alias("i"), n["inner"].alias("inner"),
+        n["inner_end"].alias("inner_end")))
+    end = F.length(page).cast("bigint")
+    may = F.array_sort(F.filter(ranked, lambda c: c["rank"].isNotNull() & (F.coalesce(c["inner_end"], end) - c["inner"] > min_chars)))
+    found = fence(divs.select(*cols, may.alias("_may")))
+    cut = lambda c: strip_ws(inner_html(page, c))
+    none = F.lit(None).cast("struct<rank:int,region:string>")
+    best = F.aggregate("_may", none, lambda found, c: F.when(found.isNotNull(), found).when(  # cut out only until one is long enough
+        F.length(cut(c)) > min_chars, F.struct(c["rank"].alias("rank"), cut(c).alias("region"))))
+    found = fence(found.select(*cols, best.alias("_best"), strip_ws(F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body", 1)).alias("_body")))
+    none, long = F.col("_best").isNull(), F.length("_body") > body_min
+    rank = F.when(~none, F.col("_best.rank")).when(long, F.lit(0))
+    region = F.when(~none, F.col("_best.region")).when(long, F.col("_body"))
+    out = [c for c in cols if c not in ("selector_rank", "region_html")]
+    return fence(found.select(*out, rank.cast("bigint").alias("selector_rank"), region.alias("region_html")))
+
+
+def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",
+                min_chars: int = fixed.REGION_MIN_CHARS, body_min: int = fixed.BODY_MIN_CHARS) -> DataFrame:
+    """The response region of each page: key, selector_rank (0 = body, null = nothing), region_html."""
+    return with_region(pages.select(key, html), html, min_chars, body_min).select(key, "selector_rank", "region_html")
+
+
+def _places(text: Column, phrase: str) -> Column:
+    """Character offsets at which ``phrase`` starts in a text."""
     pieces = F.split(text, r"\Q" + phrase + r"\E", -1)
     n = len(phrase)
     return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda _, i: F.aggregate(
         F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + i * n)
 
 
-def _is_text(token: Column) -> Column:
-    """Whether a token of ``TOKEN_RX`` is text (a lone ``<`` is)."""
-    return ~token.rlike(r"^<[A-Za-z!?/]") | (token == "<")
-
+def with_overview(pages: DataFrame, html: str = "html", anchors: list[str] = fixed.OVERVIEW_ANCHOR_TAGS) -> DataFrame:
+    """HTM-9 + HTM-10: ``pages`` with their ``dom``, the overview's ``anchor`` and ``container`` (elements, null if there is none) and ``how``.
 
-def _extent_cols(t: DataFrame, tags: list[str], p: str, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Extent columns on the start-tag rows of ``tags`` (null on other rows), computed in place.
-
-    ``{p}_start`` (row opens an element), ``{p}_end`` (pos of its end tag, null
-    when open), ``{p}_end_<c>`` (carry columns at the end tag). Every token row
-    stays, so the overview pipeline never joins: it is windows over one
-    DataFrame partitioned by page.
-    """
-    ev = F.col("tag").isin(tags) & F.col("kind").isin("open", "close")
-    is_open = ev & (F.col("kind") == "open")
-    delta = F.when(is_open, 1).when(ev, -1).otherwise(0)
-    wt = Window.partitionBy(key, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn(f"{p}_d", F.sum(delta).over(wt))
-    t = t.withColumn(f"{p}_lv", F.when(is_open, F.col(f"{p}_d")).when(ev, F.col(f"{p}_d") + 1))
-    wl = Window.partitionBy(key, "tag", f"{p}_lv").orderBy("pos")
-    t = t.withColumn(f"{p}_n", F.when(ev, F.lead(F.struct("kind", "pos", *carry), 1).over(wl)))
-    start = is_open & (F.col(f"{p}_lv") >= 1)
-    closed = start & (F.col(f"{p}_n.kind") == "close")
-    t = t.withColumn(f"{p}_start", F.coalesce(start, F.lit(False)))
-    t = t.withColumn(f"{p}_end", F.when(closed, F.col(f"{p}_n.pos")))
-    for c in carry:
-        t = t.withColumn(f"{p}_end_{c}", F.when(closed, F.col(f"{p}_n.{c}")))
-    return t.drop(f"{p}_d", f"{p}_n")
-
-
-def _overview(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Token rows of anchored pages with the overview decisions as columns.
-
-    Adds: anchor_pos, anchor_tag (HTM-9 anchor), container_pos, container_end,
-    how (HTM-9/10), inside (token inside the container), gone (inside a
-    dropped subtree, HTM-14).
+    The anchor is the first element of the ``anchors`` tags whose text, put together over tags and character references, holds the phrase;
+    with ``div`` among them it is the outermost one, so only other anchors have divs to climb. From
+    its enclosing div, climb at most 5 times, stopping at a div that has ``data-attrid`` or an ``svg`` inside; the 6th enclosing div
+    is taken unchecked; with no enclosing div left, fall back to ``div.Kevs9``, then to a div of whose classes one matches
+    ``AI_Overview|AIO``.
     """
-    phrase = fixed.OVERVIEW_ANCHOR_TEXT
-    pg = by_page(pages.select(key, F.coalesce(F.col(html), F.lit("")).alias(html)), key)
-    # Places of the phrase in the page's text are found once per page and ride along (they are few).
-    pg = fence(pg.select(key, html, _phrase_places(F.col(html), phrase).alias("_places")))
-    t = tokens(pg, key, html, carry=("_places",))
-    page = Window.partitionBy(key)
-    # Anchor: first h1/h2/h3/div (document order) whose text holds the phrase.
-    length = F.when(F.col("kind") == "text", F.length(H.decode_entities(F.col("token")))).otherwise(0)
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("_chars", F.sum(length).over(upto)).withColumn("_chars_total", F.sum(length).over(page))
-    t = _extent_cols(t, fixed.OVERVIEW_ANCHOR_TAGS, "ax", key, carry=("_chars",))
-    last = F.coalesce(F.col("ax_end__chars"), F.col("_chars_total"))
-    holds = F.col("ax_start") & F.exists("_places", lambda p: (p >= F.col("_chars")) & (p + len(phrase) <= last))
-    t = t.withColumn("_anc", F.min(F.when(holds, F.struct(F.col("pos").alias("p"), F.col("tag").alias("g")))).over(page))
-    t = t.withColumn("anchor_pos", F.col("_anc.p")).withColumn("anchor_tag", F.col("_anc.g")).drop("_places")
-    # Enclosing divs of the anchor, nearest first; a div is flagged by data-attrid or an svg inside.
-    svg = (F.col("tag") == "svg") & F.col("kind").isin("open", "self")
-    t = running_count(t, svg, "_svgs", key)
-    t = _extent_cols(t, ["div"], "dv", key, carry=("_svgs",))
-    enc = F.col("dv_start") & (F.col("pos") < F.col("anchor_pos")) & \
-        (F.col("dv_end").isNull() | (F.col("dv_end") > F.col("anchor_pos")))
-    t = t.withColumn("_enc", F.coalesce(enc, F.lit(False)))
-    t = t.withColumn("_up", F.when(F.col("_enc"), F.row_number().over(
-        Window.partitionBy(key, "_enc").orderBy(F.col("pos").desc()))))
-    has_svg = (F.coalesce(F.col("dv_end__svgs"), F.col("_svgs_total")) - F.col("_svgs")) > 0
-    flagged = has_svg | has_attr(F.col("token"), "data-attrid")
+    cols = pages.columns
+    d = D.with_dom(pages, html)
+    phrase, nodes = fixed.OVERVIEW_ANCHOR_TEXT, F.col("dom.nodes")
+    whole = F.array_join(F.transform("dom.texts", lambda t: t["text"]), "")
+    d = fence(d.select(*cols, "dom", whole.alias("_whole")))
+    d = fence(d.select(*cols, "dom", _places(F.col("_whole"), phrase).alias("_at")))
+    first = F.get(F.filter(nodes, lambda n: n["tag"].isin(anchors) & F.exists(
+        "_at", lambda p: (p >= n["c0"]) & (p + len(phrase) <= n["c1"]))), 0)
+    d = fence(d.select(*cols, "dom", F.when(F.size("_at") > 0, first).alias("anchor")))
+    around = F.reverse(F.filter(nodes, lambda n: (n["tag"] == "div") & D.contains(n, F.col("anchor"))))
+    d = fence(d.select(*cols, "dom", "anchor", F.when(F.col("anchor").isNotNull(), around).alias("_up")))
     steps = fixed.OVERVIEW_CLIMB_STEPS
-    pick = F.col("_enc") & (((F.col("_up") <= steps) & flagged) | (F.col("_up") == steps + 1))
-    t = t.withColumn("_climb", F.min(F.when(pick, F.struct(F.col("_up").alias("u"), F.col("pos").alias("p")))).over(page))
-    cls = attr(F.col("token"), "class")
-    parts = F.split(cls, WS + "+")
-    fb_rank = F.when(F.col("dv_start") & F.array_contains(parts, fixed.OVERVIEW_FALLBACK_CLASS), 1) \
-        .when(F.col("dv_start") & F.exists(parts, lambda c: c.rlike(fixed.OVERVIEW_FALLBACK_CLASS_PATTERN)), 2)
-    t = t.withColumn("_fb", F.min(F.when(fb_rank.isNotNull(),
-                                         F.struct(fb_rank.alias("r"), F.col("pos").alias("p")))).over(page))
-    cpos = F.when(F.col("anchor_pos").isNotNull(), F.coalesce(F.col("_climb.p"), F.col("_fb.p")))
-    t = t.withColumn("container_pos", cpos)
-    t = t.withColumn("how", F.when(F.col("_climb").isNotNull(), "climb").when(F.col("container_pos").isNotNull(),
-                                                                               "fallback"))
-    t = t.withColumn("container_end", F.max(F.when(F.col("pos") == F.col("container_pos"), F.col("dv_end"))).over(page))
-    t = t.withColumn("inside", F.coalesce((F.col("pos") > F.col("container_pos")) & (
-        F.col("container_end").isNull() | (F.col("pos") < F.col("container_end"))), F.lit(False)))
-    # Dropped subtrees inside the container: style, links, aria-hidden, badge classes.
-    tk = F.col("token")
-    bad = F.col("inside") & (F.col("tag").isin("style", "a") | (attr(tk, "aria-hidden") == "true") |
-                             F.coalesce(attr(tk, "class").rlike(fixed.OVERVIEW_DROP_CLASS_PATTERN), F.lit(False)))
-    t = covered(t, bad, "gone", key)
-    return t
-
-
-def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-9 + HTM-10: container of the overview block.
-
-    From the anchor's enclosing div, climb at most 5 times, stopping at a div
-    that has ``data-attrid`` or an ``svg`` inside; the 6th enclosing div is
-    taken unchecked; with no enclosing div left, fall back to ``div.Kevs9``,
-    then a div whose class matches ``AI_Overview|AIO``. Output: key,
-    anchor_pos, container_pos (null = not found), how.
-    """
-    t = _overview(pages, key, html)
-    return t.where(F.col("pos") == F.col("anchor_pos")).select(key, "anchor_pos", "container_pos", "how")
+    stops = F.filter(F.slice("_up", 1, steps), lambda n: n["attrid"].isNotNull() | F.exists(
+        D.within(nodes, n), lambda x: x["tag"] == "svg"))
+    classes = lambda n: F.split(n["cls"], WS + "+")
+    named = F.filter(nodes, lambda n: (n["tag"] == "div") & F.coalesce(
+        F.array_contains(classes(n), fixed.OVERVIEW_FALLBACK_CLASS), F.lit(False)))
+    like = F.filter(nodes, lambda n: (n["tag"] == "div") & F.coalesce(F.exists(
+        classes(n), lambda c: c.rlike(fixed.OVERVIEW_FALLBACK_CLASS_PATTERN)), F.lit(False)))
+    d = fence(d.select(*cols, "dom", "anchor", F.coalesce(F.get(stops, 0), F.get("_up", steps)).alias("_climbed")))
+    held = F.when(F.col("anchor").isNotNull(), F.coalesce("_climbed", F.get(named, 0), F.get(like, 0)))
+    d = fence(d.select(*cols, "dom", "anchor", "_climbed", held.alias("container")))
+    how = F.when(F.col("_climbed").isNotNull(), "climb").when(F.col("container").isNotNull(), "fallback")
+    return d.select(*cols, "dom", "anchor", "container", how.alias("how"))
+
+
+def overview_container(pages: DataFrame, key: str = "page_id", html: str = "html",
+                       anchors: list[str] = fixed.OVERVIEW_ANCHOR_TAGS) -> DataFrame:
+    """HTM-9 + HTM-10: key, anchor_pos, container_pos (null = not found), how; one row per page that has the anchor."""
+    o = with_overview(pages.select(key, html), html, anchors).where(F.col("anchor").isNotNull())
+    return o.select(key, F.col("anchor.pos").alias("anchor_pos"), F.col("container.pos").alias("container_pos"), "how")
+
+
+def _kept(dom: Column, container: Column) -> Column:
+    """Elements of the container outside what the clean-up (HTM-14) drops within it."""
+    return F.filter(D.within(dom["nodes"], container), lambda n: n["drop"] <= container["i"])
 
 
 def overview_sanitize(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-14: tokens of the overview container left after dropping style, links,
-    aria-hidden subtrees and badge classes. Output: key, pos, kind, tag, token."""
-    return _kept(_overview(pages, key, html)).select(key, "pos", "kind", "tag", "token")
-
-
-def _kept(t: DataFrame) -> DataFrame:
-    return t.where(F.col("inside") & ~F.col("gone") & F.col("kind").isin("open", "close", "text", "self"))
-
-
-def _blocks(t: DataFrame, key: str) -> DataFrame:
-    # Comments are children too: an element with a comment and a text has no single string.
-    kept = t.where(F.col("inside") & ~F.col("gone") & F.col("kind").isin("open", "close", "text", "self", "comment"))
-    kept = kept.select(key, "pos", "kind", "tag", "token")
-    # A block is a leaf-tag element whose content is m start tags, one text and their m end tags, at
-    # any depth m: within it one text, no other childless node, and the text right after the start tags.
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    text, other = F.col("kind") == "text", F.col("kind").isin("self", "comment")
-    k = kept.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("pos")))
-    k = k.select("*", F.sum(F.when(F.col("kind") == "open", 1).otherwise(0)).over(upto).alias("_opens"),
-                 F.sum(F.when(text, 1).otherwise(0)).over(upto).alias("_texts"),
-                 F.sum(F.when(other, 1).otherwise(0)).over(upto).alias("_others"),
-                 F.sum(F.when(text, F.col("_n")).otherwise(0)).over(upto).alias("_at"))
-    carry = ("_n", "_opens", "_texts", "_others", "_at")
-    k = _extent_cols(k, fixed.OVERVIEW_LEAF_TAGS, "lf", key, carry=carry)
-    inner = F.col("lf_end__opens") - F.col("_opens")
-    at = F.col("lf_end__at") - F.col("_at")
-    single = (F.col("lf_start") & (F.col("lf_end__texts") - F.col("_texts") == 1)
-              & (F.col("lf_end__others") == F.col("_others")) & (at == F.col("_n") + inner + 1)
-              & (F.col("lf_end__n") == F.col("_n") + 2 * inner + 2))
-    k = k.withColumn("_s", F.coalesce(single, F.lit(False)))
-    # Such an element's text is the next text token: nested ones share it, and it is one block.
-    nxt = F.first(F.when(text, F.col("token")), ignorenulls=True).over(
-        Window.partitionBy(key).orderBy("pos").rowsBetween(1, Window.unboundedFollowing))
-    block = strip_ws(H.decode_entities(F.col("_x")))
-    blocks = k.withColumn("_x", nxt).where("_s").select(key, "pos", block.alias("block")).where(F.col("block") != "")
-    lower = F.lower(F.col("block"))
-    stop = F.lit(False)
-    for p in fixed.OVERVIEW_STOP_PHRASES:
-        stop = stop | lower.contains(p)
-    # First of equal blocks (a window on (page, block): no new partitioning needed).
-    first = blocks.where(~stop).withColumn("_r", F.row_number().over(Window.partitionBy(key, "block").orderBy("pos")))
-    agg = first.where(F.col("_r") == 1).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("_b"))
-    return agg.select(key, F.array_join(F.transform("_b", lambda s: s["block"]), "\n\n").alias("overview_text"))
+    """HTM-14: start tags and texts of the overview container left after dropping style, links,
+    aria-hidden subtrees and badge classes. Output: key, pos, kind (open / text), tag, token (start tag, or decoded text)."""
+    o = fence(with_overview(pages.select(key, html), html).where(F.col("container").isNotNull()))
+    dom, box = F.col("dom"), F.col("container")
+    starts = F.transform(_kept(dom, box), lambda n: F.struct(n["pos"].alias("pos"), F.lit("open").alias("kind"), n["tag"].alias("tag"),
+                                                             n["token"].alias("token")))
+    left = F.filter(D.texts_of(dom["texts"], box), lambda t: F.get(dom["nodes"], t["owner"])["drop"] <= box["i"])
+    texts = F.transform(left, lambda t: F.struct(t["pos"].alias("pos"), F.lit("text").alias("kind"),
+                                                 F.lit(None).cast("string").alias("tag"), t["text"].alias("token")))
+    return o.select(key, F.inline(F.array_sort(F.concat(starts, texts))))
+
+
+def overview_text(dom: Column, container: Column) -> Column:
+    """HTM-14 + HTM-15 + FLT-6 + WIN-4 on a page's tree: the container's clean text blocks, joined by a blank line ("" without any)."""
+    leaves = F.filter(_kept(dom, container), lambda n: n["tag"].isin(fixed.OVERVIEW_LEAF_TAGS) & (n["single"] >= 0))
+    blocks = F.transform(leaves, lambda n: strip_ws(F.get(dom["texts"], n["single"])["text"]))
+
+    def shown(b: Column) -> Column:
+        lower, stop = F.lower(b), F.lit(False)
+        for p in fixed.OVERVIEW_STOP_PHRASES:
+            stop = stop | lower.contains(p)
+        return (b != "") & ~stop
+
+    return F.array_join(F.array_distinct(F.filter(blocks, shown)), "\n\n")
 
 
 def overview_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """HTM-14 + HTM-15 + FLT-6 + WIN-4: clean text blocks of the overview container.
 
     Inside the container, subtrees of ``style``, ``a``, ``aria-hidden="true"``
-    and badge classes are dropped; leaf ``p/li/div/span`` elements whose only
-    child is one text node give a block (stripped); the first of equal blocks
+    and badge classes are dropped; ``p/li/div/span`` elements that hold one text and nothing else but elements around it
+    give a block (stripped); the first of equal blocks
     is kept, blocks holding a stop phrase are dropped; blocks are joined by a
-    blank line. Output: key, overview_text.
+    blank line. Output: key, overview_text; pages without a block have no row.
     """
-    return _blocks(_overview(pages, key, html), key)
+    o = with_overview(pages.select(key, html), html)
+    text = F.when(F.col("container").isNotNull(), overview_text(F.col("dom"), F.col("container")))
+    return fence(o.select(key, text.alias("overview_text"))).where(F.col("overview_text") != "")
 
 
 def page_status(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """FLT-5 + FLT-8: outcome per page: blocked / no_overview / container_unparsed / empty_text / ok."""
-    pg = pages.select(key, html)
-    text = H.full_text(H.html_lines(F.col(html)))
-    from vendorscope.operators.pages import BLOCK_FORM_RX
-    form = F.col(html).rlike(BLOCK_FORM_RX)
-    base = pg.select(key, (form | text.contains(fixed.BLOCK_TEXT)).alias("_blocked"))
-    t = _overview(pg, key, html)
-    has_text = _blocks(t, key).where(strip_ws(F.col("overview_text")) != "").select(key, F.lit(True).alias("_text"))
-    found = t.where(F.col("pos") == F.col("anchor_pos")).select(key, F.col("container_pos").isNotNull().alias("_cont"))
-    per_page = found.join(has_text, key, "left")
-    j = base.join(per_page, key, "left")
-    status = (F.when(F.col("_blocked"), "blocked").when(F.col("_cont").isNull(), "no_overview")
-              .when(~F.col("_cont"), "container_unparsed").when(F.col("_text").isNull(), "empty_text")
-              .otherwise("ok"))
-    return j.select(key, status.alias("status"))
+    """FLT-5 + FLT-8: outcome per page: error / blocked / no_overview / container_unparsed / empty_text / ok.
+
+    A page that was not fetched (null HTML) is an ``error``.
+    """
+    o = with_overview(pages.select(key, html), html)
+    lines = F.array_join(F.transform(F.filter("dom.texts", lambda t: ~t["noise"]), lambda t: strip_ws(t["text"])), "\n")
+    o = fence(o.select(key, F.col(html).isNull().alias("_error"), (F.col(html).rlike(BLOCK_FORM_RX) | lines.contains(fixed.BLOCK_TEXT)).alias("_blocked"),
+                       F.col("anchor").isNotNull().alias("_anchor"), F.col("container").isNotNull().alias("_box"),
+                       F.when(F.col("container").isNotNull(), overview_text(F.col("dom"), F.col("container"))).alias("_text")))
+    status = (F.when(F.col("_error"), "error").when(F.col("_blocked"), "blocked").when(~F.col("_anchor"), "no_overview")
+              .when(~F.col("_box"), "container_unparsed").when(strip_ws(F.col("_text")) == "", "empty_text").otherwise("ok"))
+    return o.select(key, status.alias("status"))

@@ -172,10 +172,10 @@ def ordered_distinct(spark, sf_dir):
 SELECT page_id, {Q.decode(Q.rx(Q.rx(Q.denoise('html'), r'(?s)<!--.*?-->', 'chr(10)'), Q.TAG, 'chr(10)'))} AS text FROM pages""")
 def unescape_full(spark, sf_dir):
     """UDF-2: all HTML5 character references (by name and number) of page text decoded."""
-    from vendorscope.functions.html import COMMENT, TAG, decode_every_entity, denoise
+    from vendorscope.functions.html import COMMENT, TAG, decode_entities, denoise
     pg = S.pages(spark, sf_dir)
     raw = F.regexp_replace(F.regexp_replace(denoise(F.col("html")), COMMENT, "\n"), TAG, "\n")
-    return pg.select("page_id", decode_every_entity(raw).alias("text"))
+    return pg.select("page_id", decode_entities(raw).alias("text"))
 
 
 @query("stream_first_meaningful", _first_sql(70))

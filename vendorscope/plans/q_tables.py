@@ -1,4 +1,4 @@
-"""Table queries on table pages (one HTML table per part): HTM-11..13, HTM-16/17, FLT-4, AGG-4."""
+"""Table queries on table pages (HTML tables of each part): HTM-11..13, HTM-16/17, FLT-4, AGG-4."""
 
 from __future__ import annotations
 
@@ -9,16 +9,26 @@ from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
 from vendorscope.sources import tables as S
 
-_TB = """tb AS (
-  SELECT p_partkey AS page_id,
-    '<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>' || p_brand
-    || ' IBM +4</td></tr><tr><td> </td></tr><tr><td>type</td><td>' || p_type
-    || '</td><td>a  b</td></tr></table>' AS html
-  FROM part
-)"""
+def _filled_sql(text: str) -> str:
+    """A fixture's text with {brand} and {type} filled in, as SQL."""
+    for name in ("brand", "type"):
+        text = f"' || p_{name} || '".join(text.split("{" + name + "}"))
+    return f"'{text}'"
+
+
+def _case_sql(key: str, values: list[str]) -> str:
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+_TB = f"tb AS (SELECT p_partkey AS page_id, {_case_sql('p_partkey', [_filled_sql(html) for html, _ in S.TABLE_CASES])} AS html FROM part)"
+
+
+def _expected_sql(tables: list) -> str:
+    """What a fixture's tables read as, stated with the fixture."""
+    return "[" + ", ".join("[" + ", ".join("[" + ", ".join(_filled_sql(c) for c in row) + "]" for row in t) + "]" for t in tables) + "]"
 
 
-# The oracle's own patterns: the fixture's tables are closed throughout.
+# The oracle's own patterns, for pages whose tables are closed throughout.
 _TABLE_RX = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
 _ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 _CELL_RX = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"
@@ -54,11 +64,8 @@ def markdown_sql(t: str) -> str:
             f"list_transform(list_slice({t}, 2, len({t})), lambda r: {line('r')})), chr(10))")
 
 
-_PARSED = f"""{_TB}, pt AS (
-  SELECT page_id, {tables_sql('html')} AS tabs
-  FROM tb
-), ph AS (
-  SELECT page_id, {header_rule_sql('tabs')} AS tabs FROM pt
+_PARSED = f"""ph AS (
+  SELECT p_partkey AS page_id, {_case_sql('p_partkey', [_expected_sql(tables) for _, tables in S.TABLE_CASES])} AS tabs FROM part
 ), t1 AS (
   SELECT page_id, unnest(tabs) AS t, unnest(range(len(tabs))) AS table_idx FROM ph
 )"""
@@ -99,17 +106,17 @@ def table_markdown(spark, sf_dir):
 SELECT page_id, CAST(table_idx AS BIGINT) AS table_idx, array_to_string(t[1], '|') AS header FROM t1""")
 def table_header(spark, sf_dir):
     """HTM-12: header row of every table after the Feature rule."""
-    t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(TB.parse_tables(F.col("html"))).alias("table_idx", "t"))
+    t = TB.page_tables(S.table_pages(spark, sf_dir))
     return t.select("page_id", F.col("table_idx").cast("bigint").alias("table_idx"),
-                    F.array_join(F.element_at("t", 1), "|").alias("header"))
+                    F.array_join(F.element_at("table", 1), "|").alias("header"))
 
 
 @query("table_index", f"""WITH {_PARSED}
 SELECT page_id, CAST(table_idx + 1 AS BIGINT) AS table_no, CAST(len(t) AS BIGINT) AS n_rows FROM t1""")
 def table_index(spark, sf_dir):
     """HTM-17: tables numbered from 1 in document order, with their row counts."""
-    t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(TB.parse_tables(F.col("html"))).alias("i", "t"))
-    return t.select("page_id", (F.col("i") + 1).cast("bigint").alias("table_no"), F.size("t").cast("bigint").alias("n_rows"))
+    t = TB.page_tables(S.table_pages(spark, sf_dir))
+    return t.select("page_id", (F.col("table_idx") + 1).cast("bigint").alias("table_no"), F.size("table").cast("bigint").alias("n_rows"))
 
 
 def _cells_sql(line: str) -> str:
@@ -143,5 +150,5 @@ def clean_cell(spark, sf_dir):
     """PRJ-16: every raw cell text collapsed, with trailing "IBM/Quora/TechTarget +N" junk dropped."""
     from vendorscope.functions.text import clean_cell as cc
     t = S.table_pages(spark, sf_dir).select("page_id", F.posexplode(
-        F.regexp_extract_all(F.col("html"), F.lit(TB.CELL_RX), 1)).alias("pos", "raw"))
+        F.regexp_extract_all(F.col("html"), F.lit(_CELL_RX), 1)).alias("pos", "raw"))
     return t.select("page_id", F.col("pos").cast("bigint").alias("pos"), cc(F.col("raw")).alias("cell"))

@@ -8,10 +8,17 @@ than re-running it.
 from __future__ import annotations
 
 from vendorscope import fixed
-from vendorscope.functions.html import ENTITIES
 from vendorscope.functions.text import LINE_BREAK, WS
 
 NL = "chr(10)"
+# The references that stand in the tables; "&amp;" is decoded last so "&amp;lt;" stays "&lt;".
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
+    ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€"), ("&rsquo;", "’"),
+    ("&lsquo;", "‘"), ("&rdquo;", "”"), ("&ldquo;", "“"), ("&amp;", "&"),
+]
 TAG = """</?[A-Za-z!?](?:[^<>"']|"[^"]*"|'[^']*')*>"""
 
 

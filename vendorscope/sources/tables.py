@@ -7,6 +7,8 @@ Only ``nation`` and ``region`` (fixed 25 / 5 rows) are ever broadcast.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,14 +128,85 @@ def snapshots(spark, sf_dir) -> DataFrame:
             .select(F.col("user_id").alias("question_id"), "event_id", "ts", "asked_ts", answer.alias("answer")))
 
 
+# Table markup by part key modulo 4 (closed; a table within a cell; cells and a table left open; noise nested in a cell).
+# {brand} and {type} stand for the part's columns; the rows beside each are what its tables read as.
+TABLE_CASES = [
+    ("<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>{brand} IBM +4</td></tr><tr><td> </td></tr>"
+     "<tr><td>type</td><td>{type}</td><td>a  b</td></tr></table>",
+     [[["Feature", "Value", "Note"], ["brand", "{brand}"], ["type", "{type}", "a b"]]]),
+    ("<div><table><tr><th>Outer</th><th>Inner</th></tr><tr><td>brand</td><td>{brand}<table><tr><td>k</td><td>{type}</td></tr>"
+     "<tr><td></td></tr></table></td></tr><tr><td>last</td><td>z</td></tr></table></div>",
+     [[["Outer", "Inner"], ["brand", "{brand} k {type}", "k", "{type}", ""], ["k", "{type}"], ["last", "z"]], [["k", "{type}"]]]),
+    ("<div><table><tr><td>brand<td>{brand}</tr><tr><th>feature<td>{type}</table><table><tr><td>second</td></tr></table></div><p>after",
+     [[["brand {brand}", "{brand}"], ["feature {type}", "{type}"]], [["second"]]]),
+    ("<table><tr><th>FEATURES</th><th>Value</th></tr><tr><td>svg<svg><svg><svg>x</svg>y</svg><text>L1</text></svg></td>"
+     "<td>{type}<noscript><table><tr><td>n</td></tr></table></noscript></td></tr></table><table><tr><td><script>t</script></td></tr></table>",
+     [[["Feature", "Value"], ["svg", "{type}"]]]),
+]
+
+
+def _filled(template: str, **columns) -> "F.Column":
+    """A template's text with its {names} replaced by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[columns[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)])
+
+
+def _by_case(key, columns: list) -> "F.Column":
+    """One of ``columns`` by the remainder of ``key``."""
+    out = columns[-1]
+    for i, c in reversed(list(enumerate(columns[:-1]))):
+        out = F.when(key % len(columns) == i, c).otherwise(out)
+    return out
+
+
 def table_pages(spark, sf_dir) -> DataFrame:
-    """One HTML table per part (header rule, ragged rows, an empty row, source junk)."""
+    """HTML tables per part (``TABLE_CASES``: header rule, ragged and empty rows, source junk, nesting, open cells, noise)."""
     p = read_text(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
-    html = F.concat(
-        F.lit("<table><tr><th>Feature set</th><th>Value</th><th>Note</th></tr><tr><td>brand</td><td>"),
-        F.col("p_brand"), F.lit(" IBM +4</td></tr><tr><td> </td></tr><tr><td>type</td><td>"),
-        F.col("p_type"), F.lit("</td><td>a  b</td></tr></table>"))
-    return p.select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    cases = [_filled(html, brand=F.col("p_brand"), type=F.col("p_type")) for html, _ in TABLE_CASES]
+    return p.select(F.col("p_partkey").alias("page_id"), _by_case(F.col("p_partkey"), cases).alias("html"))
+
+
+# Overview blocks appended to raw pages, by page id modulo 7: markup with the {url}, the container's place behind the first
+# tag (None: not found) and how it is found from an h2 anchor.
+_CARD = ('<h2>AI Over<b>view</b></h2><p>{url}</p><style>p</style><ul><li>page &amp; text</li></ul><a href="#">link</a>'
+         '<span aria-hidden="true">hidden</span><div class="x citation"><p>badge</p></div><p>Show more</p><p>open one<p>open two')
+OVERVIEW_CASES = [
+    ("<div><div><div data-attrid='k'>" + _CARD + "</div></div></div>", 2, "climb"),
+    ("<div><div data-attrid><div><div><div><div>" + _CARD + "</div></div></div></div></div></div>", 1, "climb"),
+    ("<div><div data-attrid='far'><div><div><div><div><div>" + _CARD + "</div></div></div></div></div></div></div>", 1, "climb"),
+    ("<div><div><svg><svg></svg></svg><div><div>" + _CARD + "</div></div></div></div>", 1, "climb"),
+    ("<section><div><div>" + _CARD + "</div></div></section>", None, None),
+    ("<section><p class='Kevs9'>no</p><div><div class='a Kevs9'>" + _CARD + "</div></div></section>", 5, "fallback"),
+    ("<section><div><div class='AI_Overview-1'>" + _CARD + "</div></div></section>", 2, "fallback"),
+]
+PAGE_END = "</body></html>"
+
+
+def overview_raw_pages(spark, sf_dir) -> DataFrame:
+    """Raw pages with one of ``OVERVIEW_CASES`` at the end of their body: page_id, html."""
+    p = pages(spark, sf_dir)
+    cases = [_filled(html, url=_esc(F.col("url"))) for html, _, _ in OVERVIEW_CASES]
+    return p.select("page_id", F.concat(F.regexp_replace("html", PAGE_END + r"\z", ""), _by_case(F.col("page_id"), cases),
+                                        F.lit(PAGE_END)).alias("html"))
+
+
+# Markup that ends a raw page, by page id modulo 7, and the page's status; None: the page was not fetched.
+STATUS_CASES = [
+    (None, "error"),
+    ("<div id='captcha-form'>AI Overview</div>", "blocked"),
+    ("<p>Our systems have detected unusual traffic</p>", "blocked"),
+    ("<div>AI <i>Overview</i></div>", "container_unparsed"),
+    ("<div class='Kevs9'><h3>AI&#32;Overview</h3><a><p>x</p></a><p>one <b>two</b></p></div>", "empty_text"),
+    ("<div class='Kevs9'><h3>AI Overview</h3><p>one</p></div>", "ok"),
+    ("<p>AI Overview outside of a heading</p>", "no_overview"),
+]
+
+
+def status_pages(spark, sf_dir) -> DataFrame:
+    """Raw pages with one of ``STATUS_CASES`` at the end: page_id, html."""
+    p = pages(spark, sf_dir)
+    cases = [F.lit(None).cast("string") if html is None else F.concat("html", F.lit(html)) for html, _ in STATUS_CASES]
+    return p.select("page_id", _by_case(F.col("page_id"), cases).alias("html"))
 
 
 def fact_answers(spark, sf_dir) -> DataFrame:
@@ -178,4 +251,4 @@ def documents(spark, sf_dir) -> DataFrame:
 
 
 __all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
-           "snapshots", "table_pages", "fact_answers", "completions", "documents"]
+           "snapshots", "table_pages", "overview_raw_pages", "status_pages", "fact_answers", "completions", "documents"]
