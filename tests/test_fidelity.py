@@ -23,6 +23,27 @@ COMPLETIONS = [
     ('{"sources":["x","weddingwire.in",2.5],"é":"ü"}', "ok", '{"sources":["x",2.5],"é":"ü"}', ["x", "2.5"]),
     ('{"sources":["Overview"],"sources":["y"]}', "ok", None, ["y"]),
     ('["Overview"]', "not_object", None, None),
+    ("{'a':1}", "invalid", None, None),
+    ('{"a":"x\ny"}', "invalid", None, None),
+    ('{"a":"x\\ny", "b":"\\u00e9"}', "ok", None, None),
+    ('{"a":"\\x"}', "invalid", None, None),
+    ('{"a":01}', "invalid", None, None),
+    ('{"a":.5}', "invalid", None, None),
+    ('{"a":1e5,"b":-0.5E-3}', "ok", None, None),
+    ('{a:1}', "invalid", None, None),
+    ('{"a":1,}', "invalid", None, None),
+    ('{"a":"NaN, Infinity","b":[NaN,-Infinity]}', "ok", None, None),
+    ("NaN", "not_object", None, None),
+    ("null", "not_object", None, None),
+    ('"sources"', "not_object", None, None),
+    (' \n{"a":1}\t', "ok", None, None),
+    ('\ufeff{"a":1}', "invalid", None, None),
+    ('{"a":1} // c', "invalid", None, None),
+    ('{"sources":[["Overview"],"Overview"]}', "ok", '{"sources":[["Overview"]]}', ['["Overview"]']),
+    ('{"sources":[],"b":"\\"sources\\":[\\"Overview\\"]"}', "ok", None, []),
+    ('{"b":"x]","sources":["a]","JustDial","b\\"]"],"c":["Overview"]}', "ok", '{"b":"x]","sources":["a]","b\\"]"],"c":["Overview"]}', ["a]", 'b"]']),
+    ('{"sources":["y"],"sources":"x"}', "ok", None, None),
+    ('{"a":"{","sources":["Overview","z"]}', "ok", '{"a":"{","sources":["z"]}', ["z"]),
 ]
 
 
@@ -78,7 +99,7 @@ def overview(body):
 def test_overview_blocks(spark, body, text):
     pages = spark.createDataFrame([(1, overview(body)), (2, "<div><p>no anchor</p></div>"), (3, None)], "page_id int, html string")
     assert [(r.page_id, r.overview_text) for r in TK.overview_blocks(pages).collect()] == [(1, text)]
-    assert {r.page_id: r.status for r in TK.page_status(pages).collect()} == {1: "ok", 2: "no_overview", 3: "no_overview"}
+    assert {r.page_id: r.status for r in TK.page_status(pages).collect()} == {1: "ok", 2: "no_overview", 3: "error"}
 
 
 def test_last_write_wins_is_one_result(spark):
@@ -90,3 +111,55 @@ def test_long_ids(spark):
     from vendorscope.functions import text as T
     df = spark.createDataFrame([("9223372036854775807",), ("9223372036854775808",), ("007",)], "x string")
     assert [r.y for r in df.select(T.id_cast(F.col("x")).alias("y")).collect()] == [9223372036854775807, None, 7]
+
+
+def test_json_status_is_that_of_the_strict_parser(spark):
+    """Random edits of valid texts against the standard library's parser."""
+    import json
+    import random
+    rng = random.Random(6)
+    base = ['{"a":1,"b":[true,null,"x\\n"],"c":{"d":-1.5e3}}', '{"sources":["Overview","y"],"zz":NaN}', "[1, 2]", '"s"', "{}", "-0"]
+    texts = set(base)
+    for _ in range(1500):
+        t = rng.choice(base)
+        for _ in range(rng.randrange(1, 4)):
+            k = rng.randrange(len(t) + 1)
+            t = t[:k] + rng.choice(['"', "'", "{", "}", "[", "]", ",", ":", "0", "1", ".", "e", "-", " ", "\n", "\\", "t", "NaN", ""]) + t[k + rng.randrange(2):]
+        texts.add(t)
+
+    def status(t):
+        try:
+            return "ok" if isinstance(json.loads(t), dict) else "not_object"
+        except ValueError:
+            return "invalid"
+
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    bad = [(r.raw, r.s) for r in df.select("raw", EN.json_status(F.col("raw")).alias("s")).collect() if r.s != status(r.raw)]
+    assert not bad, bad[:5]
+
+
+def test_long_completion(spark):
+    raw = '{"a":[' + ",".join(f'"x{i}"' for i in range(60000)) + '],"sources":["Overview","z"]}'
+    r = EN.with_sources(spark.createDataFrame([(raw,)], "raw string")).first()
+    assert r.parse_status == "ok" and r.sources == ["z"] and len(r.cleaned) == len(raw) - len('"Overview",')
+
+
+CONTACTS = [
+    ("see (https://x.example/a_(b)), or https://y.example/z.", ["https://x.example/a_(b)", "https://y.example/z"], []),
+    ("[https://x.example/q?a=[1]]; **https://y.example**", ["https://x.example/q?a=[1]", "https://y.example"], []),
+    ("'https://x.example/it's' (https://x.example/(1)(2))!?", ["https://x.example/it's", "https://x.example/(1)(2)"], []),
+    ("on 2024-05-06 12, 2024-05-06 12:30, 06.05.2024 11, 2021 2022 2023", [], []),
+    ("+91 98765 43210; +1 (017) 555-7713 and +442079460018", [], ["+91 98765 43210", "+1 (017) 555-7713", "+442079460018"]),
+    ("(022) 2345-6789, 080 2345 6789, 98765-43210, 9876543210", [], ["(022) 2345-6789", "080 2345 6789", "98765-43210", "9876543210"]),
+    ("card 1234567890123456, id A9876543210, 10 000 000 Rs, 12 34, 192.168.100.200", [], []),
+]
+
+
+def test_contacts_of_labelled_texts(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CONTACTS)], "i int, text string")
+    got = FX.route_contacts(df, "text", ["i"]).collect()
+    urls = FX.extract_urls(df, "text", ["i"]).collect()
+    for i, (text, sites, calls) in enumerate(CONTACTS):
+        mine = sorted((r for r in got if r.i == i), key=lambda r: r.pos)
+        assert [r.value for r in mine if r.kind == "website"] == sites == [r.url for r in sorted(urls, key=lambda r: r.pos) if r.i == i], text
+        assert [r.value for r in mine if r.kind == "phone"] == calls, text

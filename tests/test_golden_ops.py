@@ -110,6 +110,7 @@ def test_markdown_round_trip(spark):
     for r in lines.collect():
         got.setdefault((r.page_id, r.table_no), {})[r.row_idx] = "| " + " | ".join(r.cells) + " |"
     want = {(r.page_id, r.table_no): r.markdown.split("\n")[2:] for r in md.collect()}
+    want = {k: v for k, v in want.items() if v}  # a table of one row has a header only
     assert want and {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
 
 
@@ -127,5 +128,5 @@ def test_unknown_category_aborts_the_run(spark):
     ok = spark.createDataFrame([(1, "WEDDING_PLANNERS")], "id long, category string")
     assert V.require_known_category(ok).count() == 1
     bad = spark.createDataFrame([(1, "WEDDING_PLANNERS"), (2, "CATERERS")], "id long, category string")
-    with pytest.raises(ValueError, match="Unknown category: CATERERS"):
-        V.require_known_category(bad)
+    with pytest.raises(Exception, match="Unknown category: CATERERS"):
+        V.require_known_category(bad).collect()

@@ -58,6 +58,8 @@ FOOTER_MARKERS = [
 
 # What an envelope without an answer says.
 FAILURE_TEXT = "No usable AI response found."
+# And what it says where the question could not be asked.
+NO_INPUT_TEXT = "Could not find AI Mode input box."
 
 # An answer whose first 300 normalised characters hold one of these is not usable.
 UI_PHRASES = [

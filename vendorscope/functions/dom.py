@@ -43,7 +43,6 @@ NODE = pa.struct([("i", _INT), ("tag", _STR), ("token", _STR), ("pos", _LONG), (
 TAG, POS, END_POS, START, INNER_END, PARENT, LAST, T1, C1, NOISE, DROP, SINGLE, R1, D1 = 1, 3, 4, 6, 8, 9, 10, 12, 14, 15, 16, 17, 22, 24
 TEXT = pa.struct([("text", _STR), ("pos", _LONG), ("owner", _INT), ("noise", _BOOL)])
 TOKEN = pa.struct([("pos", _LONG), ("kind", _STR), ("tag", _STR), ("token", _STR), ("char_start", _LONG), ("char_len", _LONG)])
-DOM = pa.struct([("nodes", pa.list_(NODE)), ("texts", pa.list_(TEXT))])
 
 _TOKEN = re.compile(TOKEN_RX.replace(r"\z", r"\Z"), re.ASCII)
 _TAG = re.compile(rf"<[A-Za-z]{_ATTRS}>")
@@ -219,22 +218,28 @@ def page_without_noise(page: str) -> str:
     return "".join(parts) + page[at:]
 
 
-def _lists(rows: list[list], kind: pa.DataType) -> pa.Array:
-    """One Arrow list of structs per page, built from flat columns."""
+def _lists(rows: list[list], kind: pa.StructType, places) -> pa.Array:
+    """One Arrow list of structs per page, built from flat columns: the values at ``places`` of each row."""
     offsets = [0]
     for r in rows:
         offsets.append(offsets[-1] + len(r))
-    flat = list(zip(*(x for r in rows for x in r))) or [()] * kind.num_fields
-    columns = [pa.array(c, f.type) for c, f in zip(flat, kind)]
+    every = [x for r in rows for x in r]
+    columns = [pa.array([x[k] for x in every], f.type) for k, f in zip(places, kind)]
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(kind)))
 
 
-def page_dom(html: Column) -> Column:
-    """The page's elements and texts as ``DOM``; a null page is an empty one."""
-    @F.arrow_udf(from_arrow_type(DOM))
+def page_dom(html: Column, *fields: str) -> Column:
+    """Struct (nodes, texts) of a page: its elements with the named ``fields`` of ``NODE`` (all if none is named) and its texts; a null page
+    is an empty one."""
+    places = [k for k, f in enumerate(NODE) if not fields or f.name in fields]
+    node = pa.struct([NODE[k] for k in places])
+    kind = pa.struct([("nodes", pa.list_(node)), ("texts", pa.list_(TEXT))])
+
+    @F.arrow_udf(from_arrow_type(kind))
     def dom(pages: pa.Array) -> pa.Array:
         read = [walk(p or "")[:2] for p in pages.to_pylist()]
-        return pa.StructArray.from_arrays([_lists([r[0] for r in read], NODE), _lists([r[1] for r in read], TEXT)], fields=list(DOM))
+        return pa.StructArray.from_arrays([_lists([r[0] for r in read], node, places), _lists([r[1] for r in read], TEXT, range(len(TEXT)))],
+                                          fields=list(kind))
 
     return dom(html)
 
@@ -253,7 +258,7 @@ def tokens_of(html: Column) -> Column:
     """The page's tokens as an array of ``TOKEN``."""
     @F.arrow_udf(from_arrow_type(pa.list_(TOKEN)))
     def tokens(pages: pa.Array) -> pa.Array:
-        return _lists([page_tokens(p or "") for p in pages.to_pylist()], TOKEN)
+        return _lists([page_tokens(p or "") for p in pages.to_pylist()], TOKEN, range(len(TOKEN)))
 
     return tokens(html)
 
@@ -276,10 +281,10 @@ def decoded(text: Column) -> Column:
     return decode(text)
 
 
-def with_dom(df: DataFrame, html: str = "html", out: str = "dom") -> DataFrame:
-    """``df`` with the tree of its pages, computed once (behind a fence)."""
+def with_dom(df: DataFrame, html: str = "html", fields: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``dom``, the tree of its pages (elements with the named fields), computed once (behind a fence)."""
     from vendorscope.operators.pages import fence
-    return fence(df.withColumn(out, page_dom(F.col(html))))
+    return fence(df.withColumn("dom", page_dom(F.col(html), *fields)))
 
 
 def within(nodes: Column, n: Column) -> Column:

@@ -47,9 +47,10 @@ def fill_template(slots: dict[str, Column], template: str | None = None) -> Colu
 
 def build_prompts(df: DataFrame, content: str = "combined_text", category: str = C.DEFAULT_CATEGORY,
                   name: str = "name", city: str = "city", state: str = "state",
-                  platform: str = fixed.PROMPT_PLATFORM) -> DataFrame:
-    """PRJ-13 + JOIN-3: prompt per vendor with its SHA-256 key; output model by category."""
-    model = F.lit(C.output_model_text(category)) if category in fixed.OUTPUT_MODELS else F.lit(None).cast("string")
+                  platform: str = fixed.PROMPT_PLATFORM, model: Column | None = None) -> DataFrame:
+    """PRJ-13 + JOIN-3: prompt per vendor with its SHA-256 key; the output model of ``category``, or the column ``model``."""
+    if model is None:
+        model = F.lit(C.output_model_text(category) if category in fixed.OUTPUT_MODELS else None).cast("string")
     prompt = fill_template({"vendor_name": F.col(name), "city": F.col(city), "state": F.col(state),
                             "content": F.col(content), "output_format": model}, prompt_template(platform))
     return df.withColumn("prompt", prompt).withColumn("prompt_sha", F.sha2(F.col("prompt"), 256))
@@ -78,20 +79,25 @@ def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt
 
 # One JSON token: a string, a sign, white space, or a number or word.
 JSON_TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[{}\[\]:,]|\s++|[^"{}\[\]:,\s]++|"'
-# The words that the reference's parser takes for numbers; read as null where only validity matters.
-JSON_WORDS = r"(?<=[:,\[\s])-?(?:NaN|Infinity)(?=\s*[,}\]])"
+# The words for numbers that a completion may hold; read as null where only validity matters.
+JSON_WORDS = r"(?<![^:,\[\s])-?(?:NaN|Infinity)(?![^\s,}\]])"
+# Every token of JSON, nothing but tokens, to the end: double-quoted strings without raw control characters, numbers without leading
+# zeros, the known words. What order they may come in is the parser's to check.
+JSON_TOKENS = (r'\A(?:[ \t\n\r]++|[{}\[\]:,]|"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9A-Fa-f]{4}))*+"'
+               r"|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?|true|false|null|-?Infinity|NaN)*+\z")
 
 
 def is_json(raw: Column) -> Column:
-    """Whether the whole text is one JSON value; repeated keys and NaN are allowed, text after the value isn't.
+    """Whether the whole text is one JSON value by the strict grammar; repeated keys, NaN and Infinity are allowed, text after the value isn't.
 
-    SQL's JSON functions stop at the end of the first value. Inside ``[...]`` and inside ``{"v":...}`` anything behind
+    SQL's JSON functions are lenient about tokens (single quotes, raw line breaks in strings), so the tokens are checked first, and
+    stop at the end of the first value: inside ``[...]`` and inside ``{"v":...}`` anything behind
     it breaks the syntax of one of the two or makes a second element.
     """
     text = F.when(raw.contains("NaN") | raw.contains("Infinity"), F.regexp_replace(raw, JSON_WORDS, "null")).otherwise(raw)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("\n]"))) == 1
     value = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("\n}"))).isNotNull()
-    return F.coalesce(alone & value, F.lit(False))
+    return F.coalesce(F.when(raw.rlike(JSON_TOKENS), alone & value), F.lit(False))
 
 
 def json_status(raw: Column) -> Column:
@@ -101,6 +107,10 @@ def json_status(raw: Column) -> Column:
             .when(first != "{", "not_object").otherwise("ok"))
 
 
+# Of an object: what stands up to the value of its last "sources", and that value if it is a list (without lists inside).
+FLAT_SOURCES = r'(?s)\A(.*"sources"[ \t\n\r]*:[ \t\n\r]*)(\[(?:[^"\]]++|"(?:[^"\\]++|\\.)*+")*+\])?'
+
+
 def sources_span(tokens: Column) -> Column:
     """Struct (s, f): 0-based places of the brackets of the list under the top-level key ``sources``, -1 if it isn't a list.
 
@@ -137,11 +147,20 @@ def with_sources(df: DataFrame, raw: str = "raw", blacklist: list[str] = fixed.I
     """
     staged = fence(df.select("*", json_status(F.col(raw)).alias("parse_status")))
     may = (F.col("parse_status") == "ok") & F.col(raw).contains('"sources"')
-    staged = fence(staged.select("*", F.when(may, F.regexp_extract_all(F.col(raw), F.lit(JSON_TOKEN), 0)).alias("_t")))
+    # In an object without others inside, the last ``"sources" :`` is the key (within strings quotes are escaped), so its list can be cut out
+    # by a pattern unless lists are nested; anything else is read token by token.
+    flat = may & (F.length(raw) - F.length(F.replace(F.col(raw), F.lit("{"), F.lit(""))) == 1)
+    staged = fence(staged.select("*", F.when(flat, F.regexp_extract(raw, FLAT_SOURCES, 1)).alias("_a"),
+                                 F.when(flat, F.regexp_extract(raw, FLAT_SOURCES, 2)).alias("_l0"), may.alias("_may")))
+    plain = F.col("_a").isNotNull() & ~F.col("_l0").substr(2, 1 << 30).contains("[")
+    staged = fence(staged.select("*", plain.alias("_flat")).select(
+        "*", F.when(F.col("_may") & ~F.col("_flat"), F.regexp_extract_all(F.col(raw), F.lit(JSON_TOKEN), 0)).alias("_t")))
     staged = fence(staged.select("*", sources_span(F.col("_t")).alias("_p")))
     s, f, n = F.col("_p.s"), F.col("_p.f"), F.size("_t")
-    inside = F.when((s >= 0) & (f > s), F.array_join(F.slice("_t", s + 1, f - s + 1), ""))
-    staged = fence(staged.select("*", inside.alias("_l")))
+    listed_at = (s >= 0) & (f > s)
+    before = F.when(F.col("_flat"), F.col("_a")).otherwise(F.array_join(F.slice("_t", F.lit(1), F.greatest(s, F.lit(0))), ""))
+    inside = F.when(F.col("_flat"), F.nullif("_l0", F.lit(""))).when(listed_at, F.array_join(F.slice("_t", s + 1, f - s + 1), ""))
+    staged = fence(staged.select("*", before.alias("_b"), inside.alias("_l")))
     bl = F.array(*[F.lit(b) for b in blacklist])
 
     def listed(x: Column) -> Column:
@@ -152,8 +171,9 @@ def with_sources(df: DataFrame, raw: str = "raw", blacklist: list[str] = fixed.I
     parts = F.try_variant_get(F.try_parse_json("_l"), "$", "array<variant>")
     kept = F.filter(parts, lambda x, i: ~listed(F.get(items, i)))
     text = F.when(F.exists(items, listed), F.coalesce(F.to_json(kept), F.col("_l"))).otherwise(F.col("_l"))
-    joined = F.concat(F.array_join(F.slice("_t", F.lit(1), s), ""), text,
-                      F.array_join(F.slice("_t", f + 2, F.greatest(n - f - 1, F.lit(0))), ""))
+    after = F.when(F.col("_flat"), F.substr(F.col(raw), F.length("_b") + F.length("_l") + 1)).otherwise(
+        F.array_join(F.slice("_t", f + 2, F.greatest(n - f - 1, F.lit(0))), ""))
+    joined = F.concat("_b", text, after)
     return staged.select(*[c for c in df.columns if c not in ("parse_status", "sources", "cleaned")], "parse_status",
                          F.filter(items, lambda x: ~listed(x)).alias("sources"),
                          F.when(F.col("_l").isNotNull(), joined).otherwise(F.col(raw)).alias("cleaned"))

@@ -23,7 +23,17 @@ FACT_FIELDS = r"(?s)^(.*?)Value:(.*?)(?:Source URL:(.*))?$"
 URL = r"""https?://[^\s"<>]+"""
 LABELLED_URL = r"""(?:(Website Value|Official Website|Website|Source URL):[ ]*)?(https?://[^\s"<>]+)"""
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE = r"\+?[0-9][0-9 ()-]{7,}[0-9]"
+# A phone number, by its groups of digits: international; with an area code in brackets; in groups, the last of four or five digits;
+# or ten to eleven digits in one. None starts or ends within a word or number, and none is a date or a row of years.
+_YEAR, _MONTH, _DAY = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+_DATE = rf"{_YEAR}[-./ ]{_MONTH}[-./ ]{_DAY}(?![0-9])|{_DAY}[-./ ]{_MONTH}[-./ ]{_YEAR}(?![0-9])|{_YEAR}(?:[ -]{_YEAR})+(?![0-9])"
+PHONE = (rf"(?<![\w+./-])(?!{_DATE})(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,5}}\)|[0-9]{{1,5}})(?:[ .-]?[0-9]{{2,5}}){{1,3}}"
+         r"|\([0-9]{2,5}\)[ -]?[0-9]{2,5}(?:[ -][0-9]{2,5}){0,2}|[0-9]{2,5}(?:[ -][0-9]{2,5}){0,2}[ -][0-9]{4,5}|[0-9]{10,11})(?![\w])")
+PHONE_DIGITS = (8, 15)
+# What a sentence may put behind a URL; a closing bracket is the sentence's if the URL does not open it.
+_TAIL = r"""[.,;:!?'"’”»…*)\]}]+$"""
+_PUNCTUATION = [".", ",", ";", ":", "!", "?", "'", '"', "’", "”", "»", "…", "*"]
+_BRACKETS = [("(", ")"), ("[", "]"), ("{", "}")]
 HOST = r"^https?://([^/:?#\s]+)"
 UNRANKED = 99
 
@@ -174,8 +184,30 @@ def profile_wide(resolved: DataFrame, key: str, known: DataFrame, order: list[st
                              for f in names])
 
 
+def trim_url(url: Column) -> Column:
+    """A URL without the closing punctuation of the sentence around it: marks always go, brackets if the URL has more that close than open."""
+    def count(u: Column, mark: str) -> Column:
+        return F.length(u) - F.length(F.replace(u, F.lit(mark), F.lit("")))
+
+    def shorter(u: Column) -> Column:
+        last = F.right(u, F.lit(1))
+        goes = last.isin(_PUNCTUATION)
+        for opens, closes in _BRACKETS:
+            goes = goes | ((last == closes) & (count(u, closes) > count(u, opens)))
+        return F.when(goes, F.left(u, F.length(u) - 1)).otherwise(u)
+
+    tail = F.length(F.regexp_extract(url, _TAIL, 0))
+    return F.when(tail > 0, F.aggregate(F.sequence(F.lit(1), tail), url, lambda u, _: shorter(u))).otherwise(url)
+
+
+def phones(text: Column) -> Column:
+    """The phone numbers in a text (see ``PHONE``) with 8 to 15 digits."""
+    found = F.regexp_extract_all(text, F.lit(PHONE), 0)
+    return F.filter(found, lambda v: F.length(F.regexp_replace(v, "[^0-9]", "")).between(*PHONE_DIGITS))
+
+
 def extract_urls(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """EXT-6: every http/https URL in the text with its position and label (when labelled).
+    """EXT-6: every http/https URL in the text, less the punctuation after it, with its position and label (when labelled).
 
     One scan of the text for whole matches; label and URL are then split out
     of each (short) match.
@@ -183,8 +215,8 @@ def extract_urls(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     found = F.regexp_extract_all(F.col(text), F.lit(LABELLED_URL), 0)
     ex = df.select(*keys, F.posexplode(found).alias("pos", "_m"))
     label = F.nullif(F.regexp_extract("_m", r"^(Website Value|Official Website|Website|Source URL):", 1), F.lit(""))
-    url = F.regexp_extract("_m", URL, 0)
-    return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), label.alias("label"), url.alias("url"))
+    ex = ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), label.alias("label"), F.regexp_extract("_m", URL, 0).alias("_u"))
+    return ex.select(*keys, "pos", "label", trim_url(F.col("_u")).alias("url"))
 
 
 def route_contacts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -194,19 +226,21 @@ def route_contacts(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """
     empty = F.array().cast("array<string>")
 
-    def scan(rx: str, needle: str | None = None):
+    def scan(hits: Column, needle: str) -> Column:
         # A pattern that needs a literal (``@``, ``http``) only runs on texts holding it.
-        hits = F.regexp_extract_all(F.col(text), F.lit(rx), 0)
-        return hits if needle is None else F.when(F.col(text).contains(needle), hits).otherwise(empty)
+        return F.when(F.col(text).contains(needle), hits).otherwise(empty)
+
+    def found(kind: str, hits: Column) -> Column:
+        return F.transform(hits, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    def found(kind: str, rx: str, needle: str | None = None):
-        return F.transform(scan(rx, needle), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+    def site(u: Column) -> Column:
+        of = source_class(url_host(u))
+        return F.when(of.isin("instagram", "facebook"), of).otherwise("website")
 
-    urls = F.transform(scan(URL, "http"), lambda u: F.struct(
-        F.when(source_class(url_host(u)) == "instagram", "instagram")
-        .when(source_class(url_host(u)) == "facebook", "facebook")
-        .otherwise("website").alias("kind"), u.alias("value")))
-    allc = F.concat(urls, found("email", EMAIL, "@"), found("phone", PHONE))
+    urls = F.transform(scan(F.regexp_extract_all(F.col(text), F.lit(URL), 0), "http"), trim_url)
+    urls = F.transform(urls, lambda u: F.struct(site(u).alias("kind"), u.alias("value")))
+    allc = F.concat(urls, found("email", scan(F.regexp_extract_all(F.col(text), F.lit(EMAIL), 0), "@")),
+                    found("phone", F.coalesce(phones(F.col(text)), empty)))
     ex = df.select(*keys, F.posexplode(allc).alias("pos", "_c"))
     return ex.select(*keys, F.col("pos").cast("bigint").alias("pos"), F.col("_c.kind").alias("kind"),
                      F.col("_c.value").alias("value"))

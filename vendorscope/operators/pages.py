@@ -25,10 +25,10 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
     tables (Markdown per table, HTM-11..13; only if asked for, as they are a parse of
     their own), answer (sanitised, falling back to the full text), meaningful.
     """
-    from vendorscope.operators.tables import markdown, parse_tables
+    from vendorscope.operators.tables import FIELDS, markdown, parse_tables
     asked = [F.col(question).alias("_question")] if question else []
     if tables:  # the tree gives the tables, and the lines with them
-        read = fence(df.select(*keep, *asked, D.page_dom(F.col(html)).alias("_dom")))
+        read = fence(df.select(*keep, *asked, D.page_dom(F.col(html), *FIELDS).alias("_dom")))
         text = F.array_join(F.transform(F.filter("_dom.texts", lambda t: ~t["noise"]), lambda t: t["text"]), "\n")
         named = F.get(F.filter("_dom.nodes", lambda n: n["tag"] == "title"), 0)
         title = F.array_join(F.transform(D.texts_of(F.col("_dom.texts"), named), lambda t: t["text"]), " ")
@@ -38,20 +38,21 @@ def page_to_answer(df: DataFrame, html: str = "html", question: str | None = Non
         text, title, extra = F.col("_page.text"), F.col("_page.title"), []
     q = F.col("_question") if question else T.single_line(F.coalesce(title, F.lit("")))
     staged = read.select(*keep, H.text_lines(text).alias("_lines"), q.alias("_q"), *extra)
+    return answered(staged, [*keep, "n_lines", "full_text", "answer_only", *(["tables"] if tables else []), "answer", "meaningful"])
+
+
+def answered(staged: DataFrame, out: list[str]) -> DataFrame:
+    """HTM-7 + PRJ-15/17 + FLT-1 on rows with ``_lines`` and the question ``_q``: the columns ``out`` of these and the row's own."""
     staged = H.with_answer_slice(staged, "_lines", "_q")
-    out = staged.select(
-        *keep,
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        H.full_text(F.col("_lines")).alias("full_text"),
-        "answer_only",
-        *(["tables"] if tables else []),
-    )
+    own = [c for c in staged.columns if c not in ("_lines", "_q", "n_lines", "full_text", "answer_only", "answer", "meaningful")]
+    staged = staged.select(*own, F.size("_lines").cast("bigint").alias("n_lines"), H.full_text(F.col("_lines")).alias("full_text"),
+                           "answer_only")
     # answer_only is already single-line: when no removal applies, sanitising it is the identity.
     ao = F.col("answer_only")
     final = F.when((ao != "") & ~T.sanitize_may_change(ao), ao).otherwise(
         T.sanitize_answer(F.coalesce(F.nullif(ao, F.lit("")), F.col("full_text"))))
-    out = out.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer"), collapsed=True))
-    return fence(out)
+    staged = staged.withColumn("answer", final).withColumn("meaningful", T.is_meaningful(F.col("answer"), collapsed=True))
+    return fence(staged.select(*out))
 
 
 def fence(df: DataFrame) -> DataFrame:

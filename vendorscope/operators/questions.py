@@ -6,7 +6,7 @@ narrow map with output linear in the vendors (no join, no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
@@ -23,12 +23,19 @@ def vendor_groups(vendors: DataFrame, category: str = C.DEFAULT_CATEGORY) -> Dat
                     F.col("_g.source_list").alias("source_list"))
 
 
-def build_questions(vg: DataFrame, category: str = C.DEFAULT_CATEGORY,
+def catalogue_groups(vendors: DataFrame) -> DataFrame:
+    """JOIN-1 on data: one row per (vendor, search group of its own category); ``vendors`` come from ``with_catalogue``."""
+    kept = [c for c in vendors.columns if c != "groups"]
+    g = vendors.select(*kept, F.posexplode("groups").alias("group_ord", "_g"))
+    return g.select(*kept, F.col("group_ord").cast("bigint").alias("group_ord"), "_g.*")
+
+
+def build_questions(vg: DataFrame, category: str | Column = C.DEFAULT_CATEGORY,
                     name: str = "name", city: str = "city") -> DataFrame:
-    """PRJ-9: the self-contained research question for each (vendor, group), one line."""
+    """PRJ-9: the self-contained research question for each (vendor, group), one line; ``category``: one for all, or a column."""
     values = {
         "vendor_name": T.py_str(F.col(name)),
-        "category": T.category_label(F.lit(category)),
+        "category": T.category_label(category if isinstance(category, Column) else F.lit(category)),
         "city": T.py_str(F.col(city)),
         "country": F.lit(fixed.QUESTION_COUNTRY),
         "description": F.coalesce(F.col("description"), F.lit("")),

@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 from vendorscope.functions import dom as D
 from vendorscope.functions import text as T
 
+# What the tables need of an element.
+FIELDS = ("i", "tag", "noise", "r0", "r1", "d0", "d1", "t0", "t1")
+
+
 def cell_text(texts: Column) -> Column:
     """Text nodes of a cell, stripped, joined by one space, then PRJ-16 cleaning."""
     parts = F.transform(F.filter(texts, lambda t: ~t["noise"]), lambda t: T.strip_ws(t["text"]))
     return T.clean_cell(F.array_join(F.filter(parts, lambda x: x != ""), " "))
 
 
-def parse_tables(dom: Column) -> Column:
-    """HTM-11 + FLT-4 + HTM-12 on a page's tree: tables as arrays of non-empty rows of cell texts.
+def parse_tables(dom: Column, region: Column | None = None) -> Column:
+    """HTM-11 + FLT-4 + HTM-12 on a page's tree: tables (of ``region`` only, if given) as arrays of non-empty rows of cell texts.
 
     Tables left without rows are dropped; the first cell of the header row
     becomes ``Feature`` when it starts with "feature" (any case).
@@ -36,7 +40,8 @@ def parse_tables(dom: Column) -> Column:
     cells = lambda r: F.transform(F.slice(every_cell, r["d0"] + 1, r["d1"] - r["d0"]), lambda c: cell_text(D.texts_of(texts, c)))
     rows = lambda t: F.filter(F.transform(F.slice(every_row, t["r0"] + 1, t["r1"] - t["r0"]), cells),
                               lambda row: F.exists(row, lambda c: c != ""))
-    found = F.transform(F.filter(of("table"), lambda t: t["r1"] > t["r0"]), rows)
+    here = lambda t: F.lit(True) if region is None else F.coalesce(D.contains(region, t), F.lit(False))
+    found = F.transform(F.filter(of("table"), lambda t: (t["r1"] > t["r0"]) & here(t)), rows)
     return F.transform(F.filter(found, lambda t: F.size(t) > 0), _header_rule)
 
 
@@ -63,7 +68,7 @@ def markdown(t: Column) -> Column:
 
 def page_tables(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """key, table_idx (0-based), table (rows of cells): one row per table of every page."""
-    d = D.with_dom(df.select(key, html), html)
+    d = D.with_dom(df.select(key, html), html, FIELDS)
     return d.select(key, F.posexplode(parse_tables(F.col("dom"))).alias("table_idx", "table"))
 
 

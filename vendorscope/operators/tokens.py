@@ -35,7 +35,7 @@ def extents(pages: DataFrame, tag: str | list[str], key: str = "page_id", html:
     open), token (the start tag).
     """
     tags = [tag] if isinstance(tag, str) else list(tag)
-    d = D.with_dom(pages.select(key, html), html)
+    d = D.with_dom(pages.select(key, html), html, ("tag", "token", "pos", "end_pos", "depth", "inner", "inner_end"))
     of = F.filter("dom.nodes", lambda n: n["tag"].isin(tags) & (n["end_pos"].isNull() | (n["end_pos"] > n["pos"])))
     e = d.select(key, F.explode(of).alias("n"))
     return e.select(key, "n.tag", F.col("n.pos").alias("start_pos"), "n.end_pos", "n.depth", F.col("n.inner").alias("inner_start"),
@@ -61,42 +61,47 @@ def selector_rank(n: Column, scopes: dict[str, Column]) -> Column:
     return out
 
 
+REGION_FIELDS = ("i", "tag", "inner", "inner_end", "last", "cls", "id", "attrid")
+
+
 def with_region(pages: DataFrame, html: str = "html", min_chars: int = fixed.REGION_MIN_CHARS,
-                body_min: int = fixed.BODY_MIN_CHARS) -> DataFrame:
-    """HTM-5 + FLT-2 + WIN-2: ``pages`` with ``selector_rank`` and ``region_html``, the response region of each page.
+                body_min: int = fixed.BODY_MIN_CHARS, fields: tuple[str, ...] = ()) -> DataFrame:
+    """HTM-5 + FLT-2 + WIN-2: ``pages`` with ``selector_rank``, ``region_html``, ``region`` (the element) and ``dom``.
 
     First selector in rank order, first element in document order whose
     stripped innerHTML is longer than ``min_chars``; else the body when its
-    stripped innerHTML is longer than ``body_min`` (rank 0). Both are null where there is none. Candidates are
-    ordered inside the row; only those that may be long enough are cut out of the page.
+    stripped innerHTML is longer than ``body_min`` (rank 0). All are null where there is none. Candidates are
+    ordered inside the row and cut out of the page until one is long enough. ``fields``: what the caller needs of the tree's elements.
     """
     cols = pages.columns
-    page = F.col(html)
-    d = D.with_dom(pages, html)
-    divs = fence(d.select(*cols, F.filter("dom.nodes", lambda n: n["tag"] == "div").alias("_divs")))
+    page, nodes = F.col(html), F.col("dom.nodes")
+    d = D.with_dom(pages, html, (*REGION_FIELDS, *fields))
 
     def of_id(scope: str) -> Column:
-        return F.filter("_divs", lambda n: F.coalesce(n["id"] == scope, F.lit(False)))
-
-    scopes = {s[3]: of_id(s[3]) for s in fixed.RESPONSE_SELECTORS if s[3] is not None}
-    names = {s: f"_in_{k}" for k, s in enumerate(scopes)}
-    divs = fence(divs.select("*", *[c.alias(names[s]) for s, c in scopes.items()]))
-    ranked = F.transform("_divs", lambda n: F.struct(
-        selector_rank(n, {s: F.col(c) for s, c in names.items()}).alias("rank"), n["i"].alias("i"), n["inner"].alias("inner"),
-        n["inner_end"].alias("inner_end")))
+        return F.filter(nodes, lambda n: (n["tag"] == "div") & F.coalesce(n["id"] == scope, F.lit(False)))
+
+    asked = list(dict.fromkeys(s[3] for s in fixed.RESPONSE_SELECTORS if s[3] is not None))
+    d = fence(d.select(*cols, "dom", *[of_id(s).alias(f"_in_{k}") for k, s in enumerate(asked)]))
+    scopes = {s: F.col(f"_in_{k}") for k, s in enumerate(asked)}
+    ranked = F.transform(F.filter(nodes, lambda n: (n["tag"] == "div") & F.coalesce(n["cls"], n["id"], n["attrid"]).isNotNull()),
+                         lambda n: F.struct(selector_rank(n, scopes).alias("rank"), n["i"].alias("i"), n["inner"].alias("inner"),
+                                            n["inner_end"].alias("inner_end")))
     end = F.length(page).cast("bigint")
     may = F.array_sort(F.filter(ranked, lambda c: c["rank"].isNotNull() & (F.coalesce(c["inner_end"], end) - c["inner"] > min_chars)))
-    found = fence(divs.select(*cols, may.alias("_may")))
     cut = lambda c: strip_ws(inner_html(page, c))
-    none = F.lit(None).cast("struct<rank:int,region:string>")
-    best = F.aggregate("_may", none, lambda found, c: F.when(found.isNotNull(), found).when(  # cut out only until one is long enough
-        F.length(cut(c)) > min_chars, F.struct(c["rank"].alias("rank"), cut(c).alias("region"))))
-    found = fence(found.select(*cols, best.alias("_best"), strip_ws(F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body", 1)).alias("_body")))
-    none, long = F.col("_best").isNull(), F.length("_body") > body_min
-    rank = F.when(~none, F.col("_best.rank")).when(long, F.lit(0))
-    region = F.when(~none, F.col("_best.region")).when(long, F.col("_body"))
-    out = [c for c in cols if c not in ("selector_rank", "region_html")]
-    return fence(found.select(*out, rank.cast("bigint").alias("selector_rank"), region.alias("region_html")))
+    body = F.get(F.filter(nodes, lambda n: n["tag"] == "body"), 0)
+    d = fence(d.select(*cols, "dom", may.alias("_may"), body.alias("_body")))
+    first = F.aggregate("_may", F.lit(-1), lambda found, c: F.when(found >= 0, found).when(
+        F.length(cut(c)) > min_chars, c["i"]).otherwise(found))
+    d = fence(d.select(*cols, "dom", "_may", "_body", first.alias("_i")))
+    rank = F.get(F.filter("_may", lambda c: c["i"] == F.col("_i")), 0)["rank"]
+    d = fence(d.select(*cols, "dom", rank.alias("_rank"), F.when(F.col("_i") >= 0, F.get(nodes, F.col("_i"))).otherwise(
+        F.col("_body")).alias("_node")))
+    d = fence(d.select(*cols, "dom", "_rank", "_node", cut(F.col("_node")).alias("_cut")))
+    some = F.col("_rank").isNotNull() | (F.length("_cut") > body_min)
+    out = [c for c in cols if c not in ("selector_rank", "region_html", "region", "dom")]
+    return fence(d.select(*out, "dom", F.when(some, F.coalesce("_rank", F.lit(0))).cast("bigint").alias("selector_rank"),
+                          F.when(some, F.col("_cut")).alias("region_html"), F.when(some, F.col("_node")).alias("region")))
 
 
 def region_pick(pages: DataFrame, key: str = "page_id", html: str = "html",

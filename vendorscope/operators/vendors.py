@@ -62,12 +62,24 @@ def unknown_categories(vendors: DataFrame, category: str = "category") -> DataFr
             .groupBy(category).agg(F.count("*").alias("n_vendors")))
 
 
+def with_catalogue(vendors: DataFrame, catalogue: DataFrame, category: str = "category") -> DataFrame:
+    """JOIN-2 + JOIN-3 + FLT-7: each vendor with the ``groups`` and the output ``model`` of its own category.
+
+    A vendor of a category that the catalogue lacks fails the run: the guard stands in the plan, where the groups are read, so
+    nothing is collected or scanned beforehand. The catalogue's size is checked where it is made (``sources.catalogue``).
+    """
+    c = catalogue.select(F.col("category").alias("_category"), F.col("groups").alias("_groups"), F.col("model").alias("model"))
+    j = vendors.drop("groups", "model").join(F.broadcast(c), F.col(category) == F.col("_category"), "left")
+    unknown = F.raise_error(F.concat(F.lit("Unknown category: "), F.coalesce(F.col(category), F.lit("None"))))
+    groups = F.when(F.col("_category").isNotNull(), F.col("_groups")).otherwise(unknown.cast(catalogue.schema["groups"].dataType))
+    return j.withColumn("groups", groups).drop("_category", "_groups")
+
+
 def require_known_category(vendors: DataFrame, category: str = "category") -> DataFrame:
-    """FLT-7: raise when any vendor names a category the catalogue lacks."""
-    bad = unknown_categories(vendors, category).limit(1).collect()
-    if bad:
-        raise ValueError(f"Unknown category: {bad[0][0]}")
-    return vendors
+    """FLT-7: ``vendors``; reading one of a category that the catalogue lacks fails the run."""
+    known = F.array_contains(F.array(*[F.lit(c) for c in fixed.SEARCH_MODELS]), F.col(category))
+    unknown = F.raise_error(F.concat(F.lit("Unknown category: "), F.coalesce(F.col(category), F.lit("None"))))
+    return vendors.withColumn(category, F.when(known, F.col(category)).otherwise(unknown.cast("string")))
 
 
 def with_category(vendors: DataFrame, category: str = "category") -> DataFrame:

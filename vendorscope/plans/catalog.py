@@ -38,7 +38,7 @@ def query(name: str, sql: str | None = None):
 def _load() -> None:
     # Importing the family modules fills the registry.
     from vendorscope.plans import (  # noqa: F401
-        q_pages, q_vendors, q_answers, q_tables, q_enrich, q_facts, q_tokens, q_io,
+        q_pages, q_vendors, q_answers, q_tables, q_enrich, q_facts, q_tokens, q_io, q_flow,
     )
 
 

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vendorscope import fixed
 from vendorscope.operators import answers as A
-from vendorscope.operators import pages as P
 from vendorscope.operators import questions as QN
 from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
@@ -24,10 +24,9 @@ from vendorscope.sources import tables as S
 
 
 def answers_table(spark, sf_dir):
-    """Answer per (vendor id, group_ord): answer text and usable flag."""
-    a = P.page_to_answer(S.answer_pages(spark, sf_dir), question="question", keep=("conv_id", "turn"))
-    return a.select(F.col("conv_id").alias("id"), F.expr("turn div 2").cast("bigint").alias("group_ord"),
-                    "answer", F.col("meaningful").alias("success"))
+    """Outcome per (vendor id, group_ord): answer text, usable flag, tables, HTML, time and error."""
+    a = A.page_outcomes(S.fetched_pages(spark, sf_dir), ["conv_id", "turn"])
+    return a.select(F.col("conv_id").alias("id"), F.expr("turn div 2").cast("bigint").alias("group_ord"), *A.OUTCOME)
 
 
 def attached(spark, sf_dir, with_question: bool = False):
@@ -44,19 +43,28 @@ _ANS_SQL = f"""{V_SQL}, {_groups_sql()}, {_AP},
 p AS (SELECT conv_id, turn, {Q.lines('html')} AS lines0, question FROM ap),
 {Q.answer_ctes('p', 'conv_id, turn', 'lines0', 'question')},
 ans0 AS (
-  SELECT conv_id AS id, CAST(turn // 2 AS BIGINT) AS group_ord,
+  SELECT conv_id AS id, turn, CAST(turn // 2 AS BIGINT) AS group_ord, {S.FETCH_FAILS} AS fails,
          {Q.sanitize("coalesce(nullif(answer_only, ''), array_to_string(lines, chr(10)))")} AS answer
   FROM s6
-), ans AS (SELECT id, group_ord, answer, {Q.meaningful('answer')} AS success FROM ans0),
+), ans AS (
+  SELECT ans0.*, {Q.meaningful('answer')} AND NOT fails AS success,
+         TIMESTAMP '{S.FETCHED_AT}' + to_minutes(CAST(id AS BIGINT)) + to_seconds(ans0.turn) AS ts,
+         CASE WHEN id % 3 = 1 THEN ['| Feature | Turn |' || chr(10) || '| --- | --- |' || chr(10) || '| turn | ' || CAST(ans0.turn AS VARCHAR) || ' |']
+              ELSE []::VARCHAR[] END AS tables,
+         {Q.lit(S.PAGE_TOP)} || ap.html || {Q.lit(S.PAGE_FOOT)} AS page,
+         {Q.strip(r"regexp_extract(ap.html, '(?s)^<div id=.main.>(.*)</div>$', 1)")} AS region
+  FROM ans0 JOIN ap ON ap.conv_id = ans0.id AND ap.turn = ans0.turn
+),
 qs AS (SELECT id, name, city, state, CAST(group_ord AS BIGINT) AS group_ord, group_name, description, fields, source_list
        FROM v, g),
 j AS (
   SELECT qs.*, nullif(CASE WHEN ans.success THEN ans.answer END, '') AS answer_text,
-         ans.id IS NOT NULL AS fetched
+         ans.id IS NOT NULL AS fetched, fails, ts, tables, region, CASE WHEN NOT fails THEN page END AS page
   FROM qs LEFT JOIN ans ON qs.id = ans.id AND qs.group_ord = ans.group_ord
 ), ja AS (
   SELECT *, answer_text IS NULL AS failed,
-         CASE WHEN answer_text IS NOT NULL THEN NULL WHEN NOT fetched THEN 'no_input' ELSE 'no_response' END AS reason
+         CASE WHEN answer_text IS NOT NULL THEN NULL WHEN NOT fetched THEN 'no_input' WHEN fails THEN 'error'
+              ELSE 'no_response' END AS reason
   FROM j
 )"""
 
@@ -106,16 +114,20 @@ def combine_text(spark, sf_dir):
 
 _ENV_SQL = f"""
 SELECT id, group_ord, {_question_sql('name', 'city')} AS question, NOT failed AS success,
-       answer_text AS answer, CASE WHEN failed THEN 'No usable AI response found.' END AS error,
+       answer_text AS answer, to_json(CASE WHEN failed THEN []::VARCHAR[] ELSE tables END) AS tables,
+       CASE WHEN NOT failed THEN region END AS raw_html, CASE WHEN NOT failed THEN ts END AS timestamp,
+       CASE reason WHEN 'no_input' THEN {Q.lit(fixed.NO_INPUT_TEXT)} WHEN 'error' THEN {Q.lit(S.FETCH_ERROR)}
+                   WHEN 'no_response' THEN {Q.lit(fixed.FAILURE_TEXT)} END AS error,
        CASE WHEN NOT failed THEN 'text' END AS format
 FROM ja"""
+_ENV = ("question", "answer", "tables", "raw_html", "success", "timestamp", "error", "format")
 
 
 @query("answer_envelope", f"WITH {_ANS_SQL} {_ENV_SQL}")
 def answer_envelope(spark, sf_dir):
-    """PRJ-18: uniform result rows (question, answer, success, error, format)."""
-    env = A.envelope(attached(spark, sf_dir, with_question=True), question="question")
-    return env.select("id", "group_ord", "question", "success", "answer", "error", "format")
+    """PRJ-18: uniform result rows (question, answer, tables, raw_html, success, timestamp, error, format)."""
+    env = A.envelope(attached(spark, sf_dir, with_question=True))
+    return env.select("id", "group_ord", *_ENV).withColumn("tables", F.to_json("tables"))
 
 
 @query("union_results", f"""WITH {_ANS_SQL}, e AS ({_ENV_SQL})
@@ -129,15 +141,16 @@ def union_results(spark, sf_dir):
 
 
 @query("quarantine_pages", f"""WITH {_ANS_SQL}
-SELECT id, group_ord, reason, {Q.slug(_question_sql('name', 'city'), 80, 'ai_mode')} AS slug
+SELECT id, group_ord, reason, {Q.slug(_question_sql('name', 'city'), 80, 'ai_mode')} AS slug, page AS page_html,
+       CASE WHEN fails THEN {Q.lit(S.FETCH_ERROR)} END AS error, ts
 FROM ja WHERE failed""")
 def quarantine_pages(spark, sf_dir):
-    """SNK-5: failed questions written partitioned by reason with their capped slug; read back."""
+    """SNK-5: failed questions written partitioned by reason with their capped slug, page HTML, error and time; read back."""
     bad = attached(spark, sf_dir, with_question=True).where(F.col("failed"))
-    out = IO.quarantine(bad.select("id", "group_ord", "reason", "question")).drop("question")
+    out = IO.quarantine(bad.select("id", "group_ord", "reason", "question", "page_html", "error", "ts")).drop("question")
     path = IO.work_path(spark, "quarantine")
     IO.write_partitioned(out, path, ["reason"])
-    return IO.read_partitioned(spark, path).select("id", "group_ord", "reason", "slug")
+    return IO.read_partitioned(spark, path).select("id", "group_ord", "reason", "slug", "page_html", "error", "ts")
 
 
 _SN_SQL = """sn AS (

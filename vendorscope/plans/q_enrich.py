@@ -31,10 +31,10 @@ _CP = """cp AS (
 )"""
 
 
-def _prompt_sql() -> str:
+def prompt_sql(model: str = Q.lit(C.output_model_text())) -> str:
     values = {"vendor_name": "coalesce(name, 'None')", "city": "coalesce(city, 'None')",
               "state": "coalesce(state, 'None')", "content": "coalesce(combined_text, 'None')",
-              "output_format": Q.lit(C.output_model_text())}
+              "output_format": model}
     return " || ".join(values[p[0]] if isinstance(p, tuple) else Q.lit(p) for p in EN.template_pieces())
 
 
@@ -45,7 +45,7 @@ _CT_SQL = f"""{_ANS_SQL}, ct AS (
   FROM ja GROUP BY id, name, city, state
 )"""
 
-_PROMPTS_SQL = f"""{_CT_SQL}, pr AS (SELECT id, city, {_prompt_sql()} AS prompt FROM ct), {_CP},
+_PROMPTS_SQL = f"""{_CT_SQL}, pr AS (SELECT id, city, {prompt_sql()} AS prompt FROM ct), {_CP},
 pc AS (SELECT pr.*, sha256(prompt) AS prompt_sha, cp.raw FROM pr LEFT JOIN cp ON pr.id = cp.vendor_id)"""
 
 
@@ -131,7 +131,8 @@ def clean_sources(spark, sf_dir):
     return cp.select("vendor_id", F.to_json("sources").alias("sources_json"))
 
 
-def _record_sql() -> str:
+def record_columns_sql() -> list[str]:
+    """The output model's fields from ``raw`` where ``ok``."""
     cols = []
     for f, kind in C.output_fields():
         path = Q.lit(f"$.{f}")
@@ -142,6 +143,11 @@ def _record_sql() -> str:
         else:
             cols.append(f"to_json(coalesce(CASE WHEN ok AND json_type(json_extract(raw, {path})) = 'ARRAY' "
                         f"THEN CAST(json_extract(raw, {path}) AS VARCHAR[]) END, []::VARCHAR[])) AS {f}")
+    return cols
+
+
+def _record_sql() -> str:
+    cols = record_columns_sql()
     model = Q.lit_list([f for f, _ in C.output_fields()])
     return (f"WITH {_CP}, st AS (SELECT vendor_id, raw, {_status_sql('raw')} AS parse_status, "
             f"{_status_sql('raw')} = 'ok' AS ok FROM cp)\n"

@@ -14,8 +14,9 @@ from vendorscope.operators import questions as QN
 from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
 from vendorscope.plans.q_answers import _ANS_SQL, _ENV_SQL, _first_sql, answers_table, attached
-from vendorscope.plans.q_enrich import _CP, _CT_SQL, _PROMPTS_SQL, _clean_sources_sql, _status_sql
+from vendorscope.plans.q_enrich import _CP, _CT_SQL, _PROMPTS_SQL, _status_sql, record_columns_sql
 from vendorscope.plans.q_vendors import RV_SQL
+from vendorscope.sources import catalogue as C
 from vendorscope.sources import io as IO
 from vendorscope.sources import tables as S
 from vendorscope.streaming.first_meaningful import stream_first_meaningful as _stream_first
@@ -103,35 +104,39 @@ def missing_text(spark, sf_dir):
 
 
 @query("snk_profile", f"""WITH {_PROMPTS_SQL}, st AS (
-  SELECT id, city, raw, {_status_sql('raw')} AS parse_status FROM pc
+  SELECT id, city, raw, {_status_sql('raw')} AS parse_status, {_status_sql('raw')} = 'ok' AS ok FROM pc
 )
-SELECT id, city, CASE WHEN parse_status = 'ok' THEN coalesce(json_extract_string(raw, '$.website'), '') ELSE '' END
-         AS website,
-       to_json(coalesce(CASE WHEN parse_status = 'ok' THEN {_clean_sources_sql('raw')} END, []::VARCHAR[])) AS sources,
-       parse_status
+SELECT id, city, {', '.join(record_columns_sql())},
+       CASE WHEN ok THEN replace(raw, '["Overview"," JustDial ",', '[') ELSE raw END AS profile_json, parse_status
 FROM st""")
 def snk_profile(spark, sf_dir):
-    """SNK-3: cleaned profile records per vendor written partitioned by category/city, read back."""
+    """SNK-3: the 19-field record and the cleaned completion per vendor, written by category/city, exported as JSON lines, read back."""
     from vendorscope.plans.q_enrich import prompts_with_completions
     rec = EN.profile_record(prompts_with_completions(spark, sf_dir)).withColumn("category", F.lit(RUN_CATEGORY))
-    path = IO.work_path(spark, "output")
-    IO.write_partitioned(rec.select("category", "city", "id", "website", "sources", "parse_status"), path,
-                         ["category", "city"])
-    back = IO.read_partitioned(spark, path)
-    return back.select("id", "city", "website", F.to_json("sources").alias("sources"), "parse_status")
+    fields = [f for f, _ in C.output_fields()]
+    arrays = [f for f, kind in C.output_fields() if kind == "array"]
+    path, export = IO.work_path(spark, "output"), IO.work_path(spark, "output_json")
+    IO.write_partitioned(rec.select("category", "city", "id", *fields, "profile_json", "parse_status"), path, ["category", "city"])
+    # The export is made from what was written, so the run's plan is executed once.
+    saved = IO.read_partitioned(spark, path)
+    IO.write_json(saved.select("id", "city", *fields, "profile_json", "parse_status"), export)
+    schema = ", ".join(f"{f} {'array<string>' if f in arrays else 'string'}" for f in fields)
+    back = spark.read.schema(f"id long, city string, {schema}, profile_json string, parse_status string").json(export)
+    return back.select("id", "city", *[F.to_json(f).alias(f) if f in arrays else F.col(f) for f in fields], "profile_json", "parse_status")
 
 
 @query("snk_answers", f"""WITH {_ANS_SQL}, e AS ({_ENV_SQL})
-SELECT id, group_ord, success, answer, error, format FROM e""")
+SELECT id, group_ord, CASE WHEN success THEN 'answered' ELSE 'failed' END AS outcome, success, answer, tables, timestamp, error, format FROM e""")
 def snk_answers(spark, sf_dir):
-    """SNK-4: answer envelopes appended batch by batch (success, then failures) as JSON; read back."""
+    """SNK-4: answer envelopes written once as JSON, a folder per outcome; read back."""
     env = A.envelope(attached(spark, sf_dir), question="name").select(
-        "id", "group_ord", "success", "answer", "error", "format")
+        "id", "group_ord", "success", "answer", "tables", "timestamp", "error", "format",
+        F.when(F.col("success"), "answered").otherwise("failed").alias("outcome"))
     path = IO.work_path(spark, "answers")
-    IO.write_json(env.where("success"), path, mode="append")
-    IO.write_json(env.where("NOT success"), path, mode="append")
-    return spark.read.schema("id long, group_ord long, success boolean, answer string, error string, format string") \
-        .json(path)
+    IO.write_partitioned(env, path, ["outcome"], "json")
+    back = spark.read.schema("id long, group_ord long, success boolean, answer string, tables array<string>, timestamp timestamp_ntz, "
+                             "error string, format string, outcome string").json(path)
+    return back.withColumn("tables", F.to_json("tables"))
 
 
 @query("sources_anti", f"""WITH {_CP}, s AS (

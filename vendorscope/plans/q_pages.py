@@ -85,8 +85,10 @@ qa AS (
   SELECT conv_id, turn,
     '<div id="main"><style>p{}</style><div>' || CASE WHEN conv_id % 4 = 0 THEN 'Menu' ELSE 'You said:' END
     || '</div><p>' || replace(replace(question,'&','&amp;'),'<','&lt;') || '</p><div>Thinking</div><p>'
-    || replace(replace(coalesce(answer,'loading'),'&','&amp;'),'<','&lt;')
-    || '</p><script>var a="</p>";</script><div>All</div><div>AI can make mistakes</div><p>tail</p></div>' AS html,
+    || replace(replace(coalesce(answer,'loading'),'&','&amp;'),'<','&lt;') || '</p>'
+    || CASE WHEN conv_id % 3 = 1 THEN '<table><tr><th>Feature of</th><th>Turn</th></tr><tr><td>turn</td><td>' || CAST(turn AS VARCHAR)
+                                      || '</td></tr></table>' ELSE '' END
+    || '<script>var a="</p>";</script><div>All</div><div>AI can make mistakes</div><p>tail</p></div>' AS html,
     question
   FROM qa
 )"""

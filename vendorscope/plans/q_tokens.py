@@ -113,7 +113,7 @@ def _region_sql(src: str, key: str) -> str:
                     f"AND o.tag = 'div' AND {_attr_sql('o.token', 'id')} = {Q.lit(scope)} AND d.start_pos > o.start_pos "
                     f"AND (o.end_pos IS NULL OR d.start_pos < o.end_pos))")
         whens.append(f"WHEN coalesce({cond}, false) THEN {rank}")
-    body = Q.strip(f"regexp_extract(html, {Q.lit(r'(?is)<body\b[^>]*>(.*)</body')}, 1)")
+    body = Q.strip(f"regexp_extract(html, {Q.lit(r'(?is)<body\b[^>]*>(.*?)(?:</body|$)')}, 1)")
     return f"""WITH RECURSIVE {_tokens_sql(src, key)}, {_extents_sql(key, ['div'])}, cand AS (
   SELECT d.{key}, d.start_pos, CASE {' '.join(whens)} END AS rank,
     {Q.strip(f"substring(p.html, CAST(d.inner_start + 1 AS INTEGER), CAST(coalesce(d.inner_end, length(p.html)) - d.inner_start AS INTEGER))")} AS region_html

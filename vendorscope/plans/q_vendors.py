@@ -57,10 +57,10 @@ def _title_sql(x: str) -> str:
             f"lambda w: upper(substring(w, 1, 1)) || substring(w, 2)), ' ')")
 
 
-def _question_sql(name: str, city: str, category: str = C.DEFAULT_CATEGORY) -> str:
+def _question_sql(name: str, city: str, category: str = Q.lit(C.DEFAULT_CATEGORY)) -> str:
     values = {
         "vendor_name": f"coalesce({name}, 'None')",
-        "category": _title_sql(Q.lit(category)),
+        "category": _title_sql(category),
         "city": f"coalesce({city}, 'None')",
         "country": Q.lit(fixed.QUESTION_COUNTRY),
         "description": "coalesce(description, '')",

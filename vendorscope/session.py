@@ -44,6 +44,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
+    # On one machine a table is often a single file of one row group, which a scan cannot split: text work is dealt to all cores.
+    # A cluster's tables come in many files; there the scan's own splits are kept and nothing is shuffled.
+    cores = re.fullmatch(r"local\[(\d+|\*)\]", master or "")
+    if cores:
+        builder = builder.config("spark.vendorscope.textTasks", str(os.cpu_count() or 1) if cores[1] == "*" else cores[1])
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

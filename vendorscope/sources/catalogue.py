@@ -51,10 +51,31 @@ def output_schema(category: str = DEFAULT_CATEGORY) -> Ty.StructType:
 
 def output_model_text(category: str = DEFAULT_CATEGORY) -> str:
     """The output model as the JSON skeleton text placed in the prompt."""
-    body = ",\n".join(f'  "{f}":""' if k == "string" else f'  "{f}":[]' for f, k in output_fields(category))
+    return model_text(output_fields(category))
+
+
+def model_text(fields: list[tuple[str, str]]) -> str:
+    """A JSON skeleton of (field, kind) pairs."""
+    body = ",\n".join(f'  "{f}":""' if k == "string" else f'  "{f}":[]' for f, k in fields)
     return "\n{\n" + body + "\n}"
 
 
+GROUP_TYPE = "struct<group_name:string,description:string,fields:array<string>,sources:string,source_list:array<string>>"
+MOST_CATEGORIES = 10_000  # a catalogue goes to every executor, so its size is checked
+
+
+def catalogue(spark: SparkSession, models: dict = fixed.SEARCH_MODELS, outputs: dict = fixed.OUTPUT_MODELS) -> DataFrame:
+    """The catalogue as a table: category, groups (in order), model (the output skeleton's text, null without one).
+
+    ``models``: category -> [(group, description, fields)]; ``outputs``: category -> [(field, kind)].
+    """
+    if len(models) > MOST_CATEGORIES:
+        raise ValueError(f"a catalogue has at most {MOST_CATEGORIES} categories")
+    rows = [(c, [(g, about, list(fields), sources_text(g), sources_for(g)) for g, about, fields in groups],
+             model_text(outputs[c]) if c in outputs else None) for c, groups in models.items()]
+    return spark.createDataFrame(rows, f"category string, groups array<{GROUP_TYPE}>, model string")
+
+
 def blacklist() -> Column:
     return F.array(*[F.lit(s) for s in fixed.INVALID_SOURCES])
 

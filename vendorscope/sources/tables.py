@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Tasks that text-heavy tables are dealt into; unset (the default), the scan's own splits are kept.
+# Tasks that text-heavy tables are dealt into; unset (the default on a cluster), the scan's own splits are kept.
 TEXT_TASKS = "spark.vendorscope.textTasks"
 
 
@@ -25,8 +25,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_text(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Scan of the named columns of a table feeding CPU-heavy text work.
 
-    The session setting ``spark.vendorscope.textTasks`` deals the rows into that many tasks; it is
-    meant for single files with few row groups. Without it nothing is shuffled, whatever the input's size.
+    The session setting ``spark.vendorscope.textTasks`` deals the rows into that many tasks; ``build_session`` sets it to the number
+    of cores of a local master, and to nothing on a cluster. Without it nothing is shuffled, whatever the input's size.
     """
     df = read_table(spark, sf_dir, name).select(*columns)
     tasks = spark.conf.get(TEXT_TASKS, None)
@@ -91,14 +91,68 @@ def answer_pages(spark, sf_dir) -> DataFrame:
     """AI-answer pages built around each question/answer turn: conv_id, turn, html, question."""
     qa = question_answers(spark, sf_dir)
     lead = F.when(F.col("conv_id") % 4 == 0, F.lit("Menu")).otherwise(F.lit("You said:"))
+    table = F.when(F.col("conv_id") % 3 == 1, F.concat(
+        F.lit("<table><tr><th>Feature of</th><th>Turn</th></tr><tr><td>turn</td><td>"), F.col("turn").cast("string"),
+        F.lit("</td></tr></table>"))).otherwise("")
     html = F.concat(
         F.lit('<div id="main"><style>p{}</style><div>'), lead,
         F.lit("</div><p>"), _esc(F.col("question")), F.lit("</p><div>Thinking</div><p>"),
-        _esc(F.coalesce(F.col("answer"), F.lit("loading"))),
-        F.lit('</p><script>var a="</p>";</script><div>All</div><div>AI can make mistakes</div><p>tail</p></div>'))
+        _esc(F.coalesce(F.col("answer"), F.lit("loading"))), F.lit("</p>"), table,
+        F.lit('<script>var a="</p>";</script><div>All</div><div>AI can make mistakes</div><p>tail</p></div>'))
     return qa.select("conv_id", "turn", html.alias("html"), "question")
 
 
+# Fetched pages: an answer page within a page of other things; some conversations' pages could not be fetched.
+PAGE_TOP = '<html><body><div class="top"><p>You said:</p><p>outside</p></div>'
+PAGE_FOOT = '<div class="kp-blk">short</div></body></html>'
+FETCH_FAILS = "conv_id % 11 = 5"
+FETCH_ERROR = "Timeout while waiting for the page"
+FETCHED_AT = "2024-01-01 00:00:00"
+# Snapshots of a fetched page: an early one that is still loading, then the page; late for some conversations.
+EARLY_PAGE = '<html><body><div id="main"><p>Thinking about the question you asked</p><div>loading</div></div></body></html>'
+LATE = "conv_id % 13 = 3"
+
+
+def fetched_pages(spark, sf_dir) -> DataFrame:
+    """Answer pages as fetched: conv_id, turn, question, html (null where fetching failed), ts, error."""
+    fails = F.expr(FETCH_FAILS)
+    ts = F.expr(f"timestamp_ntz'{FETCHED_AT}' + make_dt_interval(0, 0, CAST(conv_id AS INT), turn)")
+    return answer_pages(spark, sf_dir).select(
+        "conv_id", "turn", "question", F.when(~fails, F.concat(F.lit(PAGE_TOP), "html", F.lit(PAGE_FOOT))).alias("html"), ts.alias("ts"),
+        F.when(fails, F.lit(FETCH_ERROR)).alias("error"))
+
+
+def page_snapshots(spark, sf_dir) -> DataFrame:
+    """Two snapshots of every fetched page, with the time its question was asked: conv_id, turn, question, asked_ts, ts, html, error."""
+    p = fetched_pages(spark, sf_dir).withColumn("asked_ts", F.col("ts"))
+    seconds = F.when(F.expr(LATE), F.lit(80)).otherwise(F.lit(30))
+    shots = F.array(F.struct(F.col("ts").alias("ts"), F.lit(EARLY_PAGE).alias("html"), F.lit(None).cast("string").alias("error")),
+                    F.struct((F.col("ts") + F.make_dt_interval(secs=seconds)).alias("ts"), "html", "error"))
+    return p.select("conv_id", "turn", "question", "asked_ts", F.inline(shots))
+
+
+# Search groups that the categories of vendors ask for (names of the fixed catalogue's groups).
+CATEGORY_GROUPS = {
+    "AUTOMOBILE": ["contact", "reviews", "pricing", "services"],
+    "BUILDING": ["contact", "pricing"],
+    "FURNITURE": ["reviews"],
+    "HOUSEHOLD": ["services", "contact"],
+    "MACHINERY": ["pricing", "reviews", "contact"],
+}
+# Of these, the categories with an output model: their groups' fields that the fixed model has, and the sources.
+MODELLED = ("AUTOMOBILE", "BUILDING", "MACHINERY")
+
+
+def category_models() -> tuple[dict, dict]:
+    """Search groups and output models of the vendors' categories, made from the fixed catalogue."""
+    from vendorscope import fixed
+    groups = {g: (g, about, fields) for g, about, fields in fixed.SEARCH_MODELS["WEDDING_PLANNERS"]}
+    models = {c: [groups[g] for g in names] for c, names in CATEGORY_GROUPS.items()}
+    kinds = dict(fixed.OUTPUT_MODELS["WEDDING_PLANNERS"])
+    outputs = {c: [(f, kinds[f]) for _, _, fields in models[c] for f in fields if f in kinds] + [("sources", "array")] for c in MODELLED}
+    return models, outputs
+
+
 def overview_pages(spark, sf_dir) -> DataFrame:
     """AI-overview pages built around each question/answer turn: page_id, html.
 
@@ -246,9 +300,29 @@ def completions(spark, sf_dir) -> DataFrame:
     return o.select(k.alias("vendor_id"), raw.alias("raw"))
 
 
+# Contact lines put behind documents, by document id modulo their number, and the contacts they state in order.
+CONTACT_CASES = [
+    ("Visit (https://a.example.com/b_(c)). Mail desk@a.example.org.", [("website", "https://a.example.com/b_(c)"), ("email", "desk@a.example.org")]),
+    ("Seen 2024-05-06 12:30, 06/05/2024 and 2019 2020 2021; price 10 000 000.", []),
+    ("Call +91 98765 43210, or (022) 2345-6789!", [("phone", "+91 98765 43210"), ("phone", "(022) 2345-6789")]),
+    ("Posts: https://www.instagram.com/x_1/, https://fb.com/y; [https://m.facebook.com/z]",
+     [("instagram", "https://www.instagram.com/x_1/"), ("facebook", "https://fb.com/y"), ("facebook", "https://m.facebook.com/z")]),
+    ("Order 1234567890123456, part A9876543210 and v1.2.3.4567890; phone 9876543210.", [("phone", "9876543210")]),
+    ("Office 080 2345 6789 / 555-123-4567 on 5-6-2024 9", [("phone", "080 2345 6789"), ("phone", "555-123-4567")]),
+]
+
+
+def contact_texts(spark, sf_dir) -> DataFrame:
+    """Whole documents with one of ``CONTACT_CASES`` on a line of its own: doc_id, text."""
+    d = documents(spark, sf_dir)
+    cases = _by_case(F.col("doc_id"), [F.lit(text) for text, _ in CONTACT_CASES])
+    return d.select("doc_id", F.concat("text", F.lit("\n"), cases).alias("text"))
+
+
 def documents(spark, sf_dir) -> DataFrame:
     return read_text(spark, sf_dir, "documents", "doc_id", "text")
 
 
-__all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "overview_pages",
-           "snapshots", "table_pages", "overview_raw_pages", "status_pages", "fact_answers", "completions", "documents"]
+__all__ = ["read_table", "pages", "vendors", "raw_vendors", "question_answers", "answer_pages", "fetched_pages", "page_snapshots",
+           "category_models", "overview_pages",
+           "snapshots", "table_pages", "overview_raw_pages", "status_pages", "fact_answers", "completions", "contact_texts", "documents"]
