@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import SF_SMALL
 from vendorscope.plans.catalog import all_queries
 
-PYTHON_ALLOWED = {"enrich_with"}
+PYTHON_ALLOWED = {"enrich_with", "enrich_resumed"}
 PYTHON_NODES = ("BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 # The one Python step of page queries: the Arrow pass that reads a page's markup (functions/dom.py).
 PAGE_PASSES = {"dom", "text", "tokens", "clean", "decode"}

@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vendorscope import fixed
@@ -77,6 +77,50 @@ def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt
     return distinct.mapInPandas(run, "prompt_sha string, raw string")
 
 
+STORE = "prompt_sha string, raw string, error string"
+
+
+def enrich_into(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], store: str, prompt: str = "prompt",
+                retry_failed: bool = False, waves: int = 8) -> DataFrame:
+    """UDF-1, resumable: completions of distinct prompts, kept in ``store`` (a shared folder) under the prompt's SHA-256.
+
+    Prompts that the store knows are not asked again, so a run that was ended goes on where it stopped: prompts are asked in ``waves``
+    by their hash, and each wave is appended when it is done. A batch on which ``fn`` fails is asked prompt by prompt; a prompt
+    that fails alone gets a row with its ``error``, which later runs leave alone unless ``retry_failed``. Output: prompt_sha, raw, error
+    of the given prompts.
+    """
+    spark = prompts.sparkSession
+    spark.createDataFrame([], STORE).write.mode("append").parquet(store)
+    asked = prompts.select(F.sha2(F.col(prompt), 256).alias("prompt_sha"), F.col(prompt).alias("_p")).dropDuplicates(["prompt_sha"])
+
+    def one(text: str) -> tuple:
+        try:
+            return fn(pd.Series([text])).iloc[0], None
+        except Exception as e:  # noqa: BLE001 - recorded with the prompt
+            return None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            try:
+                rows = [(r, None) for r in fn(b["_p"])]
+            except Exception:  # noqa: BLE001 - find the prompts that fail
+                rows = [one(p) for p in b["_p"]]
+            yield pd.DataFrame({"prompt_sha": b["prompt_sha"], "raw": pd.Series([r for r, _ in rows], dtype=object, index=b.index),
+                                "error": pd.Series([e for _, e in rows], dtype=object, index=b.index)})
+
+    def known() -> DataFrame:
+        # Of a prompt asked again after a failure the answer counts.
+        rows = spark.read.schema(STORE).parquet(store)
+        return rows.groupBy("prompt_sha").agg(F.max("raw").alias("raw"), F.min("error").alias("error")).select(
+            "prompt_sha", "raw", F.when(F.col("raw").isNull(), F.col("error")).alias("error"))
+
+    for wave in range(waves):
+        done = known().where(F.col("error").isNull()) if retry_failed else known()
+        mine = asked.where(F.pmod(F.xxhash64("prompt_sha"), F.lit(waves)) == wave).join(done.select("prompt_sha"), "prompt_sha", "left_anti")
+        mine.mapInPandas(run, STORE).write.mode("append").parquet(store)
+    return known().join(asked.select("prompt_sha"), "prompt_sha", "left_semi")
+
+
 # One JSON token: a string, a sign, white space, or a number or word.
 JSON_TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[{}\[\]:,]|\s++|[^"{}\[\]:,\s]++|"'
 # The words for numbers that a completion may hold; read as null where only validity matters.
@@ -212,6 +256,17 @@ def text_lengths(df: DataFrame, prompt: str = "prompt", result: str = "raw") ->
         .withColumn("result_chars", F.coalesce(F.length(F.col(result)), F.lit(0)).cast("bigint"))
 
 
+def observed(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
+    """AGG-5 within the main pass: ``df`` unchanged, and an observation that holds the run's metrics once ``df`` was written.
+
+    Metrics: n_vendors, n_completed, prompt_chars, result_chars. They are counted where the rows pass, without a second scan.
+    """
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_vendors"), F.count("raw").alias("n_completed"),
+                      F.coalesce(F.sum(F.length("prompt")), F.lit(0)).cast("bigint").alias("prompt_chars"),
+                      F.coalesce(F.sum(F.length("raw")), F.lit(0)).cast("bigint").alias("result_chars")), seen
+
+
 def run_metrics(df: DataFrame, by: list[str]) -> DataFrame:
     """AGG-5: vendors, completions and character volumes per group."""
     return df.groupBy(*by).agg(

@@ -18,6 +18,7 @@ from vendorscope.plans import sqlfrag as Q
 from vendorscope.plans.catalog import query
 from vendorscope.plans.q_answers import _ANS_SQL, _BLOCK_SQL, attached
 from vendorscope.sources import catalogue as C
+from vendorscope.sources import io as IO
 from vendorscope.sources import tables as S
 
 _CP = """cp AS (
@@ -90,6 +91,17 @@ def run_metrics(spark, sf_dir):
     return EN.run_metrics(EN.text_lengths(prompts_with_completions(spark, sf_dir)), ["city"])
 
 
+@query("run_metrics_observed", f"""WITH {_PROMPTS_SQL}
+SELECT count(*) AS n_vendors, count(raw) AS n_completed, CAST(sum(length(prompt)) AS BIGINT) AS prompt_chars,
+       CAST(sum(coalesce(length(raw), 0)) AS BIGINT) AS result_chars
+FROM pc""")
+def run_metrics_observed(spark, sf_dir):
+    """AGG-5 in the main pass: the run's metrics, observed while its prompts and completions are written."""
+    rows, seen = EN.observed(prompts_with_completions(spark, sf_dir))
+    rows.write.parquet(IO.work_path(spark, "run"))
+    return spark.createDataFrame([seen.get], "n_vendors long, n_completed long, prompt_chars long, result_chars long")
+
+
 @query("model_lookup", f"""WITH v AS (
   SELECT c_custkey AS id, c_mktsegment AS category FROM customer
 )
@@ -198,6 +210,27 @@ def enrich_with(spark, sf_dir):
     return EN.attach_completions(p.select("id", "prompt_sha"), done, "prompt_sha")
 
 
+def _failing_completion(prompts: pd.Series) -> pd.Series:
+    """The stand-in, failing on prompts without any URL."""
+    if not prompts.str.contains("://").all():
+        raise ValueError("no source")
+    return _stub_completion(prompts)
+
+
+@query("enrich_resumed", f"""WITH {_PROMPTS_SQL}, d AS (
+  SELECT DISTINCT sha256(prompt) AS prompt_sha, nullif(regexp_extract(prompt, {Q.lit(_STUB_URL)}, 0), '') AS url FROM pr
+)
+SELECT prompt_sha, CASE WHEN url IS NOT NULL THEN '{{"website":"' || url || '","sources":[]}}' END AS raw,
+       CASE WHEN url IS NULL THEN 'ValueError: no source' END AS error FROM d""")
+def enrich_resumed(spark, sf_dir):
+    """UDF-1, resumable: a run over some vendors' prompts, then one over all that asks only the rest; failures recorded per prompt."""
+    from vendorscope.session import cut_lineage
+    p = cut_lineage(prompts(spark, sf_dir).select("id", "prompt"))
+    store = IO.work_path(spark, "completions")
+    EN.enrich_into(p.where(F.col("id") % 3 == 0), _failing_completion, store, waves=2)
+    return EN.enrich_into(p, _failing_completion, store, waves=2)
+
+
 def _model_rows_sql() -> str:
     rows = ", ".join(f"({i}, {Q.lit(f)}, {Q.lit(k)})" for i, (f, k) in enumerate(C.output_fields()))
     return f"m AS (SELECT * FROM (VALUES {rows}) t(pos, field, kind))"

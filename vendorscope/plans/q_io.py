@@ -91,6 +91,18 @@ def attach_saved_text(spark, sf_dir):
     return j.select(v.id, "saved_id", "combined_text")
 
 
+@query("src_text_files", f"""WITH {_SAVED_SQL}, vv AS (SELECT DISTINCT id, name, city FROM ja)
+SELECT vv.id, vv.city, sv.slug, sv.combined_text FROM vv
+JOIN sv ON sv.city = vv.city AND sv.slug IS NOT DISTINCT FROM {Q.slug('vv.name')}""")
+def src_text_files(spark, sf_dir):
+    """SRC-3 + JOIN-5: texts saved as one file per vendor, read whole by path for the run's category and attached (a missing one aborts)."""
+    from vendorscope.operators.vendors import last_write_wins
+    texts = last_write_wins(_combined(spark, sf_dir).select("category", "city", "slug", "id", "combined_text"), ["category", "city", "slug"], "id")
+    files = IO.read_text_files(spark, IO.write_text_files(texts, IO.work_path(spark, "text_files")), RUN_CATEGORY)
+    v = S.vendors(spark, sf_dir).select("id", "city", F.lit(RUN_CATEGORY).alias("category"), T.slug(F.col("name")).alias("slug"))
+    return IO.attach_texts(v, files).select("id", "city", "slug", "combined_text")
+
+
 @query("missing_text", f"""WITH {_SAVED_SQL}, {RV_SQL}
 SELECT c_custkey AS input_ord, city_name AS city, {Q.slug('name')} AS slug FROM rv
 WHERE NOT EXISTS (SELECT 1 FROM sv WHERE sv.city = rv.city_name AND sv.slug = {Q.slug('rv.name')})""")

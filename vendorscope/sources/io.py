@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -58,6 +58,46 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     return spark.read.format(fmt).load(path)
 
 
+TEXT_COLUMNS = ["category", "city", "slug"]
+
+
+def write_text_files(texts: DataFrame, path: str, text: str = "combined_text") -> str:
+    """SNK-2 as files: one text file per (category, city, slug), for tools that read single files; tables are for everything else."""
+    (texts.select(*TEXT_COLUMNS, F.col(text).alias("value")).hint("rebalance", *TEXT_COLUMNS)
+     .write.mode("overwrite").partitionBy(*TEXT_COLUMNS).text(path))
+    return path
+
+
+def read_text_files(spark: SparkSession, path: str, category: str | None = None, text: str = "combined_text") -> DataFrame:
+    """SRC-3: saved text files, each read whole: category, city, slug, text, taken from ``<category>/<city>/<slug>.txt``.
+
+    Also reads what ``write_text_files`` wrote (folders named ``category=..``). With ``category`` only its folder is listed and read.
+    A final line break is not part of the text.
+    """
+    base = path.rstrip("/") + (f"/{{{category},category={category}}}" if category else "")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(base)
+    files = files.select(F.decode("content", "UTF-8").alias("_text"), F.col("path").alias("_at"))  # empty files are rows, too
+    name = r"/(?:category=)?([^/]+)/(?:city=)?([^/]+)/(?:slug=)?([^/]+?)(?:/part-[^/]*)?(?:\.txt)?$"
+
+    def part(i: int, column: str) -> Column:
+        """One of the three names; a table's folders escape theirs like URLs, where a plus sign stands for itself."""
+        plain = F.regexp_extract("_at", name, i)
+        escaped = F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+        return F.when(F.col("_at").contains(f"/{column}="), escaped).otherwise(plain)
+
+    return files.select(*[part(i, c).alias(c) for i, c in enumerate(TEXT_COLUMNS, start=1)],
+                        F.regexp_replace("_text", r"\n\z", "").alias(text))
+
+
+def attach_texts(vendors: DataFrame, texts: DataFrame, text: str = "combined_text") -> DataFrame:
+    """JOIN-5: ``vendors`` (category, city, slug, ...) with their saved text; reading a vendor without one fails the run, in the plan."""
+    t = texts.select(*[F.col(c).alias(f"_{c}") for c in TEXT_COLUMNS], F.col(text).alias("_text"), F.lit(True).alias("_there"))
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in TEXT_COLUMNS]
+    missing = F.raise_error(F.concat(F.lit("No saved text: "), F.concat_ws("/", *TEXT_COLUMNS))).cast("string")
+    j = vendors.drop(text).join(t, on, "left")
+    return j.select(*[c for c in vendors.columns if c != text], F.when(F.col("_there"), F.col("_text")).otherwise(missing).alias(text))
+
+
 def quarantine(df: DataFrame, reason_col: str = "reason") -> DataFrame:
     """SNK-5 shape: failed rows with their capped slug and reason."""
     from vendorscope.functions.text import slug

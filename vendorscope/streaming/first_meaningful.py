@@ -1,12 +1,12 @@
 """STR-1: first usable snapshot per question on a stream of page snapshots.
 
-Keyed state per question holds the best usable snapshot seen so far (ordered
-by ``ts`` then ``event_id``) and an event-time timer at ``asked_ts + deadline``.
-When the watermark passes the timer the question is decided: ``success``
-with the best snapshot, or ``no_response``. Deciding at the deadline (not at
-the first usable row) keeps the result equal to the batch twin
-(``operators.answers.first_meaningful``) when snapshots arrive out of order,
-as long as they are no later than the watermark delay.
+``emit="deadline"`` is a streaming aggregation: rows are grouped by question and the time its answer is due, the earliest usable snapshot
+(by ``ts``, then ``event_id``) is kept as the group's only state, and the watermark on the due time emits and forgets a group. Snapshots
+are reduced in the JVM, on the map side first, so a question with very many of them is one row per task and batch. It
+equals the batch twin (``operators.answers.first_meaningful``) when snapshots arrive out of order, as long as they are no later
+than the watermark delay.
+
+``emit="first"`` answers at once, which an aggregation cannot: keyed state in Python, with an event-time timer at the deadline.
 """
 
 from __future__ import annotations
@@ -32,18 +32,15 @@ def _row(qid, status, ts_us=None, ev=None, ans=None) -> pd.DataFrame:
                          "event_id": [None if ev is None else int(ev)], "answer": [ans]})
 
 
-def _decide(deadline_us: int, emit_first: bool):
+def _decide(deadline_us: int):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (qid,) = key
         if state.hasTimedOut:
-            asked, best_us, best_ev, best_ans, done = state.get
+            done = state.get[4]
             state.remove()
             if done:
                 return
-            if best_us is None or pd.isna(best_us):
-                yield _row(qid, "no_response")
-            else:
-                yield _row(qid, "success", best_us, best_ev, best_ans)
+            yield _row(qid, "no_response")
             return
         asked, best_us, best_ev, best_ans, done = state.get if state.exists else (None, None, None, None, False)
         if done:  # answered early: later snapshots change nothing; keep the tombstone until the deadline
@@ -62,7 +59,7 @@ def _decide(deadline_us: int, emit_first: bool):
                 i = np.lexsort((ev, t))[0]  # earliest (ts, event_id) of this batch, vectorised
                 if best_us is None or (int(t[i]), int(ev[i])) < (int(best_us), int(best_ev)):
                     best_us, best_ev, best_ans = int(t[i]), int(ev[i]), pdf["answer"].to_numpy()[ok][i]
-        if emit_first and best_us is not None:
+        if best_us is not None:
             done = True
             yield _row(qid, "success", best_us, best_ev, best_ans)
         state.update((asked, best_us, best_ev, best_ans, done))
@@ -77,8 +74,7 @@ def stream_first_meaningful(snapshots: DataFrame, deadline_s: int = fixed.ANSWER
                             emit: str = "deadline") -> DataFrame:
     """Streaming snapshots -> one decided row per question.
 
-    ``snapshots``: key, event_id, ts (timestamp_ntz), asked_ts, answer. The
-    usable test runs JVM-side before the Python state function.
+    ``snapshots``: key, event_id, ts (timestamp_ntz), asked_ts (one per question), answer.
 
     ``emit="deadline"`` decides when the watermark passes the deadline (exact
     under bounded disorder). ``emit="first"`` answers as soon as a usable
@@ -87,9 +83,13 @@ def stream_first_meaningful(snapshots: DataFrame, deadline_s: int = fixed.ANSWER
     """
     src = (snapshots.withColumn("ts", F.col("ts").cast("timestamp"))
            .withColumn("asked_ts", F.col("asked_ts").cast("timestamp"))
-           .withColumn("usable", is_meaningful(F.col("answer")))
-           .withWatermark("ts", watermark))
-    out = src.groupBy(key).applyInPandasWithState(
-        _decide(int(deadline_s) * 1_000_000, emit == "first"), OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    return out
+           .withColumn("usable", is_meaningful(F.col("answer"))))
+    if emit == "first":
+        return src.withWatermark("ts", watermark).groupBy(key).applyInPandasWithState(
+            _decide(int(deadline_s) * 1_000_000), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    src = src.withColumn("due", F.col("asked_ts") + F.expr(f"INTERVAL {int(deadline_s)} SECONDS")).withWatermark("due", watermark)
+    usable = F.col("usable") & (F.col("ts") <= F.col("due"))
+    first = F.min_by(F.struct("ts", "event_id", "answer"), F.when(usable, F.struct("ts", "event_id")))
+    out = src.groupBy(key, "due").agg(first.alias("_w"))
+    return out.select(F.col(key), F.when(F.col("_w").isNull(), "no_response").otherwise("success").alias("status"),
+                      F.col("_w.ts").cast("timestamp_ntz").alias("ts"), "_w.event_id", "_w.answer")
