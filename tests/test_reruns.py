@@ -24,7 +24,7 @@ def test_plain_files_of_another_tool(spark, tmp_path):
         folder.mkdir(parents=True, exist_ok=True)
         (folder / f"{slug}.txt").write_text(text if not text.endswith("\n") else text + "\n", encoding="utf-8")
     got = IO.read_text_files(spark, str(tmp_path / "data"))
-    assert sorted(tuple(r) for r in got.collect()) == sorted(ROWS)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(r for r in ROWS if r[3])  # files without a byte are skipped
     one = IO.read_text_files(spark, str(tmp_path / "data"), "CATERERS")
     assert [r.city for r in one.collect()] == ["Goa %41=x"] and all("CATERERS" in f for f in one.inputFiles())
 

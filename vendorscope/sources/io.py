@@ -72,11 +72,11 @@ def read_text_files(spark: SparkSession, path: str, category: str | None = None,
     """SRC-3: saved text files, each read whole: category, city, slug, text, taken from ``<category>/<city>/<slug>.txt``.
 
     Also reads what ``write_text_files`` wrote (folders named ``category=..``). With ``category`` only its folder is listed and read.
-    A final line break is not part of the text.
+    A final line break is not part of the text; a file without any byte is skipped by Spark's readers, so it counts as missing.
     """
     base = path.rstrip("/") + (f"/{{{category},category={category}}}" if category else "")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(base)
-    files = files.select(F.decode("content", "UTF-8").alias("_text"), F.col("path").alias("_at"))  # empty files are rows, too
+    files = files.select(F.decode("content", "UTF-8").alias("_text"), F.col("path").alias("_at"))
     name = r"/(?:category=)?([^/]+)/(?:city=)?([^/]+)/(?:slug=)?([^/]+?)(?:/part-[^/]*)?(?:\.txt)?$"
 
     def part(i: int, column: str) -> Column:
