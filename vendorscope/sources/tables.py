@@ -28,8 +28,12 @@ def read_text(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Dat
     The session setting ``spark.vendorscope.textTasks`` deals the rows into that many tasks; ``build_session`` sets it to the number
     of cores of a local master, and to nothing on a cluster. Without it nothing is shuffled, whatever the input's size.
     """
-    df = read_table(spark, sf_dir, name).select(*columns)
-    tasks = spark.conf.get(TEXT_TASKS, None)
+    return dealt(read_table(spark, sf_dir, name).select(*columns))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many tasks as the session's ``TEXT_TASKS`` says; as it is where that is unset."""
+    tasks = df.sparkSession.conf.get(TEXT_TASKS, None)
     return df.repartition(int(tasks)) if tasks else df
 
 
@@ -79,8 +83,8 @@ def question_answers(spark, sf_dir) -> DataFrame:
     q = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     a = conv.where(F.col("role") == "assistant").select(
         F.col("conv_id").alias("a_conv"), (F.col("turn") - 1).alias("a_turn"), F.col("text").alias("answer"))
-    return (q.join(a, (q.conv_id == a.a_conv) & (q.turn == a.a_turn), "left")
-            .select("conv_id", "turn", "question", "answer"))
+    return dealt(q.join(a, (q.conv_id == a.a_conv) & (q.turn == a.a_turn), "left")
+                 .select("conv_id", "turn", "question", "answer"))
 
 
 def _esc(c):
