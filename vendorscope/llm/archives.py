@@ -39,10 +39,16 @@ def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
         F.when(~again, F.col("payload")).alias("payload"))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark reads it by, so tasks do not take a plain path for one of their own disk's."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(p).toString()
+
+
 def write_archive(records: DataFrame, path: str) -> str:
     """Records as WARC archives in a folder that driver and executors share."""
     records.sparkSession.dataSource.register(WarcSource)
-    records.write.format("warc").mode("append").option("path", path).save()
+    records.write.format("warc").mode("append").option("path", qualified(records.sparkSession, path)).save()
     return path
 
 
@@ -50,7 +56,7 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     """Records of the archives; the session must hand filters to Python data sources, so that is switched on."""
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).load()
+    return spark.read.format("warc").option("path", qualified(spark, path)).option("payload", str(payload).lower()).load()
 
 
 def page_summary(spark: SparkSession, path: str) -> DataFrame:

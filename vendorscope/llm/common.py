@@ -35,6 +35,30 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+OTHERS = "__others"
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def packed(docs: DataFrame, *named: str) -> DataFrame:
+    """The ``named`` columns of ``docs`` (those it has) and one struct with all others, whatever their names and types."""
+    own = [c for c in named if c in docs.columns]
+    rest = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns if c not in own]
+    # A struct has one field at least; a table that was packed before gets a second struct of a longer name.
+    return docs.select(*own, F.struct(*rest, F.lit(True).alias(_free("_", docs.columns))).alias(_free(OTHERS, docs.columns)))
+
+
+def unpacked(df: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """The original ``columns`` of a table made by ``packed``, then its columns ``more``."""
+    box = max((c for c in df.columns if c.rstrip("_") == OTHERS), key=len)
+    inside = df.schema[box].dataType.fieldNames()
+    return df.select(*[F.col(box)[c].alias(c) if c in inside else F.col(c) for c in columns], *more)
+
+
 def n_words(text):
     """Number of words (runs of anything but ASCII white space) as a column; null text: 0.
 

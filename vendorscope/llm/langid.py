@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vendorscope.llm.common import rows
+from vendorscope.llm.common import packed, rows, unpacked
 
 BUCKETS = 1 << 16
 SMOOTH = 0.05          # added to every trigram's count
@@ -203,8 +204,11 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 names=[*b.schema.names, "lang_pred", "score", "proportions"])
 
     own = docs.drop("lang_pred", "score", "proportions")
-    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
-    return own.mapInArrow(predicted, f"{form}, lang_pred string, score double, proportions map<string,double>")
+    own = packed(own, text_col)
+    made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+            T.StructField("proportions", T.MapType(T.StringType(), T.DoubleType()))]
+    out = own.mapInArrow(predicted, T.StructType([*own.schema.fields, *made]))
+    return unpacked(out, [c for c in docs.columns if c not in ("lang_pred", "score", "proportions")], *(f.name for f in made))
 
 
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
@@ -212,7 +216,8 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
 
     Learns from the texts and languages of ``docs`` that are not held out. A text that its languages fit far worse
     than their own texts (see ``Model.known``) is in a language that was not learned. If
-    nothing can be learned, only texts without a letter are rejected.
+    nothing can be learned, only texts without a letter are rejected. Null, empty and letterless texts go; repeated rows are judged alike;
+    other columns stay with their row, whatever their names and types; an empty table gives an empty one.
     """
     learned = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     model = train(learned)
@@ -229,5 +234,5 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
                 keep.append(name != UNKNOWN and score >= least and m.known(text, parts, usual))
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(fitting, form)
+    own = packed(docs, "doc_id", "text")
+    return unpacked(own.mapInArrow(fitting, own.schema), docs.columns)

@@ -10,10 +10,12 @@ taken come near the target.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendorscope.llm.common import n_words, saved
+from vendorscope.llm.common import n_words, packed, saved, unpacked
 
 BLOCK = 4096       # documents of one source and size that are numbered together
 SEED = "mix-1"
@@ -67,10 +69,11 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
     ``columns`` names the columns of ``docs`` to return (default: all), so that texts needn't be.
     """
     own = [c for c in columns or docs.columns if c not in ("size", "source_size", "target", "copies")]
+    quoted = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in own]
     # Null-safe text keys; a null source can't be mistaken for a text.
     key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source")))
     number = _unit(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
-    base = saved(docs.select(*own, n_words(F.col("text")).alias("size"), key.alias("__key"), number.alias("__hash"),
+    base = saved(docs.select(F.struct(*quoted).alias("__own"), n_words(F.col("text")).alias("size"), key.alias("__key"), number.alias("__hash"),
                              F.col("source").alias("__source"), F.col("doc_id").alias("__id"),
                              F.monotonically_increasing_id().alias("__row")), "sized")
     light = base.select("__key", F.col("__source").alias("source"), "size", "__hash", "__id", "__row")
@@ -93,16 +96,20 @@ def with_copies(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, tot
     place = F.col("__first") + rank
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _unit(F.concat(F.lit(seed + "/"), F.col("__key"))) / F.lit(float(2 ** 32))
-    crossed = F.floor(place * rate + offset) - F.floor((place - 1) * rate + offset)
+    # No more than ``most``, where the sum's rounding falls on an integer.
+    crossed = F.least(F.floor(place * rate + offset) - F.floor((place - 1) * rate + offset), F.lit(math.ceil(most)))
     taken = numbered.select("__row", "source_size", "target", crossed.cast("long").alias("copies"))
     # Rows are numbered without their texts, which are shuffled once, for this join.
-    return base.join(taken, "__row").select(*own, "size", "source_size", "target", "copies")
+    return base.join(taken, "__row").select(*[F.col("__own")[c].alias(c) for c in own], "size", "source_size", "target", "copies")
 
 
 def repeated_rows(docs: DataFrame, weights=(1.0, 2.0, 3.0), most: float = 3.0, total: float = 1.0) -> DataFrame:
-    """The mix: every document of ``docs`` as many times as it is taken, with its own columns."""
-    mixed = with_copies(docs, weights, most, total).where("copies > 0")
-    return mixed.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The mix: every document of ``docs`` as many times as it is taken, with its own columns, whatever their names and types.
+
+    Nulls, empty texts, repeated rows and empty tables as in ``with_copies``.
+    """
+    mixed = with_copies(packed(docs, "doc_id", "text", "source"), weights, most, total).where("copies > 0")
+    return unpacked(mixed.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs.columns)
 
 
 ORACLE = f"""
@@ -133,6 +140,6 @@ n AS (
          row_number() OVER (PARTITION BY d.k ORDER BY d.size, d.h, d.doc_id) AS p
   FROM d JOIN t USING (k))
 SELECT doc_id, size, source_size, target,
-       size * (floor(p * rate + u) - floor((p - 1) * rate + u))::BIGINT AS taken
+       size * least(floor(p * rate + u) - floor((p - 1) * rate + u), 3)::BIGINT AS taken
 FROM n
 """

@@ -173,6 +173,9 @@ def encoded(docs: DataFrame, path: str, end: int, id_col: str, text_col: str) ->
     return docs.select(id_col, text_col).mapInArrow(made, f"`{id_col}` {kind}, n long, key long, ids binary")
 
 
+RANGE_BYTES = 64 << 20   # ids that one task cuts into sequences
+
+
 def pack(docs: DataFrame, path: str, length: int = 2048, end: int = 1, id_col: str = "doc_id",
          text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """Pieces of all documents in packed sequences of ``length`` ids.
@@ -183,12 +186,13 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end: int = 1, id_col: s
     are separate documents; a null id is kept. An empty table gives no pieces. Other columns are not read.
 
     The encoded documents are written once; range bounds and the ids before each range
-    come from two narrow scans (one row per range reaches the driver; ``partitions``
-    ranges, by default the session's shuffle partitions), and the ids are shuffled once.
+    come from narrow scans (one number per range reaches the driver), and the ids are shuffled once. There are ``partitions``
+    ranges, by default one per ``RANGE_BYTES`` of ids, and one per core at least.
     """
     spark = docs.sparkSession
     enc = saved(encoded(docs, path, end, id_col, text_col), "encoded")
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = enc.agg(F.sum("n")).first()[0] or 0
+    count = partitions or max(spark.sparkContext.defaultParallelism, math.ceil(4 * total / RANGE_BYTES))
     cuts = enc.approxQuantile("key", [i / count for i in range(1, count)], 0.1 / count) if count > 1 else []
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     if len(splits) == 2:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendorscope.llm.common import byte_texts, rows, saved
+from vendorscope.llm.common import byte_texts, packed, rows, saved, unpacked
 from vendorscope.llm.graph import components
 
 # Relative costs: a probe row travels through a shuffle, a candidate pair is one XOR and a bit count.
@@ -268,14 +268,14 @@ def hex_fingerprint(fp):
 
 
 def first_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents whose ``doc_id`` is its component's smallest: one document of each group stays.
+    """One document of each group of near-duplicates stays: the one of the smallest ``doc_id``, null ids last.
 
-    The kept ids are joined back to the whole rows. Rows that share one id name one document: the
-    smallest of them by their other columns stays. Rows without an id can't be told apart and stay.
+    Rows are numbered and written once, so groups are of rows: of two rows with one id and different texts both stay, of equal or
+    near texts one does, also without an id. Among rows of equal ids the first by that number stays. Null, empty and wordless texts are
+    near-duplicates of each other. Other columns stay with their row, whatever their names and types; an empty table gives an empty one.
     """
-    found = near_duplicates(docs, words, max_bits)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = (docs.join(keep, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*").select(*docs.columns))
-    return one.unionByName(docs.where("doc_id is null"))
+    numbered = saved(packed(docs, "doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, words, max_bits, id_col="__row").select("__row", "component_id")
+    ids = numbered.select("__row", "doc_id").join(found, "__row")
+    keep = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("k"))
+    return unpacked(numbered.join(keep.select(F.col("k.__row").alias("__row")), "__row", "left_semi"), docs.columns)

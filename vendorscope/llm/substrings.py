@@ -28,8 +28,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vendorscope.llm.common import rows, saved
+from vendorscope.llm.common import packed, rows, saved, unpacked
 
 SLICE_BITS = 16                       # cells of one slice of the sketch
 MAX_CELL_BITS = 28                    # a sketch row has at most 2**28 cells: 32 MB as a bitmap
@@ -180,9 +181,16 @@ def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: st
         joined = b" ".join(words)
         return hashlib.sha256(joined).digest() if digest else joined
 
-    own = docs.drop("n_words", "n_removed", "kept")
+    kept_columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept") and not (digest and c == text_col)]
+    own = packed(docs.drop("n_words", "n_removed", "kept"), text_col)
     names = [c for c in own.columns if not (digest and c == text_col)]
-    form = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in names)
+    form = [own.schema[c] for c in names]
+
+    def with_fields(more: str) -> T.StructType:
+        """Schema of the rows' own columns and the fields of a text like ``a long, b binary``."""
+        kinds = {"int": T.IntegerType(), "long": T.LongType(), "binary": T.BinaryType()}
+        made = [x.split() for x in more.split(", ")]
+        return T.StructType([*form, *(T.StructField(n, T.ArrayType(kinds[k[6:-1]]) if k.startswith("array") else kinds[k]) for n, k in made)])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, part = 0, TaskContext.get().partitionId()
@@ -251,8 +259,8 @@ def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: st
                 [*(b.column(n) for n in names), b.column("n_words"), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())],
                 names=[*names, "n_words", "n_removed", "kept"])
 
-    found = saved(own.mapInArrow(searched, f"{form}, n_words long, kept binary, __row long, __text binary, "
-                                           "__lo array<int>, __hi array<int>, __run array<binary>"), "windows")
+    found = saved(own.mapInArrow(searched, with_fields(
+        "n_words long, kept binary, __row long, __text binary, __lo array<int>, __hi array<int>, __run array<binary>")), "windows")
     some = found.where("__text is not null")
     stretches = some.select("__row", F.explode(F.arrays_zip("__lo", "__hi", "__run")).alias("r")).select("__row", "r.*")
     twice = (stretches.groupBy("__run").agg(F.count("*").alias("n"), F.min(F.struct("__row", "__lo")).alias("f"))
@@ -270,9 +278,9 @@ def marked_words(docs: DataFrame, window: int = 35, gram: int = 16, text_col: st
                 .agg(F.count("*").alias("n"), F.max("w").alias("w")).where("n > 1 and w = 1").select("one", "two"))
     starts = spots.join(repeated, ["one", "two"]).groupBy("__row").agg(F.collect_list("at").alias("__starts"))
     done = (some.select(*names, "n_words", "__row", "__text").join(settled, "__row", "left").join(starts, "__row", "left")
-            .mapInArrow(cut, f"{form}, n_words long, n_removed long, kept binary"))
+            .mapInArrow(cut, with_fields("n_words long, n_removed long, kept binary")))
     rest = found.where("__text is null").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")
-    return rest.unionByName(done)
+    return unpacked(rest.unionByName(done), kept_columns, "n_words", "n_removed", "kept")
 
 
 def removed_counts(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -282,11 +290,16 @@ def removed_counts(docs: DataFrame, window: int = 35) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """``docs`` without the covered words. Texts that lose none stay as they are; ``n_chars`` follows the new text."""
-    out = marked_words(docs, window)
+    """``docs`` without the covered words. Texts that lose none stay as they are; ``n_chars`` follows the new text.
+
+    Null and empty texts stay; of repeated rows' texts all repeated windows go, from each of them. Other columns stay with their row,
+    whatever their names and types; an empty table gives an empty one.
+    """
+    own = packed(docs, "text", "n_chars")
+    out = marked_words(own, window)
     changed = F.col("n_removed") > 0
     out = out.withColumn("text", F.when(changed, F.col("kept").cast("string")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return unpacked(out, docs.columns)
