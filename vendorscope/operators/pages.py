@@ -78,6 +78,14 @@ def region_min_len(df: DataFrame, html: str = "html", min_chars: int = fixed.REG
     return df.where(F.length(T.strip_ws(F.col(html))) > min_chars)
 
 
+def region_kinds(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """FLT-2 for both candidates in one pass: a row per page and kind (``region``: the whole page, ``body``) above its size floor."""
+    body = F.regexp_extract(F.col(html), r"(?is)<body\b[^>]*>(.*)</body", 1)
+    kinds = F.array_compact(F.array(F.when(F.length(T.strip_ws(F.col(html))) > fixed.REGION_MIN_CHARS, "region"),
+                                    F.when(F.length(T.strip_ws(body)) > fixed.BODY_MIN_CHARS, "body")))
+    return df.select(key, F.explode(kinds).alias("kind"))
+
+
 # A div whose id is the block form's id (quoted or not).
 BLOCK_FORM_RX = rf"""<div\b[^>]*\bid\s*=\s*["']?{fixed.BLOCK_FORM_ID}["'\s>/]"""
 

@@ -21,7 +21,9 @@ _FA = """fa AS (
     || CASE WHEN l_linenumber % 4 <> 0 THEN ' Source URL: none'
          ELSE ' Parameter: price_range Value: ' || CAST(l_suppkey AS VARCHAR) || ' Source URL: ' || src
            || ' Parameter: services_offered Value: s' || CAST(l_suppkey % 3 AS VARCHAR) || ', common ,t'
-           || CAST(l_suppkey % 4 AS VARCHAR) || ' Source URL: ' || src END AS answer
+           || CAST(l_suppkey % 4 AS VARCHAR) || ' Source URL: ' || src
+           || ' Parameter: address Value: ' || CAST(l_suppkey AS VARCHAR) || ' Main Road, Pune Source URL: ' || src
+           || ' Parameter: review_count Value: ' || CAST(l_partkey % 900 AS VARCHAR) || ' Source URL: ' || src END AS answer
   FROM (SELECT *, CASE l_linenumber % 3 WHEN 0 THEN 'https://www.instagram.com/p'
           WHEN 1 THEN 'https://www.facebook.com/p'
           ELSE CASE WHEN l_suppkey % 2 = 0 THEN 'https://site.example.com/pricing' ELSE 'https://site.example.com' END

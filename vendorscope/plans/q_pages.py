@@ -167,11 +167,7 @@ WHERE length({Q.strip(f"regexp_extract(html, {Q.lit(_BODY_RX)}, 1)")}) > {fixed.
 """)
 def region_min_len(spark, sf_dir):
     """FLT-2: candidates above the size floor: whole page as region (>50), body fallback (>100)."""
-    pg = S.pages(spark, sf_dir)
-    a = P.region_min_len(pg).select("page_id", F.lit("region").alias("kind"))
-    body = pg.select("page_id", F.regexp_extract("html", _BODY_RX, 1).alias("h"))
-    b = P.region_min_len(body, "h", fixed.BODY_MIN_CHARS).select("page_id", F.lit("body").alias("kind"))
-    return a.unionByName(b)
+    return P.region_kinds(S.pages(spark, sf_dir))
 
 
 @query("blocked_page", f"""

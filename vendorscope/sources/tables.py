@@ -284,7 +284,9 @@ def fact_answers(spark, sf_dir) -> DataFrame:
         F.when(ln % 4 != 0, F.lit(" Source URL: none")).otherwise(F.concat(
             F.lit(" Parameter: price_range Value: "), F.col("l_suppkey").cast("string"), F.lit(" Source URL: "), src,
             F.lit(" Parameter: services_offered Value: s"), (F.col("l_suppkey") % 3).cast("string"),
-            F.lit(", common ,t"), (F.col("l_suppkey") % 4).cast("string"), F.lit(" Source URL: "), src)))
+            F.lit(", common ,t"), (F.col("l_suppkey") % 4).cast("string"), F.lit(" Source URL: "), src,
+            F.lit(" Parameter: address Value: "), F.col("l_suppkey").cast("string"), F.lit(" Main Road, Pune Source URL: "), src,
+            F.lit(" Parameter: review_count Value: "), (F.col("l_partkey") % 900).cast("string"), F.lit(" Source URL: "), src)))
     return li.select(F.col("l_partkey").alias("vendor_id"), "l_orderkey", "l_linenumber", answer.alias("answer"))
 
 
