@@ -27,4 +27,4 @@ def test_every_query_is_registered():
     import __spark_entry__ as E
 
     names = E.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
