@@ -240,6 +240,14 @@ def links(fps: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
     return grouped.mapInArrow(linked, "u long, v long")
 
 
+def _rooted(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Written (id, fp) of every row, and (fp, root): the group of every distinct fingerprint, with ``first``, the smallest id that has it."""
+    marked = saved(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    nodes = saved(marked.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes")
+    roots = saved(components(links(nodes.select("fp"), max_bits)), "roots")
+    return marked, nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``fp`` (signed long) and ``component_id``.
@@ -252,11 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col:
     rows; an empty table gives an empty one; other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    marked = saved(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    nodes = saved(marked.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes")
-    roots = saved(components(links(nodes.select("fp"), max_bits)), "roots")
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    marked, named = _rooted(docs, words, max_bits, id_col, text_col)
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = named.join(least, "root").select(F.col("fp").alias("node"), F.col("component_id").cast(kind))
     return marked.join(by_fp, marked["fp"] == by_fp["node"]).select(marked[id_col], "fp", "component_id")
@@ -270,12 +274,24 @@ def hex_fingerprint(fp):
 def first_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """One document of each group of near-duplicates stays: the one of the smallest ``doc_id``, null ids last.
 
-    Rows are numbered and written once, so groups are of rows: of two rows with one id and different texts both stay, of equal or
-    near texts one does, also without an id. Among rows of equal ids the first by that number stays. Null, empty and wordless texts are
+    Groups are of rows: of two rows with one id and different texts both stay, of equal or
+    near texts one does, also without an id. Null, empty and wordless texts are
     near-duplicates of each other. Other columns stay with their row, whatever their names and types; an empty table gives an empty one.
+
+    An id that one row has names its row, so texts are joined to the kept ids and not written. Rows without an id, and rows that share
+    one, can only be told apart by number: these alone are written, numbered, and the first of each kept (id, fingerprint) is taken.
     """
-    numbered = saved(packed(docs, "doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(numbered, words, max_bits, id_col="__row").select("__row", "component_id")
-    ids = numbered.select("__row", "doc_id").join(found, "__row")
-    keep = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("k"))
-    return unpacked(numbered.join(keep.select(F.col("k.__row").alias("__row")), "__row", "left_semi"), docs.columns)
+    marked, named = _rooted(docs, words, max_bits, "doc_id", "text")
+    rooted = marked.join(named.select("fp", "root"), "fp")
+    kept = saved(rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
+                 .select("k.doc_id", "k.fp"), "kept")
+    shared = marked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    own = packed(docs, "doc_id", "text")
+    plain = own.join(kept.where("doc_id is not null").join(shared, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    rest = own.where("doc_id is null").unionByName(own.join(shared, "doc_id", "left_semi").select(*own.columns))
+    rest = saved(rest.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    prints = fingerprints(rest, words, "__row", "text").join(rest.select("__row", F.col("doc_id").alias("__id")), "__row")
+    firsts = (prints.join(kept, prints["__id"].eqNullSafe(kept["doc_id"]) & (prints["fp"] == kept["fp"]))
+              .groupBy("__id", prints["fp"]).agg(F.min("__row").alias("__row")).select("__row"))
+    told = rest.join(firsts, "__row", "left_semi").select(*own.columns)
+    return unpacked(plain.select(*own.columns).unionByName(told), docs.columns)
