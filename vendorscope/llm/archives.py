@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendorscope.llm.warc import WarcSource
+from vendorscope.sources.io import qualified
 
 
 def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
@@ -39,12 +40,6 @@ def page_records(pages: DataFrame, least: int = 1000) -> DataFrame:
         F.when(~again, F.col("payload")).alias("payload"))
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with the scheme that Spark reads it by, so tasks do not take a plain path for one of their own disk's."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(p).toString()
-
-
 def write_archive(records: DataFrame, path: str) -> str:
     """Records as WARC archives in a folder that driver and executors share."""
     records.sparkSession.dataSource.register(WarcSource)
