@@ -27,3 +27,21 @@ def test_a_file_per_text_and_no_folder_of_its_own(spark, tmp_path):
     walked = list(os.walk(path))
     assert sum(len(files) for _, _, files in walked) == 40 and len(walked) == 4  # top, category, two cities
     assert sorted(tuple(r) for r in IO.read_text_files(spark, path).collect()) == sorted(tuple(r) for r in texts.collect())
+
+
+def test_licence_model_learns_from_every_document(spark):
+    from vendorscope.llm import licenses as L
+
+    # More lines than the sample of before held, all but a few of which say the same; only these few hold the words below.
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3000 == 7, F.lit(
+        "released under the library")).otherwise(F.lit("nothing said")).alias("text"))
+    seen = []
+    keep = L.saved
+    try:
+        L.saved = lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1]
+        L.train(docs)
+    finally:
+        L.saved = keep
+    made = dict(seen)
+    assert made["licence-lines"].agg(F.sum("n")).first()[0] == 9000
+    assert made["licence-others"].agg(F.sum("n")).first()[0] == 3

@@ -4,8 +4,8 @@ A paragraph is a line, or a run of lines without a blank one between them, as no
 files and source headers. Its features are the distinct words and word pairs that the training
 vocabulary holds. Multinomial logistic regression with an L1 penalty learns one class
 per licence family and a class for everything else, from variations of the templates below
-and from a sample of the corpus. The threshold of a family's probability is calibrated on paragraphs of
-the corpus that were not trained on; below it a paragraph is unknown. A prediction counts
+and from every line of half the corpus's documents that the model can be asked about (those with a cue). The threshold of a family's
+probability is calibrated on all lines of the other half; below it a paragraph is unknown. A prediction counts
 only if the paragraph also covers enough of one of the family's templates. SPDX identifiers are read by their id.
 """
 
@@ -94,6 +94,8 @@ NONE = "none"
 VARIANTS = 24
 LEAST_COVER = 0.6       # of a template's words and pairs that a paragraph must have
 FALSE_RATE = 0.001      # share of unlicensed calibration paragraphs above the threshold
+OTHERS_WEIGHT = 2000.0  # what all lines of the corpus weigh together in training, beside a weight of 1 for each variation of a template
+STEPS = 10_000          # the threshold is one of so many even steps of probability
 
 
 # Families of SPDX ids, the first that fits.
@@ -200,14 +202,14 @@ def _scored(df: DataFrame, m_classes: list[str], intercepts: list[float], weight
             .withColumn("probability", F.exp(F.col("best")["l"] - top) / rest).drop("best"))
 
 
-def _cues(templates: dict[str, list[list[str]]], common: dict[str, int]) -> list[str]:
-    """Words of which a line must have one to cover ``LEAST_COVER`` of any template, rare ones of the corpus preferred.
+def _cues(templates: dict[str, list[list[str]]]) -> list[str]:
+    """Words of which a line must have one to cover ``LEAST_COVER`` of any template, long ones (mostly rare) preferred.
 
     Per template words are taken until the n-grams without any of them are too few to cover it.
     """
     cues: set[str] = set()
     for grams in (t for ts in templates.values() for t in ts):
-        words = sorted((g for g in grams if " " not in g), key=lambda w: (common.get(w, 0), w))
+        words = sorted((g for g in grams if " " not in g), key=lambda w: (-len(w), w))
         taken: set[str] = set()
         while sum(not taken & set(g.split(" ")) for g in grams) >= LEAST_COVER * len(grams):
             taken.add(words[len(taken)])
@@ -215,10 +217,16 @@ def _cues(templates: dict[str, list[list[str]]], common: dict[str, int]) -> list
     return sorted(cues)
 
 
-def train(docs: DataFrame, sample: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
-    """A model from the templates' variations and about ``sample`` paragraphs of ``docs`` (half of them for calibration).
+def _cue_pattern(cues: list[str]) -> str:
+    return r"(?iu)(?<![\p{L}\p{Nd}])(?:" + "|".join(re.escape(c) for c in cues) + r")(?![\p{L}\p{Nd}])"
 
-    A paragraph of the corpus that covers half of any template is not used as an example of ``none``.
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
+    """A model from the templates' variations and all lines of ``docs``: one half of the documents trains, the other calibrates.
+
+    Lines without a cue cover no template enough whatever the model says, so only those with one are looked into; the others count among
+    the calibration lines. A line that covers half of any template is not used as an example of ``none``. Lines with the same
+    known n-grams are one row with their number as its weight, so nothing is left out.
     """
     spark: SparkSession = docs.sparkSession
     rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(NONE, t) for t in OTHERS]
@@ -231,38 +239,47 @@ def train(docs: DataFrame, sample: int = 4000, id_col: str = "doc_id", text_col:
     templates: dict[str, list[list[str]]] = {}
     for r in base.where(F.col("label") != NONE).select("label", grams_of(F.col("words")).alias("g")).collect():
         templates.setdefault(r["label"], []).append(list(r["g"]))  # the rows of TEMPLATES
-    total = docs.count()
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("licence")), F.lit(1 << 20)) / float(1 << 20)
-    picked = docs.where(chance < min(1.0, sample / max(total, 1))).select(
-        F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\r?\n").alias("lines")).where(F.size("lines") > 0)
-    # One line of each sampled document, so that about ``sample`` are used.
-    which = F.pmod(F.xxhash64("doc_id", F.lit("line")), F.size("lines").cast("long")).cast("int")
-    lines = picked.select("doc_id", F.col("lines")[which].alias("line")).where(F.length(F.trim("line")) > 0)
-    lines = lines.withColumn("grams", grams_of(words_of(F.col("line"))))
-    lines = lines.select("doc_id", "grams")
-    every = sorted({g for ts in templates.values() for t in ts for g in t})
-    lines = saved(lines.withColumn("hits", F.array_intersect("grams", F.lit(every))), "licence-lines")
-    common = {r["w"]: r["count"] for r in lines.select(F.explode("hits").alias("w")).groupBy("w").count().collect()}
-    free = lines
-    for g in (t for ts in templates.values() for t in ts):
-        free = free.where(F.size(F.array_intersect("hits", F.lit(g))) < 0.5 * len(g))
-    free = saved(free.drop("hits"), "licence-others").coalesce(2)  # about ``sample`` rows
-    calibrate = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 1
-    known = saved(varied.unionByName(free.where(~calibrate).select(F.lit(NONE).alias("label"), "grams")), "licence-known").coalesce(2)
     vocabulary = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=4096, minDF=2.0, binary=True).fit(
         varied.where(F.col("label") != NONE))
-    names = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc").fit(known)
-    fitted = LogisticRegression(labelCol="y", featuresCol="features", family="multinomial", elasticNetParam=1.0,
+    every = sorted({g for ts in templates.values() for t in ts for g in t} | set(vocabulary.vocabulary))
+    cues = _cues(templates)
+    cue = _cue_pattern(cues)
+    # One pass over the texts: how many lines each half has, and the lines with a cue.
+    half = F.pmod(F.xxhash64(F.col(id_col), F.lit("half")), F.lit(2)) == 1
+    split = docs.select(half.alias("calibrate"), F.col(text_col).rlike(cue).alias("may"), F.split(F.col(text_col), "\r?\n").alias("l")).select(
+        "calibrate", F.size(F.filter("l", lambda x: F.trim(x) != "")).alias("n"),
+        F.when(F.col("may"), F.filter("l", lambda x: x.rlike(cue))).alias("cued"))
+    split = saved(split.where(F.col("n") > 0), "licence-lines")
+    count = split.where("calibrate").agg(F.sum("n")).first()[0] or 0
+    lines = split.select("calibrate", F.explode("cued").alias("line"))
+    lines = lines.select("calibrate", F.array_sort(F.array_intersect(grams_of(words_of(F.col("line"))), F.lit(every))).alias("grams"))
+    lines = lines.groupBy("calibrate", "grams").agg(F.count("*").alias("n"))
+    near = F.lit(False)
+    for g in (t for ts in templates.values() for t in ts):
+        near = near | (F.size(F.array_intersect("grams", F.lit(g))) >= 0.5 * len(g))
+    lines = saved(lines.withColumn("near", near), "licence-others")
+    licensed = lines.where("calibrate AND near").agg(F.sum("n")).first()[0] or 0
+    free = lines.where(~F.col("near"))
+    others = free.where("NOT calibrate")
+    total = others.agg(F.sum("n")).first()[0] or 1
+    known = saved(varied.withColumn("weight", F.lit(1.0)).unionByName(
+        others.select(F.lit(NONE).alias("label"), "grams", (F.col("n") * (OTHERS_WEIGHT / total)).alias("weight"))), "licence-known")
+    names = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc").fit(varied)
+    fitted = LogisticRegression(labelCol="y", featuresCol="features", weightCol="weight", family="multinomial", elasticNetParam=1.0,
                                 regParam=0.002, maxIter=60).fit(names.transform(vocabulary.transform(known)))
     matrix = fitted.coefficientMatrix.toArray()
     weights = {g: [float(x) for x in matrix[:, i]] for i, g in enumerate(vocabulary.vocabulary) if abs(matrix[:, i]).max() > 0}
     intercepts, classes = [float(x) for x in fitted.interceptVector], list(names.labels)
-    tested = _scored(free.where(calibrate), classes, intercepts, weights, templates)
-    count = free.where(calibrate).count()
-    above = [r[0] for r in tested.orderBy(F.col("probability").desc()).select("probability")
-             .limit(int(count * FALSE_RATE) + 1).collect()]  # at most sample / 1000 + 1 numbers
-    return LicenseModel(classes, intercepts, weights, max(0.5, min(0.99, above[-1] if above else 0.5)), templates,
-                        _cues(templates, common))
+    tested = _scored(free.where("calibrate").select("grams", "n"), classes, intercepts, weights, templates)
+    # At most ``STEPS`` + 1 numbers: the unlicensed lines by the step of their probability, the largest first.
+    steps = tested.groupBy(F.ceil(F.col("probability") * STEPS).alias("step")).agg(F.sum("n").alias("n")).orderBy(F.col("step").desc()).collect()
+    allowed, threshold = int((count - licensed) * FALSE_RATE), 0.5
+    for r in steps:
+        allowed -= r["n"]
+        if allowed < 0:
+            threshold = r["step"] / STEPS
+            break
+    return LicenseModel(classes, intercepts, weights, max(0.5, min(0.99, threshold)), templates, cues)
 
 
 def license_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,7 +295,7 @@ def license_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id",
     Other columns are not read. Only the few paragraphs found are shuffled, to settle runs that overlap.
     """
     # A text, and then a line, without any cue has no line that could be confirmed: what follows costs much more.
-    cue = r"(?iu)(?<![\p{L}\p{Nd}])(?:" + "|".join(re.escape(c) for c in model.cues) + r")(?![\p{L}\p{Nd}])"
+    cue = _cue_pattern(model.cues)
     longest = max((sum(" " not in g for g in t) for ts in model.templates.values() for t in ts), default=1) * 2
     lines = F.split(F.col(text_col), "\r?\n")
     texts = (docs.where(F.col(text_col).rlike(cue) | F.col(text_col).rlike(SPDX_LINE))
