@@ -45,3 +45,10 @@ def test_licence_model_learns_from_every_document(spark):
     made = dict(seen)
     assert made["licence-lines"].agg(F.sum("n")).first()[0] == 9000
     assert made["licence-others"].agg(F.sum("n")).first()[0] == 3
+
+
+def test_slug_of_other_letters_and_signs(spark):
+    rows = [("Ünïcode & Co. 12", "n_code_co_12"), ("__a__😀b  ", "a_b"), ("-.-", ""), (None, None)]
+    df = spark.createDataFrame(rows, "s string, slug string")
+    assert [r[0] for r in df.select(T.slug(F.col("s")).alias("x")).collect()] == [r[1] for r in rows]
+    assert "[^a-zA-Z0-9]" not in _plan(df.select(T.slug(F.col("s"))))
