@@ -52,3 +52,12 @@ def test_slug_of_other_letters_and_signs(spark):
     df = spark.createDataFrame(rows, "s string, slug string")
     assert [r[0] for r in df.select(T.slug(F.col("s")).alias("x")).collect()] == [r[1] for r in rows]
     assert "[^a-zA-Z0-9]" not in _plan(df.select(T.slug(F.col("s"))))
+
+
+@pytest.mark.parametrize("name", ["answer_envelope", "quarantine_pages"])
+def test_questions_are_made_behind_the_join(spark, name, monkeypatch):
+    seen = []
+    monkeypatch.setattr(IO, "write_partitioned", lambda df, path, by: seen.append(df))
+    monkeypatch.setattr(IO, "read_partitioned", lambda spark, path: seen[0])
+    plan = _plan(all_queries()[name].build(spark, SF_SMALL))
+    assert "You are researching" in plan and "You are researching" not in plan[plan.index("Join LeftOuter"):]

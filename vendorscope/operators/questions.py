@@ -44,3 +44,10 @@ def build_questions(vg: DataFrame, category: str | Column = C.DEFAULT_CATEGORY,
     }
     parts = [values[p[0]] if isinstance(p, tuple) else F.lit(p) for p in C.question_pieces()]
     return vg.withColumn("question", T.single_line(F.concat(*parts)))
+
+
+def questions_of(rows: DataFrame, category: str = C.DEFAULT_CATEGORY) -> DataFrame:
+    """PRJ-9 on rows that ``vendor_groups`` made and that kept ``group_ord`` only: the group is taken from the catalogue again."""
+    of = F.get(C.group_array(category), F.col("group_ord").cast("int"))
+    named = rows.withColumns({c: of[c] for c in ("description", "fields", "sources")})
+    return build_questions(named, category).drop("description", "fields", "sources")

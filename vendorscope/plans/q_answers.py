@@ -30,11 +30,10 @@ def answers_table(spark, sf_dir):
 
 
 def attached(spark, sf_dir, with_question: bool = False):
-    vg = QN.vendor_groups(S.vendors(spark, sf_dir))
-    if with_question:
-        vg = QN.build_questions(vg)
-    cols = ["id", "name", "city", "state", "group_ord", "group_name"] + (["question"] if with_question else [])
-    return A.attach_answers(vg.select(*cols), answers_table(spark, sf_dir), ["id", "group_ord"])
+    vg = QN.vendor_groups(S.vendors(spark, sf_dir)).select("id", "name", "city", "state", "group_ord", "group_name")
+    found = A.attach_answers(vg, answers_table(spark, sf_dir), ["id", "group_ord"])
+    # The question's text is long and made of the row itself, so it is made behind the join: only short columns are shuffled.
+    return QN.questions_of(found).select(*found.columns, "question") if with_question else found
 
 
 # --- Oracle side ----------------------------------------------------------
