@@ -61,3 +61,14 @@ def test_questions_are_made_behind_the_join(spark, name, monkeypatch):
     monkeypatch.setattr(IO, "read_partitioned", lambda spark, path: seen[0])
     plan = _plan(all_queries()[name].build(spark, SF_SMALL))
     assert "You are researching" in plan and "You are researching" not in plan[plan.index("Join LeftOuter"):]
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_prompts_are_handed_over_in_small_parts(spark, tmp_path, kept):
+    def fn(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: str(len(prompts)))
+
+    prompts = spark.range(0, 1000, 1, 1).select(F.concat(F.lit("p"), "id").alias("prompt"))
+    done = EN.enrich_into(prompts, fn, str(tmp_path / "store"), waves=1) if kept else EN.enrich_with(prompts, fn)
+    sizes = [int(r.raw) for r in done.collect()]
+    assert len(sizes) == 1000 and max(sizes) <= EN.CALL_ROWS

@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -61,8 +62,19 @@ def attach_completions(prompts: DataFrame, completions: DataFrame, on: str | lis
     return prompts.join(completions, on, "left")
 
 
+# Prompts that a user function gets at once: prompts are long, so a batch of Spark's is handed over in small parts.
+CALL_ROWS = 256
+
+
+def _calls(batches: Iterator[pa.RecordBatch], rows: int = CALL_ROWS) -> Iterator[pd.DataFrame]:
+    """The rows of Arrow batches as small pandas frames: only these, not a whole batch, are held as Python strings."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows).to_pandas()
+
+
 def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt: str = "prompt") -> DataFrame:
-    """UDF-1: run a user function (batch of prompts -> batch of completions) once per distinct prompt.
+    """UDF-1: run a user function (batch of at most ``CALL_ROWS`` prompts -> batch of completions) once per distinct prompt.
 
     Prompts are de-duplicated by hash before the Python stage, so repeated
     prompts cost one call; the result joins back with ``attach_completions``.
@@ -70,11 +82,14 @@ def enrich_with(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], prompt
     distinct = prompts.select(F.sha2(F.col(prompt), 256).alias("prompt_sha"), F.col(prompt).alias("_p")) \
         .dropDuplicates(["prompt_sha"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"prompt_sha": b["prompt_sha"], "raw": fn(b["_p"]).astype(object)})
+    kind = pa.schema([("prompt_sha", pa.string()), ("raw", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _calls(batches):
+            done = pd.DataFrame({"prompt_sha": b["prompt_sha"], "raw": fn(b["_p"]).astype(object)})
+            yield pa.RecordBatch.from_pandas(done, kind, preserve_index=False)
 
-    return distinct.mapInPandas(run, "prompt_sha string, raw string")
+    return distinct.mapInArrow(run, "prompt_sha string, raw string")
 
 
 STORE = "prompt_sha string, raw string, error string"
@@ -99,14 +114,17 @@ def enrich_into(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], store:
         except Exception as e:  # noqa: BLE001 - recorded with the prompt
             return None, f"{type(e).__name__}: {e}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    kind = pa.schema([(c, pa.string()) for c in ("prompt_sha", "raw", "error")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _calls(batches):
             try:
                 rows = [(r, None) for r in fn(b["_p"])]
             except Exception:  # noqa: BLE001 - find the prompts that fail
                 rows = [one(p) for p in b["_p"]]
-            yield pd.DataFrame({"prompt_sha": b["prompt_sha"], "raw": pd.Series([r for r, _ in rows], dtype=object, index=b.index),
-                                "error": pd.Series([e for _, e in rows], dtype=object, index=b.index)})
+            done = pd.DataFrame({"prompt_sha": b["prompt_sha"], "raw": pd.Series([r for r, _ in rows], dtype=object, index=b.index),
+                                 "error": pd.Series([e for _, e in rows], dtype=object, index=b.index)})
+            yield pa.RecordBatch.from_pandas(done, kind, preserve_index=False)
 
     def known() -> DataFrame:
         # Of a prompt asked again after a failure the answer counts.
@@ -117,7 +135,7 @@ def enrich_into(prompts: DataFrame, fn: Callable[[pd.Series], pd.Series], store:
     for wave in range(waves):
         done = known().where(F.col("error").isNull()) if retry_failed else known()
         mine = asked.where(F.pmod(F.xxhash64("prompt_sha"), F.lit(waves)) == wave).join(done.select("prompt_sha"), "prompt_sha", "left_anti")
-        mine.mapInPandas(run, STORE).write.mode("append").parquet(store)
+        mine.mapInArrow(run, STORE).write.mode("append").parquet(store)
     return known().join(asked.select("prompt_sha"), "prompt_sha", "left_semi")
 
 
