@@ -72,3 +72,10 @@ def test_prompts_are_handed_over_in_small_parts(spark, tmp_path, kept):
     done = EN.enrich_into(prompts, fn, str(tmp_path / "store"), waves=1) if kept else EN.enrich_with(prompts, fn)
     sizes = [int(r.raw) for r in done.collect()]
     assert len(sizes) == 1000 and max(sizes) <= EN.CALL_ROWS
+
+
+def test_few_pages_are_objects_at_once():
+    pages = pa.array(["x" * 100_000] * 10 + [None, "y", "z" * 1_000_000, ""])
+    runs = list(D._few(iter([pages, pa.array([], pa.string())])))
+    assert [p for r in runs for p in r.to_pylist()] == pages.to_pylist()
+    assert max(sum(len(p or "") for p in r.to_pylist()) for r in runs if len(r) > 1) <= D.READ_BYTES and len(runs) > 4
