@@ -79,3 +79,14 @@ def test_few_pages_are_objects_at_once():
     runs = list(D._few(iter([pages, pa.array([], pa.string())])))
     assert [p for r in runs for p in r.to_pylist()] == pages.to_pylist()
     assert max(sum(len(p or "") for p in r.to_pylist()) for r in runs if len(r) > 1) <= D.READ_BYTES and len(runs) > 4
+
+
+@pytest.mark.parametrize("source", [S.table_pages, S.fact_answers, S.vendors])
+def test_narrow_inputs_are_dealt_on_a_cluster(spark, source):
+    tasks = spark.conf.get(S.TEXT_TASKS)
+    spark.conf.unset(S.TEXT_TASKS)
+    try:
+        df = source(spark, SF_SMALL)
+        assert df.rdd.getNumPartitions() >= S.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(S.TEXT_TASKS, tasks)
