@@ -97,3 +97,8 @@ def test_facts_are_cut_at_the_first_marks(spark):
             "Parameter:Value: Parameter: c Value: Not Found Source URL:")
     got = FX.facts(spark.createDataFrame([(1, text)], "k int, t string"), "t", ["k"]).orderBy("pos").collect()
     assert [tuple(r)[2:] for r in got] == [("a_b", "x Value: y", "u Source URL: w"), (None, None, None), (None, None, None), ("c", None, None)]
+
+
+def test_wide_profile_reads_the_facts_once(spark):
+    plan = _plan(all_queries()["profile_wide"].build(spark, SF_SMALL))
+    assert plan.count("l_linenumber") and plan.count("Relation [") == 1

@@ -146,8 +146,9 @@ WHERE parameter IN ({', '.join(Q.lit(f) for f, _ in C.output_fields())}) GROUP B
 def profile_wide(spark, sf_dir):
     """EXT-5/8/10: one 19-field record per vendor; list fields unite the items of all sources ("" / [] when absent)."""
     order = ["l_orderkey", "l_linenumber", "pos"]
-    fx = _facts(spark, sf_dir)
-    wide = FX.profile_wide(FX.resolve(fx, "vendor_id", order, "priority"), "vendor_id", fx, order)
+    # The facts are read and ranked once, for the values and for the items of list fields.
+    best = FX.resolve(_facts(spark, sf_dir), "vendor_id", order, "priority", items_of=FX.list_fields())
+    wide = FX.profile_wide(best, "vendor_id")
     return wide.select("vendor_id", *[F.to_json(F.col(f)).alias(f) if f in _LISTS else F.col(f)
                                       for f, _ in C.output_fields()])
 
