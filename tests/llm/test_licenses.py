@@ -1,6 +1,9 @@
 """Licence scans: every template line of the corpus is found, prose isn't, awkward rows are defined."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_CHECK
 from vendorscope.llm import licenses as L
@@ -58,3 +61,41 @@ modification, are permitted provided that the following conditions are met:
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = sorted((r.doc_id, r.paragraph, r.family) for r in L.license_lines(docs, model).collect())
     assert got == [(0, 1, "mit"), (1, 2, "bsd"), (2, 0, "gpl"), (3, 0, "gpl"), (3, 2, "apache-2.0"), (3, 2, "mit")]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_pass_over_the_texts(spark, model):
+    # Texts were read and searched twice, once for identifiers, and words cut anew for each condition on what was made of them.
+    plan = _plan(L.license_lines(table(spark, SF_CHECK, "documents"), model))
+    assert plan.count("Relation [") == 1
+    assert plan.count(r"[^\p{L}\p{Nd}.+-]+") == 1
+
+
+def test_training_splits_a_text_once(spark, monkeypatch):
+    seen, keep = {}, L.saved
+    monkeypatch.setattr(L, "saved", lambda df, name: seen.setdefault(name, _plan(df)) and keep(df, name))
+    L.train(table(spark, SF_CHECK, "documents"))
+    assert seen["licence-lines"].count("split(") == 1
+
+
+def test_cue_pattern_finds_the_cues_alone(spark, model):
+    texts = sorted({x for c in model.cues for x in (c, c.upper(), f"a {c}, b", f"x{c}", f"{c}x", f"é{c}", f"{c}4", c[:-1], c[1:])})
+
+    def plain(text):
+        return any(re.search(rf"(?<![^\W_]){re.escape(c)}(?![^\W_])", text, re.I) for c in model.cues)
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.m for r in df.select("t", F.col("t").rlike(L._cue_pattern(model.cues)).alias("m")).collect()}
+    assert got == {t: plain(t) for t in texts} and set(got.values()) == {True, False}
+
+
+def test_identifiers_beside_notices_and_repeated_rows(spark, model):
+    text = "Licensed under CC BY-SA 4.0.\r\n\r\nxSPDX-License-Identifier: (MIT OR Apache-2.0)\r\n\r\nreleased under the library"
+    rows = [(None, text), (None, text), (5, None), (6, ""), (7, "SPDX-License-Identifier: none-such")]
+    got = sorted((str(r.doc_id), r.paragraph, r.family, r.probability == 1.0, r.cover) for r in L.license_lines(
+        spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    once = [("None", 0, "cc-by-sa", False, 1.0), ("None", 2, "apache-2.0", True, 1.0), ("None", 2, "mit", True, 1.0)]
+    assert got == sorted(once * 2)

@@ -187,13 +187,15 @@ def _scored(df: DataFrame, m_classes: list[str], intercepts: list[float], weight
             templates: dict[str, list[list[str]]]) -> DataFrame:
     """``df`` (with ``grams``) with ``family`` and ``probability`` of the most probable class but ``none``.
 
-    ``hits`` are the n-grams that the model or a template knows: one look through the line's n-grams.
+    ``hits`` are the n-grams that the model or a template knows: one look through the line's n-grams. Rows of which the model knows none
+    are kept with a null family and probability: a filter here would be pushed below all this, which would then be computed again for each
+    of its conditions.
     """
     known = sorted(set(weights) | {g for ts in templates.values() for t in ts for g in t})
     df = df.withColumn("hits", F.array_intersect("grams", F.lit(known))).drop("grams")
-    df = df.withColumn("seen", F.array_intersect("hits", F.lit(sorted(weights)))).where(F.size("seen") > 0)
+    df = df.withColumn("seen", F.array_intersect("hits", F.lit(sorted(weights))))
     logits = _logits(F.col("seen"), len(m_classes), intercepts, weights)
-    df = df.withColumn("logit", logits)
+    df = df.withColumn("logit", F.when(F.size("seen") > 0, logits))
     top = F.array_max("logit")
     # The names ride along in the order of classes; ``none`` can't win here.
     best = F.array_max(F.filter(F.arrays_zip(F.col("logit").alias("l"), F.lit(m_classes).alias("c")), lambda x: x["c"] != NONE))
@@ -217,8 +219,18 @@ def _cues(templates: dict[str, list[list[str]]]) -> list[str]:
     return sorted(cues)
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern for exactly these words that shares their beginnings, so that few are tried at each place of a text."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    parts = [re.escape(c) + _any_of(rest) for c, rest in sorted(heads.items())] + [""] * ("" in words)
+    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+
 def _cue_pattern(cues: list[str]) -> str:
-    return r"(?iu)(?<![\p{L}\p{Nd}])(?:" + "|".join(re.escape(c) for c in cues) + r")(?![\p{L}\p{Nd}])"
+    return r"(?iu)(?<![\p{L}\p{Nd}])" + _any_of(cues) + r"(?![\p{L}\p{Nd}])"
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
@@ -249,7 +261,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     split = docs.select(half.alias("calibrate"), F.col(text_col).rlike(cue).alias("may"), F.split(F.col(text_col), "\r?\n").alias("l")).select(
         "calibrate", F.size(F.filter("l", lambda x: F.trim(x) != "")).alias("n"),
         F.when(F.col("may"), F.filter("l", lambda x: x.rlike(cue))).alias("cued"))
-    split = saved(split.where(F.col("n") > 0), "licence-lines")
+    # Rows without lines go when read back: a filter on ``n`` before would split every text twice.
+    split = saved(split, "licence-lines").where(F.col("n") > 0)
     count = split.where("calibrate").agg(F.sum("n")).first()[0] or 0
     lines = split.select("calibrate", F.explode("cued").alias("line"))
     lines = lines.select("calibrate", F.array_sort(F.array_intersect(grams_of(words_of(F.col("line"))), F.lit(every))).alias("grams"))
@@ -275,6 +288,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     steps = tested.groupBy(F.ceil(F.col("probability") * STEPS).alias("step")).agg(F.sum("n").alias("n")).orderBy(F.col("step").desc()).collect()
     allowed, threshold = int((count - licensed) * FALSE_RATE), 0.5
     for r in steps:
+        if r["step"] is None:  # no n-gram that the model knows
+            continue
         allowed -= r["n"]
         if allowed < 0:
             threshold = r["step"] / STEPS
@@ -311,17 +326,23 @@ def license_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id",
     parts = parts.select("doc_id", "row", "p.*").where(
         (F.col("paragraph") == F.col("last")) | F.col("line").rlike(cue)).withColumn(
         "named", F.when(F.col("paragraph") == F.col("last"), spdx_families(F.col("line"))).otherwise(F.array().cast("array<string>")))
-    named = parts.where(F.size("named") > 0).select(
-        "doc_id", "row", "paragraph", "last", F.explode("named").alias("family"), F.lit(1.0).alias("probability"),
-        F.lit(1.0).alias("cover"), "line")
-    parts = parts.where(F.size("named") == 0).drop("named")
-    scored = _scored(parts.withColumn("grams", grams_of(words_of(F.col("line")))), model.classes, model.intercepts,
-                     model.weights, model.templates).where(F.col("probability") >= model.threshold)
+    # Identifiers and predictions come from one pass over the texts: what a paragraph gives is exploded, with no union and no filter between.
+    words = F.when(F.size("named") == 0, words_of(F.col("line")))
+    scored = _scored(parts.withColumn("words", words).withColumn("grams", grams_of(F.col("words"))).drop("words"), model.classes,
+                     model.intercepts, model.weights, model.templates)
     cover = F.lit(0.0)
     for family, ts in model.templates.items():
         shares = [F.size(F.array_intersect("hits", F.lit(g))) / float(len(g)) for g in ts]
         cover = F.when(F.col("family") == family, F.greatest(*shares, F.lit(0.0))).otherwise(cover)
-    found = scored.withColumn("cover", cover).where(F.col("cover") >= LEAST_COVER).select(*named.columns).unionByName(named)
+    scored = scored.withColumn("cover", F.when(F.col("probability") >= model.threshold, cover))
+
+    def answer(family, probability, cover):
+        return F.struct(family.alias("family"), probability.alias("probability"), cover.alias("cover"))
+
+    answers = F.when(F.size("named") > 0, F.transform("named", lambda f: answer(f, F.lit(1.0), F.lit(1.0)))).when(
+        F.col("cover") >= LEAST_COVER, F.array(answer(F.col("family"), F.col("probability"), F.col("cover"))))
+    found = scored.select("doc_id", "row", "paragraph", "last", "line", F.explode(answers).alias("a")).select(
+        "doc_id", "row", "paragraph", "last", "a.*", "line")
     # Paragraphs of a text and family that overlap are one group: none of them starts after all before have ended.
     order = Window.partitionBy("row", "family").orderBy("paragraph", "last")
     ended = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
