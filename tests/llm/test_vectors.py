@@ -110,3 +110,35 @@ def test_search_goes_on_until_all_is_expanded(spark, monkeypatch):
     asked = spark.createDataFrame([(0, unit[0], None), (47, unit[47], None)], "query_id long, unit binary, own long")
     found = ann.search(asked, nodes, graph, beam=4, expand=1).collect()
     assert {r.query_id: r.found[0].node for r in found} == {0: 0, 47: 47}
+
+
+def test_start_does_not_depend_on_partitions(spark):
+    # 600 vectors are one block; dealt over 64 partitions they were compared in blocks of about 10.
+    x = np.random.default_rng(5).standard_normal((600, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        nodes = ann.saved(ann.nodes_of(df, 1, "vec_id", "embedding"), "nodes")
+        near = {r.node: set(r.near) for r in ann.build(nodes, 8, rounds=0).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -2)
+    best = np.argsort(-sims, axis=1)[:, :5]
+    assert np.mean([b in near[i] for i, row in enumerate(best.tolist()) for b in row]) >= 0.99
+
+
+def test_blocks_are_cut_at_cells(monkeypatch):
+    monkeypatch.setattr(ann, "CELL", 4)
+    cell = [0] * 3 + [1] * 13 + [2] * 8 + [5]
+    whole = ann.pa.RecordBatch.from_pydict({"cell": cell, "node": list(range(len(cell)))})
+    for size in (1, 5, 100):
+        cut = [b for b in ann.blocks(ann.rows([whole], size))]
+        assert [n for b in cut for n in b["node"].to_pylist()] == list(range(len(cell)))
+        assert all(len(set(b["cell"].to_pylist())) == 1 and len(b) < 8 for b in cut)
+        assert [len(b) for b in cut if b["cell"][0].as_py() == 1] == [4, 4, 5]

@@ -2,12 +2,12 @@
 
 Equal vectors are one node that remembers its smallest ids, so a hot vector is one
 node. The first neighbours come from blocks of vectors with equal random sign
-patterns. Each round joins neighbours of neighbours: every edge carries its vector both ways (a node's
-incoming edges are sampled), each node compares the vectors it received with one another
-and tells their nodes about pairs that are nearer than what they have. Rounds end when they
+patterns. Each round joins neighbours of neighbours: the ids of edges are brought together by node (a node's
+incoming edges are sampled), nodes with a new edge are sent their neighbours' vectors, compare those pairs of them
+of which at least one is new, and tell their nodes about pairs that are nearer than what they have. Rounds end when they
 change hardly any list entry. Queries start
 from the best of a fixed set of entry nodes, and from their own node if their vector is indexed, and
-repeatedly expand their best unexpanded nodes until none is left.
+repeatedly expand the unexpanded of their best nodes until none is left.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,10 @@ from vendorscope.llm.common import dropped, rows, saved
 from vendorscope.llm.vectors import matrix, usable
 
 ENTRIES = 1024     # entry nodes, a fixed number, broadcast
-CELL = 2048        # vectors that are compared as one block at the start
+CELL = 2048        # vectors that are compared as one block at the start, on average
+CELLS = 1024       # blocks at the start of which the limits are learned, at most; larger ones are cut in order
+SAMPLE = 16384     # vectors that these limits are learned from
+PART = 64 << 20    # bytes of vectors in a partition of the graph that is searched
 SETTLED = 0.001    # share of all list entries; a round that changes no more of them is the last
 HALF = np.float16  # vectors in messages; scores of results are made from the original vectors
 
@@ -60,30 +64,59 @@ def units(column: pa.Array) -> np.ndarray:
 
 
 def start(nodes: DataFrame, k: int, trees: int, seed: int) -> DataFrame:
-    """(node, near, sim) from ``trees`` sortings by random sign patterns, compared in runs of ``CELL`` rows."""
-    parts = []
-    for t in range(trees):
-        def patterned(batches: Iterator[pa.RecordBatch], t=t) -> Iterator[pa.RecordBatch]:
-            for b in rows(batches, 4096):
-                x = units(b.column("unit"))
-                plane = np.random.default_rng([seed, t]).standard_normal((x.shape[1], 16)).astype(np.float32)
-                y = x @ plane
-                key = ((y > 0) @ (1 << np.arange(15, -1, -1))) + (1 / (1 + np.exp(-4 * y[:, 0].astype(float))))
-                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("unit"), pa.array(key)],
-                                                 names=["node", "unit", "key"])
-
-        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in rows(batches, CELL):
-                ids, x = b.column("node").to_numpy(), units(b.column("unit"))
-                yield nearest(ids, ids, x @ x.T, k)
-
-        keyed = nodes.select("node", "unit").mapInArrow(patterned, "node long, unit binary, key double")
-        keyed = keyed.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-        parts.append(keyed.mapInArrow(compared, "node long, near long, sim float"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(node, told: array of (near, sim)) from ``trees`` orders by random sign patterns, compared in cells of about ``CELL`` rows.
+
+    Cells are cut at quantiles of a sample, not by the shuffle's partitions, so their size doesn't depend on these.
+    """
+    cells = min(-(-nodes.count() // CELL), CELLS)
+    trees = trees if cells > 1 else 1  # one cell holds all pairs
+
+    def order(x: np.ndarray, t: int) -> np.ndarray:
+        plane = np.random.default_rng([seed, t]).standard_normal((x.shape[1], 16)).astype(np.float32)
+        y = x @ plane
+        return ((y > 0) @ (1 << np.arange(15, -1, -1))) + (1 / (1 + np.exp(-4 * y[:, 0].astype(float))))
+
+    sample = units(nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("unit").toArrow()["unit"].combine_chunks())
+    cuts = [np.quantile(order(sample, t), np.arange(1, cells) / cells) for t in range(trees)]
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows(batches, 4096):
+            x = units(b.column("unit"))
+            for t, cut in enumerate(cuts):
+                key = order(x, t)
+                cell = t * cells + np.searchsorted(cut, key)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(key), b.column("node"), b.column("unit")],
+                                                 names=["cell", "key", "node", "unit"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches):
+            ids, x = b["node"].to_numpy(), units(b["unit"].combine_chunks())
+            for lo in range(0, len(ids), 512):
+                yield nearest(ids[lo:lo + 512], ids, x[lo:lo + 512] @ x.T, k)
+
+    keyed = nodes.select("node", "unit").mapInArrow(dealt, "cell long, key double, node long, unit binary")
+    keyed = keyed.repartition("cell").sortWithinPartitions("cell", "key", "node")
+    return listed(keyed.mapInArrow(compared, "node long, near long, sim float"))
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of ``cell`` as tables of one cell each; cells of twice ``CELL`` rows or more are cut into such of ``CELL`` or more."""
+    held = None
+    for b in batches:
+        held = pa.concat_tables([*([held] if held is not None else []), pa.Table.from_batches([b])])
+        cell = held["cell"].to_numpy()
+        ends = [*(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+        lo = 0
+        for hi in ends:
+            while hi - lo >= 2 * CELL:
+                yield held.slice(lo, CELL)
+                lo += CELL
+            if hi < len(cell):
+                yield held.slice(lo, hi - lo)
+                lo = hi
+        held = held.slice(lo)
+    if held is not None and held.num_rows:
+        yield held
 
 
 def nearest(left: np.ndarray, right: np.ndarray, sim: np.ndarray, k: int, least: np.ndarray | None = None) -> pa.RecordBatch:
@@ -98,32 +131,59 @@ def nearest(left: np.ndarray, right: np.ndarray, sim: np.ndarray, k: int, least:
         names=["node", "near", "sim"])
 
 
-def kept(edges: DataFrame, k: int) -> DataFrame:
-    """(node, near: array of ids, sims, changed): each node's ``k`` most similar of what it was told, in order.
+def best(node: np.ndarray, near: np.ndarray, sim: np.ndarray, late: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` most similar of every node, in order of node and similarity; of a repeated neighbour the first not ``late``."""
+    at = np.lexsort((-sim, late, near, node))
+    at = at[np.r_[True, (np.diff(node[at]) != 0) | (np.diff(near[at]) != 0)][:len(at)]]
+    at = at[np.lexsort((near[at], -sim[at], node[at]))]
+    place = np.arange(len(at))
+    first = np.r_[True, np.diff(node[at]) != 0][:len(at)]
+    return at[place - np.maximum.accumulate(np.where(first, place, 0)) < k]
 
-    ``changed`` is how many of them come only from edges marked ``fresh``.
-    """
-    # A neighbour told twice is one, combined before the shuffle; a node is told of a few times k per round, so lists are bounded.
-    once = edges.groupBy("node", "near").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    told = once.groupBy("node").agg(F.collect_list(
-        F.struct((-F.col("sim")).alias("s"), F.col("near").alias("v"), F.col("fresh").alias("f"))).alias("l"))
-    best = told.select("node", F.slice(F.array_sort("l"), 1, k).alias("l"))
-    return best.select("node", F.col("l.v").alias("near"), F.transform("l", lambda x: -x["s"]).alias("sims"),
-                       F.size(F.filter("l", lambda x: x["f"])).alias("changed"))
-
-
-def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
-    """One round: every node compares the neighbours it has in either direction."""
-    out = graph.select("node", F.explode("near").alias("other"))
-    back = out.select(F.col("other").alias("node"), F.col("node").alias("other"))
-    # Of a node's incoming edges a random k take part in a round; the limit is applied per partition first.
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "other", F.lit(seed))))
-    back = back.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
-    worst = graph.select(F.col("node").alias("other"),
-                         F.when(F.size("sims") >= k, F.element_at("sims", -1)).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    sender = nodes.select(F.col("node").alias("other"), "unit").join(worst, "other", "left")
-    sent = out.unionByName(back).distinct().join(sender, "other")
-    groups = sent.groupBy("node").agg(F.collect_list(F.struct("other", "unit", "worst")).alias("l")).select("l")
+
+def listed(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("node").agg(F.collect_list(F.struct("near", "sim")).alias("told"))
+
+
+def kept(graph: DataFrame, told: DataFrame, k: int) -> DataFrame:
+    """(node, unit, near, sims, fresh): each node's ``k`` most similar of what it had and was told, in order; ``fresh`` are the new ones."""
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows(batches, 1024):
+            had, new = b.column("near"), b.column("told")
+            size = [np.array([len(x) if x.is_valid else 0 for x in c], np.int64) for c in (had, new)]
+            node = np.concatenate([np.repeat(np.arange(b.num_rows), n) for n in size])
+            near, sim = (np.concatenate([h.to_numpy(zero_copy_only=False), t.to_numpy(zero_copy_only=False)]) for h, t in (
+                (had.flatten(), new.flatten().field("near")), (b.column("sims").flatten(), new.flatten().field("sim"))))
+            late = np.arange(len(node)) >= size[0].sum()
+            at = best(node, near, sim, late, k)
+            ends = pa.array(np.r_[0, np.cumsum(np.bincount(node[at], minlength=b.num_rows))].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), b.column("unit"), pa.ListArray.from_arrays(ends, pa.array(near[at].astype(np.int64))),
+                 pa.ListArray.from_arrays(ends, pa.array(sim[at].astype(np.float32))), pa.ListArray.from_arrays(ends, pa.array(late[at]))],
+                names=["node", "unit", "near", "sims", "fresh"])
+
+    return graph.select("node", "unit", "near", "sims").join(told, "node", "left").mapInArrow(
+        merged, "node long, unit binary, near array<long>, sims array<float>, fresh array<boolean>")
+
+
+def sides(graph: DataFrame, most: int, seed: int) -> DataFrame:
+    """(node, other, fresh), dealt by node: the edges of every node, its own list and up to ``most`` incoming ones, fresh ones first, then at random."""
+    out = graph.select("node", F.explode(F.arrays_zip("near", "fresh")).alias("e")).select(
+        "node", F.col("e.near").alias("other"), F.col("e.fresh").alias("fresh"), F.lit(False).alias("back"))
+    back = out.select(F.col("other").alias("node"), F.col("node").alias("other"), "fresh", F.lit(True).alias("back"))
+    # One shuffle of ids serves the ranking and all that groups by node.
+    rank = F.row_number().over(Window.partitionBy("node", "back").orderBy(F.desc("fresh"), F.xxhash64("node", "other", F.lit(seed))))
+    both = out.unionByName(back).repartition("node").withColumn("rank", rank).where(~F.col("back") | (F.col("rank") <= most))
+    return both.groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
+
+
+def descend(graph: DataFrame, k: int, seed: int) -> DataFrame:
+    """One round: every node compares the neighbours it has in either direction, if at least one of the two is fresh."""
+    part = sides(graph, k, seed).withColumn("live", F.max("fresh").over(Window.partitionBy("node"))).where("live").drop("live")
+    worst = F.when(F.size("sims") >= k, F.element_at("sims", -1)).otherwise(F.lit(-2.0)).cast("float").alias("worst")
+    sender = graph.select(F.col("node").alias("other"), "unit", worst)
+    groups = part.join(sender, "other").groupBy("node").agg(
+        F.collect_list(F.struct("other", "unit", "worst", "fresh")).alias("l")).select("l")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches, 1024):
@@ -131,19 +191,21 @@ def descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
             col = b.column("l")
             flat, ends = col.flatten(), np.cumsum([0, *[len(x) for x in col]])
             ids = flat.field("other").to_numpy(zero_copy_only=False)
-            least = np.nan_to_num(flat.field("worst").to_numpy(zero_copy_only=False).astype(np.float32), nan=-2.0)
+            least = flat.field("worst").to_numpy(zero_copy_only=False)
+            fresh = flat.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
             x = units(flat.field("unit"))
             for lo, hi in zip(ends[:-1], ends[1:]):
                 if hi - lo > 1:
-                    v = x[lo:hi]
-                    got.append(nearest(ids[lo:hi], ids[lo:hi], v @ v.T, k, least[lo:hi]))
+                    v, f = x[lo:hi], fresh[lo:hi]
+                    sim = np.where(f[:, None] | f[None, :], v @ v.T, -np.inf)
+                    got.append(nearest(ids[lo:hi], ids[lo:hi], sim, k, least[lo:hi]))
             if got:
-                yield pa.Table.from_batches(got).combine_chunks().to_batches()[0]
+                # What a node is told by several lists of a batch is put together before the shuffle.
+                node, near, sim = (c.to_numpy() for c in pa.Table.from_batches(got).columns)
+                at = best(node, near, sim, np.zeros(len(node), bool), k)
+                yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(near[at]), pa.array(sim[at])], names=["node", "near", "sim"])
 
-    new = groups.mapInArrow(joined, "node long, near long, sim float")
-    old = graph.select("node", F.explode(F.arrays_zip("near", "sims")).alias("e")).select(
-        "node", F.col("e.near").alias("near"), F.col("e.sims").cast("float").alias("sim"))
-    return kept(old.withColumn("fresh", F.lit(False)).unionByName(new.withColumn("fresh", F.lit(True))), k)
+    return kept(graph, listed(groups.mapInArrow(joined, "node long, near long, sim float")), k)
 
 
 def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int | None = None, seed: int = 11) -> DataFrame:
@@ -152,34 +214,32 @@ def build(nodes: DataFrame, k: int = 32, trees: int = 4, rounds: int | None = No
     Rounds are repeated until one changes at most ``SETTLED`` of all list entries, or ``rounds`` times if given.
     Lists only get nearer, so this ends.
     """
-    graph = saved(kept(start(nodes, k, trees, seed).withColumn("fresh", F.lit(True)), k), "graph")
+    none = nodes.select("node", "unit", F.expr("cast(array() as array<long>)").alias("near"), F.expr("cast(array() as array<float>)").alias("sims"))
+    graph = saved(kept(none, start(nodes, k, trees, seed), k), "graph")
     for r in count() if rounds is None else range(rounds):
-        old, graph = graph, saved(descend(nodes, graph, k, seed + r), "graph")
+        old, graph = graph, saved(descend(graph, k, seed + r), "graph")
         dropped(old)
-        changed, entries = graph.agg(F.sum("changed"), F.sum(F.size("near"))).first()
+        changed, entries = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("near"))).first()
         if (changed or 0) <= SETTLED * (entries or 0):
             break
     # Search follows edges in both directions; a node's incoming edges beyond k / 2 are left to the others' lists.
-    out = graph.select("node", F.explode("near").alias("near"))
-    back = out.select(F.col("near").alias("node"), F.col("node").alias("near"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "near")))
-    back = back.withColumn("rank", rank).where(F.col("rank") <= k // 2).drop("rank")
-    named = nodes.select(F.col("node").alias("near"), "unit")
-    return saved(out.unionByName(back).distinct().join(named, "near").groupBy("node")
-                 .agg(F.collect_list(F.struct("near", "unit")).alias("l"))
-                 .select("node", F.col("l.near").alias("near"), F.col("l.unit").alias("units")), "graph")
+    named = graph.select(F.col("node").alias("other"), "unit")
+    return saved(sides(graph, k // 2, seed).join(named, "other").groupBy("node")
+                 .agg(F.collect_list(F.struct("other", "unit")).alias("l"))
+                 .select("node", F.col("l.other").alias("near"), F.col("l.unit").alias("units")), "graph")
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 96, expand: int = 32,
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 96, expand: int | None = None,
            hops: int | None = None) -> DataFrame:
     """(query_id, unit, found): greedy search of each query (query_id, unit, own); ``found`` has up to ``beam`` nodes, best first.
 
     Searches start from the best of ``ENTRIES`` fixed nodes and, where the query's vector is indexed itself, from its
     node ``own`` (null: it isn't).
-    A query's state is its best ``beam`` nodes and which of them it has expanded. A hop joins the best unexpanded
-    nodes of all queries with the graph; it ends when no query has one left, or after ``hops`` if given.
+    A query's state is its best ``beam`` nodes and which of them it has expanded. A hop joins the unexpanded
+    nodes of all queries (the best ``expand`` of each, if given) with the graph; it ends when no query has one left,
+    or after ``hops`` if given.
     """
-    spark = nodes.sparkSession
+    spark, expand = nodes.sparkSession, expand or beam
     entry = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", "unit").toArrow()  # a fixed number of rows
     ids, x = entry["node"].to_numpy(), units(entry["unit"].combine_chunks())
     form = "query_id long, unit binary, found array<struct<node:long,sim:float,done:boolean>>"
@@ -199,9 +259,11 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 9
         for b in rows(batches, 256):
             q = units(b.column("unit"))
             near, sims = [], []
-            for v, u, n in zip(q, b.column("units"), b.column("near")):
-                near.append(n.values.to_numpy(zero_copy_only=False))
-                sims.append(units(u.values) @ v)
+            # What is less similar than all of a full beam is not told.
+            for v, u, n, w in zip(q, b.column("units"), b.column("near"), b.column("worst").to_numpy()):
+                sim = units(u.values) @ v
+                near.append(n.values.to_numpy(zero_copy_only=False)[sim >= w])
+                sims.append(sim[sim >= w])
             size = [len(n) for n in near]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(b.column("query_id").to_numpy(), size)), pa.array(np.concatenate(near).astype(np.int64)),
@@ -219,17 +281,23 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = 9
             yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("unit"), pa.array(out, item)],
                                              names=["query_id", "unit", "found"])
 
+    # The graph is dealt by node once, on the executors' disks, so that a hop shuffles its queries only.
+    held = (graph.agg(F.sum(F.size("near"))).first()[0] or 0) * (x.itemsize // 2 * x.shape[1] + 8)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // PART))
+    graph = graph.repartition(parts, "node").persist(StorageLevel.DISK_ONLY)
     state = saved(queries.mapInArrow(entered, form), "search")
+    worst = F.when(F.size("found") >= beam, F.element_at("found", -1)["sim"]).otherwise(F.lit(-2.0)).cast("float").alias("worst")
     for _ in count() if hops is None else range(hops):
         todo = F.slice(F.filter("found", lambda f: ~f["done"]), 1, expand)
-        ask = state.select("query_id", "unit", F.explode(todo["node"]).alias("node"))
+        ask = state.select("query_id", "unit", worst, F.explode(todo["node"]).alias("node"))
         if ask.isEmpty():
             break
-        told = (ask.join(graph, "node").select("query_id", "unit", "near", "units")
+        told = (ask.join(graph, "node").select("query_id", "unit", "worst", "near", "units")
                 .mapInArrow(scored, "query_id long, node long, sim float")
                 .groupBy("query_id").agg(F.collect_set(F.struct("node", "sim")).alias("new")))
         old, state = state, saved(state.join(told, "query_id", "left").mapInArrow(merged, form), "search")
         dropped(old)
+    graph.unpersist()
     return state
 
 
