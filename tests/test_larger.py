@@ -5,6 +5,7 @@ import os
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -29,6 +30,45 @@ def test_a_file_per_text_and_no_folder_of_its_own(spark, tmp_path):
     assert sorted(tuple(r) for r in IO.read_text_files(spark, path).collect()) == sorted(tuple(r) for r in texts.collect())
 
 
+def _texts(top, names, text="some text"):
+    for n in names:
+        (top / n).parent.mkdir(parents=True, exist_ok=True)
+        (top / n).write_bytes(text if isinstance(text, bytes) else f"{text}\n".encode())
+    return str(top)
+
+
+def test_tasks_list_the_text_files(spark, tmp_path):
+    path = _texts(tmp_path / "é 50%25 texts", [f"C/t{i % 3}/s{i}.txt" for i in range(40)])
+    got = [IO.read_text_files(spark, path, "C"), IO.read_text_files(spark, path)]
+    _texts(tmp_path / "é 50%25 texts", ["C/t9/late.txt"])  # nothing was listed yet
+    assert [len({tuple(r) for r in df.collect()}) for df in got] == [41, 41] and not any(df.inputFiles() for df in got)
+
+
+def test_short_names_do_not_make_long_texts_broadcast(spark, tmp_path):
+    path = _texts(tmp_path / "texts", ["C/t/s.txt"])
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    try:
+        joined = IO.attach_texts(S.vendors(spark, SF_SMALL).select("id", "category", "city", F.col("name").alias("slug")), IO.read_text_files(spark, path))
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "SortMergeJoin" in plan  # the vendors' own joins broadcast nations and regions
+
+
+def test_text_files_in_and_beside_the_wanted_folders(spark, tmp_path):
+    path = _texts(tmp_path / "texts", ["C/t/s.txt", "category=C/city=u%2Fv/slug=x.txt", "category=C/city=t/slug=y/part-0.txt"])
+    _texts(tmp_path / "texts", ["C/t/.h.txt", "C/t/_h.txt", "C/_tmp/h.txt", "C/.tmp/h.txt", "C/t/other.csv", "D/t/not_utf8.txt"], b"\xff")
+    _texts(tmp_path / "texts", ["C/t/empty.txt"], b"")
+    os.symlink("nowhere", tmp_path / "texts" / "C" / "t" / "gone.txt")
+    want = [("C", "t", "s"), ("C", "t", "y"), ("C", "u/v", "x")]
+    assert sorted(tuple(r)[:3] for r in IO.read_text_files(spark, path, "C").collect()) == want
+    for name, n in (("s.txt", 1), ("_h.txt", 0), ("other.csv", 0)):
+        assert [tuple(r)[:3] for r in IO.read_text_files(spark, f"{path}/C/t/{name}").collect()] == want[:n]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        IO.read_text_files(spark, path, "E")
+
+
 def test_licence_model_learns_from_every_document(spark):
     from vendorscope.llm import licenses as L
 
