@@ -4,6 +4,7 @@ import os
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -56,17 +57,22 @@ def test_short_names_do_not_make_long_texts_broadcast(spark, tmp_path):
     assert "SortMergeJoin" in plan  # the vendors' own joins broadcast nations and regions
 
 
-def test_text_files_in_and_beside_the_wanted_folders(spark, tmp_path):
+def test_text_files_in_and_beside_the_wanted_folders(spark, tmp_path, monkeypatch):
     path = _texts(tmp_path / "texts", ["C/t/s.txt", "category=C/city=u%2Fv/slug=x.txt", "category=C/city=t/slug=y/part-0.txt"])
     _texts(tmp_path / "texts", ["C/t/.h.txt", "C/t/_h.txt", "C/_tmp/h.txt", "C/.tmp/h.txt", "C/t/other.csv", "D/t/not_utf8.txt"], b"\xff")
     _texts(tmp_path / "texts", ["C/t/empty.txt"], b"")
     os.symlink("nowhere", tmp_path / "texts" / "C" / "t" / "gone.txt")
     want = [("C", "t", "s"), ("C", "t", "y"), ("C", "u/v", "x")]
     assert sorted(tuple(r)[:3] for r in IO.read_text_files(spark, path, "C").collect()) == want
+    there, disk = f"{path}/C", pafs.LocalFileSystem()
+    assert {f"{there}/{at}" for at, _ in IO._files(pafs.SubTreeFileSystem(there, disk), "")} == {at for at, _ in IO._files(disk, there)}
     for name, n in (("s.txt", 1), ("_h.txt", 0), ("other.csv", 0)):
         assert [tuple(r)[:3] for r in IO.read_text_files(spark, f"{path}/C/t/{name}").collect()] == want[:n]
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         IO.read_text_files(spark, path, "E")
+    monkeypatch.setattr(IO, "_places", lambda spark, base: None)  # as where only Spark can open the files
+    os.unlink(tmp_path / "texts" / "C" / "t" / "gone.txt")
+    assert sorted(tuple(r)[:3] for r in IO.read_text_files(spark, path, "C").collect()) == want
 
 
 def test_licence_model_learns_from_every_document(spark):
